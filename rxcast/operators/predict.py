@@ -43,7 +43,8 @@ def train_components(clean: DataFrame, learned: bool = False, registry: DataFram
     )
 
 
-def predict(clean: DataFrame, comp: Components | None = None, learned: bool = False) -> DataFrame:
+def predict(clean: DataFrame, comp: Components | None = None, learned: bool = False,
+            keep_components: bool = False) -> DataFrame:
     """MUL7: HCP x generic x brand groups joined to the six multipliers
     (missing -> 1.0) and the HCP's first-seen descriptive columns.
 
@@ -82,4 +83,5 @@ def predict(clean: DataFrame, comp: Components | None = None, learned: bool = Fa
         F.col("_qty").cast("int").alias("Quantity_from_DB"),
         (F.col("_qty") * F.col("_mult")).cast("int").alias("Predicted_quantity"),
         F.round(F.col("_mult"), 3).alias("Combined_multiplier"),
+        *([F.coalesce(F.col(c), F.lit(1.0)).alias(c) for c in WEIGHTS] if keep_components else []),
     )

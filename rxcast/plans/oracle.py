@@ -260,7 +260,10 @@ p_groups AS (
   GROUP BY ALL
 ),
 p_mult AS (
-  SELECT g.*, {D(1.0)}
+  SELECT g.*, {D(1.0)} AS temporal_multiplier, {_market_expr('g.drug_brand_name')} AS market_multiplier,
+    coalesce(a.affinity, {D(1.0)}) AS affinity, coalesce(t.transaction_multiplier, {D(1.0)}) AS transaction_multiplier,
+    coalesce(r.rolling_multiplier, {D(1.0)}) AS rolling_multiplier, coalesce(p.payer_multiplier, {D(1.0)}) AS payer_multiplier,
+    {D(1.0)}
     * pow({_market_expr('g.drug_brand_name')}, {D(0.5)})
     * pow(coalesce(a.affinity, {D(1.0)}), {D(0.5)})
     * pow(coalesce(t.transaction_multiplier, {D(1.0)}), {D(0.33)})
@@ -272,7 +275,7 @@ p_mult AS (
   LEFT JOIN m_roll r ON g.hcp_id = r.hcp_id
   LEFT JOIN m_payer p ON g.hcp_id = p.hcp_id
 ),
-predictions AS (
+predictions_c AS (
   SELECT m.hcp_id, d.type_1_npi, d.prescriber_npi_nm, d.prescriber_npi_state_cd,
     m.drug_generic_name AS Drug_generic_name, m.drug_brand_name AS Drug_name,
     CASE {_COMPANY.replace('drug_generic_name', 'm.drug_generic_name')} ELSE 'Unknown' END AS Company,
@@ -280,12 +283,18 @@ predictions AS (
     {RND(f"coalesce(m.sales, {D(0.0)}) * m.mult", 2)} AS Predicted_sales,
     CAST(m.qty AS INTEGER) AS Quantity_from_DB,
     CAST(trunc(m.qty * m.mult) AS INTEGER) AS Predicted_quantity,
-    {RND("m.mult", 3)} AS Combined_multiplier
+    {RND("m.mult", 3)} AS Combined_multiplier,
+    m.temporal_multiplier, m.market_multiplier, m.affinity, m.transaction_multiplier, m.rolling_multiplier,
+    m.payer_multiplier
   FROM p_mult m LEFT JOIN details d ON m.hcp_id = d.hcp_id
+),
+predictions AS (
+  SELECT * EXCLUDE (temporal_multiplier, market_multiplier, affinity, transaction_multiplier, rolling_multiplier,
+                    payer_multiplier) FROM predictions_c
 )"""
 
 PRELUDE = [CLAIMS, CLEAN, BASE, TEMPORAL, TRANSACTION, ROLLING, PAYER, SPEC, DETAILS, PREDICTIONS]
 
 
-def with_prelude(select: str) -> str:
-    return "WITH " + ",".join(PRELUDE) + "\n" + select
+def with_prelude(select: str, ctes: list[str] | tuple = ()) -> str:
+    return "WITH " + ",".join([*PRELUDE, *ctes]) + "\n" + select

@@ -125,3 +125,47 @@ def q_mult_payer(spark, sf_dir):
 @query("predictions")
 def q_predictions(spark, sf_dir):
     return pr.predict(clean(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- phase 4
+from rxcast.operators import evaluate as ev  # noqa: E402
+
+
+def predictions(spark, sf_dir, keep_components=False) -> DataFrame:
+    return pr.predict(clean(spark, sf_dir), keep_components=keep_components)
+
+
+def _eval(name, fn, digits=6):
+    @query(name)
+    def _q(spark, sf_dir):
+        return rounded(fn(predictions(spark, sf_dir)), digits)
+    _q.__name__ = f"q_{name}"
+    return _q
+
+
+_eval("metrics_sales", ev.metrics_sales)
+_eval("metrics_quantity", ev.metrics_quantity)
+_eval("metrics_table", ev.metrics_table)
+_eval("multiplier_stats", ev.multiplier_stats)
+_eval("improvement", ev.improvement)
+_eval("error_distribution", ev.error_distribution)
+_eval("error_bins", ev.error_bins)
+_eval("error_bias", ev.error_bias)
+_eval("worst_decile", ev.worst_decile)
+_eval("by_drug", ev.by_drug)
+_eval("by_company", ev.by_company)
+_eval("by_quartile", ev.by_quartile)
+_eval("stability", ev.stability)
+_eval("performance_report", ev.performance_report)
+_eval("paired_t", ev.paired_t)
+_eval("paired_t_pvalue", ev.paired_t_pvalue)
+_eval("signed_rank", ev.signed_rank)
+_eval("signed_rank_pvalue", ev.signed_rank_pvalue)
+_eval("heteroscedasticity", ev.heteroscedasticity)
+_eval("normality", ev.normality)
+_eval("sensitivity", ev.sensitivity)
+
+
+@query("contributions")
+def q_contributions(spark, sf_dir):
+    return rounded(ev.contributions(predictions(spark, sf_dir, keep_components=True)), 6)

@@ -92,3 +92,192 @@ sql("mult_transaction", f"SELECT hcp_id, {RND('transaction_multiplier', 9)} AS t
 sql("mult_rolling", f"SELECT hcp_id, {RND('rolling_multiplier', 9)} AS rolling_multiplier FROM m_roll")
 sql("mult_payer", f"SELECT hcp_id, {RND('payer_multiplier', 9)} AS payer_multiplier FROM m_payer")
 sql("predictions", "SELECT * FROM predictions")
+
+
+# ---------------------------------------------------------------- phase 4
+A, P = "Sales_from_db", "Predicted_sales"
+EPS = repr(2.220446049250313e-16)
+
+
+def ev(name: str, select: str, ctes=(), digits: int = 6, cols: list[str] | None = None) -> None:
+    """Wrap ``select`` so that every listed column is rounded like Spark's."""
+    inner = f"({select})"
+    if cols is None:
+        SQL[name] = with_prelude(select, ctes)
+    else:
+        outs = ", ".join(f"{RND(c, digits)} AS {c}" if c.startswith("~") is False else c[1:] for c in cols)
+        SQL[name] = with_prelude(f"SELECT {outs} FROM {inner} q", ctes)
+
+
+FIN = (f"{A} IS NOT NULL AND NOT isnan({A}) AND NOT isinf({A}) AND {P} IS NOT NULL "
+       f"AND NOT isnan({P}) AND NOT isinf({P})")
+
+_R2 = ("CASE WHEN sum(({a} - {m}) * ({a} - {m})) = 0 THEN CASE WHEN sum(({p} - {a}) * ({p} - {a})) = 0 "
+       "THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END ELSE 1 - sum(({p} - {a}) * ({p} - {a})) / sum(({a} - {m}) * ({a} - {m})) END")
+
+ev("metrics_sales", f"""
+SELECT avg(abs({P} - {A})) AS MAE, sqrt(avg(({P} - {A}) * ({P} - {A}))) AS RMSE,
+  avg(abs({P} - {A}) / greatest(abs({A}), CAST({EPS} AS DOUBLE))) * 100 AS MAPE,
+  {_R2.format(a=A, p=P, m='ma')} AS R2,
+  avg(CASE WHEN sign({P} - ma) = sign({A} - ma) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100 AS Direction_Accuracy,
+  count(*) AS n
+FROM (SELECT * FROM predictions WHERE {FIN}) f, (SELECT avg({A}) AS ma FROM predictions WHERE {FIN}) m""",
+   cols=["MAE", "RMSE", "MAPE", "R2", "Direction_Accuracy", "~n"])
+
+ev("metrics_quantity", f"""
+SELECT avg(abs(CAST(Predicted_quantity - Quantity_from_DB AS DOUBLE))) AS qty_MAE,
+  sqrt(avg(CAST(Predicted_quantity - Quantity_from_DB AS DOUBLE) * CAST(Predicted_quantity - Quantity_from_DB AS DOUBLE))) AS qty_RMSE,
+  {_R2.format(a='Quantity_from_DB', p='Predicted_quantity', m='mq')} AS qty_R2
+FROM predictions, (SELECT avg(Quantity_from_DB) AS mq FROM predictions)""", cols=["qty_MAE", "qty_RMSE", "qty_R2"])
+
+_MS = SQL["metrics_sales"].split("SELECT ", 1)
+ev("metrics_table", """
+SELECT Metric, Value FROM (SELECT * FROM ms) UNPIVOT (Value FOR Metric IN (MAE, RMSE, MAPE, R2, Direction_Accuracy))""",
+   ctes=[f"""ms AS (SELECT avg(abs({P} - {A})) AS MAE, sqrt(avg(({P} - {A}) * ({P} - {A}))) AS RMSE,
+  avg(abs({P} - {A}) / greatest(abs({A}), CAST({EPS} AS DOUBLE))) * 100 AS MAPE,
+  {_R2.format(a=A, p=P, m='ma')} AS R2,
+  avg(CASE WHEN sign({P} - ma) = sign({A} - ma) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100 AS Direction_Accuracy
+FROM (SELECT * FROM predictions WHERE {FIN}) f, (SELECT avg({A}) AS ma FROM predictions WHERE {FIN}) m)"""],
+   cols=["~Metric", "Value"])
+
+ev("multiplier_stats", """
+SELECT mean, std, min, q25, median, q75, max,
+  count(*) FILTER (WHERE Combined_multiplier < q25 - 1.5 * (q75 - q25) OR Combined_multiplier > q75 + 1.5 * (q75 - q25)) AS outliers,
+  count(*) FILTER (WHERE Combined_multiplier < q25 - 1.5 * (q75 - q25) OR Combined_multiplier > q75 + 1.5 * (q75 - q25)) / count(*) * 100 AS outlier_pct
+FROM predictions, (SELECT avg(Combined_multiplier) AS mean, stddev_samp(Combined_multiplier) AS std,
+  min(Combined_multiplier) AS min, quantile_cont(Combined_multiplier, 0.25) AS q25,
+  quantile_cont(Combined_multiplier, 0.5) AS median, quantile_cont(Combined_multiplier, 0.75) AS q75,
+  max(Combined_multiplier) AS max FROM predictions) s
+GROUP BY ALL""", cols=["mean", "std", "min", "q25", "median", "q75", "max", "~outliers", "outlier_pct"])
+
+ev("improvement", f"""
+SELECT b AS baseline_mae, e AS ensemble_mae, (1 - e / nullif(b, 0)) * 100 AS improvement_pct FROM (
+  SELECT avg(abs({A} - ma)) AS b, avg(abs({A} - {P})) AS e FROM predictions, (SELECT avg({A}) AS ma FROM predictions))""",
+   cols=["baseline_mae", "ensemble_mae", "improvement_pct"])
+
+_ERR = f"""err AS (SELECT *, abs({P} - {A}) AS ae, CASE WHEN {A} = 0 THEN NULL ELSE abs({P} - {A}) / {A} * 100 END AS pe,
+  sign({P} - {A}) AS dir FROM predictions)"""
+
+ev("error_distribution", "SELECT avg(ae) AS mean_abs_error, median(ae) AS median_abs_error, max(ae) AS max_abs_error, "
+   "avg(pe) AS mean_pct_error FROM err", ctes=[_ERR],
+   cols=["mean_abs_error", "median_abs_error", "max_abs_error", "mean_pct_error"])
+
+_BINS = [(0, 5, "<5%"), (5, 10, "5-10%"), (10, 20, "10-20%"), (20, 50, "20-50%"), (50, 100, "50-100%"),
+         (100, None, ">100%")]
+_BIN_CASE = "CASE " + " ".join(
+    f"WHEN pe > {lo} AND pe <= {hi} THEN {i}" if hi is not None else f"WHEN pe > {lo} THEN {i}"
+    for i, (lo, hi, _n) in enumerate(_BINS)) + " END"
+ev("error_bins", f"""
+SELECT b.bin_order, b.bin, coalesce(c.cnt, 0) AS count, coalesce(c.cnt, 0) / (SELECT count(*) FROM predictions) * 100 AS pct
+FROM (VALUES {', '.join(f"({i}, '{n}')" for i, (_l, _h, n) in enumerate(_BINS))}) b(bin_order, bin)
+LEFT JOIN (SELECT {_BIN_CASE} AS bo, count(*) AS cnt FROM err GROUP BY ALL) c ON b.bin_order = c.bo""",
+   ctes=[_ERR], cols=["~bin_order", "~bin", "~count", "pct"])
+
+ev("error_bias", """
+SELECT avg(CASE WHEN dir > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100 AS over_pct,
+  avg(CASE WHEN dir < 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100 AS under_pct,
+  avg(CASE WHEN dir = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100 AS exact_pct,
+  avg(dir) AS bias,
+  CASE WHEN abs(avg(dir)) > 0.2 THEN CASE WHEN avg(dir) > 0 THEN 'over-prediction' ELSE 'under-prediction' END
+       ELSE 'none' END AS bias_flag
+FROM err""", ctes=[_ERR], cols=["over_pct", "under_pct", "exact_pct", "bias", "~bias_flag"])
+
+ev("worst_decile", """
+SELECT threshold, n_cases, mean_pct_error, problem_drug, problem_hcp FROM
+  (SELECT quantile_cont(pe, 0.9) AS threshold FROM err) t,
+  (SELECT count(*) AS n_cases, avg(pe) AS mean_pct_error FROM err WHERE pe > (SELECT quantile_cont(pe, 0.9) FROM err)) b,
+  (SELECT Drug_name AS problem_drug FROM err WHERE pe > (SELECT quantile_cont(pe, 0.9) FROM err)
+     GROUP BY Drug_name ORDER BY count(*) DESC, Drug_name LIMIT 1) m,
+  (SELECT hcp_id AS problem_hcp FROM err WHERE pe > (SELECT quantile_cont(pe, 0.9) FROM err)
+     GROUP BY hcp_id ORDER BY sum(ae) DESC, hcp_id DESC LIMIT 1) h""",
+   ctes=[_ERR], cols=["threshold", "~n_cases", "mean_pct_error", "~problem_drug", "~problem_hcp"])
+
+ev("by_drug", f"""
+SELECT Drug_name, avg(abs({P} - {A})) AS MAE, avg(abs({P} - {A}) / greatest(abs({A}), CAST({EPS} AS DOUBLE))) * 100 AS MAPE
+FROM predictions WHERE Drug_name IS NOT NULL GROUP BY Drug_name""", cols=["~Drug_name", "MAE", "MAPE"])
+
+ev("by_company", f"""
+SELECT p.Company, {_R2.format(a='p.' + A, p='p.' + P, m='m.ma')} AS R2
+FROM predictions p JOIN (SELECT Company, avg({A}) AS ma FROM predictions GROUP BY Company) m ON p.Company = m.Company
+GROUP BY p.Company""", cols=["~Company", "R2"])
+
+ev("by_quartile", f"""
+SELECT Sales_Quartile, avg(abs({P} - {A}) / greatest(abs({A}), CAST({EPS} AS DOUBLE))) * 100 AS MAPE, count(*) AS n FROM (
+  SELECT *, CASE WHEN {A} <= q1 THEN 'Q1 (Low)' WHEN {A} <= q2 THEN 'Q2' WHEN {A} <= q3 THEN 'Q3'
+                 WHEN {A} IS NOT NULL THEN 'Q4 (High)' END AS Sales_Quartile
+  FROM predictions, (SELECT quantile_cont({A}, 0.25) AS q1, quantile_cont({A}, 0.5) AS q2,
+                            quantile_cont({A}, 0.75) AS q3 FROM predictions))
+WHERE Sales_Quartile IS NOT NULL GROUP BY Sales_Quartile""", cols=["~Sales_Quartile", "MAPE", "~n"])
+
+ev("stability", f"""
+SELECT cvp AS cv_predictions, cva AS cv_actual, cvp / nullif(cva, 0) AS ratio,
+  CASE WHEN cvp / nullif(cva, 0) > 1.2 THEN 'overfitting' WHEN cvp / nullif(cva, 0) < 0.8 THEN 'underfitting'
+       ELSE 'appropriate' END AS verdict
+FROM (SELECT stddev_samp({P}) / nullif(avg({P}), 0) AS cvp, stddev_samp({A}) / nullif(avg({A}), 0) AS cva FROM predictions)""",
+   cols=["cv_predictions", "cv_actual", "ratio", "~verdict"])
+
+ev("paired_t", f"""
+SELECT n, mean_diff, sd_diff, mean_diff / (sd_diff / sqrt(n)) AS t_stat FROM (
+  SELECT count({A} - {P}) AS n, avg({A} - {P}) AS mean_diff, stddev_samp({A} - {P}) AS sd_diff FROM predictions)""",
+   cols=["~n", "mean_diff", "sd_diff", "t_stat"])
+
+ev("signed_rank", f"""
+SELECT n, w_plus, w_minus, least(w_plus, w_minus) AS w_stat,
+  (least(w_plus, w_minus) - n * (n + 1) / 4.0) / sqrt(n * (n + 1) * (2 * n + 1) / 24.0 - tie / 48.0) AS z FROM (
+  SELECT sum(t) AS n, sum(npos * r) AS w_plus, sum((t - npos) * r) AS w_minus, sum(t * t * t - t) AS tie FROM (
+    SELECT ad, t, npos, sum(t) OVER (ORDER BY ad ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - t + (t + 1) / 2.0 AS r
+    FROM (SELECT abs(d) AS ad, count(*) AS t, count(*) FILTER (WHERE d > 0) AS npos
+          FROM (SELECT {A} - {P} AS d FROM predictions) WHERE d IS NOT NULL AND d <> 0 GROUP BY abs(d))))""",
+   cols=["~n", "w_plus", "w_minus", "w_stat", "z"])
+
+ev("heteroscedasticity", f"""
+SELECT corr({A}, ({P} - {A}) * ({P} - {A})) AS correlation,
+  abs(corr({A}, ({P} - {A}) * ({P} - {A}))) > 0.3 AS heteroscedastic FROM predictions""",
+   cols=["correlation", "~heteroscedastic"])
+
+ev("normality", f"""
+SELECT n, sk AS skew, ku AS excess_kurtosis, n / 6.0 * (sk * sk + ku * ku / 4.0) AS jb_stat,
+  exp(-(n / 6.0 * (sk * sk + ku * ku / 4.0)) / 2.0) AS p_value FROM (
+  SELECT count(r) AS n, avg(pow(r - m, 3)) / pow(avg(pow(r - m, 2)), 1.5) AS sk,
+    avg(pow(r - m, 4)) / pow(avg(pow(r - m, 2)), 2) - 3 AS ku
+  FROM (SELECT {P} - {A} AS r FROM predictions WHERE {P} - {A} IS NOT NULL),
+       (SELECT avg({P} - {A}) AS m FROM predictions))""",
+   cols=["~n", "skew", "excess_kurtosis", "jb_stat", "p_value"])
+
+_CONTRIB = [("Temporal Patterns", "temporal_multiplier", 1.0), ("Market Dynamics", "market_multiplier", 0.5),
+            ("HCP Specialization", "affinity", 0.5), ("Transaction Patterns", "transaction_multiplier", 0.33),
+            ("Rolling Trends", "rolling_multiplier", 0.33), ("Payer Mix", "payer_multiplier", 0.33)]
+ev("contributions", f"""
+SELECT component, impact, share, row_number() OVER (ORDER BY share DESC, component) AS rank,
+  sum(share) OVER (ORDER BY share DESC, component ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_share
+FROM (SELECT component, impact, impact / sum(impact) OVER () AS share FROM (
+  {' UNION ALL '.join(f"SELECT '{n}' AS component, avg(abs({D(w)} * ln({c}))) AS impact FROM predictions_c" for n, c, w in _CONTRIB)}))""",
+   cols=["~component", "impact", "share", "~rank", "cumulative_share"])
+
+ev("performance_report", f"""
+SELECT grade, assessment, summary_grade, missing_pct, section, item FROM (
+  SELECT *, CASE WHEN R2 > 0.8 AND MAPE < 10 THEN 'A' WHEN R2 > 0.6 AND MAPE < 20 THEN 'B'
+                 WHEN R2 > 0.4 AND MAPE < 30 THEN 'C' WHEN R2 > 0.2 AND MAPE < 50 THEN 'D' ELSE 'F' END AS grade,
+    CASE WHEN R2 > 0.8 AND MAPE < 10 THEN 'Excellent' WHEN R2 > 0.6 AND MAPE < 20 THEN 'Good'
+         WHEN R2 > 0.4 AND MAPE < 30 THEN 'Satisfactory' WHEN R2 > 0.2 AND MAPE < 50 THEN 'Needs Improvement'
+         ELSE 'Poor' END AS assessment,
+    CASE WHEN R2 > 0.8 AND MAPE < 10 THEN 'Excellent (A)' WHEN R2 > 0.6 AND MAPE < 20 THEN 'Good (B)'
+         WHEN R2 > 0.4 AND MAPE < 30 THEN 'Satisfactory (C)' ELSE 'Needs Improvement' END AS summary_grade
+  FROM ms, (SELECT avg(dir) AS bias FROM err),
+    (SELECT ({' + '.join(f'count(*) FILTER (WHERE "{c}" IS NULL)' for c in ['hcp_id', 'type_1_npi', 'prescriber_npi_nm', 'prescriber_npi_state_cd', 'Drug_generic_name', 'Drug_name', 'Company', 'Sales_from_db', 'Predicted_sales', 'Quantity_from_DB', 'Predicted_quantity', 'Combined_multiplier'])}) / (count(*) * 12) * 100 AS missing_pct FROM predictions)
+) x, LATERAL (
+  SELECT * FROM (VALUES
+    (1, 'strength', 'Strong predictive power', x.R2 > 0.6),
+    (2, 'strength', 'Good directional accuracy', x.Direction_Accuracy > 70),
+    (3, 'improvement', 'Reduce prediction error', x.MAPE > 20),
+    (4, 'improvement', CASE WHEN x.bias > 0 THEN 'Address systematic over-prediction bias' ELSE 'Address systematic under-prediction bias' END, abs(x.bias) > 0.2),
+    (5, 'risk', 'High: Large prediction errors', x.MAPE > 30),
+    (6, 'risk', 'Medium: missing data', x.missing_pct > 5),
+    (7, 'risk', 'Low: Model performance is within acceptable parameters', NOT (x.MAPE > 30 OR x.missing_pct > 5))
+  ) v(k, section, item, keep) WHERE keep
+)""", ctes=[_ERR, SQL["metrics_table"].split("WITH ", 1)[1].rsplit("ms AS (", 1)[0].rstrip(",") and
+            f"""ms AS (SELECT avg(abs({P} - {A})) / 1 AS MAE, avg(abs({P} - {A}) / greatest(abs({A}), CAST({EPS} AS DOUBLE))) * 100 AS MAPE,
+  {_R2.format(a=A, p=P, m='ma')} AS R2,
+  avg(CASE WHEN sign({P} - ma) = sign({A} - ma) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100 AS Direction_Accuracy
+FROM (SELECT * FROM predictions WHERE {FIN}) f, (SELECT avg({A}) AS ma FROM predictions WHERE {FIN}) m)"""],
+   cols=["~grade", "~assessment", "~summary_grade", "missing_pct", "~section", "~item"])

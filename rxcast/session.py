@@ -29,6 +29,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the only executor
+            b = b.config("spark.driver.memory", os.environ.get("RXCAST_DRIVER_MEMORY", "12g"))
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
     if shuffle_partitions:
