@@ -169,3 +169,36 @@ _eval("sensitivity", ev.sensitivity)
 @query("contributions")
 def q_contributions(spark, sf_dir):
     return rounded(ev.contributions(predictions(spark, sf_dir, keep_components=True)), 6)
+
+
+# ---------------------------------------------------------------- phase 5
+from rxcast.operators import profile as pf  # noqa: E402
+
+
+def _prof(name, fn, digits=6):
+    @query(name)
+    def _q(spark, sf_dir):
+        return rounded(fn(clean(spark, sf_dir)), digits)
+    _q.__name__ = f"q_{name}"
+    return _q
+
+
+_prof("basic_stats", pf.basic_stats, 4)
+_prof("top_categories", pf.top_categories, 9)
+_prof("correlations", pf.strong_correlations, 6)
+_prof("target_correlations", pf.target_correlations, 6)
+_prof("monthly_quarterly", pf.monthly_quarterly, 4)
+_prof("month_trend", pf.month_trend, 4)
+_prof("hcp_volume", pf.hcp_volume, 6)
+_prof("top_hcps", pf.top_hcps_by_paid, 2)
+_prof("hcp_drug_pivot", pf.hcp_drug_pivot, 2)
+_prof("hcp_hhi", pf.hcp_hhi, 9)
+_prof("drug_performance", pf.drug_performance, 4)
+_prof("switching_rate", pf.switching_rate, 6)
+_prof("payer_impact", pf.payer_impact, 4)
+_prof("feature_summary", pf.component_features, 6)
+_prof("top_rejection_reason", pf.top_rejection_reason, 6)
+_prof("rolling_30", pf.daily_rolling, 4)
+_prof("rolling_summary", pf.rolling_summary, 4)
+_prof("importance", pf.importance, 9)
+_prof("insights", pf.insights, 6)

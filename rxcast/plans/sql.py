@@ -281,3 +281,180 @@ SELECT grade, assessment, summary_grade, missing_pct, section, item FROM (
   avg(CASE WHEN sign({P} - ma) = sign({A} - ma) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) * 100 AS Direction_Accuracy
 FROM (SELECT * FROM predictions WHERE {FIN}) f, (SELECT avg({A}) AS ma FROM predictions WHERE {FIN}) m)"""],
    cols=["~grade", "~assessment", "~summary_grade", "missing_pct", "~section", "~item"])
+
+
+# ---------------------------------------------------------------- phase 5
+NUM = ["patient_age", "type_1_npi", "days_supply_val", "awp_unit_price_amt", "total_paid_amt",
+       "patient_to_pay_amt", "pharmacy_npi_nbr"]
+FEATS = ["patient_age", "days_supply_val", "total_paid_amt", "patient_to_pay_amt", "awp_unit_price_amt"]
+STATS = [("Mean", "avg({c})"), ("Std", "stddev_samp({c})"), ("Min", "min({c})"),
+         ("Q1", "quantile_cont({c}, 0.25)"), ("Median", "quantile_cont({c}, 0.5)"), ("Q3", "quantile_cont({c}, 0.75)"),
+         ("Max", "max({c})"), ("Skew", "skewness({c})"), ("Kurtosis", "kurtosis({c})")]
+MSUM = "CAST(CAST(sum(CAST({c} AS DECIMAL(38, 6))) AS VARCHAR) AS DOUBLE)"
+
+
+def msum(c: str) -> str:
+    return MSUM.format(c=c)
+
+
+ev("basic_stats", " UNION ALL ".join(
+    f"SELECT '{n}' AS statistic, " + ", ".join(f"{RND(e.format(c=f'CAST({c} AS DOUBLE)'), 4)} AS {c}" for c in FEATS)
+    + " FROM clean" for n, e in STATS))
+
+ev("top_categories", " UNION ALL ".join(f"""
+SELECT * FROM (SELECT '{f}' AS feature, {f} AS value, count(*) AS n,
+  {RND(f'count(*) / (SELECT count({f}) FROM clean)', 9)} AS share
+  FROM clean WHERE {f} IS NOT NULL GROUP BY {f} ORDER BY n DESC, value LIMIT 5)""" for f in
+    ["drug_brand_name", "payer_channel_name", "transaction_status"]))
+
+_PAIRS = [(a, b) for i, a in enumerate(NUM) for b in NUM[i + 1:]]
+_CORR = f"""corrs AS (SELECT * FROM (VALUES {', '.join(f"('{a}', '{b}')" for a, b in _PAIRS)}) v(feature_1, feature_2)
+  JOIN (SELECT {', '.join(f"CASE WHEN isnan(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))) THEN NULL ELSE corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) END AS c_{i}" for i, (a, b) in enumerate(_PAIRS))} FROM clean) x ON true)"""
+ev("correlations", f"""
+SELECT feature_1, feature_2, {RND('correlation', 6)} AS correlation,
+  row_number() OVER (ORDER BY abs(correlation) DESC, feature_1, feature_2) AS rank FROM (
+  SELECT feature_1, feature_2, CASE {' '.join(f"WHEN feature_1 = '{a}' AND feature_2 = '{b}' THEN c_{i}" for i, (a, b) in enumerate(_PAIRS))} END AS correlation
+  FROM corrs) WHERE abs(correlation) > 0.5""", ctes=[_CORR])
+
+ev("target_correlations", f"""
+SELECT feature, {RND('correlation', 6)} AS correlation FROM (
+  {' UNION ALL '.join(f"SELECT '{c}' AS feature, CASE WHEN isnan(corr(CAST({c} AS DOUBLE), total_paid_amt)) THEN NULL ELSE corr(CAST({c} AS DOUBLE), total_paid_amt) END AS correlation FROM clean" for c in NUM)})
+ORDER BY correlation DESC NULLS LAST, feature LIMIT 10""")
+
+ev("monthly_quarterly", f"""
+SELECT level, period, {RND('mean', 4)} AS mean, CAST(round(CAST(s AS DECIMAL(38, 6)), 2) AS DOUBLE) AS sum, count FROM (
+  SELECT 'month' AS level, CAST(month(service_date_dd) AS INTEGER) AS period, avg(total_paid_amt) AS mean,
+    sum(CAST(total_paid_amt AS DECIMAL(38, 6))) AS s, count(total_paid_amt) AS count
+  FROM clean WHERE service_date_dd IS NOT NULL GROUP BY 2
+  UNION ALL
+  SELECT 'quarter', CAST(quarter(service_date_dd) AS INTEGER), avg(total_paid_amt), sum(CAST(total_paid_amt AS DECIMAL(38, 6))),
+    count(total_paid_amt)
+  FROM clean WHERE service_date_dd IS NOT NULL GROUP BY 2)""")
+
+ev("month_trend", f"""
+SELECT {RND('trend_coef', 4)} AS trend_coef, n_months, CASE WHEN trend_coef > 0 THEN 'Increasing' ELSE 'Decreasing' END AS direction
+FROM (SELECT regr_slope(mm, i) AS trend_coef, count(*) AS n_months FROM (
+  SELECT mm, CAST(row_number() OVER (ORDER BY m) - 1 AS DOUBLE) AS i FROM (
+    SELECT month(service_date_dd) AS m, avg(total_paid_amt) AS mm FROM clean WHERE service_date_dd IS NOT NULL GROUP BY 1)))
+WHERE n_months > 1""")
+
+ev("hcp_volume", f"""
+SELECT count(n) AS count, {RND('avg(n)', 6)} AS mean, {RND('stddev_samp(n)', 6)} AS std, {RND('min(n)', 6)} AS min,
+  {RND('quantile_cont(n, 0.25)', 6)} AS q25, {RND('quantile_cont(n, 0.5)', 6)} AS q50,
+  {RND('quantile_cont(n, 0.75)', 6)} AS q75, {RND('max(n)', 6)} AS max
+FROM (SELECT hcp_id, CAST(count(*) AS DOUBLE) AS n FROM clean GROUP BY hcp_id)""")
+
+ev("top_hcps", f"""
+SELECT hcp_id, {RND('total_paid', 2)} AS total_paid FROM (SELECT hcp_id, {msum('total_paid_amt')} AS total_paid FROM clean GROUP BY hcp_id)
+ORDER BY total_paid DESC, hcp_id LIMIT 10""")
+
+ev("hcp_drug_pivot", f"""
+PIVOT (SELECT hcp_id, drug_brand_name, CAST(round(CAST(CAST(sum(CAST(total_paid_amt AS DECIMAL(38, 6))) AS VARCHAR) AS DECIMAL(38, 6)), 2) AS DOUBLE) AS s
+       FROM clean WHERE drug_brand_name IS NOT NULL GROUP BY ALL)
+ON drug_brand_name USING first(s) GROUP BY hcp_id""")
+
+ev("hcp_hhi", f"""
+SELECT hcp_id, {RND('sum((s / t) * (s / t))', 9)} AS HHI FROM (
+  SELECT p.hcp_id, s, t FROM (SELECT hcp_id, drug_brand_name, sum(total_paid_amt) AS s FROM clean
+                              WHERE drug_brand_name IS NOT NULL GROUP BY ALL) p
+  JOIN (SELECT hcp_id, sum(s) AS t FROM (SELECT hcp_id, drug_brand_name, sum(total_paid_amt) AS s FROM clean
+                                         WHERE drug_brand_name IS NOT NULL GROUP BY ALL) GROUP BY hcp_id) q ON p.hcp_id = q.hcp_id
+  WHERE t > 0) GROUP BY hcp_id""")
+
+ev("drug_performance", f"""
+SELECT drug_brand_name AS Drug, {RND(msum('total_paid_amt'), 2)} AS Total_Sales, {RND('avg(total_paid_amt)', 4)} AS Avg_Sale,
+  count(*) AS Volume, count(DISTINCT prescriber_npi_nm) AS Unique_HCPs, count(DISTINCT patient_id) AS Unique_Patients,
+  {RND('avg(days_supply_val)', 4)} AS Avg_Days_Supply, {RND('count(*) / (SELECT count(*) FROM clean) * 100', 4)} AS Market_Share
+FROM clean WHERE drug_brand_name IS NOT NULL GROUP BY drug_brand_name""")
+
+ev("switching_rate", f"""
+SELECT {RND('avg(CASE WHEN k > 1 THEN 1.0 ELSE 0.0 END) * 100', 6)} AS switch_rate, count(*) AS patients
+FROM (SELECT patient_id, count(DISTINCT drug_brand_name) AS k FROM clean WHERE patient_id IS NOT NULL GROUP BY patient_id)""")
+
+ev("payer_impact", f"""
+SELECT payer_channel_name, count(*) AS claims, {RND('count(*) / (SELECT count(payer_channel_name) FROM clean) * 100', 4)} AS share_pct,
+  {RND('avg(total_paid_amt)', 4)} AS mean_paid, {RND('quantile_cont(total_paid_amt, 0.5)', 4)} AS median_paid,
+  {RND(msum('total_paid_amt'), 2)} AS sum_paid,
+  {RND('avg(CASE WHEN reject_reason_1_cd IS NOT NULL THEN 1.0 ELSE 0.0 END) * 100', 4)} AS rejection_rate,
+  {RND('avg(patient_to_pay_amt)', 4)} AS copay_mean, {RND('quantile_cont(patient_to_pay_amt, 0.5)', 4)} AS copay_median
+FROM clean WHERE payer_channel_name IS NOT NULL GROUP BY payer_channel_name""")
+
+_CAL = "cal AS (SELECT *, month(service_date_dd) AS month, quarter(service_date_dd) AS quarter, year(service_date_dd) AS year, isodow(service_date_dd) - 1 AS day_of_week FROM clean)"
+
+
+def _cv_means(key: str) -> str:
+    return f"(SELECT stddev_samp(m) / avg(m) FROM (SELECT {key}, avg(total_paid_amt) AS m FROM cal WHERE {key} IS NOT NULL GROUP BY {key}))"
+
+
+def _top(col: str, src: str = "cal", order: str = "count(*)") -> str:
+    return f"(SELECT {col} FROM {src} WHERE {col} IS NOT NULL GROUP BY {col} ORDER BY {order} DESC, {col} LIMIT 1)"
+
+
+_FS_ROWS = [
+    ("temporal_demographic", "age_distribution_impact", "1 - (SELECT stddev_samp(patient_age) / avg(patient_age) FROM cal)", "NULL"),
+    ("temporal_demographic", "gender_balance", "(SELECT 1 - abs(max(k) / sum(k) - 0.5) * 2 FROM (SELECT patient_gender, count(*) AS k FROM cal WHERE patient_gender IS NOT NULL GROUP BY 1))", "NULL"),
+    ("temporal_demographic", "seasonal_patterns", f"coalesce({_cv_means('month')}, 0.1)", "NULL"),
+    ("temporal_demographic", "day_of_week_effect", f"coalesce({_cv_means('day_of_week')}, 0.05)", "NULL"),
+    ("market_dynamics", "market_hhi", "(SELECT sum(k * k) / (sum(k) * sum(k)) FROM (SELECT drug_brand_name, count(*) AS k FROM cal WHERE drug_brand_name IS NOT NULL GROUP BY 1))", "NULL"),
+    ("market_dynamics", "market_leader_share_pct", "(SELECT max(k) / sum(k) * 100 FROM (SELECT drug_brand_name, count(*) AS k FROM cal WHERE drug_brand_name IS NOT NULL GROUP BY 1))", "NULL"),
+    ("market_dynamics", "yoy_growth_pct", f"(SELECT CASE WHEN count(*) > 1 THEN (arg_max(s, year) / arg_min(s, year) - 1) * 100 END FROM (SELECT year, {msum('total_paid_amt')} AS s FROM cal WHERE year IS NOT NULL GROUP BY year))", "NULL"),
+    ("hcp_specialization", "top_service_line", "(SELECT max(k) FROM (SELECT clinical_service_line, count(*) AS k FROM cal WHERE clinical_service_line IS NOT NULL GROUP BY 1))", _top("clinical_service_line")),
+    ("hcp_specialization", "service_line_diversity", "(SELECT count(DISTINCT clinical_service_line) FROM cal)", "NULL"),
+    ("hcp_specialization", "avg_claims_per_hcp", "(SELECT avg(k) FROM (SELECT prescriber_npi_nm, count(*) AS k FROM cal WHERE prescriber_npi_nm IS NOT NULL GROUP BY 1))", "NULL"),
+    ("hcp_specialization", "top_hcp_share_pct", "(SELECT max(k) FROM (SELECT prescriber_npi_nm, count(*) AS k FROM cal WHERE prescriber_npi_nm IS NOT NULL GROUP BY 1)) / (SELECT count(*) FROM cal) * 100", "NULL"),
+    ("transaction", "approval_rate_pct", "(SELECT count(*) FILTER (WHERE transaction_status = 'Dispensed') / count(transaction_status) FROM cal) * 100", "NULL"),
+    ("transaction", "overall_rejection_rate_pct", "(SELECT avg(CASE WHEN reject_reason_1_cd IS NOT NULL THEN 1.0 ELSE 0.0 END) FROM cal) * 100", "NULL"),
+    ("payer", "payer_diversity_score", "(SELECT ln(sum(k)) - sum(k * ln(k)) / sum(k) FROM (SELECT payer_channel_name, count(*) AS k FROM cal WHERE payer_channel_name IS NOT NULL GROUP BY 1))", "NULL"),
+    ("payer", "top_payer_share_pct", f"(SELECT max(s) FROM (SELECT payer_channel_name, {msum('total_paid_amt')} AS s FROM cal WHERE payer_channel_name IS NOT NULL GROUP BY 1)) / (SELECT {msum('total_paid_amt')} FROM cal) * 100",
+     f"(SELECT payer_channel_name FROM (SELECT payer_channel_name, {msum('total_paid_amt')} AS s FROM cal WHERE payer_channel_name IS NOT NULL GROUP BY 1) ORDER BY s DESC, payer_channel_name LIMIT 1)"),
+]
+ev("feature_summary", " UNION ALL ".join(
+    f"SELECT '{a}' AS component, '{b}' AS feature, {RND(f'CAST({v} AS DOUBLE)', 6)} AS value, CAST({t} AS VARCHAR) AS text"
+    for a, b, v, t in _FS_ROWS), ctes=[_CAL])
+
+ev("top_rejection_reason", "SELECT 'Unknown' AS reason, CAST(NULL AS BIGINT) AS count")
+
+ev("rolling_30", f"""
+SELECT service_date, CAST(round(s, 2) AS DOUBLE) AS daily_sales,
+  {RND("CAST(CAST(sum(s) OVER (ORDER BY service_date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS VARCHAR) AS DOUBLE) / count(*) OVER (ORDER BY service_date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)", 4)} AS rolling_avg_30,
+  row_number() OVER (ORDER BY service_date) - 1 AS day_idx
+FROM (SELECT service_date_dd AS service_date, sum(CAST(total_paid_amt AS DECIMAL(38, 6))) AS s FROM clean
+      WHERE service_date_dd IS NOT NULL GROUP BY 1)""")
+
+ev("rolling_summary", f"""
+SELECT n_days, CASE WHEN l > f THEN 'Increasing' ELSE 'Decreasing' END AS trend_30d, {RND('(cur / l - 1) * 100', 4)} AS current_vs_30d_avg_pct
+FROM (SELECT count(*) AS n_days, arg_min(r, i) AS f, arg_max(r, i) AS l, arg_max(d, i) AS cur FROM (
+  SELECT CAST(round(s, 2) AS DOUBLE) AS d,
+    CAST(CAST(sum(s) OVER (ORDER BY dt ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS VARCHAR) AS DOUBLE)
+      / count(*) OVER (ORDER BY dt ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS r,
+    row_number() OVER (ORDER BY dt) - 1 AS i
+  FROM (SELECT service_date_dd AS dt, sum(CAST(total_paid_amt AS DECIMAL(38, 6))) AS s FROM clean
+        WHERE service_date_dd IS NOT NULL GROUP BY 1)))
+WHERE n_days > 30""")
+
+
+def _sd_means(key: str, agg: str = "avg") -> str:
+    return f"coalesce((SELECT stddev_samp(m) FROM (SELECT {key}, {agg}(total_paid_amt) AS m FROM cal WHERE {key} IS NOT NULL GROUP BY {key})) / {{den}}, 0)"
+
+
+_IMP = [
+    ("Patient Demographics", f"0.5 + coalesce(abs(corr(CAST(patient_age AS DOUBLE), total_paid_amt)), 0) * 0.3 + {_sd_means('patient_gender').format(den='avg(total_paid_amt)')} * 0.2"),
+    ("Temporal Patterns", f"0.4 + {_sd_means('month').format(den='avg(total_paid_amt)')} * 0.3 + {_sd_means('quarter').format(den='avg(total_paid_amt)')} * 0.3"),
+    ("Drug Characteristics", f"0.6 + {_sd_means('drug_brand_name').format(den='avg(total_paid_amt)')} * 0.4"),
+    ("HCP Behavior", f"0.7 + {_sd_means('prescriber_npi_nm', 'sum').format(den=msum('total_paid_amt'))} * 0.3"),
+    ("Payer Dynamics", f"0.5 + {_sd_means('payer_channel_name').format(den='avg(total_paid_amt)')} * 0.5"),
+    ("Transaction Patterns", "0.3 + avg(CASE WHEN transaction_status = 'Dispensed' THEN 0.0 ELSE 1.0 END) * 0.4 + coalesce(abs(corr(CAST(days_supply_val AS DOUBLE), total_paid_amt)), 0) * 0.3"),
+]
+_IMP_CTE = "imp AS (" + " UNION ALL ".join(
+    f"SELECT '{n}' AS category, least(1.0, CAST({e} AS DOUBLE)) AS score FROM cal" for n, e in _IMP) + ")"
+ev("importance", f"""
+SELECT category, {RND('score', 9)} AS score, row_number() OVER (ORDER BY score DESC, category) AS rank FROM imp""",
+   ctes=[_CAL, _IMP_CTE])
+
+ev("insights", f"""
+SELECT t.category AS top_category, {RND('t.score', 6)} AS top_score, {_top('drug_brand_name', 'clean')} AS market_leader,
+  {RND("(SELECT max(k) / sum(k) * 100 FROM (SELECT drug_brand_name, count(*) AS k FROM clean WHERE drug_brand_name IS NOT NULL GROUP BY 1))", 6)} AS leader_share_pct,
+  {RND(f"(SELECT sum(s) FROM (SELECT prescriber_npi_nm, {msum('total_paid_amt')} AS s FROM clean WHERE prescriber_npi_nm IS NOT NULL GROUP BY 1 ORDER BY s DESC, prescriber_npi_nm LIMIT 10)) / (SELECT {msum('total_paid_amt')} FROM clean) * 100", 6)} AS top10_hcp_share_pct,
+  (SELECT score FROM imp WHERE category = 'Temporal Patterns') > 0.6 AS strong_seasonality,
+  (SELECT score FROM imp WHERE category = 'Payer Dynamics') > 0.7 AS payer_mix_matters
+FROM (SELECT * FROM imp ORDER BY score DESC, category LIMIT 1) t""", ctes=[_CAL, _IMP_CTE])
