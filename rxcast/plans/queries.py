@@ -202,3 +202,67 @@ _prof("rolling_30", pf.daily_rolling, 4)
 _prof("rolling_summary", pf.rolling_summary, 4)
 _prof("importance", pf.importance, 9)
 _prof("insights", pf.insights, 6)
+
+
+# ---------------------------------------------------------------- phase 6
+from rxcast.operators import report as rp  # noqa: E402
+
+
+@query("data_overview")
+def q_data_overview(spark, sf_dir):
+    return rp.data_overview(clean(spark, sf_dir))
+
+
+_eval("prediction_summary", rp.prediction_summary, 4)
+_eval("drug_insight", rp.drug_insight, 4)
+_eval("top_hcps_predicted", rp.top_hcps_predicted, 2)
+_eval("top_predictions", rp.top_predictions, 3)
+
+
+@query("sample_hcps")
+def q_sample_hcps(spark, sf_dir):
+    return rp.sample_hcps(clean(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- phase 7
+from rxcast.operators import external as ex  # noqa: E402
+
+
+def claim_drugs(spark, sf_dir) -> DataFrame:
+    return (clean(spark, sf_dir).select(F.col("drug_brand_name").alias("drug_name"))
+            .filter(F.col("drug_name").isNotNull()).distinct())
+
+
+@query("market_position")
+def q_market_position(spark, sf_dir):
+    return rounded(ex.market_position(claim_drugs(spark, sf_dir)), 6)
+
+
+@query("drug_profile")
+def q_drug_profile(spark, sf_dir):
+    return rounded(ex.drug_profile(claim_drugs(spark, sf_dir)), 6)
+
+
+@query("payer_landscape")
+def q_payer_landscape(spark, sf_dir):
+    payers = clean(spark, sf_dir).select(F.col("payer_channel_name").alias("payer"))
+    return rounded(ex.payer_landscape(payers), 6)
+
+
+@query("html_rows")
+def q_html_rows(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return ex.html_rows(pages, row_tag="ul", cell_tag="li")
+
+
+@query("page_cache_keys")
+def q_page_cache_keys(spark, sf_dir):
+    return ex.page_cache_keys(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+# ---------------------------------------------------------------- learned (rows-only)
+@query("mult_temporal")
+def q_mult_temporal(spark, sf_dir):
+    from rxcast.operators.clean import base_features
+    c = clean(spark, sf_dir)
+    return mu.temporal_multiplier(fe.hcp_temporal(base_features(c)), fe.target_multiplier(c))

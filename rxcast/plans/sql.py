@@ -458,3 +458,106 @@ SELECT t.category AS top_category, {RND('t.score', 6)} AS top_score, {_top('drug
   (SELECT score FROM imp WHERE category = 'Temporal Patterns') > 0.6 AS strong_seasonality,
   (SELECT score FROM imp WHERE category = 'Payer Dynamics') > 0.7 AS payer_mix_matters
 FROM (SELECT * FROM imp ORDER BY score DESC, category LIMIT 1) t""", ctes=[_CAL, _IMP_CTE])
+
+
+# ---------------------------------------------------------------- phase 6
+sql("data_overview", f"""
+SELECT count(*) AS claims, count(DISTINCT hcp_id) AS hcps, count(DISTINCT drug_brand_name) AS drugs,
+  count(DISTINCT patient_id) AS patients, {RND(msum('total_paid_amt'), 2)} AS total_sales FROM clean""")
+
+ev("prediction_summary", f"""
+SELECT {RND(msum(P), 2)} AS total_predicted, {RND(msum(A), 2)} AS total_db, count(*) AS predictions,
+  count(DISTINCT hcp_id) AS hcps, count(DISTINCT Drug_name) AS drugs, {RND(f'avg({P})', 4)} AS mean_predicted,
+  {RND(f'median({P})', 4)} AS median_predicted, {RND('avg(Combined_multiplier)', 4)} AS mean_multiplier,
+  {RND(f"({RND(msum(P), 2)} / {RND(msum(A), 2)} - 1) * 100", 4)} AS uplift_pct
+FROM predictions""")
+
+ev("drug_insight", f"""
+SELECT Drug_name, ps AS predicted_sales, hs AS historical_sales, pairs,
+  {RND('CASE WHEN hs > 0 THEN (ps / hs - 1) * 100 ELSE 0.0 END', 4)} AS uplift_pct
+FROM (SELECT Drug_name, {RND(msum(P), 2)} AS ps, {RND(msum(A), 2)} AS hs, count(hcp_id) AS pairs
+      FROM predictions GROUP BY Drug_name)""")
+
+ev("top_hcps_predicted", f"""
+SELECT hcp_id, predicted_sales, row_number() OVER (ORDER BY predicted_sales DESC, hcp_id) AS rank FROM (
+  SELECT hcp_id, {RND(msum(P), 2)} AS predicted_sales FROM predictions GROUP BY hcp_id
+  ORDER BY predicted_sales DESC, hcp_id LIMIT 10)""")
+
+ev("top_predictions", f"""
+SELECT hcp_id, prescriber_npi_nm, prescriber_npi_state_cd, Drug_name, {P}, {A}, Combined_multiplier
+FROM predictions ORDER BY {P} DESC, hcp_id, Drug_generic_name, Drug_name LIMIT 5""")
+
+sql("sample_hcps", "SELECT DISTINCT hcp_id FROM clean ORDER BY hcp_id LIMIT 10")
+
+# ---------------------------------------------------------------- phase 7
+_DRUGS = "drugs AS (SELECT DISTINCT drug_brand_name AS drug_name FROM clean WHERE drug_brand_name IS NOT NULL)"
+
+
+def _lk(col: str, rows, default, dbl: bool = True) -> str:
+    lit = (lambda v: D(float(v))) if dbl else (lambda v: f"'{v}'" if isinstance(v, str) else str(v))
+    return "CASE " + " ".join(f"WHEN {col} = '{k}' THEN {lit(v)}" for k, v in rows) + f" ELSE {lit(default)} END"
+
+
+_BUCKET = "CASE WHEN drug_name IN ('Keytruda', 'Opdivo', 'Libtayo') THEN drug_name ELSE 'Others' END"
+_POS_COLS = (f"{RND(_lk(_BUCKET, [(r[0], r[1]) for r in dims.DRUG_SHARE], 0.0), 6)} AS market_share, "
+             f"{RND(_lk(_BUCKET, [(r[0], r[4]) for r in dims.DRUG_SHARE], 0.0), 6)} AS growth_rate, "
+             f"CAST({_lk(_BUCKET, dims.MARKET_RANK, dims.MARKET_RANK_DEFAULT, False)} AS INTEGER) AS market_rank, "
+             f"{_lk('drug_name', dims.COMPETITIVE_ADVANTAGE, dims.COMPETITIVE_ADVANTAGE_DEFAULT, False)} AS competitive_advantage")
+
+ev("market_position", f"SELECT drug_name, {_POS_COLS} FROM drugs", ctes=[_DRUGS])
+
+_EFF_COLS = ", ".join(
+    f"{RND(_lk('drug_name', [(d, m[i]) for d, m, _a in dims.EFFICACY], dims.EFFICACY_DEFAULT[0][i]), 6)} AS {f}"
+    for i, f in enumerate(dims.EFF_FIELDS)) + ", " + ", ".join(
+    f"{RND(_lk('drug_name', [(d, a[i]) for d, _m, a in dims.EFFICACY], dims.EFFICACY_DEFAULT[1][i]), 6)} AS {f}"
+    for i, f in enumerate(dims.AE_FIELDS))
+_PRICE = "pricing AS (SELECT * FROM (VALUES " + ", ".join(
+    f"('{r[0]}', {r[1]}, {r[2]}, {r[3]}, {r[4]}, {r[5]!r})" for r in dims.PRICING) + \
+    ") v(drug_name, list_price_per_dose, avg_selling_price, medicare_reimbursement, commercial_reimbursement, ipi))"
+ev("drug_profile", f"""
+SELECT d.drug_name, {_POS_COLS.replace('drug_name', 'd.drug_name')},
+  list_filter(['Keytruda', 'Opdivo', 'Libtayo'], lambda x: x <> d.drug_name) AS main_competitors,
+  {_EFF_COLS.replace('drug_name', 'd.drug_name')},
+  CAST(p.list_price_per_dose AS INTEGER) AS list_price, CAST(p.avg_selling_price AS INTEGER) AS avg_selling_price,
+  CASE WHEN p.list_price_per_dose IS NULL THEN NULL WHEN p.list_price_per_dose < 10000 THEN 'Highly competitive'
+       WHEN p.list_price_per_dose < 11000 THEN 'Competitive' ELSE 'Premium pricing' END AS price_competitiveness,
+  CASE WHEN p.list_price_per_dose IS NULL THEN NULL
+       WHEN ((p.medicare_reimbursement + p.commercial_reimbursement) / 2) / p.list_price_per_dose > 0.8 THEN 'Favorable'
+       WHEN ((p.medicare_reimbursement + p.commercial_reimbursement) / 2) / p.list_price_per_dose > 0.7 THEN 'Moderate'
+       ELSE 'Challenging' END AS reimbursement_favorability
+FROM drugs d LEFT JOIN pricing p ON d.drug_name = p.drug_name""", ctes=[_DRUGS, _PRICE])
+
+_POL = dims.PAYER_POLICY
+ev("payer_landscape", f"""
+SELECT payer, pattern AS matched_policy, covered AS immunotherapy_covered, step AS step_therapy_required,
+  coalesce(restr, CAST([] AS VARCHAR[])) AS coverage_restrictions,
+  {', '.join(f"{RND(f'r_{b.lower()}', 6)} AS reimbursement_{b.lower()}" for b in dims.KNOWN_BRANDS)},
+  {', '.join(f"t_{b.lower()} AS tier_{b.lower()}" for b in dims.KNOWN_BRANDS)},
+  'synthetic' AS data_source
+FROM (SELECT DISTINCT payer_channel_name AS payer FROM clean WHERE payer_channel_name IS NOT NULL) p
+LEFT JOIN (SELECT * FROM (VALUES {', '.join(
+    f"('{pat}', {i}, {str(cov).lower()}, {str(step).lower()}, {list(restr)!r}, "
+    + ", ".join(D(float(rates[b])) if b in rates else "NULL::DOUBLE" for b in dims.KNOWN_BRANDS) + ", "
+    + ", ".join(f"'{tier[b]}'" if b in tier else "NULL::VARCHAR" for b in dims.KNOWN_BRANDS) + ")"
+    for i, (pat, cov, step, restr, rates, tier) in enumerate(_POL))})
+  v(pattern, priority, covered, step, restr, {', '.join(f'r_{b.lower()}' for b in dims.KNOWN_BRANDS)},
+    {', '.join(f't_{b.lower()}' for b in dims.KNOWN_BRANDS)})) pol
+  ON contains(p.payer, pol.pattern)
+QUALIFY row_number() OVER (PARTITION BY payer ORDER BY priority NULLS LAST) = 1""")
+
+_TXT = "trim(" + "".join("replace(" for _ in range(6)) + "regexp_replace({x}, '<[^>]*>', '', 'g')" + "".join(
+    f", '{a}', '{b}')" for a, b in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "),
+                                    ("&amp;", "&")]) + ")"
+ev("html_rows", f"""
+SELECT page_id, row_idx, {_TXT.format(x='cells[1]')} AS filing_type, {_TXT.format(x='cells[4]')} AS filing_date FROM (
+  SELECT page_id, i - 1 AS row_idx, regexp_extract_all(r, '(?is)<li\\b[^>]*>(.*?)</li>', 1) AS cells FROM (
+    SELECT page_id, unnest(rs) AS r, generate_subscripts(rs, 1) AS i FROM (
+      SELECT page_id, list_slice(regexp_extract_all(html, '(?is)<ul\\b[^>]*>(.*?)</ul>', 1), 1, 5) AS rs FROM pages)))
+WHERE len(cells) >= 4""")
+
+ev("page_cache_keys", """
+SELECT page_id, base AS base_url,
+  md5(base || CASE WHEN q = '' THEN '' ELSE '[' || array_to_string(list_transform(
+    list_sort(list_transform(string_split(q, '&'), lambda x: {'k': split_part(x, '=', 1), 'v': regexp_extract(x, '^[^=]*=(.*)$', 1)})),
+    lambda e: '(''' || e.k || ''', ''' || e.v || ''')'), ', ') || ']' END) AS cache_key
+FROM (SELECT page_id, regexp_extract(url, '^([^?#]*)', 1) AS base, regexp_extract(url, '\\?([^#]*)', 1) AS q FROM pages)""")
