@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from rxcast.functions.exprs import finite_or
 from rxcast.functions.pvalues import normal_pvalue, t_pvalue
+from rxcast.functions.quantiles import quantile, quantile_exact, quantiles
 from rxcast.operators.ordered import positions
 
 A, P = "Sales_from_db", "Predicted_sales"
@@ -88,11 +89,13 @@ def metrics_table(pred: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- EV4-EV6
-def multiplier_stats(pred: DataFrame) -> DataFrame:
+def multiplier_stats(pred: DataFrame, exact: bool | None = None) -> DataFrame:
+    exact = quantile_exact(pred) if exact is None else exact
     m = F.col("Combined_multiplier")
     q = pred.agg(F.avg(m).alias("mean"), F.stddev_samp(m).alias("std"), F.min(m).alias("min"),
-                 F.percentile(m, 0.25).alias("q25"), F.median(m).alias("median"),
-                 F.percentile(m, 0.75).alias("q75"), F.max(m).alias("max"))
+                 quantiles(m, [.25, .5, .75], exact).alias("_q"), F.max(m).alias("max"))
+    q = q.select("mean", "std", "min", F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("median"),
+                 F.col("_q")[2].alias("q75"), "max")
     iqr = F.col("q75") - F.col("q25")
     out = attach(pred.select("Combined_multiplier"), q).groupBy(*q.columns).agg(
         F.count_if((m < F.col("q25") - 1.5 * iqr) | (m > F.col("q75") + 1.5 * iqr)).alias("outliers"),
@@ -108,10 +111,11 @@ def improvement(pred: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- EV7-EV10
-def error_distribution(pred: DataFrame) -> DataFrame:
+def error_distribution(pred: DataFrame, exact: bool | None = None) -> DataFrame:
+    exact = quantile_exact(pred) if exact is None else exact
     e = error_columns(pred)
     return e.agg(F.avg("Absolute_Error").alias("mean_abs_error"),
-                 F.median("Absolute_Error").alias("median_abs_error"),
+                 quantile("Absolute_Error", 0.5, exact).alias("median_abs_error"),
                  F.max("Absolute_Error").alias("max_abs_error"),
                  F.avg("Percentage_Error").alias("mean_pct_error"))
 
@@ -151,10 +155,11 @@ def error_bias(pred: DataFrame) -> DataFrame:
                                               .otherwise("under-prediction")).otherwise("none"))
 
 
-def worst_decile(pred: DataFrame) -> DataFrame:
+def worst_decile(pred: DataFrame, exact: bool | None = None) -> DataFrame:
     """EV10 / FLT4: cases above the 90th percentile of percentage error."""
+    exact = quantile_exact(pred) if exact is None else exact
     e = error_columns(pred)
-    thr = e.agg(F.percentile("Percentage_Error", 0.9).alias("threshold"))
+    thr = e.agg(quantile("Percentage_Error", 0.9, exact).alias("threshold"))
     hi = attach(e, thr).filter(F.col("Percentage_Error") > F.col("threshold"))
     by_hcp = hi.groupBy("hcp_id").agg(F.sum("Absolute_Error").alias("_ae"))
     top_hcp = by_hcp.agg(F.max_by("hcp_id", F.struct(F.col("_ae"), F.col("hcp_id"))).alias("problem_hcp"))
@@ -187,8 +192,10 @@ def quartile_expr(x: Column) -> Column:
              .when(x <= F.col("_q3"), QUARTILE_LABELS[2]).when(x.isNotNull(), QUARTILE_LABELS[3]))
 
 
-def by_quartile(pred: DataFrame) -> DataFrame:
-    edges = pred.agg(*[F.percentile(A, q).alias(f"_q{i}") for i, q in ((1, .25), (2, .5), (3, .75))])
+def by_quartile(pred: DataFrame, exact: bool | None = None) -> DataFrame:
+    exact = quantile_exact(pred) if exact is None else exact
+    edges = pred.agg(quantiles(A, [.25, .5, .75], exact).alias("_q")).select(
+        *[F.col("_q")[i - 1].alias(f"_q{i}") for i in (1, 2, 3)])
     x = attach(pred, edges).withColumn("Sales_Quartile", quartile_expr(F.col(A)))
     e = F.abs(F.col(P) - F.col(A))
     return (x.filter(F.col("Sales_Quartile").isNotNull()).groupBy("Sales_Quartile")

@@ -173,19 +173,28 @@ def hcp_transaction(base: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------- WIN1/2/4, AGG12-AGG15
-def claim_rolling(clean: DataFrame, windows=(7, 30, 90)) -> DataFrame:
+def claim_rolling(clean: DataFrame, windows=(7, 30, 90), keep_text: bool = False) -> DataFrame:
     """Per-claim rolling sums/means over the last n rows of the same HCP x
     drug in date order (WIN1, WIN2) plus the claim's position in its HCP
-    (WIN4). Null-drug rows get null rolling values (pandas transform)."""
+    (WIN4). Null-drug rows get null rolling values (pandas transform).
+
+    Positions inside the HCP are assigned first; after that only fixed-width
+    columns travel through the lag aggregation. ``keep_text`` joins the
+    claim's descriptive columns back on the unique (hcp_id, row_idx)."""
     cols = ["hcp_id", "drug_brand_name", "service_date_dd", "claim_number", PAID,
             "patient_id", "days_supply_val"]
     narrow = clean.select(*cols)
     bucket = day_bucket("service_date_dd")
-    r = rolling_rows(narrow, ["hcp_id", "drug_brand_name"], order_cols(), bucket, PAID, list(windows))
+    h = positions(narrow, ["hcp_id"], order_cols(), bucket, pos_col="row_idx")
+    r = rolling_rows(h, ["hcp_id", "drug_brand_name"], order_cols(), bucket, PAID, list(windows),
+                     carry=["row_idx", PAID])
     nulls = {c: F.when(F.col("drug_brand_name").isNotNull(), F.col(c))
              for n in windows for c in (f"rolling_sum_{n}", f"rolling_avg_{n}")}
-    r = r.withColumns(nulls).drop("_pos_g")
-    return positions(r, ["hcp_id"], order_cols(), bucket, pos_col="row_idx")
+    r = r.withColumns(nulls)
+    if keep_text:
+        r = r.join(h.select("hcp_id", "row_idx", "service_date_dd", "claim_number", "patient_id",
+                            "days_supply_val"), ["hcp_id", "row_idx"])
+    return r
 
 
 def hcp_rolling(clean: DataFrame) -> DataFrame:

@@ -39,6 +39,9 @@ def positions(df: DataFrame, group: list[str], order: list[Column], bucket: Colu
     ``order``) and, per measure, its inclusive running sum ``prefix+name``.
 
     ``bucket`` must be non-decreasing along ``order`` inside each group.
+    The per-bucket totals are a map-side-combined aggregate of the input
+    rows, so the window runs once and its hash partitioning on
+    ``(group, bucket)`` also serves the join with the offsets.
     """
     measures = measures or {}
     b = df.withColumn("_bkt", bucket)
@@ -48,8 +51,8 @@ def positions(df: DataFrame, group: list[str], order: list[Column], bucket: Colu
     local = local.withColumns({f"_lc_{m}": F.sum(c).over(run) for m, c in measures.items()})
 
     # Totals per (group, bucket) -> exclusive offsets in bucket order.
-    tot = local.groupBy(*group, "_bkt").agg(
-        F.max("_lrn").alias("_bn"), *[F.sum(c).alias(f"_bs_{m}") for m, c in measures.items()])
+    tot = b.groupBy(*group, "_bkt").agg(
+        F.count(F.lit(1)).alias("_bn"), *[F.sum(c).alias(f"_bs_{m}") for m, c in measures.items()])
     w_off = Window.partitionBy(*group).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(*group, "_bkt",
                      F.coalesce(F.sum("_bn").over(w_off), F.lit(0)).alias("_off_n"),
@@ -63,27 +66,47 @@ def positions(df: DataFrame, group: list[str], order: list[Column], bucket: Colu
     return out.drop(*drop)
 
 
-def lagged_prefix(df: DataFrame, group: list[str], pos_col: str, cols: list[str], lag: int,
-                  suffix: str) -> DataFrame:
-    """For each row at position j, fetch ``cols`` of the row at j - lag in the
-    same group (null when j < lag). Equi-join on a unique key: no skew."""
-    look = df.select(*[F.col(g) for g in group], (F.col(pos_col) + F.lit(lag)).alias(pos_col),
-                     *[F.col(c).alias(c + suffix) for c in cols])
-    return df.join(look, on=[*group, pos_col], how="left")
+def lagged_prefix(df: DataFrame, group: list[str], pos_col: str, cols: list[str], lags: list[int],
+                  suffix: str = "_l") -> DataFrame:
+    """For each row at position j, fetch ``cols`` of the rows at j - n
+    (n in ``lags``) of the same group (null when j < n).
+
+    One pass and one shuffle: every row is emitted once as itself and once
+    per lag as the provider for position j + n; a ``groupBy`` on the unique
+    key ``(group, position)`` puts each row together with its providers. No
+    key repeats more than ``1 + len(lags)`` times, so nothing is skewed.
+    """
+    tags = F.array(*[F.lit(0)] + [F.lit(n) for n in lags])
+    own = [c for c in df.columns if c not in group and c != pos_col]
+    # keep the aggregation buffers fixed-width (hash aggregate, no sort)
+    bad = [c for c, t in df.dtypes if c in own and (t.startswith("string") or t.startswith("array"))]
+    if bad:
+        raise ValueError(f"lagged_prefix carries fixed-width columns only; drop {bad} first")
+    e = df.select(*group, pos_col, *own, F.explode(tags).alias("_tag"))
+    e = e.withColumn(pos_col, F.col(pos_col) + F.col("_tag"))
+    aggs = [F.max(F.when(F.col("_tag") == 0, F.col(c))).alias(c) for c in own]
+    aggs += [F.max(F.when(F.col("_tag") == n, F.col(c))).alias(f"{c}{suffix}{n}") for n in lags for c in cols]
+    aggs.append(F.max(F.when(F.col("_tag") == 0, F.lit(1))).alias("_self"))
+    out = e.groupBy(*group, pos_col).agg(*aggs)
+    return out.filter(F.col("_self") == 1).drop("_self")
 
 
 def rolling_rows(df: DataFrame, group: list[str], order: list[Column], bucket: Column,
-                 value: str, windows: list[int], pos_col: str = "_pos_g") -> DataFrame:
+                 value: str, windows: list[int], pos_col: str = "_pos_g",
+                 carry: list[str] | None = None) -> DataFrame:
     """pandas ``groupby(group)[value].rolling(n, min_periods=1)`` over rows:
-    adds ``rolling_sum_{n}`` / ``rolling_avg_{n}`` for each n (sum/mean of the
-    non-null values among the last n rows; null if there are none)."""
+    returns ``group``, ``carry`` columns and ``rolling_sum_{n}`` /
+    ``rolling_avg_{n}`` for each n (sum/mean of the non-null values among
+    the last n rows; null if there are none). ``carry`` must be fixed-width
+    columns (the lag step is a hash aggregate)."""
     v = F.col(value)
+    carry = carry if carry is not None else [value]
     # Exact running sums: decimal(38,6) does not lose digits however long the
     # group is (a double prefix would, and S(j) - S(j-n) would amplify it).
     meas = {"s": F.coalesce(v.cast(EXACT), F.lit(0).cast(EXACT)), "nn": F.when(v.isNotNull(), 1).otherwise(0)}
     p = positions(df, group, order, bucket, meas, pos_col=pos_col)
-    for n in windows:
-        p = lagged_prefix(p, group, pos_col, ["_cum_s", "_cum_nn"], n, f"_l{n}")
+    p = p.select(*group, pos_col, *carry, "_cum_s", "_cum_nn")
+    p = lagged_prefix(p, group, pos_col, ["_cum_s", "_cum_nn"], list(windows), "_l")
     out = {}
     for n in windows:
         s = (F.col("_cum_s") - F.coalesce(F.col(f"_cum_s_l{n}"), F.lit(0).cast(EXACT))).cast("double")
@@ -91,5 +114,5 @@ def rolling_rows(df: DataFrame, group: list[str], order: list[Column], bucket: C
         out[f"rolling_sum_{n}"] = F.when(nn > 0, s)
         out[f"rolling_avg_{n}"] = F.when(nn > 0, s / nn)
     p = p.withColumns(out)
-    drop = ["_cum_s", "_cum_nn"] + [f"_cum_{x}_l{n}" for n in windows for x in ("s", "nn")]
+    drop = [pos_col, "_cum_s", "_cum_nn"] + [f"_cum_{x}_l{n}" for n in windows for x in ("s", "nn")]
     return p.drop(*drop)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rxcast.functions.exprs import kurt_unbiased, skew_unbiased
+from rxcast.functions.quantiles import quantile, quantile_exact, quantiles
 from rxcast.operators.evaluate import attach
 
 PAID = "total_paid_amt"
@@ -32,9 +33,8 @@ def money_sum(c) -> Column:
     return F.sum(c.cast("decimal(38,6)")).cast("double")
 
 
-def quantile(c, q: float, exact: bool = True) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.percentile(c, q) if exact else F.percentile_approx(c, q, 10000)
+def _exact(df: DataFrame, exact: bool | None) -> bool:
+    return quantile_exact(df) if exact is None else exact
 
 
 def nan_null(c: Column) -> Column:
@@ -45,16 +45,21 @@ def nan_null(c: Column) -> Column:
 STAT_NAMES = ["Mean", "Std", "Min", "Q1", "Median", "Q3", "Max", "Skew", "Kurtosis"]
 
 
-def basic_stats(df: DataFrame, features=NUMERIC_FEATURES, exact: bool = True) -> DataFrame:
+def basic_stats(df: DataFrame, features=NUMERIC_FEATURES, exact: bool | None = None) -> DataFrame:
     """Nine statistics per numeric feature, one row per statistic (as the
-    reference's stats table): one aggregate pass, then ``stack``."""
+    reference's stats table): one aggregate pass (one quantile array per
+    column), then ``stack``."""
+    exact = _exact(df, exact)
     feats = [f for f in features if f in df.columns]
     aggs = []
     for f in feats:
         c = F.col(f).cast("double")
-        aggs += [F.avg(c), F.stddev_samp(c), F.min(c), quantile(c, .25, exact), quantile(c, .5, exact),
-                 quantile(c, .75, exact), F.max(c), skew_unbiased(c), kurt_unbiased(c)]
-    one = df.agg(*[a.alias(f"{f}__{s}") for (f, s), a in zip(itertools.product(feats, STAT_NAMES), aggs)])
+        aggs += [F.avg(c).alias(f"{f}__Mean"), F.stddev_samp(c).alias(f"{f}__Std"), F.min(c).alias(f"{f}__Min"),
+                 quantiles(c, [.25, .5, .75], exact).alias(f"{f}__Q"), F.max(c).alias(f"{f}__Max"),
+                 skew_unbiased(c).alias(f"{f}__Skew"), kurt_unbiased(c).alias(f"{f}__Kurtosis")]
+    one = df.agg(*aggs)
+    one = one.select("*", *[F.col(f"{f}__Q")[i].alias(f"{f}__{n}") for f in feats
+                            for i, n in enumerate(["Q1", "Median", "Q3"])])
     rows = ", ".join(f"'{s}', " + ", ".join(f"`{f}__{s}`" for f in feats) for s in STAT_NAMES)
     return one.selectExpr(f"stack({len(STAT_NAMES)}, {rows}) AS (statistic, {', '.join(feats)})")
 
@@ -140,12 +145,14 @@ def month_trend(df: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------------------- FA15-FA17, TOP3
-def hcp_volume(df: DataFrame, hcp_col: str = "hcp_id", exact: bool = True) -> DataFrame:
+def hcp_volume(df: DataFrame, hcp_col: str = "hcp_id", exact: bool | None = None) -> DataFrame:
     """FA15: ``groupby(hcp).size().describe()``."""
+    exact = _exact(df, exact)
     v = df.groupBy(hcp_col).agg(F.count(F.lit(1)).cast("double").alias("n"))
-    return v.agg(F.count("n").alias("count"), F.avg("n").alias("mean"), F.stddev_samp("n").alias("std"),
-                 F.min("n").alias("min"), quantile("n", .25, exact).alias("q25"), quantile("n", .5, exact).alias("q50"),
-                 quantile("n", .75, exact).alias("q75"), F.max("n").alias("max"))
+    out = v.agg(F.count("n").alias("count"), F.avg("n").alias("mean"), F.stddev_samp("n").alias("std"),
+                F.min("n").alias("min"), quantiles("n", [.25, .5, .75], exact).alias("_q"), F.max("n").alias("max"))
+    return out.select("count", "mean", "std", "min", F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"),
+                      F.col("_q")[2].alias("q75"), "max")
 
 
 def top_hcps_by_paid(df: DataFrame, hcp_col: str = "hcp_id", k: int = 10) -> DataFrame:
@@ -194,9 +201,10 @@ def switching_rate(df: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("patients"))
 
 
-def payer_impact(df: DataFrame, exact: bool = True) -> DataFrame:
+def payer_impact(df: DataFrame, exact: bool | None = None) -> DataFrame:
     """FA20-FA23: channel share, payment mean/median/sum, rejection rate and
     copay mean/median per payer channel."""
+    exact = _exact(df, exact)
     tot = df.agg(F.count("payer_channel_name").alias("_n"))
     ch = df.filter(F.col("payer_channel_name").isNotNull()).groupBy("payer_channel_name").agg(
         F.count(F.lit(1)).alias("claims"), F.avg(PAID).alias("mean_paid"), quantile(PAID, .5, exact).alias("median_paid"),

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rxcast.functions.quantiles import quantile, quantile_exact
 from rxcast.operators.evaluate import attach
 from rxcast.operators.features import hcp_detail_columns
 from rxcast.operators.profile import money_sum
@@ -21,9 +22,9 @@ def data_overview(clean: DataFrame) -> DataFrame:
                      F.round(money_sum("total_paid_amt"), 2).alias("total_sales"))
 
 
-def prediction_summary(pred: DataFrame, exact: bool = True) -> DataFrame:
+def prediction_summary(pred: DataFrame, exact: bool | None = None) -> DataFrame:
     """RPT2: totals, mean/median predicted sales, mean multiplier, uplift %."""
-    med = F.median(P) if exact else F.percentile_approx(P, 0.5, 10000)
+    med = quantile(P, 0.5, quantile_exact(pred) if exact is None else exact)
     out = pred.agg(F.round(money_sum(P), 2).alias("total_predicted"), F.round(money_sum(A), 2).alias("total_db"),
                    F.count(F.lit(1)).alias("predictions"), F.count_distinct("hcp_id").alias("hcps"),
                    F.count_distinct("Drug_name").alias("drugs"), F.avg(P).alias("mean_predicted"),
