@@ -34,7 +34,7 @@ def day_bucket(ts_col: str) -> Column:
 
 def positions(df: DataFrame, group: list[str], order: list[Column], bucket: Column,
               measures: dict[str, Column] | None = None, pos_col: str = "_pos",
-              prefix: str = "_cum_") -> DataFrame:
+              prefix: str = "_cum_", _keys_checked: bool = False) -> DataFrame:
     """Add ``pos_col`` (0-based position of the row inside ``group`` in
     ``order``) and, per measure, its inclusive running sum ``prefix+name``.
 
@@ -44,6 +44,16 @@ def positions(df: DataFrame, group: list[str], order: list[Column], bucket: Colu
     ``(group, bucket)`` also serves the join with the offsets.
     """
     measures = measures or {}
+    if group and not _keys_checked:
+        # pandas drops null group keys from groupby-transforms: such rows get
+        # a null position / running sum instead of vanishing in the join.
+        has_null = F.greatest(*[F.col(g).isNull() for g in group]) if len(group) > 1 else F.col(group[0]).isNull()
+        if any(f.nullable for f in df.schema.fields if f.name in group):
+            keyed = positions(df.filter(~has_null), group, order, bucket, measures, pos_col, prefix, True)
+            nulls = df.filter(has_null).withColumns(
+                {pos_col: F.lit(None).cast("long"),
+                 **{prefix + m: F.lit(None).cast(keyed.schema[prefix + m].dataType) for m in measures}})
+            return keyed.unionByName(nulls)
     b = df.withColumn("_bkt", bucket)
     w_local = Window.partitionBy(*group, "_bkt").orderBy(*order)
     run = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -106,13 +116,19 @@ def rolling_rows(df: DataFrame, group: list[str], order: list[Column], bucket: C
     meas = {"s": F.coalesce(v.cast(EXACT), F.lit(0).cast(EXACT)), "nn": F.when(v.isNotNull(), 1).otherwise(0)}
     p = positions(df, group, order, bucket, meas, pos_col=pos_col)
     p = p.select(*group, pos_col, *carry, "_cum_s", "_cum_nn")
-    p = lagged_prefix(p, group, pos_col, ["_cum_s", "_cum_nn"], list(windows), "_l")
+    # rows of a null group have no position (pandas leaves them NaN): they
+    # bypass the lag step instead of collapsing onto one null key
+    nokey = p.filter(F.col(pos_col).isNull()).withColumns(
+        {f"_cum_{x}_l{n}": F.lit(None).cast(p.schema[f"_cum_{x}"].dataType) for n in windows for x in ("s", "nn")})
+    p = lagged_prefix(p.filter(F.col(pos_col).isNotNull()), group, pos_col, ["_cum_s", "_cum_nn"],
+                      list(windows), "_l").unionByName(nokey)
     out = {}
     for n in windows:
         s = (F.col("_cum_s") - F.coalesce(F.col(f"_cum_s_l{n}"), F.lit(0).cast(EXACT))).cast("double")
         nn = F.col("_cum_nn") - F.coalesce(F.col(f"_cum_nn_l{n}"), F.lit(0))
-        out[f"rolling_sum_{n}"] = F.when(nn > 0, s)
-        out[f"rolling_avg_{n}"] = F.when(nn > 0, s / nn)
+        known = F.col(pos_col).isNotNull() & (nn > 0)
+        out[f"rolling_sum_{n}"] = F.when(known, s)
+        out[f"rolling_avg_{n}"] = F.when(known, s / nn)
     p = p.withColumns(out)
     drop = [pos_col, "_cum_s", "_cum_nn"] + [f"_cum_{x}_l{n}" for n in windows for x in ("s", "nn")]
     return p.drop(*drop)
