@@ -32,6 +32,31 @@ def day_bucket(ts_col: str) -> Column:
     return F.coalesce(F.unix_date(F.to_date(F.col(ts_col))), F.lit(NULL_BUCKET)).cast("int")
 
 
+def non_null_keys(df: DataFrame, group: list[str]) -> tuple[DataFrame, list[str], Column | None]:
+    """Group keys that may be null are replaced by (value-or-sentinel, is-null)
+    pairs, so joins and lag keys never see a null; the returned condition
+    marks rows whose original key had a null (pandas leaves those rows out
+    of groupby-transforms, so their results are set to null afterwards)."""
+    nullable = [f for f in df.schema.fields if f.name in group and f.nullable]
+    if not nullable:
+        return df, group, None
+    keys, cols, flags = [], {}, []
+    for g in group:
+        f = df.schema[g]
+        if not f.nullable:
+            keys.append(g)
+            continue
+        sentinel = F.lit("" if f.dataType.typeName() == "string" else 0).cast(f.dataType)
+        cols[f"_gk_{g}"] = F.coalesce(F.col(g), sentinel)
+        cols[f"_gn_{g}"] = F.col(g).isNull()
+        keys += [f"_gk_{g}", f"_gn_{g}"]
+        flags.append(F.col(f"_gn_{g}"))
+    cond = flags[0]
+    for c in flags[1:]:
+        cond = cond | c
+    return df.withColumns(cols), keys, cond
+
+
 def positions(df: DataFrame, group: list[str], order: list[Column], bucket: Column,
               measures: dict[str, Column] | None = None, pos_col: str = "_pos",
               prefix: str = "_cum_", _keys_checked: bool = False) -> DataFrame:
@@ -44,16 +69,12 @@ def positions(df: DataFrame, group: list[str], order: list[Column], bucket: Colu
     ``(group, bucket)`` also serves the join with the offsets.
     """
     measures = measures or {}
-    if group and not _keys_checked:
-        # pandas drops null group keys from groupby-transforms: such rows get
-        # a null position / running sum instead of vanishing in the join.
-        has_null = F.greatest(*[F.col(g).isNull() for g in group]) if len(group) > 1 else F.col(group[0]).isNull()
-        if any(f.nullable for f in df.schema.fields if f.name in group):
-            keyed = positions(df.filter(~has_null), group, order, bucket, measures, pos_col, prefix, True)
-            nulls = df.filter(has_null).withColumns(
-                {pos_col: F.lit(None).cast("long"),
-                 **{prefix + m: F.lit(None).cast(keyed.schema[prefix + m].dataType) for m in measures}})
-            return keyed.unionByName(nulls)
+    df, keys, null_key = (df, group, None) if _keys_checked else non_null_keys(df, group)
+    if null_key is not None:
+        out = positions(df, keys, order, bucket, measures, pos_col, prefix, True)
+        nulled = {pos_col: F.when(~null_key, F.col(pos_col)),
+                  **{prefix + m: F.when(~null_key, F.col(prefix + m)) for m in measures}}
+        return out.withColumns(nulled).drop(*[k for k in keys if k not in group])
     b = df.withColumn("_bkt", bucket)
     w_local = Window.partitionBy(*group, "_bkt").orderBy(*order)
     run = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -114,14 +135,14 @@ def rolling_rows(df: DataFrame, group: list[str], order: list[Column], bucket: C
     # Exact running sums: decimal(38,6) does not lose digits however long the
     # group is (a double prefix would, and S(j) - S(j-n) would amplify it).
     meas = {"s": F.coalesce(v.cast(EXACT), F.lit(0).cast(EXACT)), "nn": F.when(v.isNotNull(), 1).otherwise(0)}
-    p = positions(df, group, order, bucket, meas, pos_col=pos_col)
-    p = p.select(*group, pos_col, *carry, "_cum_s", "_cum_nn")
-    # rows of a null group have no position (pandas leaves them NaN): they
-    # bypass the lag step instead of collapsing onto one null key
-    nokey = p.filter(F.col(pos_col).isNull()).withColumns(
-        {f"_cum_{x}_l{n}": F.lit(None).cast(p.schema[f"_cum_{x}"].dataType) for n in windows for x in ("s", "nn")})
-    p = lagged_prefix(p.filter(F.col(pos_col).isNotNull()), group, pos_col, ["_cum_s", "_cum_nn"],
-                      list(windows), "_l").unionByName(nokey)
+    df, keys, null_key = non_null_keys(df, group)
+    extra = [k for k in keys if k not in group]
+    p = positions(df, keys, order, bucket, meas, pos_col=pos_col, _keys_checked=True)
+    lag_keys = keys + [g for g in group if g not in keys]  # originals ride along as (null-safe) group keys
+    p = p.select(*lag_keys, pos_col, *carry, "_cum_s", "_cum_nn")
+    p = lagged_prefix(p, lag_keys, pos_col, ["_cum_s", "_cum_nn"], list(windows), "_l")
+    if null_key is not None:  # rows of a null group: NaN in pandas
+        p = p.withColumn(pos_col, F.when(~null_key, F.col(pos_col)))
     out = {}
     for n in windows:
         s = (F.col("_cum_s") - F.coalesce(F.col(f"_cum_s_l{n}"), F.lit(0).cast(EXACT))).cast("double")
@@ -130,5 +151,5 @@ def rolling_rows(df: DataFrame, group: list[str], order: list[Column], bucket: C
         out[f"rolling_sum_{n}"] = F.when(known, s)
         out[f"rolling_avg_{n}"] = F.when(known, s / nn)
     p = p.withColumns(out)
-    drop = [pos_col, "_cum_s", "_cum_nn"] + [f"_cum_{x}_l{n}" for n in windows for x in ("s", "nn")]
+    drop = [pos_col, "_cum_s", "_cum_nn", *extra] + [f"_cum_{x}_l{n}" for n in windows for x in ("s", "nn")]
     return p.drop(*drop)
