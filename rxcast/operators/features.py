@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rxcast.functions.exprs import clip, flag, nunique_with_null
 from rxcast.operators.clean import AGE_LABELS, order_cols
-from rxcast.operators.ordered import day_bucket, positions, rolling_rows
+from rxcast.operators.ordered import EXACT, adaptive_day_bucket, nested_positions, rolling_from_prefix
 from rxcast.sources import dims
 
 PAID = "total_paid_amt"
@@ -184,10 +184,12 @@ def claim_rolling(clean: DataFrame, windows=(7, 30, 90), keep_text: bool = False
     cols = ["hcp_id", "drug_brand_name", "service_date_dd", "claim_number", PAID,
             "patient_id", "days_supply_val"]
     narrow = clean.select(*cols)
-    bucket = day_bucket("service_date_dd")
-    h = positions(narrow, ["hcp_id"], order_cols(), bucket, pos_col="row_idx")
-    r = rolling_rows(h, ["hcp_id", "drug_brand_name"], order_cols(), bucket, PAID, list(windows),
-                     carry=["row_idx", PAID])
+    bucket = adaptive_day_bucket(narrow, ["hcp_id"], "service_date_dd")
+    v = F.col(PAID)
+    meas = {"s": F.coalesce(v.cast(EXACT), F.lit(0).cast(EXACT)), "nn": F.when(v.isNotNull(), 1).otherwise(0)}
+    h = nested_positions(narrow, ["hcp_id"], ["drug_brand_name"], order_cols(), bucket, meas,
+                         outer_pos="row_idx", inner_pos="_pos_g")
+    r = rolling_from_prefix(h, ["hcp_id", "drug_brand_name"], "_pos_g", list(windows), carry=["row_idx", PAID])
     nulls = {c: F.when(F.col("drug_brand_name").isNotNull(), F.col(c))
              for n in windows for c in (f"rolling_sum_{n}", f"rolling_avg_{n}")}
     r = r.withColumns(nulls)

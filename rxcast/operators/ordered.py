@@ -27,9 +27,31 @@ NULL_BUCKET = 2 ** 31 - 1  # null order keys sort last
 EXACT = "decimal(38,6)"
 
 
-def day_bucket(ts_col: str) -> Column:
-    """Order-preserving bucket for a timestamp/date column; null -> last."""
-    return F.coalesce(F.unix_date(F.to_date(F.col(ts_col))), F.lit(NULL_BUCKET)).cast("int")
+def day_bucket(ts_col: str, days: int = 1, origin: int = 0) -> Column:
+    """Order-preserving bucket of ``days`` calendar days for a timestamp/date
+    column; null -> last."""
+    d = F.unix_date(F.to_date(F.col(ts_col)))
+    b = F.floor((d - F.lit(origin)) / F.lit(days)) if days > 1 else d
+    return F.coalesce(b, F.lit(NULL_BUCKET)).cast("int")
+
+
+def adaptive_day_bucket(df: DataFrame, group: list[str], ts_col: str,
+                        target_rows: int = 2_000_000, span_days: int = 3650) -> Column:
+    """Day bucket whose width follows the data volume, decided from Spark's
+    size statistics of the (materialized) input, without a job: wide enough
+    that small inputs do not get one bucket per row, narrow enough that even
+    a group holding every row gets about ``target_rows`` rows per bucket
+    over a ``span_days`` history (one day at most)."""
+    rows = None
+    try:
+        st = df._jdf.queryExecution().optimizedPlan().stats()
+        rows = int(str(st.rowCount().get())) if st.rowCount().isDefined() else int(str(st.sizeInBytes())) // 64
+    except Exception:  # noqa: BLE001  (no statistics: finest buckets)
+        rows = None
+    if not rows:
+        return day_bucket(ts_col)
+    days = max(1, min(span_days, target_rows * span_days // max(rows, 1)))
+    return day_bucket(ts_col, days)
 
 
 def non_null_keys(df: DataFrame, group: list[str]) -> tuple[DataFrame, list[str], Column | None]:
@@ -97,6 +119,42 @@ def positions(df: DataFrame, group: list[str], order: list[Column], bucket: Colu
     return out.drop(*drop)
 
 
+def nested_positions(df: DataFrame, outer: list[str], inner: list[str], order: list[Column], bucket: Column,
+                     measures: dict[str, Column], outer_pos: str, inner_pos: str,
+                     prefix: str = "_cum_") -> DataFrame:
+    """``positions`` for a group and a sub-group at once: ``outer_pos`` is the
+    row's position inside ``outer``; ``inner_pos`` and the running sums
+    ``prefix+m`` are inside ``outer + inner``. Both windows are clustered on
+    ``(outer, bucket)`` (the inner one on a superset of those keys), so the
+    rows are shuffled once. ``outer`` keys must be non-null; null ``inner``
+    keys get null inner results (pandas groupby-transform semantics)."""
+    df, ikeys, null_key = non_null_keys(df, inner)
+    b = df.withColumn("_bkt", bucket)
+    w_o = Window.partitionBy(*outer, "_bkt").orderBy(*order)
+    w_i = Window.partitionBy(*outer, "_bkt", *ikeys).orderBy(*order)
+    run = w_i.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = (b.withColumn("_lrn_o", F.row_number().over(w_o)).withColumn("_lrn_i", F.row_number().over(w_i))
+             .withColumns({f"_lc_{m}": F.sum(c).over(run) for m, c in measures.items()}))
+    w_ob = Window.partitionBy(*outer).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    w_ib = Window.partitionBy(*outer, *ikeys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    off_o = b.groupBy(*outer, "_bkt").agg(F.count(F.lit(1)).alias("_bn")).select(
+        *outer, "_bkt", F.coalesce(F.sum("_bn").over(w_ob), F.lit(0)).alias("_off_o"))
+    off_i = b.groupBy(*outer, *ikeys, "_bkt").agg(
+        F.count(F.lit(1)).alias("_bn"), *[F.sum(c).alias(f"_bs_{m}") for m, c in measures.items()]).select(
+        *outer, *ikeys, "_bkt", F.coalesce(F.sum("_bn").over(w_ib), F.lit(0)).alias("_off_i"),
+        *[F.sum(f"_bs_{m}").over(w_ib).alias(f"_off_{m}") for m in measures])
+    j = local.join(off_o, [*outer, "_bkt"]).join(off_i, [*outer, *ikeys, "_bkt"])
+    inner_ok = F.lit(True) if null_key is None else ~null_key
+    out = j.withColumns({
+        outer_pos: (F.col("_off_o") + F.col("_lrn_o") - 1).cast("long"),
+        inner_pos: F.when(inner_ok, (F.col("_off_i") + F.col("_lrn_i") - 1).cast("long")),
+        **{prefix + m: F.when(inner_ok, F.coalesce(F.col(f"_off_{m}"), F.lit(0)) + F.col(f"_lc_{m}"))
+           for m in measures}})
+    drop = ["_bkt", "_lrn_o", "_lrn_i", "_off_o", "_off_i", *[f"_lc_{m}" for m in measures],
+            *[f"_off_{m}" for m in measures], *[k for k in ikeys if k not in inner]]
+    return out.drop(*drop)
+
+
 def lagged_prefix(df: DataFrame, group: list[str], pos_col: str, cols: list[str], lags: list[int],
                   suffix: str = "_l") -> DataFrame:
     """For each row at position j, fetch ``cols`` of the rows at j - n
@@ -153,3 +211,24 @@ def rolling_rows(df: DataFrame, group: list[str], order: list[Column], bucket: C
     p = p.withColumns(out)
     drop = [pos_col, "_cum_s", "_cum_nn", *extra] + [f"_cum_{x}_l{n}" for n in windows for x in ("s", "nn")]
     return p.drop(*drop)
+
+
+def rolling_from_prefix(p: DataFrame, group: list[str], pos_col: str, windows: list[int],
+                        carry: list[str], fallback: str = "row_idx") -> DataFrame:
+    """Row-count rolling sums/means from running sums ``_cum_s``/``_cum_nn``
+    at position ``pos_col``. Rows outside any group (null position) keep a
+    unique negative stand-in key derived from ``fallback`` (a unique
+    position in an enclosing group), so everything stays one pass; their
+    rolling values are null."""
+    key = F.coalesce(F.col(pos_col), F.lit(-1) - F.col(fallback)).alias("_lagpos")
+    base = p.select(*group, key, F.col(pos_col).isNotNull().alias("_haspos"), *carry, "_cum_s", "_cum_nn")
+    q = lagged_prefix(base, group, "_lagpos", ["_cum_s", "_cum_nn"], list(windows), "_l")
+    out = {}
+    for n in windows:
+        s = (F.col("_cum_s") - F.coalesce(F.col(f"_cum_s_l{n}"), F.lit(0).cast(EXACT))).cast("double")
+        nn = F.col("_cum_nn") - F.coalesce(F.col(f"_cum_nn_l{n}"), F.lit(0))
+        known = F.col("_haspos") & (nn > 0)
+        out[f"rolling_sum_{n}"] = F.when(known, s)
+        out[f"rolling_avg_{n}"] = F.when(known, s / nn)
+    drop = ["_lagpos", "_haspos", "_cum_s", "_cum_nn"] + [f"_cum_{x}_l{n}" for n in windows for x in ("s", "nn")]
+    return q.withColumns(out).drop(*drop)
