@@ -127,13 +127,16 @@ CHANNEL_BY_SEGMENT = {
 CHANNEL_DEFAULT = "Dual (Medicaid/Medicare)"
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give a scan with fewer splits than task slots (a small file with few
-    row groups) one round-robin split per slot, so the joins after it use
-    every core. Large inputs already have more splits than slots and are
-    left untouched: no extra shuffle at scale."""
+    row groups) one split per slot, so the joins after it use every core:
+    hash on ``keys`` (deterministic without the sort a round-robin split
+    needs), round-robin without keys. Large inputs already have more splits
+    than slots and are left untouched: no extra shuffle at scale."""
     slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, *keys) if keys else df.repartition(slots)
 
 
 def load_tables(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:
@@ -158,7 +161,7 @@ def claims_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     t = load_tables(spark, sf_dir)
     l, o, c, s, p, n = (t[k] for k in ("lineitem", "orders", "customer", "supplier", "part", "nation"))
-    l = spread(l)
+    l = spread(l, "l_orderkey", "l_linenumber")
     j = (l.join(o, l.l_orderkey == o.o_orderkey)
           .join(c, o.o_custkey == c.c_custkey)
           .join(s, l.l_suppkey == s.s_suppkey)
