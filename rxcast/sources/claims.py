@@ -99,12 +99,13 @@ def normalise_claims(df: DataFrame) -> DataFrame:
     for c in DATE_COLUMNS:
         if c in df.columns:
             dt = dict(df.dtypes)[c]
+            # wall-clock timestamps (no time zone), independent of the session zone
             if dt == "string":
                 out[c] = F.coalesce(F.try_to_timestamp(F.col(c)),
                                     F.try_to_timestamp(F.col(c), F.lit("yyyy-MM-dd HH:mm:ss")),
-                                    F.try_to_timestamp(F.col(c), F.lit("MM/dd/yyyy")))
-            elif dt == "date":
-                out[c] = F.col(c).cast("timestamp")
+                                    F.try_to_timestamp(F.col(c), F.lit("MM/dd/yyyy"))).cast("timestamp_ntz")
+            elif dt in ("date", "timestamp"):
+                out[c] = F.col(c).cast("timestamp_ntz")
     for c in MONEY_COLUMNS + ("type_1_npi", "type_2_npi"):
         if c in df.columns:
             out[c] = nan_to_null(F.col(c).cast("double"))
@@ -183,8 +184,8 @@ def claims_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("prescriber_npi_state_cd"),
         _case_map(pk4, GENERIC_BY_PARTKEY_MOD4, F.col("p_type")).alias("drug_generic_name"),
         _case_map(pk4, BRAND_BY_PARTKEY_MOD4, F.col("p_type")).alias("drug_brand_name"),
-        F.col("l_shipdate").cast("timestamp").alias("service_date_dd"),
-        F.col("o_orderdate").cast("timestamp").alias("transaction_dt"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("service_date_dd"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("transaction_dt"),
         status.alias("transaction_status"),
         F.col("l_quantity").cast("int").alias("days_supply_val"),
         F.col("p_retailprice").alias("awp_unit_price_amt"),

@@ -91,3 +91,20 @@ def test_claims_view_counts_match_fixture_note(spark):
               F.sum(F.col("total_paid_amt").cast("decimal(38,6)")).alias("t")).first()
     assert (r.n, r.h, r.d, r.p, r.ns) == (39988, 101, 9, 1500, 1264)
     assert math.isclose(float(r.t), 1957491949.93, abs_tol=0.01)
+
+
+def test_wall_clock_dates_independent_of_session_zone(spark):
+    from rxcast.sources.claims import claims_from_star
+    sf = "/root/testdata/sf0.001"
+
+    def sample():
+        c = cl.base_features(cl.clean_claims(claims_from_star(spark, sf)))
+        return sorted((r.claim_number, r.service_date_dd, r.month, r.day_of_week)
+                      for r in c.select("claim_number", "service_date_dd", "month", "day_of_week").collect())
+
+    utc = sample()
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert sample() == utc
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
