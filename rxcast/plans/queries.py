@@ -303,3 +303,19 @@ def q_mult_temporal(spark, sf_dir):
     from rxcast.operators.clean import base_features
     c = clean(spark, sf_dir)
     return mu.temporal_multiplier(fe.hcp_temporal(base_features(c)), fe.target_multiplier(c))
+
+
+@query("cv_temporal")
+def q_cv_temporal(spark, sf_dir):
+    from rxcast.operators.clean import base_features
+    c = clean(spark, sf_dir)
+    return mu.cross_validation(fe.hcp_temporal(base_features(c)), fe.target_multiplier(c))
+
+
+@query("component_regressors")
+def q_component_regressors(spark, sf_dir):
+    from rxcast.operators.clean import base_features
+    c = clean(spark, sf_dir)
+    b = base_features(c)
+    return mu.component_regressors(fe.hcp_temporal(b), fe.target_multiplier(c), fe.hcp_transaction(b),
+                                   fe.hcp_specialization(c), fe.hcp_rolling(c))
