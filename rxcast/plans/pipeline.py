@@ -31,11 +31,11 @@ def run_pipeline(spark: SparkSession, claims: DataFrame, learned: bool = False,
     from rxcast.plans.queries import materialize
     clean = cl.clean_claims(claims)
     if persist:
-        clean = materialize(clean)
+        clean = materialize(clean, "clean")
     comps = pr.train_components(clean, learned=learned)
     pred = pr.predict(clean, comps, keep_components=True)
     if persist:
-        pred = materialize(pred)
+        pred = materialize(pred, "predictions")
     pred_out = pred.drop(*pr.WEIGHTS)
     drugs = clean.select(F.col("drug_brand_name").alias("drug_name")).filter(F.col("drug_name").isNotNull()).distinct()
     payers = clean.select(F.col("payer_channel_name").alias("payer"))

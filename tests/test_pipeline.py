@@ -45,3 +45,15 @@ def test_read_claims_csv_documented_subset(spark, tmp_path):
         raise AssertionError("expected FileNotFoundError")
     except FileNotFoundError:
         pass
+
+
+def test_materialize_as_table_cuts_lineage(spark):
+    from rxcast.plans.queries import materialize
+    df = spark.range(100).withColumn("x", F.col("id") * 2)
+    spark.conf.set("rxcast.materialize", "table")
+    try:
+        t = materialize(df, "unit")
+        assert t.count() == 100 and t.agg(F.sum("x")).first()[0] == 9900
+        assert "parquet" in t._jdf.queryExecution().optimizedPlan().toString().lower()
+    finally:
+        spark.conf.unset("rxcast.materialize")
