@@ -108,18 +108,32 @@ def spec_columns(cls: Column) -> dict[str, Column]:
     return {"specialization": name, "specialization_weight": weight, "patient_volume": vol}
 
 
-def hcp_specialization(clean: DataFrame, registry: DataFrame | None = None) -> DataFrame:
+def pair_counts(clean: DataFrame) -> DataFrame:
+    """Claims per HCP x brand (null brand included). Specialization and
+    affinity both use this one expression, so Spark reuses its exchange."""
+    return clean.groupBy("hcp_id", "drug_brand_name").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def specialization_aggs(columns: list[str]) -> list[Column]:
+    """AGG7 modal state (ties -> smallest, none -> 'Unknown') and the
+    distinct service lines of AGG6, as per-HCP aggregate expressions."""
+    has_csl = "clinical_service_line" in columns
+    return [F.coalesce(F.mode("prescriber_npi_state_cd", True), F.lit("Unknown")).alias("state"),
+            (F.count_distinct("clinical_service_line") if has_csl else F.lit(1)).alias("clinical_complexity")]
+
+
+def hcp_specialization(clean: DataFrame, registry: DataFrame | None = None,
+                       summary: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
     """AGG6 + AGG7 + JN3. ``registry`` (hcp_id, specialization) optionally
-    overrides the hashed class with a looked-up one."""
-    per_drug = (_drug_key_filter(clean).groupBy("hcp_id", "drug_brand_name")
-                .agg(F.count(F.lit(1)).alias("_n")))
-    drug_stats = per_drug.groupBy("hcp_id").agg(
+    overrides the hashed class with a looked-up one. ``summary`` (from
+    ``hcp_summary``) and ``pairs`` (``pair_counts``) reuse aggregates that
+    are already computed."""
+    pairs = pairs if pairs is not None else pair_counts(clean)
+    drug_stats = _drug_key_filter(pairs).groupBy("hcp_id").agg(
         F.count(F.lit(1)).alias("drug_diversity"),
         F.try_divide(F.max("_n"), F.sum("_n")).alias("primary_drug_share"))
-    has_csl = "clinical_service_line" in clean.columns
-    base = clean.groupBy("hcp_id").agg(
-        F.coalesce(F.mode("prescriber_npi_state_cd", True), F.lit("Unknown")).alias("state"),
-        (F.count_distinct("clinical_service_line") if has_csl else F.lit(1)).alias("clinical_complexity"))
+    base = (summary.select("hcp_id", "state", "clinical_complexity") if summary is not None
+            else clean.groupBy("hcp_id").agg(*specialization_aggs(clean.columns)))
     out = base.join(drug_stats, "hcp_id", "left")
     cls = spec_class(F.col("hcp_id"))
     if registry is not None:
@@ -138,10 +152,10 @@ def hcp_specialization(clean: DataFrame, registry: DataFrame | None = None) -> D
         F.col("clinical_complexity").cast("long").alias("clinical_complexity"))
 
 
-def affinity(clean: DataFrame, spec: DataFrame) -> DataFrame:
+def affinity(clean: DataFrame, spec: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """MUL3 over *observed* HCP x drug pairs (JN5 re-aimed): the all-pairs
     matrix of the reference is only read back for observed pairs."""
-    per_pair = (clean.groupBy("hcp_id", "drug_brand_name").agg(F.count(F.lit(1)).alias("_n")))
+    per_pair = pairs if pairs is not None else pair_counts(clean)
     hcp_n = per_pair.groupBy("hcp_id").agg(F.sum("_n").alias("_tot"))
     share = (per_pair.filter(F.col("drug_brand_name").isNotNull()).join(hcp_n, "hcp_id")
              .withColumn("drug_share", F.col("_n") / F.col("_tot")))
@@ -153,23 +167,43 @@ def affinity(clean: DataFrame, spec: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------------------------- AGG9
-def hcp_transaction(base: DataFrame) -> DataFrame:
-    """Payer mix and transaction features per HCP (AGG9)."""
+TRANSACTION_FEATURES = ["medicare_share", "commercial_share", "medicaid_share", "rejection_rate",
+                        "avg_copay_ratio", "payer_diversity", "specialty_pharmacy_ratio"]
+
+
+def transaction_aggs(copay: Column) -> list[Column]:
+    """AGG9 as per-HCP aggregate expressions (channel shares over non-null
+    channels, reject-code rate, mean copay ratio, distinct payers, distinct
+    pharmacies per claim)."""
     ch = F.col("payer_channel_name")
     nn = F.count(ch)
 
     def share(v):
         return F.coalesce(F.try_divide(F.count(F.when(ch == v, 1)), nn), F.lit(0.0))
 
-    return base.groupBy("hcp_id").agg(
-        share("Medicare").alias("medicare_share"),
-        share("Commercial").alias("commercial_share"),
-        share("Medicaid").alias("medicaid_share"),
-        F.avg(flag(F.col("reject_reason_1_cd").isNotNull())).alias("rejection_rate"),
-        F.avg("copay_ratio").alias("avg_copay_ratio"),
-        F.count_distinct("payer_name").alias("payer_diversity"),
-        (F.count_distinct("pharmacy_npi_nbr") / F.count(F.lit(1))).alias("specialty_pharmacy_ratio"),
-    )
+    return [share("Medicare").alias("medicare_share"), share("Commercial").alias("commercial_share"),
+            share("Medicaid").alias("medicaid_share"),
+            F.avg(flag(F.col("reject_reason_1_cd").isNotNull())).alias("rejection_rate"),
+            F.avg(copay).alias("avg_copay_ratio"),
+            F.count_distinct("payer_name").alias("payer_diversity"),
+            (F.count_distinct("pharmacy_npi_nbr") / F.count(F.lit(1))).alias("specialty_pharmacy_ratio")]
+
+
+def hcp_transaction(base: DataFrame) -> DataFrame:
+    """Payer mix and transaction features per HCP (AGG9)."""
+    return base.groupBy("hcp_id").agg(*transaction_aggs(F.col("copay_ratio")))
+
+
+def hcp_summary(clean: DataFrame) -> DataFrame:
+    """The per-HCP aggregates of the prediction in ONE scan and ONE shuffle
+    on hcp_id: AGG9 (transaction mix), MUL6 (payer score mean), AGG7 (modal
+    state) and AGG6's distinct service lines. At scale every separate
+    per-HCP aggregate would be another full scan of the cleaned claims."""
+    from rxcast.functions.exprs import finite_or
+    from rxcast.operators.multipliers import payer_score_expr
+    copay = finite_or(F.try_divide(F.col("patient_to_pay_amt"), F.col(PAID) + 1), 0.0)
+    return clean.groupBy("hcp_id").agg(*transaction_aggs(copay), F.avg(payer_score_expr()).alias("_payer_score"),
+                                       *specialization_aggs(clean.columns))
 
 
 # -------------------------------------------------- WIN1/2/4, AGG12-AGG15

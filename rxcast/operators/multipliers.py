@@ -44,18 +44,27 @@ def rolling_multiplier(rolling: DataFrame) -> DataFrame:
     return rolling.select("hcp_id", clip(m, 0.7, 1.5).alias("rolling_multiplier"))
 
 
-def payer_multiplier(clean: DataFrame) -> DataFrame:
-    """MUL6: .7 + .6 * claim-weighted mean of reputation*reimbursement over
-    claims with a known channel; no known channel -> 1.0; clip [.8,1.4].
-    The 4-row score table is inlined; unknown channels drop out of both the
-    numerator and the weight (JN4)."""
+def payer_score_expr():
+    """Per-claim reputation * reimbursement of the claim's channel; null for
+    unknown channels (they drop out of numerator and weight, JN4). The 4-row
+    score table is inlined."""
     ch = F.col("payer_channel_name")
     score = None
     for name, rep, reimb in dims.PAYER_SCORE:
         score = (F.when(ch == name, F.lit(rep * reimb)) if score is None
                  else score.when(ch == name, F.lit(rep * reimb)))
-    m = F.coalesce(F.lit(0.7) + F.avg(score) * 0.6, F.lit(1.0))
-    return clean.groupBy("hcp_id").agg(clip(m, 0.8, 1.4).alias("payer_multiplier"))
+    return score
+
+
+def payer_from_mean_score(mean_score):
+    """MUL6 from the mean score: .7 + .6 * mean; none known -> 1.0; clip [.8,1.4]."""
+    return clip(F.coalesce(F.lit(0.7) + mean_score * 0.6, F.lit(1.0)), 0.8, 1.4)
+
+
+def payer_multiplier(clean: DataFrame) -> DataFrame:
+    """MUL6: .7 + .6 * claim-weighted mean of reputation*reimbursement over
+    claims with a known channel; no known channel -> 1.0; clip [.8,1.4]."""
+    return clean.groupBy("hcp_id").agg(payer_from_mean_score(F.avg(payer_score_expr())).alias("payer_multiplier"))
 
 
 def temporal_multiplier(temporal: DataFrame, target: DataFrame, seed: int = 42,

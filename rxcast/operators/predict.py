@@ -29,17 +29,19 @@ class Components:
 def train_components(clean: DataFrame, learned: bool = False, registry: DataFrame | None = None) -> Components:
     """MUL8: build every component from the cleaned claims. With
     ``learned=False`` the temporal component is the neutral 1.0."""
-    base = base_features(clean)
     temporal = None
     if learned:
+        base = base_features(clean)
         temporal = mu.temporal_multiplier(fe.hcp_temporal(base), fe.target_multiplier(clean))
-    spec = fe.hcp_specialization(clean, registry)
+    summary = fe.hcp_summary(clean)            # one scan + one shuffle for all per-HCP aggregates
+    pairs = fe.pair_counts(clean)              # shared by specialization and affinity
+    spec = fe.hcp_specialization(clean, registry, summary=summary, pairs=pairs)
     return Components(
         temporal=temporal,
-        affinity=fe.affinity(clean, spec).select("hcp_id", "drug_brand_name", "affinity"),
-        transaction=mu.transaction_multiplier(fe.hcp_transaction(base)),
+        affinity=fe.affinity(clean, spec, pairs).select("hcp_id", "drug_brand_name", "affinity"),
+        transaction=mu.transaction_multiplier(summary),
         rolling=mu.rolling_multiplier(fe.hcp_rolling(clean)),
-        payer=mu.payer_multiplier(clean),
+        payer=summary.select("hcp_id", mu.payer_from_mean_score(F.col("_payer_score")).alias("payer_multiplier")),
     )
 
 
