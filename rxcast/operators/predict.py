@@ -16,9 +16,20 @@ WEIGHTS = {"temporal_multiplier": 1.0, "market_multiplier": 0.5, "affinity": 0.5
            "transaction_multiplier": 0.33, "rolling_multiplier": 0.33, "payer_multiplier": 0.33}
 
 
+def drug_groups(clean: DataFrame) -> DataFrame:
+    """AGG10 with null keys kept: exact sales sum and claim count per
+    HCP x generic x brand. The prediction uses the fully keyed groups; the
+    per HCP x brand claim counts (null brand included) are rolled up from
+    the same aggregate instead of another scan."""
+    return (clean.groupBy("hcp_id", "drug_generic_name", "drug_brand_name")
+            .agg(F.sum(F.col("total_paid_amt").cast("decimal(38,6)")).alias("_sales"),
+                 F.count(F.lit(1)).alias("_qty")))
+
+
 @dataclass
 class Components:
-    """The keyed multiplier tables the prediction joins against (MUL8)."""
+    """The keyed tables the prediction joins against (MUL8)."""
+    groups: DataFrame
     temporal: DataFrame | None
     affinity: DataFrame
     transaction: DataFrame
@@ -34,9 +45,11 @@ def train_components(clean: DataFrame, learned: bool = False, registry: DataFram
         base = base_features(clean)
         temporal = mu.temporal_multiplier(fe.hcp_temporal(base), fe.target_multiplier(clean))
     summary = fe.hcp_summary(clean)            # one scan + one shuffle for all per-HCP aggregates
-    pairs = fe.pair_counts(clean)              # shared by specialization and affinity
+    groups = drug_groups(clean)                # HCP x generic x brand, null keys kept
+    pairs = groups.groupBy("hcp_id", "drug_brand_name").agg(F.sum("_qty").alias("_n"))
     spec = fe.hcp_specialization(clean, registry, summary=summary, pairs=pairs)
     return Components(
+        groups=groups,
         temporal=temporal,
         affinity=fe.affinity(clean, spec, pairs).select("hcp_id", "drug_brand_name", "affinity"),
         transaction=mu.transaction_multiplier(summary),
@@ -55,10 +68,7 @@ def predict(clean: DataFrame, comp: Components | None = None, learned: bool = Fa
     measured size is small and sort-merges them otherwise.
     """
     comp = comp or train_components(clean, learned)
-    groups = (clean.filter(F.col("drug_generic_name").isNotNull() & F.col("drug_brand_name").isNotNull())
-              .groupBy("hcp_id", "drug_generic_name", "drug_brand_name")
-              .agg(F.sum(F.col("total_paid_amt").cast("decimal(38,6)")).alias("_sales"),
-                   F.count(F.lit(1)).alias("_qty")))
+    groups = comp.groups.filter(F.col("drug_generic_name").isNotNull() & F.col("drug_brand_name").isNotNull())
     j = groups.join(comp.affinity, ["hcp_id", "drug_brand_name"], "left")
     for t in (comp.transaction, comp.rolling, comp.payer):
         j = j.join(t, "hcp_id", "left")
