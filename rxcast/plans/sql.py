@@ -248,7 +248,7 @@ _CONTRIB = [("Temporal Patterns", "temporal_multiplier", 1.0), ("Market Dynamics
             ("HCP Specialization", "affinity", 0.5), ("Transaction Patterns", "transaction_multiplier", 0.33),
             ("Rolling Trends", "rolling_multiplier", 0.33), ("Payer Mix", "payer_multiplier", 0.33)]
 ev("contributions", f"""
-SELECT component, impact, share, row_number() OVER (ORDER BY share DESC, component) AS rank,
+SELECT component, impact, share, CAST(row_number() OVER (ORDER BY share DESC, component) AS INTEGER) AS rank,
   sum(share) OVER (ORDER BY share DESC, component ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_share
 FROM (SELECT component, impact, impact / sum(impact) OVER () AS share FROM (
   {' UNION ALL '.join(f"SELECT '{n}' AS component, avg(abs({D(w)} * ln({c}))) AS impact FROM predictions_c" for n, c, w in _CONTRIB)}))""",
@@ -312,7 +312,7 @@ _CORR = f"""corrs AS (SELECT * FROM (VALUES {', '.join(f"('{a}', '{b}')" for a,
   JOIN (SELECT {', '.join(f"CASE WHEN isnan(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))) THEN NULL ELSE corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) END AS c_{i}" for i, (a, b) in enumerate(_PAIRS))} FROM clean) x ON true)"""
 ev("correlations", f"""
 SELECT feature_1, feature_2, {RND('correlation', 6)} AS correlation,
-  row_number() OVER (ORDER BY abs(correlation) DESC, feature_1, feature_2) AS rank FROM (
+  CAST(row_number() OVER (ORDER BY abs(correlation) DESC, feature_1, feature_2) AS INTEGER) AS rank FROM (
   SELECT feature_1, feature_2, CASE {' '.join(f"WHEN feature_1 = '{a}' AND feature_2 = '{b}' THEN c_{i}" for i, (a, b) in enumerate(_PAIRS))} END AS correlation
   FROM corrs) WHERE abs(correlation) > 0.5""", ctes=[_CORR])
 
@@ -417,7 +417,7 @@ ev("top_rejection_reason", "SELECT 'Unknown' AS reason, CAST(NULL AS BIGINT) AS
 ev("rolling_30", f"""
 SELECT service_date, CAST(round(s, 2) AS DOUBLE) AS daily_sales,
   {RND("CAST(CAST(sum(s) OVER (ORDER BY service_date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS VARCHAR) AS DOUBLE) / count(*) OVER (ORDER BY service_date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)", 4)} AS rolling_avg_30,
-  row_number() OVER (ORDER BY service_date) - 1 AS day_idx
+  CAST(row_number() OVER (ORDER BY service_date) - 1 AS INTEGER) AS day_idx
 FROM (SELECT service_date_dd AS service_date, sum(CAST(total_paid_amt AS DECIMAL(38, 6))) AS s FROM clean
       WHERE service_date_dd IS NOT NULL GROUP BY 1)""")
 
@@ -448,7 +448,7 @@ _IMP = [
 _IMP_CTE = "imp AS (" + " UNION ALL ".join(
     f"SELECT '{n}' AS category, least(1.0, CAST({e} AS DOUBLE)) AS score FROM cal" for n, e in _IMP) + ")"
 ev("importance", f"""
-SELECT category, {RND('score', 9)} AS score, row_number() OVER (ORDER BY score DESC, category) AS rank FROM imp""",
+SELECT category, {RND('score', 9)} AS score, CAST(row_number() OVER (ORDER BY score DESC, category) AS INTEGER) AS rank FROM imp""",
    ctes=[_CAL, _IMP_CTE])
 
 ev("insights", f"""
@@ -479,7 +479,7 @@ FROM (SELECT Drug_name, {RND(msum(P), 2)} AS ps, {RND(msum(A), 2)} AS hs, count(
       FROM predictions GROUP BY Drug_name)""")
 
 ev("top_hcps_predicted", f"""
-SELECT hcp_id, predicted_sales, row_number() OVER (ORDER BY predicted_sales DESC, hcp_id) AS rank FROM (
+SELECT hcp_id, predicted_sales, CAST(row_number() OVER (ORDER BY predicted_sales DESC, hcp_id) AS INTEGER) AS rank FROM (
   SELECT hcp_id, {RND(msum(P), 2)} AS predicted_sales FROM predictions GROUP BY hcp_id
   ORDER BY predicted_sales DESC, hcp_id LIMIT 10)""")
 
@@ -550,7 +550,7 @@ _TXT = "trim(" + "".join("replace(" for _ in range(6)) + "regexp_replace({x}, '<
                                     ("&amp;", "&")]) + ")"
 ev("html_rows", f"""
 SELECT page_id, row_idx, {_TXT.format(x='cells[1]')} AS filing_type, {_TXT.format(x='cells[4]')} AS filing_date FROM (
-  SELECT page_id, i - 1 AS row_idx, regexp_extract_all(r, '(?is)<li\\b[^>]*>(.*?)</li>', 1) AS cells FROM (
+  SELECT page_id, CAST(i - 1 AS INTEGER) AS row_idx, regexp_extract_all(r, '(?is)<li\\b[^>]*>(.*?)</li>', 1) AS cells FROM (
     SELECT page_id, unnest(rs) AS r, generate_subscripts(rs, 1) AS i FROM (
       SELECT page_id, list_slice(regexp_extract_all(html, '(?is)<ul\\b[^>]*>(.*?)</ul>', 1), 1, 5) AS rs FROM pages)))
 WHERE len(cells) >= 4""")

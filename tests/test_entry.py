@@ -51,3 +51,20 @@ def test_oracle_matches_at_smallest_scale(spark, name):
                       for r in rows)
 
     assert norm([tuple(r) for r in sdf.collect()], sdf.columns) == norm(rel.fetchall(), rel.columns)
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "array<string>": "VARCHAR[]"}
+
+
+def test_oracle_column_types_match(spark):
+    """The driver compares schemas too: every oracle column has Spark's type."""
+    sf = "/root/testdata/sf0.001"
+    con = _duck(sf)
+    bad = []
+    for name, sql in entry.oracle_sql().items():
+        s = {c.lower(): t for c, t in entry.queries()[name](spark, sf).dtypes}
+        rel = con.sql(sql)
+        d = {c.lower(): str(t) for c, t in zip(rel.columns, rel.types)}
+        bad += [(name, c, t, d.get(c)) for c, t in s.items() if SPARK_TO_DUCK.get(t, t) != d.get(c)]
+    assert bad == []
