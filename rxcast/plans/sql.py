@@ -224,7 +224,7 @@ SELECT n, mean_diff, sd_diff, mean_diff / (sd_diff / sqrt(n)) AS t_stat FROM (
 ev("signed_rank", f"""
 SELECT n, w_plus, w_minus, least(w_plus, w_minus) AS w_stat,
   (least(w_plus, w_minus) - n * (n + 1) / 4.0) / sqrt(n * (n + 1) * (2 * n + 1) / 24.0 - tie / 48.0) AS z FROM (
-  SELECT sum(t) AS n, sum(npos * r) AS w_plus, sum((t - npos) * r) AS w_minus, sum(t * t * t - t) AS tie FROM (
+  SELECT CAST(sum(t) AS BIGINT) AS n, sum(npos * r) AS w_plus, sum((t - npos) * r) AS w_minus, sum(t * t * t - t) AS tie FROM (
     SELECT ad, t, npos, sum(t) OVER (ORDER BY ad ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - t + (t + 1) / 2.0 AS r
     FROM (SELECT abs(d) AS ad, count(*) AS t, count(*) FILTER (WHERE d > 0) AS npos
           FROM (SELECT {A} - {P} AS d FROM predictions) WHERE d IS NOT NULL AND d <> 0 GROUP BY abs(d))))""",
