@@ -15,7 +15,6 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rxcast.functions.exprs import finite_or
 from rxcast.functions.pvalues import normal_pvalue, t_pvalue
 from rxcast.functions.quantiles import quantile, quantile_exact, quantiles
 from rxcast.operators.ordered import positions
@@ -363,5 +362,3 @@ def normality(pred: DataFrame) -> DataFrame:
     jb = F.col("n") / 6.0 * (F.col("skew") ** 2 + F.col("excess_kurtosis") ** 2 / 4.0)
     return out.withColumn("jb_stat", jb).withColumn("p_value", F.exp(-F.col("jb_stat") / 2.0))
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["finite_or"]

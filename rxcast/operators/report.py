@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from rxcast.functions.quantiles import quantile, quantile_exact
 from rxcast.operators.evaluate import attach
-from rxcast.operators.features import hcp_detail_columns
 from rxcast.operators.profile import money_sum
 
 A, P = "Sales_from_db", "Predicted_sales"
@@ -67,6 +66,3 @@ def predictions_with_totals(pred: DataFrame) -> DataFrame:
     tot = pred.agg(F.sum(P).alias("_tot"))
     return attach(pred, tot).withColumn("share_of_total", F.col(P) / F.col("_tot")).drop("_tot")
 
-
-__all__ = ["data_overview", "prediction_summary", "drug_insight", "top_hcps_predicted", "top_predictions",
-           "sample_hcps", "predictions_with_totals", "hcp_detail_columns"]
