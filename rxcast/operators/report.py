@@ -13,11 +13,14 @@ from rxcast.operators.profile import money_sum
 A, P = "Sales_from_db", "Predicted_sales"
 
 
-def data_overview(clean: DataFrame) -> DataFrame:
-    """RPT1: claims, distinct HCPs / drugs / patients, total sales."""
-    return clean.agg(F.count(F.lit(1)).alias("claims"), F.count_distinct("hcp_id").alias("hcps"),
-                     F.count_distinct("drug_brand_name").alias("drugs"),
-                     F.count_distinct("patient_id").alias("patients"),
+def data_overview(clean: DataFrame, approx_distinct: bool = False) -> DataFrame:
+    """RPT1: claims, distinct HCPs / drugs / patients, total sales. Exact
+    distinct counts by default (two-phase aggregation, skew-safe);
+    ``approx_distinct`` uses HyperLogLog++ (DST2's option) to skip the
+    distinct shuffles on very large inputs."""
+    nd = (lambda c: F.approx_count_distinct(c, 0.01)) if approx_distinct else F.count_distinct
+    return clean.agg(F.count(F.lit(1)).alias("claims"), nd("hcp_id").alias("hcps"),
+                     nd("drug_brand_name").alias("drugs"), nd("patient_id").alias("patients"),
                      F.round(money_sum("total_paid_amt"), 2).alias("total_sales"))
 
 

@@ -57,3 +57,11 @@ def test_materialize_as_table_cuts_lineage(spark):
         assert "parquet" in t._jdf.queryExecution().optimizedPlan().toString().lower()
     finally:
         spark.conf.unset("rxcast.materialize")
+
+
+def test_data_overview_approx_distinct(spark):
+    from rxcast.operators.report import data_overview
+    c = clean_claims(claims_from_star(spark, "/root/testdata/sf0.001"))
+    exact, approx = data_overview(c).first(), data_overview(c, approx_distinct=True).first()
+    assert exact.claims == approx.claims and exact.drugs == approx.drugs
+    assert abs(approx.patients - exact.patients) <= 0.05 * exact.patients
