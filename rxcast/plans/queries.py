@@ -337,3 +337,10 @@ def q_component_regressors(spark, sf_dir):
     b = base_features(c)
     return mu.component_regressors(fe.hcp_temporal(b), fe.target_multiplier(c), fe.hcp_transaction(b),
                                    fe.hcp_specialization(c), fe.hcp_rolling(c))
+
+
+@query("predictions_learned")
+def q_predictions_learned(spark, sf_dir):
+    """The reference's default run: all six components including the learned
+    temporal multiplier (MUL1). Rows-only: the GBT cannot match scikit-learn."""
+    return pr.predict(clean(spark, sf_dir), learned=True)

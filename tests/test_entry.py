@@ -12,6 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as entry  # noqa: E402
 
 ROWS_ONLY = {"paired_t_pvalue", "signed_rank_pvalue", "sensitivity", "mult_temporal", "cv_temporal",
+             "predictions_learned",
              "component_regressors"}
 
 

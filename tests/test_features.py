@@ -155,3 +155,12 @@ def test_temporal_features_against_pandas(spark):
         assert math.isclose(got[hcp].patient_count, len(g.patient_id.unique()))
         ms = g.groupby("month")["total_paid_amt"].sum()
         assert math.isclose(got[hcp].seasonal_variation, ms.std() if len(ms) > 1 else 0.0, rel_tol=1e-9)
+
+
+def test_learned_predictions_bounds(spark):
+    from rxcast.operators.predict import predict
+    clean, _ = _claims(spark)
+    p = predict(clean, learned=True, keep_components=True)
+    lo, hi, n = p.agg(F.min("temporal_multiplier"), F.max("temporal_multiplier"), F.count(F.lit(1))).first()
+    assert 0.5 <= lo <= hi <= 2.0
+    assert n == predict(clean).count()
