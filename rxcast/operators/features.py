@@ -223,6 +223,9 @@ def claim_rolling(clean: DataFrame, windows=(7, 30, 90), keep_text: bool = False
     meas = {"s": F.coalesce(v.cast(EXACT), F.lit(0).cast(EXACT)), "nn": F.when(v.isNotNull(), 1).otherwise(0)}
     h = nested_positions(narrow, ["hcp_id"], ["drug_brand_name"], order_cols(), bucket, meas,
                          outer_pos="row_idx", inner_pos="_pos_g")
+    if keep_text:  # two consumers below: compute the positions once
+        from rxcast.session import materialize
+        h = materialize(h, "claim_positions")
     r = rolling_from_prefix(h, ["hcp_id", "drug_brand_name"], "_pos_g", list(windows), carry=["row_idx", PAID])
     nulls = {c: F.when(F.col("drug_brand_name").isNotNull(), F.col(c))
              for n in windows for c in (f"rolling_sum_{n}", f"rolling_avg_{n}")}

@@ -21,6 +21,7 @@ from rxcast.operators import external as ex
 from rxcast.operators import predict as pr
 from rxcast.operators import profile as pf
 from rxcast.operators import report as rp
+from rxcast.session import materialize
 from rxcast.sources import dims
 
 
@@ -28,7 +29,6 @@ def run_pipeline(spark: SparkSession, claims: DataFrame, learned: bool = False,
                  persist: bool = True) -> dict[str, DataFrame]:
     """Steps 1-7: clean, external tables, components, predictions,
     evaluation, feature analysis, executive-summary tables."""
-    from rxcast.plans.queries import materialize
     clean = cl.clean_claims(claims)
     if persist:
         clean = materialize(clean, "clean")

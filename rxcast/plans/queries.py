@@ -3,9 +3,6 @@ operator of the survey, each reading the whole test tables."""
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +10,7 @@ from rxcast.operators import clean as cl
 from rxcast.operators import features as fe
 from rxcast.operators import multipliers as mu
 from rxcast.operators import predict as pr
-from rxcast.session import checkpoint_dir
+from rxcast.session import materialize
 from rxcast.sources.claims import claims_from_star
 
 QUERIES: dict = {}
@@ -32,9 +29,9 @@ def rounded(df: DataFrame, digits: int = 6, skip=()) -> DataFrame:
                        for c, t in df.dtypes])
 
 
-# Cleaned claims and predictions feed most queries; each is persisted once per
-# session and dataset (MEMORY_AND_DISK; lost blocks are recomputed from
-# lineage) instead of re-running the five-way join in every branch.
+# Cleaned claims and predictions feed most queries; each is materialized once
+# per session and dataset (see ``rxcast.session.materialize``) instead of
+# re-running the five-way join in every branch.
 _SHARED: dict = {}
 
 
@@ -47,32 +44,6 @@ def shared(spark: SparkSession, key: tuple, build) -> DataFrame:
     return df
 
 
-def materialize(df: DataFrame, name: str = "shared") -> DataFrame:
-    """Compute a shared intermediate once, now (a lazy persist would let AQE
-    start every branch at once, each missing the empty cache).
-
-    ``rxcast.materialize``: ``table`` writes it as Parquet under the shared
-    ``spark.checkpoint.dir`` and reads it back. That cuts the lineage, so a
-    lost executor costs a re-read instead of a recompute of the joins.
-    ``persist`` keeps it in executor memory/disk (lost blocks are recomputed
-    from lineage). ``auto`` (default) picks ``table`` when the cluster
-    names a checkpoint folder in its configuration, else ``persist``."""
-    spark = df.sparkSession
-    mode = spark.conf.get("rxcast.materialize", "auto").lower()
-    if mode == "auto":
-        mode = "table" if spark.sparkContext.getConf().get("spark.checkpoint.dir", None) else "persist"
-    if mode == "table":
-        path = f"{checkpoint_dir(spark).rstrip('/')}/rxcast-tables/{name}-{uuid.uuid4().hex}"
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    df.write.format("noop").mode("overwrite").save()
-    return df
-
-
-
-
-
 def release_shared() -> None:
     """Drop every shared intermediate (benchmarks, tests)."""
     for df in _SHARED.values():

@@ -48,7 +48,7 @@ def test_read_claims_csv_documented_subset(spark, tmp_path):
 
 
 def test_materialize_as_table_cuts_lineage(spark):
-    from rxcast.plans.queries import materialize
+    from rxcast.session import materialize
     df = spark.range(100).withColumn("x", F.col("id") * 2)
     spark.conf.set("rxcast.materialize", "table")
     try:
