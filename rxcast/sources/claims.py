@@ -134,8 +134,11 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     hash on ``keys`` (deterministic without the sort a round-robin split
     needs), round-robin without keys. Large inputs already have more splits
     than slots and are left untouched: no extra shuffle at scale."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= slots:
+            return df
+    except Exception:  # noqa: BLE001  (no RDD view, e.g. a Spark Connect session)
         return df
     return df.repartition(slots, *keys) if keys else df.repartition(slots)
 
