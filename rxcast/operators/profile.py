@@ -231,31 +231,42 @@ def component_features(df: DataFrame) -> DataFrame:
                   F.avg("patient_age").alias("age_mean"), F.stddev_samp("patient_age").alias("age_std"),
                   F.avg(F.when(F.col("reject_reason_1_cd").isNotNull(), 1.0).otherwise(0.0)).alias("reject_rate"))
 
+    # Every single-key grouping below comes from ONE grouping-sets aggregate:
+    # one scan and one (tiny, partially aggregated) shuffle instead of eight.
+    keys = ["patient_gender", "drug_brand_name", "year", "clinical_service_line", "prescriber_npi_nm",
+            "payer_channel_name", "month", "day_of_week"]
+    sets = c.groupingSets([[k] for k in keys], *keys).agg(
+        F.count(F.lit(1)).alias("_k"), F.avg(PAID).alias("_m"), money_sum(PAID).alias("_s"),
+        F.grouping_id().alias("_gid"))
+    full = (1 << len(keys)) - 1
+
+    def by(key):
+        bit = 1 << (len(keys) - 1 - keys.index(key))
+        # The selection references an aggregate output (_k), so Catalyst keeps it
+        # above the aggregate: all consumers share one aggregate (reused exchange)
+        # instead of each pushing its own filter into a separate scan.
+        pick = F.when(F.col("_k") > 0, (F.col("_gid") == full - bit) & F.col(key).isNotNull()).otherwise(False)
+        return sets.filter(pick).select(key, "_k", "_m", "_s")
+
     def cv_of_means(key):
-        g = c.filter(F.col(key).isNotNull()).groupBy(key).agg(F.avg(PAID).alias("_m"))
-        return g.agg(F.try_divide(F.stddev_samp("_m"), F.avg("_m")).alias(f"cv_{key}"))
+        return by(key).agg(F.try_divide(F.stddev_samp("_m"), F.avg("_m")).alias(f"cv_{key}"))
 
-    gender = (c.filter(F.col("patient_gender").isNotNull()).groupBy("patient_gender").agg(F.count(F.lit(1)).alias("_k"))
-              .agg(F.try_divide(F.max("_k"), F.sum("_k")).alias("_top"))
+    gender = (by("patient_gender").agg(F.try_divide(F.max("_k"), F.sum("_k")).alias("_top"))
               .select((1 - F.abs(F.col("_top") - 0.5) * 2).alias("gender_balance")))
-    drugs = (c.filter(F.col("drug_brand_name").isNotNull()).groupBy("drug_brand_name").agg(F.count(F.lit(1)).alias("_k")))
-    market = drugs.agg(F.sum("_k").alias("_t"), F.sum(F.col("_k") * F.col("_k")).alias("_sq"), F.max("_k").alias("_mx"),
-                       ).select((F.col("_sq") / (F.col("_t") * F.col("_t"))).alias("market_hhi"),
-                                (F.col("_mx") / F.col("_t") * 100).alias("leader_share_pct"))
-    years = c.filter(F.col("year").isNotNull()).groupBy("year").agg(money_sum(PAID).alias("_ys"))
-    growth = years.agg(F.count(F.lit(1)).alias("_ny"), F.min_by("_ys", "year").alias("_f"),
-                       F.max_by("_ys", "year").alias("_l")).select(
+    market = by("drug_brand_name").agg(F.sum("_k").alias("_t"), F.sum(F.col("_k") * F.col("_k")).alias("_sq"),
+                                       F.max("_k").alias("_mx")).select(
+        (F.col("_sq") / (F.col("_t") * F.col("_t"))).alias("market_hhi"),
+        (F.col("_mx") / F.col("_t") * 100).alias("leader_share_pct"))
+    growth = by("year").agg(F.count(F.lit(1)).alias("_ny"), F.min_by("_s", "year").alias("_f"),
+                            F.max_by("_s", "year").alias("_l")).select(
         F.when(F.col("_ny") > 1, (F.try_divide(F.col("_l"), F.col("_f")) - 1) * 100).alias("yoy_growth_pct"))
-    sl = c.filter(F.col("clinical_service_line").isNotNull()).groupBy("clinical_service_line").agg(
-        F.count(F.lit(1)).alias("_k"))
-    service = sl.agg(top_value("clinical_service_line").alias("top_service_line"),
-                     F.max("_k").alias("top_service_line_claims"), F.count(F.lit(1)).alias("service_line_diversity"))
-    hc = c.filter(F.col("prescriber_npi_nm").isNotNull()).groupBy("prescriber_npi_nm").agg(F.count(F.lit(1)).alias("_k"))
-    hcps = hc.agg(F.avg("_k").alias("avg_claims_per_hcp"), F.max("_k").alias("_top_hcp"))
+    service = by("clinical_service_line").agg(
+        top_value("clinical_service_line").alias("top_service_line"),
+        F.max("_k").alias("top_service_line_claims"), F.count(F.lit(1)).alias("service_line_diversity"))
+    hcps = by("prescriber_npi_nm").agg(F.avg("_k").alias("avg_claims_per_hcp"), F.max("_k").alias("_top_hcp"))
     status = c.agg(F.try_divide(F.count(F.when(F.col("transaction_status") == "Dispensed", 1)),
                                 F.count("transaction_status")).alias("approval_rate"))
-    payer = (c.filter(F.col("payer_channel_name").isNotNull()).groupBy("payer_channel_name")
-             .agg(F.count(F.lit(1)).alias("_k"), money_sum(PAID).alias("_ps")))
+    payer = by("payer_channel_name").withColumnRenamed("_s", "_ps")
     pay = payer.agg(F.min_by("payer_channel_name", F.struct((F.lit(0) - F.col("_ps")).alias("_neg"),
                                                             F.col("payer_channel_name"))).alias("top_payer"),
                     F.max("_ps").alias("_top_ps"))
