@@ -346,15 +346,19 @@ def importance(df: DataFrame) -> DataFrame:
               # pandas: a null status is "!= 'Dispensed'"
               F.avg(F.when(F.col("transaction_status") == "Dispensed", 0.0).otherwise(1.0)).alias("_not_disp"))
 
-    def std_of_means(key, agg=F.avg):
-        return (c.filter(F.col(key).isNotNull()).groupBy(key).agg(agg(PAID).alias("_m"))
-                .agg(F.stddev_samp("_m").alias(f"_sd_{key}")))
-
-    one = g
-    for t in (std_of_means("patient_gender"), std_of_means("month"), std_of_means("quarter"),
-              std_of_means("drug_brand_name"), std_of_means("prescriber_npi_nm", F.sum),
-              std_of_means("payer_channel_name")):
-        one = attach(one, t)
+    # Std of per-group means (per-prescriber sums) for six keys: one
+    # grouping-sets aggregate (one scan), then one conditional aggregate.
+    keys = ["patient_gender", "month", "quarter", "drug_brand_name", "prescriber_npi_nm", "payer_channel_name"]
+    sets = c.groupingSets([[k] for k in keys], *keys).agg(
+        F.avg(PAID).alias("_m"), F.sum(PAID).alias("_sm"), F.grouping_id().alias("_gid"))
+    full = (1 << len(keys)) - 1
+
+    def sd(key, value):
+        bit = 1 << (len(keys) - 1 - keys.index(key))
+        return F.stddev_samp(F.when((F.col("_gid") == full - bit) & F.col(key).isNotNull(), F.col(value)))
+
+    sds = sets.agg(*[sd(k, "_sm" if k == "prescriber_npi_nm" else "_m").alias(f"_sd_{k}") for k in keys])
+    one = attach(g, sds)
     z = lambda e: F.coalesce(e, F.lit(0.0))  # noqa: E731  (missing term adds nothing)
     scores = {
         "Patient Demographics": 0.5 + z(F.col("_age_corr")) * 0.3 + z(F.col("_sd_patient_gender") / F.col("_mean")) * 0.2,
