@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rxcast.llm.bpe import bpe_decode, bpe_encode, load_vocabulary
 from rxcast.llm.hilbert import hilbert_shards
+from rxcast.llm.minmax import near_duplicates
 
 QUERIES: dict = {}
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_minmax_near_dedup")
+def op1_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
 @query("op9_hilbert_sharding")
 def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards(table(spark, sf_dir, "documents"), 16)
