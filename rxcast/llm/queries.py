@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rxcast.llm.bpe import bpe_decode, bpe_encode, load_vocabulary
 from rxcast.llm.hilbert import hilbert_shards
+from rxcast.llm.iblt import fingerprint_edits
 from rxcast.llm.minmax import near_duplicates
 
 QUERIES: dict = {}
@@ -31,6 +32,13 @@ def op1_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
+@query("op7_iblt_fingerprints")
+def op7_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = fingerprint_edits(table(spark, sf_dir, "documents"))
+    return prints.select("doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+                         "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 @query("op9_hilbert_sharding")
 def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards(table(spark, sf_dir, "documents"), 16)
