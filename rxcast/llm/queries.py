@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rxcast.llm.bpe import bpe_decode, bpe_encode, load_vocabulary
+from rxcast.llm.cube import balanced_mix
 from rxcast.llm.hilbert import hilbert_shards
 from rxcast.llm.iblt import fingerprint_edits
 from rxcast.llm.minmax import near_duplicates
+from rxcast.llm.onebit import nearest
+from rxcast.llm.warc import read_archives, write_archives
 
 QUERIES: dict = {}
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -32,6 +35,22 @@ def op1_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
+@query("op3_warc_dictionary")
+def op3_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = read_archives(spark, write_archives(table(spark, sf_dir, "pages"), revisit_bytes=100))
+    own = F.col("type") == "response"
+    return records.select(
+        F.col("page").alias("page_id"), F.when(own, F.octet_length("payload")).otherwise(F.col("bytes")).cast("long").alias("payload_bytes"),
+        F.when(own, F.sha2("payload", 256)).otherwise(F.col("digest")).alias("payload_digest"),
+        F.col("type").alias("record_type"), "refers_to")
+
+
+@query("op4_cube_mix")
+def op4_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = balanced_mix(table(spark, sf_dir, "documents"), weights=(1, 2, 3), cap=3)
+    return mix.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 @query("op7_iblt_fingerprints")
 def op7_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = fingerprint_edits(table(spark, sf_dir, "documents"))
@@ -58,3 +77,8 @@ def token_digests(docs: DataFrame, vocabulary: str, keep: tuple[str, ...] = ("do
 @query("op6_bpe_merge_rounds")
 def op6_bpe_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+@query("op10_rotated_one_bit")
+def op10_rotated_one_bit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), k=20, every=20)
