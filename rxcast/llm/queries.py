@@ -13,6 +13,8 @@ from rxcast.llm.hilbert import hilbert_shards
 from rxcast.llm.iblt import fingerprint_edits
 from rxcast.llm.minmax import near_duplicates
 from rxcast.llm.onebit import nearest
+from rxcast.llm.puquality import quality_scores
+from rxcast.llm.toxic import toxicity_scores
 from rxcast.llm.warc import read_archives, write_archives
 
 QUERIES: dict = {}
@@ -63,6 +65,17 @@ def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards(table(spark, sf_dir, "documents"), 16)
 
 
+@query("op5_pu_quality")
+def op5_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=5, held_out=0, threshold=0.3)
+
+
+@query("op8_toxic_segments")
+def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=4, held_out=2, threshold=0.3)
+    return scores.select("doc_id", "held_out", "score", "predicted", F.size("segments").alias("n_segments"))
+
+
 def token_digests(docs: DataFrame, vocabulary: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Encode, decode what was encoded, and digest both."""
     v = load_vocabulary(vocabulary)
