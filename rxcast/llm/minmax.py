@@ -16,8 +16,9 @@ Groups stay distributed whatever their size:
 * in each band, nodes are first compared with the band's smallest node, not
   with each other (a join on the band, which Spark can split);
 * links inside a component that is already found can't change the result, so
-  a second round takes only bands that hold several components and compares
-  the nodes outside the band's largest component with all others there.
+  a second round takes only those smallest nodes whose band mates form several
+  components, and compares the mates outside the largest one with all others,
+  in blocks of bounded size on their full sets; only links leave a block.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rxcast.llm.bpe import chunks
+from rxcast.llm.bpe import chunks, ragged
 from rxcast.llm.tables import components, stored
 
 HASHES, ROWS = 144, 6
@@ -39,6 +40,8 @@ BANDS = 2 * HASHES // ROWS
 #: Of 256 sketch bits, the most that may differ: similarity 0.8 differs in 26 on average.
 MOST_BITS = 64
 CHUNK_BYTES = 4 << 20
+#: Shingles in a block of the second round, and matches counted at once.
+LEFT_SHINGLES, RIGHT_SHINGLES, AT_ONCE = 500_000, 2_000_000, 4_000_000
 _RNG = np.random.default_rng(20240229)
 _ODD = _RNG.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MUL = _RNG.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -148,6 +151,35 @@ def _linked(percent: int):
     return run
 
 
+def _crossed(percent: int):
+    """Links between the sets of a left and a right block whose components
+    differ, by counting matches in the sorted shingles of the right block."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not len(left) or not len(right):
+            return schema.empty_table()
+        (xs, nx, ix, rx), (ys, ny, iy, ry) = ((
+            np.frombuffer(b"".join(t["set"].to_pylist()), np.uint64), t["n"].to_numpy(), t["node"].to_numpy(),
+            t["root"].to_numpy()) for t in (left, right))
+        order = np.argsort(ys, kind="stable")
+        ys, owner = ys[order], np.repeat(np.arange(len(ny)), ny)[order]
+        first, last = np.searchsorted(ys, xs, "left"), np.searchsorted(ys, xs, "right")
+        ends, found = np.cumsum(nx), []
+        work = np.add.reduceat(last - first, ends - nx)
+        for a, b in chunks(work, AT_ONCE):
+            at = slice(ends[a] - nx[a], ends[b - 1])
+            hits = owner[ragged(first[at], (last - first)[at])]
+            who = np.repeat(np.repeat(np.arange(b - a), nx[a:b]), (last - first)[at])
+            common = np.bincount(who * len(ny) + hits, minlength=(b - a) * len(ny)).reshape(b - a, len(ny))
+            union = nx[a:b, None] + ny[None, :] - common
+            i, j = np.nonzero((100 * common >= percent * union) & (rx[a:b, None] != ry[None, :]))
+            found.append((ix[a:b][i], iy[j]))
+        one, two = (np.concatenate(c) for c in zip(*found, strict=True))
+        return pa.table([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], schema=schema)
+    return run
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) per row of ``docs``.
@@ -168,22 +200,30 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     banded = reps.select(F.col("id").alias("node"), F.explode("bands").alias("band"))
 
     low = banded.groupBy("band").agg(F.min("node").alias("low"), F.count("*").alias("of")).where("of > 1")
-    shared = stored(banded.join(low.select("band", "low"), "band"), "minmax-bands")
-    first = shared.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
-    found = _confirm(rows, _close(first, marks, percent), shingle, percent)
+    shared = stored(banded.join(low.select("band", "low"), "band").select("low", "node").distinct(), "minmax-bands")
+    # both sides of this join follow the input: no switch to a broadcast where they happen to be small
+    sets = stored(rows.join(shared.select(F.col("node").alias("id")).distinct().hint("merge"), "id", "left_semi")
+                  .mapInArrow(_sets(shingle), "id long, set binary").withColumnRenamed("id", "node"), "minmax-sets")
+    found = _confirm(_close(shared.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")), marks, percent),
+                     sets, percent)
 
     roots = components(found)
-    rooted = shared.join(roots, "node", "left").select("band", "node", "low", F.coalesce("root", "node").alias("root"))
-    per_root = rooted.groupBy("band", "root").agg(F.count("*").alias("of"))
-    open_ = per_root.groupBy("band").agg(F.count("*").alias("roots"), F.max_by("root", F.struct("of", "root")).alias("most")) \
-        .where("roots > 1").select("band", "most")
-    rest = stored(rooted.join(open_, "band").join(marks, "node"), "minmax-open")
+    rooted = shared.join(roots, "node", "left").select("low", "node", F.coalesce("root", "node").alias("root"))
+    open_ = rooted.groupBy("low", "root").agg(F.count("*").alias("of")).groupBy("low") \
+        .agg(F.count("*").alias("roots"), F.max_by("root", F.struct("of", "root")).alias("most")).where("roots > 1").select("low", "most")
+    rest = stored(rooted.join(open_, "low").join(marks.select("node", "n"), "node"), "minmax-open")
     if not rest.isEmpty():
-        x = rest.where("root <> most").select("band", *[F.col(c).alias(f"{c}_x") for c in ("node", "root", "low", "n", "s0", "s1", "s2", "s3")])
-        both = x.join(rest, (x["band"] == rest["band"]) & (x["root_x"] != rest["root"])
-                      & (F.col("node_x") != F.col("low")) & (F.col("node") != F.col("low_x")) & _alike("_x", "", percent))
-        second = both.select(F.least("node", "node_x").alias("a"), F.greatest("node", "node_x").alias("b")).distinct()
-        more = _confirm(rows, second, shingle, percent)
+        parts = rest.groupBy("low").agg(
+            F.ceil(F.sum("n") / RIGHT_SHINGLES).alias("ys"),
+            F.ceil(F.sum(F.when(F.col("root") != F.col("most"), F.col("n"))) / LEFT_SHINGLES).alias("xs"))
+        dealt = rest.join(parts, "low").join(sets, "node")
+        place = lambda of: F.pmod(F.xxhash64("node"), of)
+        every = lambda of: F.explode(F.sequence(F.lit(0), of - 1).cast("array<bigint>"))
+        left = dealt.where("root <> most").withColumn("x", place(F.col("xs"))).withColumn("y", every(F.col("ys")))
+        right = dealt.withColumn("y", place(F.col("ys"))).withColumn("x", every(F.col("xs")))
+        columns = ("low", "x", "y", "node", "root", "n", "set")
+        cut = lambda side: side.select(*columns).toDF(*columns).groupBy("low", "x", "y")
+        more = cut(left).cogroup(cut(right)).applyInArrow(_crossed(percent), "a long, b long").distinct()
         roots = components(found.union(more))
 
     grouped = nodes.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("component"))
@@ -207,12 +247,8 @@ def _close(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
         .where(_alike("_a", "_b", percent)).select("a", "b")
 
 
-def _confirm(rows: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets reach the threshold, as a written table."""
-    pairs = stored(pairs, "minmax-pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = stored(rows.join(wanted, "id", "left_semi").mapInArrow(_sets(shingle), "id long, set binary"), "minmax-sets")
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a") \
-        .join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
-    return stored(both.select("a", "b", "set_a", "set_b").mapInArrow(_linked(percent), "a long, b long").distinct(),
-                  "minmax-links")
+    side = lambda s: sets.select(F.col("node").alias(s), F.col("set").alias(f"set_{s}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b")
+    return stored(both.mapInArrow(_linked(percent), "a long, b long").distinct(), "minmax-links")
