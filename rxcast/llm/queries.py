@@ -11,6 +11,7 @@ from rxcast.llm.bpe import bpe_decode, bpe_encode, load_vocabulary
 from rxcast.llm.cube import balanced_mix
 from rxcast.llm.hilbert import hilbert_shards
 from rxcast.llm.iblt import fingerprint_edits
+from rxcast.llm.linejoin import dedup_lines
 from rxcast.llm.minmax import near_duplicates
 from rxcast.llm.onebit import nearest
 from rxcast.llm.puquality import quality_scores
@@ -37,6 +38,12 @@ def op1_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
+@query("op2_line_dedup")
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = dedup_lines(table(spark, sf_dir, "documents"), percent=80, least=3)
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"))
+
+
 @query("op3_warc_dictionary")
 def op3_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_archives(spark, write_archives(table(spark, sf_dir, "pages"), revisit_bytes=100))

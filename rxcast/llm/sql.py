@@ -2,4 +2,46 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+#: Distinct words per line, rarest first; every pair that shares one of the
+#: first n - ceil(0.8 n) + 1 is compared in full.
+LINE_DEDUP = r"""
+WITH lines AS (
+  SELECT doc_id, i - 1 AS line_no, ls[i] AS line,
+         list_distinct(list_filter(string_split_regex(lower(ls[i]), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS w
+  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM {docs} WHERE text IS NOT NULL))),
+sets AS (SELECT list_sort(w) AS w, len(w) AS n, min((doc_id, line_no)) AS first FROM lines WHERE len(w) >= 3 GROUP BY 1, 2),
+tokens AS (SELECT first, n, unnest(w) AS t FROM sets),
+ranked AS (SELECT t, first, n, row_number() OVER (PARTITION BY first ORDER BY df, t) AS r
+           FROM tokens JOIN (SELECT t, count(*) AS df FROM tokens GROUP BY t) USING (t)),
+rare AS (SELECT t, first, n FROM ranked WHERE r <= n - ceil(n * 8 / 10.0) + 1),
+pairs AS (SELECT DISTINCT a.first AS a, b.first AS b FROM rare a JOIN rare b ON a.t = b.t AND b.first < a.first
+          AND 10 * least(a.n, b.n) >= 8 * greatest(a.n, b.n)),
+gone AS (SELECT DISTINCT a FROM (
+  SELECT a, len(list_intersect(x.w, y.w)) AS common, x.n + y.n AS total
+  FROM pairs JOIN sets x ON x.first = a JOIN sets y ON y.first = b) WHERE 100 * common >= 80 * (total - common)),
+stays AS (SELECT first FROM sets WHERE first NOT IN (SELECT a FROM gone)),
+marked AS (SELECT doc_id, line_no, line, len(w) >= 3 AND (doc_id, line_no) NOT IN (SELECT first FROM stays) AS lost FROM lines),
+cleaned AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_removed,
+                   coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE NOT lost), '') AS text FROM marked GROUP BY doc_id)
+"""
+
+SQL: dict[str, str] = {
+    "op2_line_dedup": LINE_DEDUP.format(docs="documents") + """
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(c.text) AS text_sha256
+FROM documents d LEFT JOIN cleaned c USING (doc_id)""",
+    "op3_warc_dictionary": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY d) ELSE page_id END AS first FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to FROM f""",
+    "op10_rotated_one_bit": """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+FROM s QUALIFY rank <= 20""",
+}
