@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from rxcast.llm.tables import stored, word_count
 
 BLOCK, TINY = 2048, 1e-9
-COLUMNS = ["id", "source", "size", "place", "source_size", "target", "whole", "p", "order"]
+COLUMNS = ["id", "source", "size", "hash", "place", "source_size", "target", "whole", "p", "order"]
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3) -> DataFrame:
@@ -125,7 +125,7 @@ def land(p: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 def _block(seed: int, level: int) -> Callable:
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("size", "descending"), ("order", "ascending"), ("id", "ascending")])
+        rows = rows.sort_by([("size", "descending"), ("order", "ascending"), ("hash", "ascending")])
         first = rows.slice(0, 1).to_pylist()[0]
         rng = np.random.default_rng([seed, level, first["place"], first["block"]])
         x = rows["size"].to_numpy().astype(float)
@@ -137,7 +137,7 @@ def _block(seed: int, level: int) -> Callable:
 
 def balanced_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, seed: int = 11,
                  id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(id, source, size, source_size, target, copies, taken) per row.
+    """(id, source, size, source_size, target, copies, taken, text_hash) per row.
 
     ``size`` counts words (null text: 0); ``copies`` is how often the mix takes
     the document, ``taken`` copies times size. A null source is a source of its
@@ -147,11 +147,11 @@ def balanced_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int
     depends on ``seed``, ids and sizes only, so reruns agree. An empty table
     gives an empty result; other columns are ignored."""
     sized = stored(docs.select(docs[id_col].cast("long").alias("id"), docs[source_col].alias("source"),
-                               word_count(docs[text_col]).alias("size")), "mix-sizes")
+                               word_count(docs[text_col]).alias("size"), F.xxhash64(docs[text_col]).alias("hash")), "mix-sizes")
     targets = source_targets(sized, weights, cap).withColumnRenamed("source", "name")
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rows = sized.join(targets, F.col("source").eqNullSafe(F.col("name"))).select(
-        "id", "source", "size", F.crc32(F.encode(F.coalesce("source", F.lit("")), "UTF-8")).alias("place"), "source_size",
+        "id", "source", "size", "hash", F.crc32(F.encode(F.coalesce("source", F.lit("")), "UTF-8")).alias("place"), "source_size",
         "target", F.floor(share + TINY).cast("long").alias("whole"),
         F.greatest(F.lit(0.0), share - F.floor(share + TINY)).alias("p"), F.xxhash64(F.lit(seed), "id").alias("order"))
     open_ = (F.col("p") > TINY) & (F.col("p") < 1 - TINY)
@@ -174,4 +174,4 @@ def balanced_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int
         taken = taken.unionByName(more)
     copies = (F.col("whole") + F.round("p").cast("long")).cast("long")
     return taken.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
-                        copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+                        copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), F.col("hash").alias("text_hash"))

@@ -45,14 +45,14 @@ def hashes(line: Column) -> Column:
 
 
 def lookup(docs: DataFrame, wanted: DataFrame, how: str) -> DataFrame:
-    """Join on ``doc``: the few ``wanted`` rows are broadcast after a look at
+    """Join on ``__doc``: the few ``wanted`` rows are broadcast after a look at
     their number, else both sides are shuffled."""
     few = wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(wanted) if few else wanted.hint("merge"), "doc", how)
+    return docs.join(F.broadcast(wanted) if few else wanted.hint("merge"), "__doc", how)
 
 
 def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
-    """(doc, <columns of docs>) with a unique number that follows the id, and
+    """(__doc, <columns of docs>) with a unique number that follows the id, and
     the bits that a line number takes. Ids that are unique and leave room for
     the line number are kept, less their minimum; others are numbered anew in
     their order (nulls first, equal ids by the text's CRC)."""
@@ -62,9 +62,9 @@ def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, in
     bits = max(1, int(most or 1).bit_length())
     unique = total == known and docs.select(id_col).distinct().count() == total
     if unique and int((high or 0) - (low or 0)).bit_length() + bits <= 62:
-        return docs.withColumn("doc", ident.cast("long") - (low or 0)), bits
+        return docs.withColumn("__doc", ident.cast("long") - (low or 0)), bits
     ordered = docs.orderBy(ident.asc_nulls_first(), F.crc32(F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")))
-    return stored(ordered.withColumn("doc", F.monotonically_increasing_id()), "line-docs"), bits
+    return stored(ordered.withColumn("__doc", F.monotonically_increasing_id()), "line-docs"), bits
 
 
 def rarity(tokens: DataFrame) -> Column:
@@ -92,12 +92,12 @@ def fits(n: str, i: str, m: str, j: str, percent: int) -> Column:
 
 
 def removable(docs: DataFrame, bits: int, percent: int, least: int, text_col: str) -> DataFrame:
-    """(doc, gone): the numbers of the lines that an earlier one makes
+    """(__doc, __gone): the numbers of the lines that an earlier one makes
     superfluous, an array per document that has any."""
-    lines = docs.select("doc", F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
+    lines = docs.select("__doc", F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
     long_enough = F.size("t") >= least
     places = rarity(lines.select(hashes(F.col("line")).alias("t")).where(long_enough).select(F.explode("t").alias("token")))
-    at = F.shiftleft("doc", bits).bitwiseOR(F.col("line_no"))
+    at = F.shiftleft("__doc", bits).bitwiseOR(F.col("line_no"))
     need = F.ceil(F.lit(percent) * F.col("n") / 100)
     table = stored(lines.select(at.alias("at"), token_keys(F.col("line"), places).alias("t")).where(long_enough)
                    .select("at", F.xxhash64("t").alias("h1"), F.hash("t").alias("h2"), F.size("t").alias("n"), "t")
@@ -120,41 +120,42 @@ def removable(docs: DataFrame, bits: int, percent: int, least: int, text_col: st
 
     stays = table.groupBy("h1", "h2", "n").agg(F.min("at").alias("at")).select("at").join(gone, "at", "left_anti")
     lost = table.select("at").join(stays, "at", "left_anti")
-    return stored(lost.groupBy(F.shiftright("at", bits).alias("doc")).agg(
-        F.collect_list(F.col("at").bitwiseAND((1 << bits) - 1).cast("int")).alias("gone")), "line-gone")
+    return stored(lost.groupBy(F.shiftright("at", bits).alias("__doc")).agg(
+        F.collect_list(F.col("at").bitwiseAND((1 << bits) - 1).cast("int")).alias("__gone")), "line-gone")
 
 
 def similar(docs: DataFrame, pairs: DataFrame, bits: int, percent: int, text_col: str) -> DataFrame:
     """(at): first lines of the candidate pairs that reach the similarity."""
     pairs = stored(pairs, "line-pairs")
     ends = pairs.select("at").union(pairs.select("before")).distinct()
-    by_doc = ends.groupBy(F.shiftright("at", bits).alias("doc")).agg(
+    by_doc = ends.groupBy(F.shiftright("at", bits).alias("__doc")).agg(
         F.collect_list(F.col("at").bitwiseAND((1 << bits) - 1).cast("int")).alias("wanted"))
     # only the wanted lines of a document leave this projection
-    found = lookup(docs.select("doc", text_col), by_doc, "inner").select("doc", F.explode(F.expr(
+    found = lookup(docs.select("__doc", text_col), by_doc, "inner").select("__doc", F.explode(F.expr(
         f"transform(array(split(`{text_col}`, '\\n')), ls -> transform(wanted, i -> struct(i AS i, ls[i] AS line)))[0]")).alias("x"))
-    known = stored(found.select(F.shiftleft("doc", bits).bitwiseOR(F.col("x.i")).alias("at"), words(F.col("x.line")).alias("w")), "line-words")
+    known = stored(found.select(F.shiftleft("__doc", bits).bitwiseOR(F.col("x.i")).alias("at"), words(F.col("x.line")).alias("w")), "line-words")
     both = pairs.join(known, "at").join(known.select(F.col("at").alias("before"), F.col("w").alias("v")), "before")
     common = F.size(F.array_intersect("w", "v"))
     return stored(both.where(100 * common >= percent * (F.size("w") + F.size("v") - common)).select("at").distinct(), "line-similar")
 
 
-def dedup_lines(docs: DataFrame, percent: int = 80, least: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with the text less its removed lines, and
-    ``n_lines`` and ``n_removed`` beside (columns of those names and ``doc``
-    are replaced).
+def dedup_lines(docs: DataFrame, percent: int = 80, least: int = 3, id_col: str = "doc_id", text_col: str = "text",
+                lines_col: str = "n_lines", removed_col: str = "n_removed") -> DataFrame:
+    """The rows of ``docs`` with the text less its removed lines, and the
+    numbers of lines and of removed ones beside (their names replace columns
+    of ``docs``, as does ``__doc`` inside).
 
     Nulls: a null text has no line and stays null; a null id comes first. An
     empty text is one empty line. Rows that repeat an id are documents of
     their own, ordered by their texts' CRC, so of repeated rows all lines but
     the first row's go. An empty table gives an empty result."""
-    keep = [c for c in docs.columns if c not in ("doc", "n_lines", "n_removed")]
+    keep = [c for c in docs.columns if c not in ("__doc", lines_col, removed_col)]
     rows, bits = numbered(docs.select(*keep), id_col, text_col)
     gone = removable(rows, bits, percent, least, text_col)
     split = F.split(F.col(text_col), "\n")
     left = F.expr(f"transform(array(split(`{text_col}`, '\\n')), ls -> array_join(transform("
-                  "array_except(sequence(0, size(ls) - 1), gone), i -> ls[i]), '\\n'))[0]")
+                  "array_except(sequence(0, size(ls) - 1), __gone), i -> ls[i]), '\\n'))[0]")
     joined = lookup(rows, gone, "left")
-    return joined.select(*[F.when(F.col("gone").isNull(), F.col(c)).otherwise(left).alias(c) if c == text_col else F.col(c) for c in keep],
-                         F.when(F.col(text_col).isNull(), 0).otherwise(F.size(split)).cast("long").alias("n_lines"),
-                         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"))
+    return joined.select(*[F.when(F.col("__gone").isNull(), F.col(c)).otherwise(left).alias(c) if c == text_col else F.col(c) for c in keep],
+                         F.when(F.col(text_col).isNull(), 0).otherwise(F.size(split)).cast("long").alias(lines_col),
+                         F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias(removed_col))

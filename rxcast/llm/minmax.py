@@ -119,10 +119,10 @@ def _described(k: int):
                 upto = np.append(0, np.cumsum(np.where(n > 0, BANDS, 0)))
                 keys = pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(n), keys,
+                    [part.column("id"), part.column("hash"), pa.array(n), keys,
                      pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(bands.ravel())),
                      *[pa.array(np.ascontiguousarray(marks[:, i])) for i in range(4)]],
-                    names=["id", "n", "key", "bands", "s0", "s1", "s2", "s3"])
+                    names=["id", "hash", "n", "key", "bands", "s0", "s1", "s2", "s3"])
     return run
 
 
@@ -182,7 +182,7 @@ def _crossed(percent: int):
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, kept) per row of ``docs``.
+    """(id, n_shingles, component_id, kept, text_hash) per row of ``docs``.
 
     Documents are linked where 100 * intersection >= ``percent`` * union of
     their shingle sets; ``component_id`` is the smallest id reachable.
@@ -192,8 +192,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     in a group with an id it isn't. Other columns are ignored; an empty table
     gives an empty result."""
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    signed = stored(rows.mapInArrow(
-        _described(shingle), "id long, n long, key binary, bands array<long>, s0 long, s1 long, s2 long, s3 long"), "minmax")
+    signed = stored(rows.select("id", "text", F.xxhash64("text").alias("hash")).mapInArrow(
+        _described(shingle), "id long, hash long, n long, key binary, bands array<long>, s0 long, s1 long, s2 long, s3 long"), "minmax")
     nodes = stored(signed.where("n > 0 and id is not null").groupBy("key").agg(F.min("id").alias("node")), "minmax-nodes")
     reps = signed.join(nodes, (signed["id"] == nodes["node"]) & (signed["key"] == nodes["key"]), "left_semi")
     marks = reps.select(F.col("id").alias("node"), "n", "s0", "s1", "s2", "s3")
@@ -227,10 +227,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
         roots = components(found.union(more))
 
     grouped = nodes.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("component"))
-    return signed.select("id", "n", "key").join(grouped, "key", "left").select(
+    return signed.select("id", "hash", "n", "key").join(grouped, "key", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"),
-        F.col("id").eqNullSafe(F.coalesce("component", "id")).alias("kept"))
+        F.col("id").eqNullSafe(F.coalesce("component", "id")).alias("kept"), F.col("hash").alias("text_hash"))
 
 
 def _alike(x: str, y: str, percent: int):

@@ -72,8 +72,8 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in chunks(size, CHUNK_BYTES):
             part = batch.slice(a, b - a)
             x = np.array([statistics((t or "").encode("utf-8")) for t in part.column("text").to_pylist()], np.float64)
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.FixedSizeListArray.from_arrays(
-                pa.array(x.ravel()), STATISTICS).cast(pa.list_(pa.float64()))], names=["id", "x"])
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), pa.FixedSizeListArray.from_arrays(
+                pa.array(x.ravel()), STATISTICS).cast(pa.list_(pa.float64()))], names=["id", "key", "x"])
 
 
 def steps(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
@@ -116,7 +116,7 @@ def minimise(p: np.ndarray, u: np.ndarray, prior: float, rounds: int = 2000) ->
 
 def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, threshold: float = 0.3,
                    id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """(id, held_out, score, predicted) per row of ``docs``.
+    """(id, held_out, score, predicted, text_hash) per row of ``docs``.
 
     Labels count only where CRC-32 of the id as text modulo ``folds`` isn't
     ``held_out``. ``predicted`` is 1 from ``threshold`` on. A null text is
@@ -125,8 +125,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out:
     count. Rows that repeat an id are scored each. Without a positive label in
     the learning folds every score is 1 (nothing is rejected); an empty table
     gives an empty result. Other columns are never read."""
-    rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    described = stored(rows.mapInArrow(_described, "id long, x array<double>"), "quality")
+    rows = docs.select(docs[id_col].cast("long").alias("id"), F.xxhash64(docs[text_col]).alias("key"), docs[text_col].alias("text"))
+    described = stored(rows.mapInArrow(_described, "id long, key long, x array<double>"), "quality")
     known = clear_labels(labels, id_col, label_col).where(fold(F.col("id"), folds) != held_out)
     counts = known.agg(F.count("*"), F.sum("label")).first()
     mine = F.coalesce(fold(F.col("id"), folds) == held_out, F.lit(False))
@@ -149,10 +149,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out:
         for batch in batches:
             x = batch.column("x").flatten().to_numpy().reshape(-1, STATISTICS)
             g = np.ones(len(x)) if weights is None else steps(x, edges) @ weights
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("held_out"), pa.array(np.clip(g, -2, 2))],
-                                             names=["id", "held_out", "g"])
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("id", "key", "held_out")] + [pa.array(np.clip(g, -2, 2))],
+                                             names=["id", "key", "held_out", "g"])
 
-    judged = described.select("id", mine.alias("held_out"), "x").mapInArrow(run, "id long, held_out boolean, g double")
+    judged = described.select("id", "key", mine.alias("held_out"), "x").mapInArrow(run, "id long, key long, held_out boolean, g double")
     if weights is None:
         scored = judged.withColumn("score", F.lit(1.0))
     else:
@@ -165,8 +165,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out:
             for b in batches:
                 g = b.column("g").to_numpy()
                 score = 0.999 * np.interp(g, at, shares) + 0.001 * (g + 2) / 4
-                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("held_out"), pa.array(np.clip(score, 0, 1))],
-                                                 names=["id", "held_out", "score"])
+                yield pa.RecordBatch.from_arrays([b.column(c) for c in ("id", "key", "held_out")] + [pa.array(np.clip(score, 0, 1))],
+                                                 names=["id", "key", "held_out", "score"])
 
-        scored = judged.mapInArrow(calibrate, "id long, held_out boolean, score double")
-    return scored.select(F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+        scored = judged.mapInArrow(calibrate, "id long, key long, held_out boolean, score double")
+    return scored.select(F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"),
+                         F.col("key").alias("text_hash"))

@@ -77,3 +77,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         seen = now
     roots = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+
+
+#: Rows up to which a set of row keys is broadcast: a long or two each.
+BROADCAST_ROWS = 2_000_000
+
+
+def match_rows(docs: DataFrame, judged: DataFrame, how: str, *values: str, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """Join ``docs`` with judged rows on the id (nulls match) and the hash of
+    the text; ``values`` come along in an inner join. The judged keys are
+    broadcast after a look at their number, beyond ``BROADCAST_ROWS`` both
+    sides are shuffled."""
+    keys = judged.select(F.col(id_col).alias("__id"), F.col("text_hash").alias("__key"), *values)
+    if how != "inner":
+        keys = keys.distinct()
+    few = keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    same = docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__key"))
+    return docs.join(F.broadcast(keys) if few else keys.hint("merge"), same, how).select(*docs.columns, *values)
