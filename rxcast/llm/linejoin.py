@@ -7,41 +7,48 @@ tokens are too short to tell and stay.
 
 * Lines with equal tokens are one set, known by its first occurrence: later
   occurrences go, and the first goes if a similar set begins earlier.
-* Tokens are ordered by rarity, counted over all lines. Counts are kept per
-  slot of the token's hash (``SLOTS`` of them, so the table has one size for
-  any input); any fixed order is exact, rarity only makes it fast.
-* Of a set of n tokens only the first n - ceil(percent * n) + 1 are posted, as
-  (token, set, size, place): similar sets share one of them. Sizes and places
-  must leave room for the overlap.
-* What matters is whether an earlier partner exists. So postings first meet
-  only the earliest set of their token; sets that this removes need no other
-  partner, and the rest meet all earlier postings of their tokens. A large
-  group of near copies is thereby linear, not quadratic.
+* Only the existence of an earlier partner matters. So sets are first held
+  against the earliest set that has the same three smallest, or three largest,
+  token hashes: this removes most of a large group of near copies in linear
+  work, and what it removes needs no other partner.
+* The rest is exact. Tokens are ordered by rarity, counted over all lines;
+  counts are kept per slot of the token's hash (``SLOTS`` of them, so the table
+  has one size for any input; any fixed order is exact, rarity makes it fast).
+  Of n tokens the first n - ceil(percent * n) + 1 are posted, as (token, set,
+  size, place), and similar sets meet at the first token that they share. Sizes
+  and places must leave room for the overlap (length and positional filters),
+  and so must a 64-bit parity sketch: each token in only one of two sets flips
+  one bit, so the bits that differ bound the difference from below.
 * Candidates are verified on the words of both lines.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rxcast.llm.tables import stored
 
-SLOT_BITS = 14
+SLOT_BITS = 18
 SLOTS = 1 << SLOT_BITS
 #: Documents up to which the ids that a join looks for are broadcast (8 bytes each, or a few with line numbers).
 BROADCAST_IDS = 2_000_000
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-def words(line: Column) -> Column:
-    """Distinct words of a line."""
-    return F.array_distinct(F.array_remove(F.split(F.lower(line), SPACE), ""))
+def split_words(line: Column) -> Column:
+    """Words of a line in lower case; blanks alone split faster than a pattern."""
+    lower, other = F.lower(line), F.lit(False)
+    for c in "\t\v\f\r":
+        other = other | F.contains(line, F.lit(c))
+    return F.array_remove(F.when(other, F.split(lower, SPACE)).otherwise(F.split(lower, " ")), "")
 
 
-def hashes(line: Column) -> Column:
-    """Distinct 64-bit hashes of a line's words."""
-    return F.array_distinct(F.transform(F.array_remove(F.split(F.lower(line), SPACE), ""), lambda w: F.xxhash64(w)))
+def words(line: Column) -> Column:
+    """Distinct words of a line."""
+    return F.array_distinct(split_words(line))
 
 
 def lookup(docs: DataFrame, wanted: DataFrame, how: str) -> DataFrame:
@@ -67,55 +74,65 @@ def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, in
     return stored(ordered.withColumn("__doc", F.monotonically_increasing_id()), "line-docs"), bits
 
 
-def rarity(tokens: DataFrame) -> Column:
-    """Literal array: the place of each slot when slots are sorted by count."""
-    slot = F.col("token").bitwiseAND(SLOTS - 1)
-    counts = tokens.groupBy(slot.alias("slot")).agg(F.count("*").alias("n")).toPandas()  # SLOTS rows at most
-    n = dict(zip(counts["slot"].tolist(), counts["n"].tolist(), strict=True))
-    place = {s: i for i, s in enumerate(sorted(range(SLOTS), key=lambda s: (n.get(s, 0), s)))}
-    return F.split(F.lit(",".join(str(place[s] - SLOTS // 2) for s in range(SLOTS))), ",").cast("array<bigint>")
-
-
-def token_keys(line: Column, places: Column) -> Column:
-    """The distinct tokens of a line, rarest first: the slot's place above the
-    other bits of the hash, so a key is a token."""
-    key = lambda h: F.shiftleft(F.coalesce(F.get(places, h.bitwiseAND(SLOTS - 1).cast("int")), F.lit(0)), 64 - SLOT_BITS) \
-        .bitwiseOR(F.shiftrightunsigned(h, SLOT_BITS))
-    return F.sort_array(F.transform(hashes(line), key))
+def rarity(lines: DataFrame) -> Column:
+    """Literal string of SLOTS characters: the class of each slot's count,
+    eight to an octave."""
+    slot = F.xxhash64("token").bitwiseAND(SLOTS - 1)
+    counts = lines.select(F.explode(split_words(F.col("line"))).alias("token")).groupBy(slot.alias("slot")) \
+        .agg(F.count("*").alias("n")).toPandas()  # SLOTS rows at most
+    classes = bytearray(b"\x01" * SLOTS)
+    for s, n in zip(counts["slot"].tolist(), counts["n"].tolist(), strict=True):
+        classes[s] = min(126, 2 + int(8 * math.log2(n)))
+    return F.lit(bytes(classes))
+
+
+def described(lines: DataFrame, classes: Column, percent: int, least: int) -> DataFrame:
+    """(at, h1, h2, n, near1, near2, sketch, rare) of the lines with enough
+    tokens: hashes of the set, of its extremes, the parity sketch, and the
+    posted tokens, rarest first. A token's key is its slot's class above the
+    higher bits of its hash."""
+    key = lambda h: F.shiftleft(F.ascii(F.substring(classes, (h.bitwiseAND(SLOTS - 1) + 1).cast("int"), 1).cast("string")).cast("bigint"), 56) \
+        .bitwiseOR(F.shiftrightunsigned(h, 8))
+    flip = lambda b, h: b.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(h, 32).bitwiseAND(63).cast("int")))
+    sets = lines.select("at", F.sort_array(F.array_distinct(F.transform(split_words(F.col("line")), lambda w: F.xxhash64(w)))).alias("t")) \
+        .where(F.size("t") >= least).withColumn("n", F.size("t"))
+    need = F.ceil(F.lit(percent) * F.col("n") / 100)
+    return sets.select("at", F.xxhash64("t").alias("h1"), F.hash("t").alias("h2"), "n", F.xxhash64(F.slice("t", 1, 3)).alias("near1"),
+                       F.xxhash64(F.lit(1), F.slice("t", -3, 3)).alias("near2"), F.aggregate("t", F.lit(0).cast("bigint"), flip).alias("sketch"),
+                       F.slice(F.sort_array(F.transform("t", key)), F.lit(1), (F.col("n") - need + 1).cast("int")).alias("rare"))
 
 
-def fits(n: str, i: str, m: str, j: str, percent: int) -> Column:
-    """Length filter, and positional filter for a token at places i and j."""
-    a, b = F.col(n), F.col(m)
-    most = F.least(i, j) + F.least(a - F.col(i), b - F.col(j))
-    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & ((100 + percent) * most >= percent * (a + b))
+def fits(percent: int) -> Column:
+    """Length, positional and sketch filters for sets of n and m tokens that
+    first meet at places i and j."""
+    n, m = F.col("n"), F.col("m")
+    room = F.least(n - F.col("i"), m - F.col("j"))
+    apart = F.bit_count(F.col("sketch").bitwiseXOR(F.col("marks")))
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * room >= percent * (n + m)) \
+        & ((100 + percent) * (n + m - apart) >= 2 * percent * (n + m))
 
 
 def removable(docs: DataFrame, bits: int, percent: int, least: int, text_col: str) -> DataFrame:
     """(__doc, __gone): the numbers of the lines that an earlier one makes
     superfluous, an array per document that has any."""
     lines = docs.select("__doc", F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
-    long_enough = F.size("t") >= least
-    places = rarity(lines.select(hashes(F.col("line")).alias("t")).where(long_enough).select(F.explode("t").alias("token")))
     at = F.shiftleft("__doc", bits).bitwiseOR(F.col("line_no"))
-    need = F.ceil(F.lit(percent) * F.col("n") / 100)
-    table = stored(lines.select(at.alias("at"), token_keys(F.col("line"), places).alias("t")).where(long_enough)
-                   .select("at", F.xxhash64("t").alias("h1"), F.hash("t").alias("h2"), F.size("t").alias("n"), "t")
-                   .select("at", "h1", "h2", "n", F.slice("t", F.lit(1), (F.col("n") - need + 1).cast("int")).alias("rare")), "lines")
-
-    sets = table.groupBy("h1", "h2", "n").agg(F.min("at").alias("at"), F.any_value("rare").alias("rare"))
-    posted = sets.select("at", "n", F.posexplode("rare").alias("i", "token"))
-    first = posted.groupBy("token").agg(F.min(F.struct("at", "n", "i")).alias("e"), F.count("*").alias("of")).where("of > 1") \
-        .select("token", F.col("e.at").alias("e_at"), F.col("e.n").alias("e_n"), F.col("e.i").alias("e_i"))
-    shared = stored(posted.join(first, "token"), "line-postings")
-    star = shared.where((F.col("e_at") < F.col("at")) & fits("n", "i", "e_n", "e_i", percent)) \
-        .select("at", F.col("e_at").alias("before")).distinct()
+    table = stored(described(lines.select(at.alias("at"), "line"), rarity(lines), percent, least), "lines")
+
+    firsts = table.groupBy("h1", "h2", "n").agg(F.min("at").alias("at"), F.any_value("near1").alias("near1"), F.any_value("near2").alias("near2"))
+    ends = firsts.select("at", F.explode(F.array("near1", "near2")).alias("near"))
+    heads = ends.groupBy("near").agg(F.min("at").alias("before"), F.count("*").alias("of")).where("of > 1").select("near", "before")
+    star = ends.join(heads, "near").where("before < at").select("at", "before").distinct()
     gone = similar(docs, star, bits, percent, text_col)
 
-    open_ = shared.select("token", "at", "n", "i").join(gone, "at", "left_anti")
-    other = shared.select("token", F.col("at").alias("before"), F.col("n").alias("m"), F.col("i").alias("j"), "e_at")
-    rest = open_.join(other, "token").where((F.col("before") < F.col("at")) & (F.col("before") != F.col("e_at"))
-                                            & fits("n", "i", "m", "j", percent)).select("at", "before").distinct()
+    sets = table.groupBy("h1", "h2", "n").agg(F.min("at").alias("at"), F.any_value("sketch").alias("sketch"), F.any_value("rare").alias("rare"))
+    sets = sets.join(gone.select("at", F.lit(True).alias("done")), "at", "left").withColumn("open", F.col("done").isNull())
+    # postings are shuffled once: both sides of the join read the same exchange
+    posted = sets.select("at", "n", "sketch", "open", F.posexplode("rare").alias("i", "token"))
+    other = posted.select(F.col("token").alias("same"), F.col("at").alias("before"), F.col("n").alias("m"), F.col("i").alias("j"),
+                          F.col("sketch").alias("marks"))
+    rest = posted.join(other, F.col("token") == F.col("same")).where(F.col("open") & (F.col("before") < F.col("at")) & fits(percent)) \
+        .select("at", "before").distinct()
     gone = gone.union(similar(docs, rest, bits, percent, text_col)).distinct()
 
     stays = table.groupBy("h1", "h2", "n").agg(F.min("at").alias("at")).select("at").join(gone, "at", "left_anti")
