@@ -9,8 +9,9 @@ taken, documents taken) until one of them reaches 0 or 1, so both totals stay
 exactly as they are. The largest go first, each against all others of its
 block, or else one of them would stay open to the end; the rest move three at
 a time. A block ends with two open ones at most; these form the blocks of the
-next level, and so on until a source has one block, whose last two are landed
-by the rounding that misses the word total least.
+next level, and so on until a source has one block. That one keeps its last
+``LANDING`` open documents, and all their roundings are compared: the one that
+misses the word total least, then the document total, is taken.
 
 Blocks hold about ``BLOCK`` documents whatever the table, so a source of any
 size is many small groups; the number of levels grows with the logarithm of
@@ -20,7 +21,6 @@ the table.
 from __future__ import annotations
 
 from collections.abc import Callable
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from rxcast.llm.tables import stored, word_count
 
-BLOCK, TINY = 2048, 1e-9
+BLOCK, LANDING, TINY = 2048, 12, 1e-9
 COLUMNS = ["id", "source", "size", "hash", "place", "source_size", "target", "whole", "p", "order"]
 
 
@@ -53,7 +53,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap:
     return per.select("source", "source_size", F.least(F.col("most"), F.coalesce(F.col("water") * F.col("weight"), F.col("most"))).alias("target"))
 
 
-def settle_largest(p: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+def settle_largest(p: np.ndarray, x: np.ndarray, rng: np.random.Generator, stop: int = 2) -> np.ndarray:
     """Bring the largest documents to 0 or 1, each along the null-space vector
     nearest to its own axis among all open ones (weighted by their room)."""
     p, scaled = p.copy(), x / max(x.max(initial=0), 1)
@@ -62,7 +62,7 @@ def settle_largest(p: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np
     for top in order[:max(64, len(order) // 10)]:
         while 0 < p[top] < 1:
             at = np.flatnonzero((p > 0) & (p < 1))
-            if len(at) <= 2:
+            if len(at) <= stop:
                 return p
             a, room = np.stack([scaled[at], np.ones(len(at))]), p[at] * (1 - p[at])
             own = np.flatnonzero(at == top)[0]
@@ -81,14 +81,16 @@ def settle_largest(p: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np
     return p
 
 
-def flight(p: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Move probabilities through the null space of (x, 1) until at most two
-    are open; sums of p * x and of p are kept."""
+def flight(p: np.ndarray, x: np.ndarray, rng: np.random.Generator, stop: int = 2) -> np.ndarray:
+    """Move probabilities through the null space of (x, 1) until at most ``stop``
+    (two or more) are open; sums of p * x and of p are kept."""
     p, x = p.tolist(), x.tolist()
     waiting = [i for i, v in enumerate(p) if TINY < v < 1 - TINY][::-1]
     held: list[int] = []
     draws = iter(rng.random(len(waiting) * 3 + 3).tolist())
     while True:
+        if stop > 2 and len(held) + len(waiting) <= stop:
+            return np.array(p)
         while len(held) < 3 and waiting:
             held.append(waiting.pop())
         if len(held) == 3:
@@ -114,12 +116,13 @@ def flight(p: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarray
 
 
 def land(p: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Round what is open (two at most) so that the sum of p * x moves least,
-    then the sum of p."""
+    """Round what is open (``LANDING`` at most) so that the sum of p * x moves
+    least, then the sum of p."""
     open_ = np.flatnonzero((p > 0) & (p < 1))
+    ways = (np.arange(1 << len(open_))[:, None] >> np.arange(len(open_))) & 1
+    off = ways - p[open_]
     out = p.copy()
-    out[open_] = min(product((0.0, 1.0), repeat=len(open_)), key=lambda s: (
-        abs(((np.array(s) - p[open_]) * x[open_]).sum()), abs((np.array(s) - p[open_]).sum()), s))
+    out[open_] = ways[np.lexsort((np.abs(off.sum(axis=1)), np.abs(off @ x[open_]).round(6)))[0]]
     return out
 
 
@@ -129,7 +132,8 @@ def _block(seed: int, level: int) -> Callable:
         first = rows.slice(0, 1).to_pylist()[0]
         rng = np.random.default_rng([seed, level, first["place"], first["block"]])
         x = rows["size"].to_numpy().astype(float)
-        p = flight(settle_largest(rows["p"].to_numpy().copy(), x, rng), x, rng)
+        stop = LANDING if first["blocks"] == 1 else 2
+        p = flight(settle_largest(rows["p"].to_numpy().copy(), x, rng, stop), x, rng, stop)
         p = land(p, x) if first["blocks"] == 1 else p
         return rows.set_column(rows.column_names.index("p"), "p", pa.array(p)).select(COLUMNS)
     return run

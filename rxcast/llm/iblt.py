@@ -179,7 +179,7 @@ def range_of(value, cuts: list[int]):
     below = lambda xs, v: F.array_size(F.filter(xs, lambda c: c < v))
     group = below(F.lit([g[-1] for g in groups]).cast("array<bigint>"), value)
     fine = F.get(F.lit(groups).cast("array<array<bigint>>"), group)
-    return F.coalesce(group * step + F.coalesce(below(fine, value), F.lit(0)), F.lit(0))
+    return F.coalesce(F.least(group * step + F.coalesce(below(fine, value), F.lit(0)), F.lit(len(cuts))), F.lit(0))
 
 
 def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -26,7 +26,39 @@ cleaned AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS
                    coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE NOT lost), '') AS text FROM marked GROUP BY doc_id)
 """
 
+#: CRC-32 by its table, and Skilling's transform of the cells, step by step.
+HILBERT = """
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+bytes AS (SELECT doc_id, list_transform(range(octet_length(encode(x))), lambda i: ('0x' || substr(hex(encode(x)), 2 * i + 1, 2))::BIGINT) AS b
+          FROM (SELECT doc_id, coalesce(text, '') AS x FROM documents)),
+crcs AS (SELECT doc_id, xor(list_reduce(b, lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS crc FROM bytes, crc),
+ends AS (SELECT count(*) AS total, min(doc_id) AS low, max(doc_id) AS high FROM documents),
+base AS (SELECT doc_id, crc, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+    ('0x' || substr(md5(coalesce(lang, '')), 1, 1))::INT AS x0, ('0x' || substr(md5(coalesce(source, '')), 1, 1))::INT AS x1,
+    least(15, length(bin(octet_length(encode(coalesce(text, ''))) + 1)) - 1)::INT AS x2,
+    least(15, floor((doc_id - low) / (high - low + 1.0) * 16))::INT AS x3,
+    ('0x' || substr(md5(doc_id::VARCHAR), 1, 4))::INT AS h FROM documents JOIN crcs USING (doc_id), ends),
+undo AS (
+  SELECT x0 AS c0, x1 AS c1, x2 AS c2, x3 AS c3, x0 AS a0, x1 AS a1, x2 AS a2, x3 AS a3, 0 AS k FROM (SELECT DISTINCT x0, x1, x2, x3 FROM base)
+  UNION ALL
+  SELECT c0, c1, c2, c3,
+    CASE WHEN a & q <> 0 THEN xor(a0, q - 1) WHEN i = 0 THEN a0 ELSE xor(a0, xor(a0, a) & (q - 1)) END,
+    CASE WHEN a & q = 0 AND i = 1 THEN xor(a1, xor(a0, a1) & (q - 1)) ELSE a1 END,
+    CASE WHEN a & q = 0 AND i = 2 THEN xor(a2, xor(a0, a2) & (q - 1)) ELSE a2 END,
+    CASE WHEN a & q = 0 AND i = 3 THEN xor(a3, xor(a0, a3) & (q - 1)) ELSE a3 END, k + 1
+  FROM (SELECT *, (8 >> (k // 4))::INT AS q, k % 4 AS i, CASE k % 4 WHEN 0 THEN a0 WHEN 1 THEN a1 WHEN 2 THEN a2 ELSE a3 END AS a FROM undo WHERE k < 12)),
+gray AS (SELECT c0, c1, c2, c3, a0 AS g0, xor(a0, a1) AS g1, xor(xor(a0, a1), a2) AS g2, xor(xor(xor(a0, a1), a2), a3) AS g3 FROM undo WHERE k = 12),
+turned AS (SELECT *, xor(xor(CASE WHEN g3 & 2 <> 0 THEN 1 ELSE 0 END, CASE WHEN g3 & 4 <> 0 THEN 3 ELSE 0 END), CASE WHEN g3 & 8 <> 0 THEN 7 ELSE 0 END) AS t FROM gray),
+curves AS (SELECT c0, c1, c2, c3, list_sum(list_transform(range(16), lambda k:
+    ((([xor(g0, t), xor(g1, t), xor(g2, t), xor(g3, t)])[k % 4 + 1] >> (3 - k // 4)) & 1) << (15 - k)))::BIGINT AS curve FROM turned),
+placed AS (SELECT doc_id, size, crc, curve, total, row_number() OVER (ORDER BY curve, h, doc_id, size, crc) - 1 AS r
+           FROM base JOIN curves ON x0 = c0 AND x1 = c1 AND x2 = c2 AND x3 = c3, ends)
+SELECT doc_id, size::BIGINT AS size, crc AS text_crc32, 'rows' AS law, (r * 16 // total)::INT AS shard,
+       (r - ((r * 16 // total) * total + 15) // 16)::BIGINT AS slot, NULL::INT AS grown_shard, curve FROM placed"""
+
 SQL: dict[str, str] = {
+    "op9_hilbert_sharding": HILBERT,
     "op2_line_dedup": LINE_DEDUP.format(docs="documents") + """
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(c.text) AS text_sha256
 FROM documents d LEFT JOIN cleaned c USING (doc_id)""",
