@@ -60,13 +60,12 @@ def lookup(docs: DataFrame, wanted: DataFrame, how: str) -> DataFrame:
 
 def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
     """(__doc, <columns of docs>) with a unique number that follows the id, and
-    the bits that a line number takes. Ids that are unique and leave room for
+    bits that hold any line number. Ids that are unique and leave room for
     the line number are kept, less their minimum; others are numbered anew in
     their order (nulls first, equal ids by the text's CRC)."""
     ident = F.col(id_col)
-    lines = F.size(F.split(F.col(text_col), "\n"))
-    total, known, low, high, most = docs.agg(F.count("*"), F.count(ident), F.min(ident), F.max(ident), F.max(lines)).first()
-    bits = max(1, int(most or 1).bit_length())
+    total, known, low, high, most = docs.agg(F.count("*"), F.count(ident), F.min(ident), F.max(ident), F.max(F.octet_length(text_col))).first()
+    bits = (int(most or 0) + 1).bit_length()  # no text has more lines than bytes and one
     unique = total == known and docs.select(id_col).distinct().count() == total
     if unique and int((high or 0) - (low or 0)).bit_length() + bits <= 62:
         return docs.withColumn("__doc", ident.cast("long") - (low or 0)), bits
@@ -75,15 +74,14 @@ def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, in
 
 
 def rarity(lines: DataFrame) -> Column:
-    """Literal string of SLOTS characters: the class of each slot's count,
-    eight to an octave."""
+    """Literal array: the class of each slot's count, eight to an octave."""
     slot = F.xxhash64("token").bitwiseAND(SLOTS - 1)
     counts = lines.select(F.explode(split_words(F.col("line"))).alias("token")).groupBy(slot.alias("slot")) \
         .agg(F.count("*").alias("n")).toPandas()  # SLOTS rows at most
-    classes = bytearray(b"\x01" * SLOTS)
+    classes = [1] * SLOTS
     for s, n in zip(counts["slot"].tolist(), counts["n"].tolist(), strict=True):
         classes[s] = min(126, 2 + int(8 * math.log2(n)))
-    return F.lit(bytes(classes))
+    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")  # folded to a literal
 
 
 def described(lines: DataFrame, classes: Column, percent: int, least: int) -> DataFrame:
@@ -91,9 +89,9 @@ def described(lines: DataFrame, classes: Column, percent: int, least: int) -> Da
     tokens: hashes of the set, of its extremes, the parity sketch, and the
     posted tokens, rarest first. A token's key is its slot's class above the
     higher bits of its hash."""
-    key = lambda h: F.shiftleft(F.ascii(F.substring(classes, (h.bitwiseAND(SLOTS - 1) + 1).cast("int"), 1).cast("string")).cast("bigint"), 56) \
+    key = lambda h: F.shiftleft(F.coalesce(F.get(classes, h.bitwiseAND(SLOTS - 1).cast("int")), F.lit(1)), 56) \
         .bitwiseOR(F.shiftrightunsigned(h, 8))
-    flip = lambda b, h: b.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftright(h, 32).bitwiseAND(63).cast("int")))
+    flip = lambda b, h: b.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(63).cast("int")))
     sets = lines.select("at", F.sort_array(F.array_distinct(F.transform(split_words(F.col("line")), lambda w: F.xxhash64(w)))).alias("t")) \
         .where(F.size("t") >= least).withColumn("n", F.size("t"))
     need = F.ceil(F.lit(percent) * F.col("n") / 100)
@@ -102,14 +100,17 @@ def described(lines: DataFrame, classes: Column, percent: int, least: int) -> Da
                        F.slice(F.sort_array(F.transform("t", key)), F.lit(1), (F.col("n") - need + 1).cast("int")).alias("rare"))
 
 
-def fits(percent: int) -> Column:
-    """Length, positional and sketch filters for sets of n and m tokens that
-    first meet at places i and j."""
+def alike(percent: int) -> Column:
+    """Length and sketch filters for sets of n and m tokens."""
     n, m = F.col("n"), F.col("m")
-    room = F.least(n - F.col("i"), m - F.col("j"))
     apart = F.bit_count(F.col("sketch").bitwiseXOR(F.col("marks")))
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * room >= percent * (n + m)) \
-        & ((100 + percent) * (n + m - apart) >= 2 * percent * (n + m))
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * (n + m - apart) >= 2 * percent * (n + m))
+
+
+def reach(percent: int) -> Column:
+    """Positional filter for sets that first meet at places i and j."""
+    n, m = F.col("n"), F.col("m")
+    return (100 + percent) * F.least(n - F.col("i"), m - F.col("j")) >= percent * (n + m)
 
 
 def removable(docs: DataFrame, bits: int, percent: int, least: int, text_col: str) -> DataFrame:
@@ -119,19 +120,20 @@ def removable(docs: DataFrame, bits: int, percent: int, least: int, text_col: st
     at = F.shiftleft("__doc", bits).bitwiseOR(F.col("line_no"))
     table = stored(described(lines.select(at.alias("at"), "line"), rarity(lines), percent, least), "lines")
 
-    firsts = table.groupBy("h1", "h2", "n").agg(F.min("at").alias("at"), F.any_value("near1").alias("near1"), F.any_value("near2").alias("near2"))
-    ends = firsts.select("at", F.explode(F.array("near1", "near2")).alias("near"))
-    heads = ends.groupBy("near").agg(F.min("at").alias("before"), F.count("*").alias("of")).where("of > 1").select("near", "before")
-    star = ends.join(heads, "near").where("before < at").select("at", "before").distinct()
+    firsts = table.groupBy("h1", "h2", "n").agg(F.min("at").alias("at"), *[F.any_value(c).alias(c) for c in ("near1", "near2", "sketch")])
+    ends = firsts.select("at", "n", "sketch", F.explode(F.array("near1", "near2")).alias("near"))
+    heads = ends.groupBy("near").agg(F.min(F.struct("at", "n", "sketch")).alias("e"), F.count("*").alias("of")).where("of > 1") \
+        .select("near", F.col("e.at").alias("before"), F.col("e.n").alias("m"), F.col("e.sketch").alias("marks"))
+    star = ends.join(heads, "near").where((F.col("before") < F.col("at")) & alike(percent)).select("at", "before").distinct()
     gone = similar(docs, star, bits, percent, text_col)
 
     sets = table.groupBy("h1", "h2", "n").agg(F.min("at").alias("at"), F.any_value("sketch").alias("sketch"), F.any_value("rare").alias("rare"))
     sets = sets.join(gone.select("at", F.lit(True).alias("done")), "at", "left").withColumn("open", F.col("done").isNull())
     # postings are shuffled once: both sides of the join read the same exchange
-    posted = sets.select("at", "n", "sketch", "open", F.posexplode("rare").alias("i", "token"))
+    posted = sets.select("at", "n", "sketch", "open", F.posexplode("rare").alias("i", "key")).withColumn("token", F.hash("key")).drop("key")
     other = posted.select(F.col("token").alias("same"), F.col("at").alias("before"), F.col("n").alias("m"), F.col("i").alias("j"),
                           F.col("sketch").alias("marks"))
-    rest = posted.join(other, F.col("token") == F.col("same")).where(F.col("open") & (F.col("before") < F.col("at")) & fits(percent)) \
+    rest = posted.join(other, F.col("token") == F.col("same")).where(F.col("open") & (F.col("before") < F.col("at")) & reach(percent) & alike(percent)) \
         .select("at", "before").distinct()
     gone = gone.union(similar(docs, rest, bits, percent, text_col)).distinct()
 
