@@ -15,7 +15,6 @@ fixes (about 2 MB for 50,000 merges).
 
 from __future__ import annotations
 
-import hashlib
 import json
 from collections.abc import Iterator
 
@@ -29,7 +28,7 @@ from pyspark.sql import types as T
 #: Fixed value: the split that byte-level BPE vocabularies of this kind use.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Text bytes that a task handles at once, and words that it remembers.
-CHUNK_BYTES, REMEMBERED = 4 << 20, 500_000
+CHUNK_BYTES, REMEMBERED = 2 << 20, 200_000
 
 
 def byte_chars() -> list[str]:
@@ -42,9 +41,8 @@ def byte_chars() -> list[str]:
 def load_vocabulary(path: str) -> dict:
     """Numpy tables of a byte-level BPE file: sorted pair keys with rank and
     merged id, the id of each byte, the bytes of each id, special strings."""
-    with open(path, "rb") as f:
-        data = f.read()
-    spec = json.loads(data)
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
     model = spec["model"]
     ids, n = dict(model["vocab"]), max(model["vocab"].values()) + 1
     special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
@@ -61,7 +59,7 @@ def load_vocabulary(path: str) -> dict:
         raw[i] = token.encode()
     sizes = np.array([len(x) for x in raw], np.int64)
     return {
-        "name": hashlib.sha256(data).hexdigest(), "n": n, "keys": keys[order], "rank": order.astype(np.int32), "merged": merged[order],
+        "n": n, "keys": keys[order], "rank": order.astype(np.int32), "merged": merged[order],
         "byte_ids": np.array([ids[c] for c in byte_chars()], np.int32), "special": special,
         "bytes": np.frombuffer(b"".join(raw), np.uint8), "sizes": sizes, "starts": np.cumsum(sizes) - sizes,
     }
@@ -161,17 +159,6 @@ class Encoder:
         return ids, upto[ends] - upto[ends - counts]
 
 
-_ENCODER: dict[str, Encoder] = {}
-
-
-def encoder(v: dict) -> Encoder:
-    """The worker's encoder: it outlives the task, so words stay known."""
-    if v["name"] not in _ENCODER:
-        _ENCODER.clear()
-        _ENCODER[v["name"]] = Encoder(v)
-    return _ENCODER[v["name"]]
-
-
 def decode_ids(flat: np.ndarray, sizes: np.ndarray, v: dict) -> list[str]:
     """Text of each run of ids; ids outside the vocabulary are skipped and
     bytes that form no UTF-8 become U+FFFD."""
@@ -209,7 +196,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str | dict, text_col: str = "text",
     names = list(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tables.value)
+        enc = Encoder(tables.value)
         for batch in batches:
             size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column("__text")), 0), np.int64) + 1
             for a, b in chunks(size, CHUNK_BYTES):
