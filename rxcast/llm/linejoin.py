@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from rxcast.llm.tables import stored
 
-SLOT_BITS = 18
+SLOT_BITS = 16
 SLOTS = 1 << SLOT_BITS
 #: Documents up to which the ids that a join looks for are broadcast (8 bytes each, or a few with line numbers).
 BROADCAST_IDS = 2_000_000
@@ -101,15 +101,15 @@ def described(lines: DataFrame, classes: Column, percent: int, least: int) -> Da
 
 
 def alike(percent: int) -> Column:
-    """Length and sketch filters for sets of n and m tokens."""
-    n, m = F.col("n"), F.col("m")
+    """Length and sketch filters for sets of n and m tokens (either sign)."""
+    n, m = F.abs("n"), F.abs("m")
     apart = F.bit_count(F.col("sketch").bitwiseXOR(F.col("marks")))
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * (n + m - apart) >= 2 * percent * (n + m))
 
 
 def reach(percent: int) -> Column:
     """Positional filter for sets that first meet at places i and j."""
-    n, m = F.col("n"), F.col("m")
+    n, m = F.abs("n"), F.abs("m")
     return (100 + percent) * F.least(n - F.col("i"), m - F.col("j")) >= percent * (n + m)
 
 
@@ -128,13 +128,14 @@ def removable(docs: DataFrame, bits: int, percent: int, least: int, text_col: st
     gone = similar(docs, star, bits, percent, text_col)
 
     sets = table.groupBy("h1", "h2", "n").agg(F.min("at").alias("at"), F.any_value("sketch").alias("sketch"), F.any_value("rare").alias("rare"))
-    sets = sets.join(gone.select("at", F.lit(True).alias("done")), "at", "left").withColumn("open", F.col("done").isNull())
-    # postings are shuffled once: both sides of the join read the same exchange
-    posted = sets.select("at", "n", "sketch", "open", F.posexplode("rare").alias("i", "key")).withColumn("token", F.hash("key")).drop("key")
-    other = posted.select(F.col("token").alias("same"), F.col("at").alias("before"), F.col("n").alias("m"), F.col("i").alias("j"),
-                          F.col("sketch").alias("marks"))
-    rest = posted.join(other, F.col("token") == F.col("same")).where(F.col("open") & (F.col("before") < F.col("at")) & reach(percent) & alike(percent)) \
-        .select("at", "before").distinct()
+    sets = sets.join(gone.select("at", F.lit(True).alias("done")), "at", "left") \
+        .withColumn("n", F.when(F.col("done").isNull(), F.col("n")).otherwise(-F.col("n")))  # negative: needs no partner
+    # postings are shuffled once: both sides of the join have the same columns and read the same exchange
+    posted = sets.select("at", "n", "sketch", F.posexplode("rare").alias("i", "key")) \
+        .select(F.hash("key").alias("token"), "at", "n", "i", "sketch")
+    other = posted.toDF("same", "before", "m", "j", "marks")
+    later = F.least(F.col("n").cast("long"), F.col("at") - F.col("before")) > 0
+    rest = posted.join(other, F.col("token") == F.col("same")).where(later & reach(percent) & alike(percent)).select("at", "before").distinct()
     gone = gone.union(similar(docs, rest, bits, percent, text_col)).distinct()
 
     stays = table.groupBy("h1", "h2", "n").agg(F.min("at").alias("at")).select("at").join(gone, "at", "left_anti")
