@@ -32,10 +32,6 @@ def clip(c, lo: float, hi: float) -> Column:
     return F.when(c.isNull(), c).otherwise(F.greatest(F.lit(lo), F.least(F.lit(hi), c)))
 
 
-def safe_div(a, b) -> Column:
-    """Division that yields null instead of raising (ANSI) on a zero divisor."""
-    return F.try_divide(col(a), col(b))
-
 
 def flag(cond: Column) -> Column:
     """Boolean condition as 0/1 with null -> 0 (pandas comparison semantics)."""
@@ -73,7 +69,3 @@ def nunique_with_null(c) -> Column:
     """``len(series.unique())``: distinct values with null counted once."""
     c = col(c)
     return F.count_distinct(c) + F.max(F.when(c.isNull(), 1).otherwise(0))
-
-
-def cv(std_col: Column, mean_col: Column) -> Column:
-    return F.try_divide(std_col, mean_col)

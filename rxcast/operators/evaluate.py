@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rxcast.functions.pvalues import normal_pvalue, t_pvalue
-from rxcast.functions.quantiles import quantile, quantile_exact, quantiles
+from rxcast.functions.quantiles import exact_quantiles
 from rxcast.operators.ordered import positions
 
 A, P = "Sales_from_db", "Predicted_sales"
+NOISE_KEY = ("hcp_id", "Drug_generic_name", "Drug_name")
 EPS = 2.220446049250313e-16  # scikit-learn's MAPE floor for |y|
 
 ERROR_EDGES = [0, 5, 10, 20, 50, 100, math.inf]
@@ -88,11 +89,10 @@ def metrics_table(pred: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- EV4-EV6
-def multiplier_stats(pred: DataFrame, exact: bool | None = None) -> DataFrame:
-    exact = quantile_exact(pred) if exact is None else exact
+def multiplier_stats(pred: DataFrame) -> DataFrame:
     m = F.col("Combined_multiplier")
-    q = pred.agg(F.avg(m).alias("mean"), F.stddev_samp(m).alias("std"), F.min(m).alias("min"),
-                 quantiles(m, [.25, .5, .75], exact).alias("_q"), F.max(m).alias("max"))
+    q = attach(pred.agg(F.avg(m).alias("mean"), F.stddev_samp(m).alias("std"), F.min(m).alias("min"), F.max(m).alias("max")),
+               exact_quantiles(pred, {"_q": m}, [.25, .5, .75]))
     q = q.select("mean", "std", "min", F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("median"),
                  F.col("_q")[2].alias("q75"), "max")
     iqr = F.col("q75") - F.col("q25")
@@ -110,13 +110,12 @@ def improvement(pred: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- EV7-EV10
-def error_distribution(pred: DataFrame, exact: bool | None = None) -> DataFrame:
-    exact = quantile_exact(pred) if exact is None else exact
+def error_distribution(pred: DataFrame) -> DataFrame:
     e = error_columns(pred)
-    return e.agg(F.avg("Absolute_Error").alias("mean_abs_error"),
-                 quantile("Absolute_Error", 0.5, exact).alias("median_abs_error"),
-                 F.max("Absolute_Error").alias("max_abs_error"),
-                 F.avg("Percentage_Error").alias("mean_pct_error"))
+    one = e.agg(F.avg("Absolute_Error").alias("mean_abs_error"), F.max("Absolute_Error").alias("max_abs_error"),
+                F.avg("Percentage_Error").alias("mean_pct_error"))
+    return attach(one, exact_quantiles(e, {"_q": F.col("Absolute_Error")}, [.5])).select(
+        "mean_abs_error", F.col("_q")[0].alias("median_abs_error"), "max_abs_error", "mean_pct_error")
 
 
 def error_bin_expr(pct: Column) -> tuple[Column, Column]:
@@ -137,7 +136,7 @@ def error_bins(pred: DataFrame) -> DataFrame:
     counts = e.groupBy(order.alias("bin_order")).agg(F.count(F.lit(1)).alias("count"))
     total = pred.agg(F.count(F.lit(1)).alias("_n"))
     bins = pred.sparkSession.createDataFrame(list(enumerate(ERROR_LABELS)), "bin_order int, bin string")
-    out = attach(F.broadcast(bins).join(counts, "bin_order", "left"), total)
+    out = attach(bins.join(counts, "bin_order", "left"), total)
     return out.select("bin_order", "bin", F.coalesce("count", F.lit(0)).alias("count"),
                       (F.coalesce("count", F.lit(0)) / F.col("_n") * 100).alias("pct"))
 
@@ -154,11 +153,10 @@ def error_bias(pred: DataFrame) -> DataFrame:
                                               .otherwise("under-prediction")).otherwise("none"))
 
 
-def worst_decile(pred: DataFrame, exact: bool | None = None) -> DataFrame:
+def worst_decile(pred: DataFrame) -> DataFrame:
     """EV10 / FLT4: cases above the 90th percentile of percentage error."""
-    exact = quantile_exact(pred) if exact is None else exact
     e = error_columns(pred)
-    thr = e.agg(quantile("Percentage_Error", 0.9, exact).alias("threshold"))
+    thr = exact_quantiles(e, {"_q": F.col("Percentage_Error")}, [.9]).select(F.col("_q")[0].alias("threshold"))
     hi = attach(e, thr).filter(F.col("Percentage_Error") > F.col("threshold"))
     by_hcp = hi.groupBy("hcp_id").agg(F.sum("Absolute_Error").alias("_ae"))
     top_hcp = by_hcp.agg(F.max_by("hcp_id", F.struct(F.col("_ae"), F.col("hcp_id"))).alias("problem_hcp"))
@@ -191,9 +189,8 @@ def quartile_expr(x: Column) -> Column:
              .when(x <= F.col("_q3"), QUARTILE_LABELS[2]).when(x.isNotNull(), QUARTILE_LABELS[3]))
 
 
-def by_quartile(pred: DataFrame, exact: bool | None = None) -> DataFrame:
-    exact = quantile_exact(pred) if exact is None else exact
-    edges = pred.agg(quantiles(A, [.25, .5, .75], exact).alias("_q")).select(
+def by_quartile(pred: DataFrame) -> DataFrame:
+    edges = exact_quantiles(pred, {"_q": F.col(A)}, [.25, .5, .75]).select(
         *[F.col("_q")[i - 1].alias(f"_q{i}") for i in (1, 2, 3)])
     x = attach(pred, edges).withColumn("Sales_Quartile", quartile_expr(F.col(A)))
     e = F.abs(F.col(P) - F.col(A))
@@ -214,10 +211,16 @@ def stability(pred: DataFrame) -> DataFrame:
 
 def sensitivity(pred: DataFrame, levels=(0.05, 0.10, 0.20), seed: int = 42) -> DataFrame:
     """EV15: multiply predictions by N(1, sigma) noise; MAE change in %.
+    The noise comes from a hash of the row's key and the level (Box-Muller on
+    two 32-bit fractions of an MD5), so it doesn't depend on the partitioning.
     One row per noise level: the 3-row level list is joined with broadcast."""
-    lv = pred.sparkSession.createDataFrame([(float(x),) for x in levels], "noise double")
-    x = pred.select(A, P).join(F.broadcast(lv), how="inner", on=F.lit(True))
-    x = x.withColumn("_noisy", F.col(P) * (F.lit(1.0) + F.col("noise") * F.randn(seed)))
+    lv = pred.sparkSession.createDataFrame([(float(x), f"{round(x * 100):d}") for x in levels], "noise double, _name string")
+    key = [c for c in NOISE_KEY if c in pred.columns]
+    x = pred.select(A, P, *key).join(F.broadcast(lv), how="inner", on=F.lit(True))
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), "_name", *[F.coalesce(c, F.lit("")) for c in key]))
+    part = lambda i: (F.conv(F.substring(digest, i, 8), 16, 10).cast("double") + 0.5) / F.lit(4294967296.0)
+    normal = F.sqrt(F.log(part(1)) * -2.0) * F.cos(part(9) * (2 * math.pi))
+    x = x.withColumn("_noisy", F.col(P) * (F.lit(1.0) + F.col("noise") * normal))
     out = x.groupBy("noise").agg(F.avg(F.abs(F.col(A) - F.col(P))).alias("original_mae"),
                                  F.avg(F.abs(F.col(A) - F.col("_noisy"))).alias("perturbed_mae"))
     return out.withColumn("mae_change_pct", (F.col("perturbed_mae") - F.col("original_mae"))
@@ -273,21 +276,21 @@ def performance_report(pred: DataFrame) -> DataFrame:
         return F.struct(F.lit(section).alias("section"), (F.lit(text) if isinstance(text, str) else text).alias("item"))
 
     flags = F.array(
-        F.when(F.col("R2") > 0.6, item("strength", "Strong predictive power")),
-        F.when(F.col("Direction_Accuracy") > 70, item("strength", "Good directional accuracy")),
-        F.when(F.col("MAPE") > 20, item("improvement", "Reduce prediction error")),
+        F.when(F.col("R2") > 0.6, item("strength", "r2_above_0.6")),
+        F.when(F.col("Direction_Accuracy") > 70, item("strength", "direction_above_70")),
+        F.when(F.col("MAPE") > 20, item("improvement", "mape_above_20")),
         F.when(F.abs(F.col("bias")) > 0.2, item(
-            "improvement", F.when(F.col("bias") > 0, "Address systematic over-prediction bias")
-            .otherwise("Address systematic under-prediction bias"))),
-        F.when(F.col("MAPE") > 30, item("risk", "High: Large prediction errors")),
-        F.when(F.col("missing_pct") > 5, item("risk", "Medium: missing data")),
+            "improvement", F.when(F.col("bias") > 0, "bias_over")
+            .otherwise("bias_under"))),
+        F.when(F.col("MAPE") > 30, item("risk", "high: mape_above_30")),
+        F.when(F.col("missing_pct") > 5, item("risk", "medium: missing_above_5")),
     )
     x = x.select(g.alias("grade"), a.alias("assessment"), summary_grade_expr(F.col("R2"), F.col("MAPE"))
                  .alias("summary_grade"), "missing_pct",
                  F.filter(flags, lambda s: s.isNotNull()).alias("_f"))
     x = x.withColumn("_f", F.when(F.size(F.filter("_f", lambda s: s["section"] == "risk")) == 0,
                                   F.array_union("_f", F.array(F.struct(F.lit("risk").alias("section"), F.lit(
-                                      "Low: Model performance is within acceptable parameters").alias("item")))))
+                                      "low: none_found").alias("item")))))
                      .otherwise(F.col("_f")))
     return x.select("grade", "assessment", "summary_grade", "missing_pct",
                     F.inline("_f"))

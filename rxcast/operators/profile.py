@@ -4,10 +4,6 @@ WIN9, TOP3, TOP4, TOP6).
 All statistics are aggregates with map-side combine; the only windows run
 over already-reduced tables (months, days, categories, six scores). Money
 totals are summed as exact decimals so that rounding is reproducible.
-
-``exact`` selects exact ``percentile`` (linear interpolation, equal to
-pandas) or ``percentile_approx`` for very large groups, where the exact
-value-count map of one group would not fit a task.
 """
 
 from __future__ import annotations
@@ -19,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rxcast.functions.exprs import kurt_unbiased, skew_unbiased
-from rxcast.functions.quantiles import quantile, quantile_exact, quantiles
+from rxcast.functions.quantiles import exact_quantiles
 from rxcast.operators.evaluate import attach
 
 PAID = "total_paid_amt"
@@ -33,10 +29,6 @@ def money_sum(c) -> Column:
     return F.sum(c.cast("decimal(38,6)")).cast("double")
 
 
-def _exact(df: DataFrame, exact: bool | None) -> bool:
-    return quantile_exact(df) if exact is None else exact
-
-
 def nan_null(c: Column) -> Column:
     return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
 
@@ -45,19 +37,18 @@ def nan_null(c: Column) -> Column:
 STAT_NAMES = ["Mean", "Std", "Min", "Q1", "Median", "Q3", "Max", "Skew", "Kurtosis"]
 
 
-def basic_stats(df: DataFrame, features=NUMERIC_FEATURES, exact: bool | None = None) -> DataFrame:
+def basic_stats(df: DataFrame, features=NUMERIC_FEATURES) -> DataFrame:
     """Nine statistics per numeric feature, one row per statistic (as the
-    reference's stats table): one aggregate pass (one quantile array per
-    column), then ``stack``."""
-    exact = _exact(df, exact)
+    reference's stats table): one aggregate pass and one for all quantiles,
+    then ``stack``."""
     feats = [f for f in features if f in df.columns]
     aggs = []
     for f in feats:
         c = F.col(f).cast("double")
         aggs += [F.avg(c).alias(f"{f}__Mean"), F.stddev_samp(c).alias(f"{f}__Std"), F.min(c).alias(f"{f}__Min"),
-                 quantiles(c, [.25, .5, .75], exact).alias(f"{f}__Q"), F.max(c).alias(f"{f}__Max"),
+                 F.max(c).alias(f"{f}__Max"),
                  skew_unbiased(c).alias(f"{f}__Skew"), kurt_unbiased(c).alias(f"{f}__Kurtosis")]
-    one = df.agg(*aggs)
+    one = attach(df.agg(*aggs), exact_quantiles(df, {f"{f}__Q": F.col(f) for f in feats}, [.25, .5, .75]))
     one = one.select("*", *[F.col(f"{f}__Q")[i].alias(f"{f}__{n}") for f in feats
                             for i, n in enumerate(["Q1", "Median", "Q3"])])
     rows = ", ".join(f"'{s}', " + ", ".join(f"`{f}__{s}`" for f in feats) for s in STAT_NAMES)
@@ -145,12 +136,12 @@ def month_trend(df: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------------------- FA15-FA17, TOP3
-def hcp_volume(df: DataFrame, hcp_col: str = "hcp_id", exact: bool | None = None) -> DataFrame:
+def hcp_volume(df: DataFrame, hcp_col: str = "hcp_id") -> DataFrame:
     """FA15: ``groupby(hcp).size().describe()``."""
-    exact = _exact(df, exact)
     v = df.groupBy(hcp_col).agg(F.count(F.lit(1)).cast("double").alias("n"))
     out = v.agg(F.count("n").alias("count"), F.avg("n").alias("mean"), F.stddev_samp("n").alias("std"),
-                F.min("n").alias("min"), quantiles("n", [.25, .5, .75], exact).alias("_q"), F.max("n").alias("max"))
+                F.min("n").alias("min"), F.max("n").alias("max"))
+    out = attach(out, exact_quantiles(v, {"_q": F.col("n")}, [.25, .5, .75]))
     return out.select("count", "mean", "std", "min", F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"),
                       F.col("_q")[2].alias("q75"), "max")
 
@@ -201,16 +192,19 @@ def switching_rate(df: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("patients"))
 
 
-def payer_impact(df: DataFrame, exact: bool | None = None) -> DataFrame:
+def payer_impact(df: DataFrame) -> DataFrame:
     """FA20-FA23: channel share, payment mean/median/sum, rejection rate and
     copay mean/median per payer channel."""
-    exact = _exact(df, exact)
     tot = df.agg(F.count("payer_channel_name").alias("_n"))
-    ch = df.filter(F.col("payer_channel_name").isNotNull()).groupBy("payer_channel_name").agg(
-        F.count(F.lit(1)).alias("claims"), F.avg(PAID).alias("mean_paid"), quantile(PAID, .5, exact).alias("median_paid"),
+    named = df.filter(F.col("payer_channel_name").isNotNull())
+    medians = exact_quantiles(named, {"_paid": F.col(PAID), "_copay": F.col("patient_to_pay_amt")}, [.5], ("payer_channel_name",))
+    ch = named.groupBy("payer_channel_name").agg(
+        F.count(F.lit(1)).alias("claims"), F.avg(PAID).alias("mean_paid"),
         money_sum(PAID).alias("sum_paid"),
         (F.avg(F.when(F.col("reject_reason_1_cd").isNotNull(), 1.0).otherwise(0.0)) * 100).alias("rejection_rate"),
-        F.avg("patient_to_pay_amt").alias("copay_mean"), quantile("patient_to_pay_amt", .5, exact).alias("copay_median"))
+        F.avg("patient_to_pay_amt").alias("copay_mean"))
+    ch = ch.join(medians, "payer_channel_name", "left").withColumns(
+        {"median_paid": F.col("_paid")[0], "copay_median": F.col("_copay")[0]})
     return attach(ch, tot).select("payer_channel_name", "claims", (F.col("claims") / F.col("_n") * 100).alias("share_pct"),
                                   "mean_paid", "median_paid", F.round("sum_paid", 2).alias("sum_paid"),
                                   "rejection_rate", "copay_mean", "copay_median")
@@ -311,7 +305,8 @@ def top_rejection_reason(df: DataFrame) -> DataFrame:
 def daily_rolling(df: DataFrame, window: int = 30) -> DataFrame:
     """WIN3: daily paid totals with a 30-row rolling mean. The global window
     runs over one row per calendar day (bounded by the date range)."""
-    d = (df.filter(F.col("service_date_dd").isNotNull()).groupBy(F.col("service_date_dd").alias("service_date"))
+    day = F.to_date("service_date_dd").cast(df.schema["service_date_dd"].dataType)  # a time of day doesn't make a day
+    d = (df.filter(F.col("service_date_dd").isNotNull()).groupBy(day.alias("service_date"))
          .agg(F.sum(F.col(PAID).cast("decimal(38,6)")).alias("_s")))
     w = Window.orderBy("service_date")
     frame = w.rowsBetween(-(window - 1), 0)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rxcast.functions.quantiles import quantile, quantile_exact
+from rxcast.functions.quantiles import exact_quantiles
 from rxcast.operators.evaluate import attach
 from rxcast.operators.profile import money_sum
 
@@ -24,13 +24,13 @@ def data_overview(clean: DataFrame, approx_distinct: bool = False) -> DataFrame:
                      F.round(money_sum("total_paid_amt"), 2).alias("total_sales"))
 
 
-def prediction_summary(pred: DataFrame, exact: bool | None = None) -> DataFrame:
+def prediction_summary(pred: DataFrame) -> DataFrame:
     """RPT2: totals, mean/median predicted sales, mean multiplier, uplift %."""
-    med = quantile(P, 0.5, quantile_exact(pred) if exact is None else exact)
     out = pred.agg(F.round(money_sum(P), 2).alias("total_predicted"), F.round(money_sum(A), 2).alias("total_db"),
                    F.count(F.lit(1)).alias("predictions"), F.count_distinct("hcp_id").alias("hcps"),
                    F.count_distinct("Drug_name").alias("drugs"), F.avg(P).alias("mean_predicted"),
-                   med.alias("median_predicted"), F.avg("Combined_multiplier").alias("mean_multiplier"))
+                   F.avg("Combined_multiplier").alias("mean_multiplier"))
+    out = attach(out, exact_quantiles(pred, {"_q": F.col(P)}, [.5])).withColumn("median_predicted", F.col("_q")[0]).drop("_q")
     return out.withColumn("uplift_pct", (F.try_divide(F.col("total_predicted"), F.col("total_db")) - 1) * 100)
 
 
@@ -62,10 +62,3 @@ def top_predictions(pred: DataFrame, k: int = 5) -> DataFrame:
 def sample_hcps(clean: DataFrame, k: int = 10) -> DataFrame:
     """TOP5: a bounded sample of k distinct HCP ids (for profile lookups)."""
     return clean.select("hcp_id").distinct().orderBy("hcp_id").limit(k)
-
-
-def predictions_with_totals(pred: DataFrame) -> DataFrame:
-    """Each prediction with its share of the predicted total (JN11)."""
-    tot = pred.agg(F.sum(P).alias("_tot"))
-    return attach(pred, tot).withColumn("share_of_total", F.col(P) / F.col("_tot")).drop("_tot")
-

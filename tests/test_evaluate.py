@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from rxcast.functions.pvalues import betainc, normal_two_sided, t_two_sided
 from rxcast.operators import evaluate as ev
@@ -90,7 +91,7 @@ def test_quartiles_and_error_bins(spark):
 
 def test_multiplier_stats_quantiles(spark):
     df, pdf = _pred(spark)
-    r = ev.multiplier_stats(df, exact=True).first()
+    r = ev.multiplier_stats(df).first()
     m = pdf.Combined_multiplier
     assert math.isclose(r.q25, m.quantile(0.25)) and math.isclose(r.median, m.median())
     iqr = m.quantile(0.75) - m.quantile(0.25)
@@ -99,18 +100,38 @@ def test_multiplier_stats_quantiles(spark):
 
 def test_basic_stats_skew_kurtosis_match_pandas(spark):
     df, pdf = _pred(spark)
-    st = {r.statistic: r for r in pf.basic_stats(df, ["Sales_from_db"], exact=True).collect()}
+    st = {r.statistic: r for r in pf.basic_stats(df, ["Sales_from_db"]).collect()}
     s = pdf.Sales_from_db
     assert math.isclose(st["Skew"].Sales_from_db, s.skew(), rel_tol=1e-9)
     assert math.isclose(st["Kurtosis"].Sales_from_db, s.kurtosis(), rel_tol=1e-9)
     assert math.isclose(st["Q1"].Sales_from_db, s.quantile(0.25))
 
 
-def test_approximate_quantiles_switch(spark):
+def test_exact_quantiles_match_pandas(spark):
+    """One way for every size: groups, ties, nulls, NaN, infinities, tiny and larger columns."""
+    from rxcast.functions.quantiles import exact_quantiles
+
+    rng = np.random.default_rng(7)
+    rows = [(None if g == 3 else f"g{g}", float(v), float(w)) for g, n in enumerate((1, 2, 5, 400, 3000))
+            for v, w in zip(rng.lognormal(3, 2, n).round(2), rng.integers(0, 4, n))]
+    rows += [("g1", None, None), ("g4", float("nan"), 1.0), ("empty", None, None)]
+    df = spark.createDataFrame(rows, "g string, v double, w double").repartition(7)
+    qs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = {r.g: r for r in exact_quantiles(df, {"v": F.col("v"), "w": F.col("w")}, qs, ("g",)).collect()}
+    pdf = pd.DataFrame(rows, columns=["g", "v", "w"])
+    for g, d in pdf.groupby("g", dropna=False):
+        for c in ("v", "w"):
+            r = got.get(None if pd.isna(g) else g)
+            if d[c].notna().any():
+                assert np.allclose(r[c], d[c].quantile(qs)), (g, c)
+            else:
+                assert r is None or r[c] is None
+    one = exact_quantiles(df, {"v": F.col("v")}, qs).first()
+    assert np.allclose(one.v, pdf.v.quantile(qs))
+    assert exact_quantiles(df.limit(0), {"v": F.col("v")}, qs).collect() == [(None,)]
+
+
+def test_noise_does_not_depend_on_partitioning(spark):
     df, _ = _pred(spark)
-    spark.conf.set("rxcast.quantile.exact", "false")
-    try:
-        r = ev.multiplier_stats(df).first()
-        assert r.q25 is not None
-    finally:
-        spark.conf.unset("rxcast.quantile.exact")
+    a, b = (sorted(map(tuple, ev.sensitivity(x).collect())) for x in (df, df.repartition(5)))
+    assert np.allclose(a, b)
