@@ -55,7 +55,7 @@ def hcp_id_expr(columns: list[str]) -> Column:
         return F.when(as_int == "0", F.lit("Unknown")).otherwise(as_int)
     if "prescriber_npi_nbr" in columns:
         return F.coalesce(F.col("prescriber_npi_nbr").cast("string"), F.lit("Unknown"))
-    raise ValueError("Neither 'type_1_npi' nor 'prescriber_npi_nbr' found in data")
+    raise ValueError("claims need a prescriber id: type_1_npi or prescriber_npi_nbr")
 
 
 def company_expr(generic: Column) -> Column:
@@ -69,14 +69,13 @@ def company_expr(generic: Column) -> Column:
 
 def clean_claims(df: DataFrame) -> DataFrame:
     """FLT1 + PRJ2 + PRJ3 + PRJ4 (``load_and_clean_data``)."""
-    if "type_1_npi" not in df.columns and "prescriber_npi_nbr" not in df.columns:
-        raise ValueError("Neither 'type_1_npi' nor 'prescriber_npi_nbr' found in data")
+    hcp = hcp_id_expr(df.columns)
     for c in ("days_supply_val", "awp_unit_price_amt"):
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast("double"))
     df = impute_zero_paid(filter_valid_status(df))
     return df.withColumns({
-        "hcp_id": hcp_id_expr(df.columns),
+        "hcp_id": hcp,
         "company": company_expr(F.col("drug_generic_name")),
     })
 

@@ -137,9 +137,12 @@ def hcp_specialization(clean: DataFrame, registry: DataFrame | None = None,
     out = base.join(drug_stats, "hcp_id", "left")
     cls = spec_class(F.col("hcp_id"))
     if registry is not None:
-        reg = registry.join(dims.specialization(clean.sparkSession).select("specialization", "spec_class"),
-                            F.lower(registry.specialization) == F.col("specialization"), "inner") \
-                      .select("hcp_id", F.col("spec_class").alias("_reg_cls"))
+        cls_of = None
+        for i, (n, _w, _v) in enumerate(dims.SPECIALIZATION):
+            hit = F.lower("specialization") == n.lower()
+            cls_of = F.when(hit, F.lit(i)) if cls_of is None else cls_of.when(hit, F.lit(i))
+        # one class per HCP, whatever the registry repeats; unknown names keep the hashed class
+        reg = registry.groupBy("hcp_id").agg(F.min(cls_of).alias("_reg_cls"))
         out = out.join(reg, "hcp_id", "left")
         cls = F.coalesce(F.col("_reg_cls"), cls)
     sc = spec_columns(cls)

@@ -42,25 +42,45 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
+    if master and master.startswith("local"):
+        checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is respected as is.
-    Only when it is unset (local runs and tests) a scratch folder is created.
+    On a cluster that setting points at shared storage and is respected as is;
+    without it there is an error, as executors can't see a folder of the
+    driver's. Only a local master gets a scratch folder.
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not cur:
+        master = sc.master or ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         cur = tempfile.mkdtemp(prefix="rxcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(cur)
     return sc.getCheckpointDir() or cur
 
 
+# Written intermediates that ``release`` deletes, by the frame that reads them.
+_TABLES: dict[int, tuple[DataFrame, str]] = {}
+
+
+def release(df: DataFrame) -> None:
+    """Give back what ``materialize`` keeps for ``df``: its table or its cache."""
+    _, path = _TABLES.pop(id(df), (None, None))
+    if path is not None:
+        spark = df.sparkSession
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    elif df.storageLevel.useMemory or df.storageLevel.useDisk:
+        df.unpersist()
+
+
 def materialize(df: DataFrame, name: str = "shared") -> DataFrame:
     """Compute a shared intermediate once, now (a lazy persist would let AQE
     start every branch at once, each missing the empty cache).
@@ -78,7 +98,9 @@ def materialize(df: DataFrame, name: str = "shared") -> DataFrame:
     if mode == "table":
         path = f"{checkpoint_dir(spark).rstrip('/')}/rxcast-tables/{name}-{uuid.uuid4().hex}"
         df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        table = spark.read.parquet(path)
+        _TABLES[id(table)] = (table, path)
+        return table
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     df.write.format("noop").mode("overwrite").save()
     return df

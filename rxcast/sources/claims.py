@@ -9,8 +9,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,17 +65,20 @@ CLAIMS_SCHEMA = T.StructType([
 
 # Columns the cleaning step parses leniently from text (bad value -> null).
 DATE_COLUMNS = ("service_date_dd", "transaction_dt", "date")
+# Columns whose absence means something else than nulls (PRJ3, AGG6, FA11).
+OPTIONAL_COLUMNS = ("type_1_npi", "prescriber_npi_nbr", "clinical_service_line", "reject_reason_1_desc")
 MONEY_COLUMNS = ("awp_unit_price_amt", "total_paid_amt", "patient_to_pay_amt")
 
 
 def read_claims_csv(spark: SparkSession, path: str, schema: T.StructType = CLAIMS_SCHEMA) -> DataFrame:
-    """SRC1: header CSV, empty field = null, missing path is an error.
+    """SRC1: header CSV (a file, a folder or a glob, on any file system),
+    empty field = null, a missing path is Spark's PATH_NOT_FOUND.
 
-    Only columns present in the file are kept, so a file with the documented
-    subset of columns reads fine; absent optional columns are added as null.
+    A file with the documented subset of columns reads fine: other columns are
+    null, but those of ``OPTIONAL_COLUMNS`` stay absent, since operators ask
+    for their presence. All files of a path must have the same header; a file
+    with other columns or another order is an error, never read by position.
     """
-    if "://" not in path and not os.path.exists(path):
-        raise FileNotFoundError(f"claims file not found: {path}")
     header = spark.read.option("header", True).csv(path).columns
     wanted = T.StructType([f for f in schema.fields if f.name in header])
     extra = [c for c in header if c not in wanted.fieldNames()]
@@ -86,9 +87,9 @@ def read_claims_csv(spark: SparkSession, path: str, schema: T.StructType = CLAIM
     by_name = {f.name: f for f in read_schema.fields}
     ordered = T.StructType([by_name[c] for c in header])
     df = (spark.read.schema(ordered).option("header", True).option("mode", "PERMISSIVE")
-          .option("emptyValue", None).csv(path))
+          .option("enforceSchema", False).option("emptyValue", None).csv(path))
     for f in schema.fields:
-        if f.name not in header:
+        if f.name not in header and f.name not in OPTIONAL_COLUMNS:
             df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
     return normalise_claims(df)
 
@@ -128,21 +129,6 @@ CHANNEL_BY_SEGMENT = {
 CHANNEL_DEFAULT = "Dual (Medicaid/Medicare)"
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a scan with fewer splits than task slots (a small file with few
-    row groups) one split per slot, so the joins after it use every core:
-    hash on ``keys`` (deterministic without the sort a round-robin split
-    needs), round-robin without keys. Large inputs already have more splits
-    than slots and are left untouched: no extra shuffle at scale."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= slots:
-            return df
-    except Exception:  # noqa: BLE001  (no RDD view, e.g. a Spark Connect session)
-        return df
-    return df.repartition(slots, *keys) if keys else df.repartition(slots)
-
-
 def load_tables(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:
     names = names or ["lineitem", "orders", "customer", "supplier", "part", "nation"]
     return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
@@ -165,7 +151,6 @@ def claims_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     t = load_tables(spark, sf_dir)
     l, o, c, s, p, n = (t[k] for k in ("lineitem", "orders", "customer", "supplier", "part", "nation"))
-    l = spread(l, "l_orderkey", "l_linenumber")
     j = (l.join(o, l.l_orderkey == o.o_orderkey)
           .join(c, o.o_custkey == c.c_custkey)
           .join(s, l.l_suppkey == s.s_suppkey)
@@ -199,5 +184,7 @@ def claims_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring(F.col("o_orderpriority"), 3, 1 << 20).alias("payer_name"),
         F.col("p_type").alias("clinical_service_line"),
         F.when(F.col("l_linenumber") >= 6, F.lit("MR")).alias("reject_reason_1_cd"),
+        F.when(F.col("l_linenumber") >= 6, F.when(F.pmod("l_partkey", F.lit(3)) == 0, F.lit("Prior authorization")).otherwise(F.lit("Not covered")))
+         .alias("reject_reason_1_desc"),
         (F.lit(2000000000) + F.pmod(F.col("l_partkey"), F.lit(15))).cast("bigint").alias("pharmacy_npi_nbr"),
     )

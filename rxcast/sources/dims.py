@@ -73,7 +73,6 @@ PAYER_POLICY = [
      {"Keytruda": 0.75, "Opdivo": 0.73, "Libtayo": 0.70},
      {}),
 ]
-PAYER_LIST = ["Medicare", "Medicaid", "Commercial", "CVS Caremark", "Express Scripts"]
 MARKET_RANK = [("Keytruda", 1), ("Opdivo", 2), ("Libtayo", 3), ("Others", 4)]
 MARKET_RANK_DEFAULT = 5
 COMPETITIVE_ADVANTAGE = [
@@ -90,15 +89,6 @@ EFF_FIELDS = ["overall_response_rate", "progression_free_survival_months",
 AE_FIELDS = ["grade_3_4_rate", "discontinuation_rate", "immune_related_ae_rate"]
 
 
-def drug_company(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DRUG_COMPANY, "generic string, brand string, company string")
-
-
-def drug_market(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        DRUG_MARKET,
-        "drug string, efficacy_score double, market_share double, drug_age_years int, "
-        "competitor_count int, avg_response_rate double, side_effect_score double")
 
 
 def specialization(spark: SparkSession) -> DataFrame:
@@ -107,9 +97,6 @@ def specialization(spark: SparkSession) -> DataFrame:
         "spec_class int, specialization string, weight double, patient_volume int")
 
 
-def payer_score(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PAYER_SCORE, "channel string, reputation double, reimbursement_rate double")
-
 
 def drug_share(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
@@ -117,9 +104,6 @@ def drug_share(spark: SparkSession) -> DataFrame:
                     "prescription_volume int, growth_rate double")
 
 
-def indication(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(INDICATION, "name string, share double")
-
 
 def pricing(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
@@ -162,11 +146,3 @@ def payer_policy(spark: SparkSession) -> DataFrame:
     rows = [(p, i, (cov, step, restr), rates, tier)
             for i, (p, cov, step, restr, rates, tier) in enumerate(PAYER_POLICY)]
     return spark.createDataFrame(rows, PAYER_POLICY_SCHEMA)
-
-
-def market_rank(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(MARKET_RANK, "brand string, market_rank int")
-
-
-def competitive_advantage(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(COMPETITIVE_ADVANTAGE, "drug string, competitive_advantage string")

@@ -9,16 +9,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from rxcast.operators.clean import clean_claims
 from rxcast.session import checkpoint_dir
 from rxcast.sources.claims import CLAIMS_SCHEMA, normalise_claims
 
 
-def claims_stream(spark: SparkSession, input_dir: str, max_files: int = 1000) -> DataFrame:
-    """Landed claim CSVs (header, documented column order of CLAIMS_SCHEMA)
-    as a cleaned streaming DataFrame."""
-    raw = (spark.readStream.schema(CLAIMS_SCHEMA).option("header", True)
+def claims_stream(spark: SparkSession, input_dir: str, max_files: int = 1000, schema: StructType = CLAIMS_SCHEMA) -> DataFrame:
+    """Landed claim CSVs whose header is ``schema`` in its order, as a cleaned
+    streaming DataFrame; a file with another header fails the batch."""
+    raw = (spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
            .option("maxFilesPerTrigger", max_files).csv(input_dir))
     return clean_claims(normalise_claims(raw))
 

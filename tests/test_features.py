@@ -9,11 +9,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from conftest import claims_rows
+from conftest import SF_SMALL, claims_rows
 from rxcast.operators import clean as cl
 from rxcast.operators import features as fe
 from rxcast.operators import multipliers as mu
 from rxcast.operators.ordered import day_bucket, positions, rolling_rows
+from rxcast.sources import dims
+from rxcast.sources.claims import claims_from_star
 
 
 def _rows(n=400, seed=7, hot="H0"):
@@ -164,3 +166,13 @@ def test_learned_predictions_bounds(spark):
     lo, hi, n = p.agg(F.min("temporal_multiplier"), F.max("temporal_multiplier"), F.count(F.lit(1))).first()
     assert 0.5 <= lo <= hi <= 2.0
     assert n == predict(clean).count()
+
+
+def test_registry_overrides_the_hashed_class(spark):
+    clean = cl.clean_claims(claims_from_star(spark, SF_SMALL))
+    ids = [r.hcp_id for r in clean.select("hcp_id").distinct().orderBy("hcp_id").limit(3).collect()]
+    name = dims.SPECIALIZATION[1][0]
+    registry = spark.createDataFrame([(ids[0], name.upper()), (ids[0], name), (ids[1], "no such field")], "hcp_id string, specialization string")
+    plain = {r.hcp_id: r.specialization for r in fe.hcp_specialization(clean).collect()}
+    got = {r.hcp_id: r.specialization for r in fe.hcp_specialization(clean, registry).collect()}
+    assert got[ids[0]] == name and got[ids[1]] == plain[ids[1]] and got[ids[2]] == plain[ids[2]] and len(got) == len(plain)

@@ -3,6 +3,8 @@ source contract."""
 
 import os
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rxcast.operators.clean import clean_claims
@@ -40,11 +42,60 @@ def test_read_claims_csv_documented_subset(spark, tmp_path):
     assert rows["P3"].total_paid_amt == 280.0
     bad = df.filter(F.col("patient_id") == "P2").first()
     assert bad.service_date_dd is None
-    try:
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         read_claims_csv(spark, str(tmp_path / "missing.csv"))
-        raise AssertionError("expected FileNotFoundError")
-    except FileNotFoundError:
-        pass
+
+
+BASE = {"patient_id": "P1", "patient_age": "65", "drug_generic_name": "Nivolumab", "drug_brand_name": "Opdivo",
+        "service_date_dd": "2024-01-15", "transaction_status": "Dispensed", "days_supply_val": "30", "total_paid_amt": "5.5",
+        "prescriber_npi_nbr": "77", "awp_unit_price_amt": "10"}
+
+
+def _csv(path, *rows, columns=None):
+    names = columns or list(rows[0])
+    path.write_text("\n".join([",".join(names), *(",".join(r.get(c, "") for c in names) for r in rows)]) + "\n")
+
+
+def test_csv_without_type_1_npi_uses_the_prescriber_number(spark, tmp_path):
+    _csv(tmp_path / "a.csv", BASE, BASE | {"patient_id": "P2", "prescriber_npi_nbr": ""})
+    got = {r.patient_id: r.hcp_id for r in clean_claims(read_claims_csv(spark, str(tmp_path / "a.csv"))).collect()}
+    assert got == {"P1": "77", "P2": "Unknown"}
+    _csv(tmp_path / "b.csv", {k: v for k, v in BASE.items() if k != "prescriber_npi_nbr"})
+    with pytest.raises(ValueError, match="prescriber id"):
+        clean_claims(read_claims_csv(spark, str(tmp_path / "b.csv")))
+
+
+@pytest.mark.parametrize("absent", ["days_supply_val", "awp_unit_price_amt", "patient_age", "drug_brand_name", "total_paid_amt"])
+def test_csv_absent_columns_are_null(spark, tmp_path, absent):
+    _csv(tmp_path / "a.csv", {k: v for k, v in BASE.items() if k != absent})
+    row = clean_claims(read_claims_csv(spark, str(tmp_path / "a.csv"))).first()
+    assert row[absent] is None and row.hcp_id == "77"
+
+
+def test_csv_absent_optional_columns_stay_absent(spark, tmp_path):
+    from rxcast.operators.features import hcp_specialization
+    from rxcast.operators.profile import top_rejection_reason
+    _csv(tmp_path / "a.csv", BASE | {"reject_reason_1_cd": "MR", "prescriber_npi_state_cd": "CA"})
+    clean = clean_claims(read_claims_csv(spark, str(tmp_path / "a.csv")))
+    assert hcp_specialization(clean).first().clinical_complexity == 1
+    assert top_rejection_reason(clean).first().reason == "Unknown"
+
+
+def test_csv_files_with_other_column_order_are_an_error_and_globs_work(spark, tmp_path):
+    _csv(tmp_path / "a.csv", BASE)
+    _csv(tmp_path / "b.csv", BASE | {"patient_id": "P2"})
+    assert read_claims_csv(spark, str(tmp_path / "*.csv")).count() == 2
+    _csv(tmp_path / "c.csv", BASE | {"patient_id": "P3"}, columns=list(BASE)[::-1])
+    with pytest.raises(Exception, match="(?i)header"):
+        read_claims_csv(spark, str(tmp_path)).select(*BASE).collect()
+
+
+def test_days_count_whatever_the_time_of_day(spark):
+    from rxcast.operators.profile import daily_rolling
+    rows = [(f"2024-01-0{d} {h}:30:00", 1.0) for d in (1, 2) for h in ("08", "17")]
+    df = spark.createDataFrame(rows, "t string, total_paid_amt double").select(
+        F.col("t").cast("timestamp_ntz").alias("service_date_dd"), "total_paid_amt")
+    assert [(r.daily_sales, r.day_idx) for r in daily_rolling(df).orderBy("day_idx").collect()] == [(2.0, 0), (2.0, 1)]
 
 
 def test_materialize_as_table_cuts_lineage(spark):
