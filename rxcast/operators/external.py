@@ -171,9 +171,11 @@ def with_efficacy(df: DataFrame, drug_col: str) -> DataFrame:
             .withColumn("adverse_events", F.coalesce("adverse_events", "_def_ae")).drop("_def_eff", "_def_ae")
 
 
-def market_source(filings: DataFrame, companies=("Merck", "Bristol-Myers Squibb", "Regeneron")) -> DataFrame:
-    """EXT8: 'sec_filings' when any listed company has filings, else 'synthetic'."""
-    has = filings.filter(F.col("company").isin(*companies) & (F.col("total_found") > 0))
+def market_source(filings: DataFrame, companies=("Merck", "Bristol-Myers Squibb", "Regeneron"),
+                  company_col: str = "company") -> DataFrame:
+    """EXT8: 'sec_filings' when any listed company has filings, else 'synthetic'.
+    ``company_col`` names the key that ``filings_summary`` grouped by."""
+    has = filings.filter(F.col(company_col).isin(*companies) & (F.col("total_found") > 0))
     return has.agg(F.count(F.lit(1)).alias("_n")).select(
         F.when(F.col("_n") > 0, "sec_filings").otherwise("synthetic").alias("data_source"))
 
@@ -191,24 +193,41 @@ def hcp_profiles(hcps: DataFrame, raw: DataFrame) -> DataFrame:
 def latest_snapshot(raw: DataFrame, key_col: str = "key", ts_col: str = "fetched_at",
                     now: Column | None = None, ttl_hours: float | None = None) -> DataFrame:
     """EXT10: the freshest row per key, optionally only rows younger than the
-    TTL. ``max_by`` aggregates with map-side combine, so a key with many
-    snapshots never lands whole in one task."""
+    TTL. The winning timestamp per key is found first (a hash aggregate on two
+    narrow columns), then its rows are read; equal timestamps are decided by
+    the remaining columns, the largest text first, so the result is the same
+    in every run."""
     df = raw
     if ttl_hours is not None:
         now = now if now is not None else F.current_timestamp()
         df = df.filter(F.col(ts_col) > now - F.make_interval(secs=F.lit(float(ttl_hours * 3600))))
-    others = [c for c in df.columns if c != key_col]
-    latest = df.groupBy(key_col).agg(F.max_by(F.struct(*others), F.col(ts_col)).alias("_r"))
-    return latest.select(key_col, "_r.*")
+    others = [c for c in df.columns if c not in (key_col, ts_col)]
+    newest = df.groupBy(F.col(key_col).alias("_k")).agg(F.max(ts_col).alias("_t"))
+    ties = df.join(newest, df[key_col].eqNullSafe(F.col("_k")) & df[ts_col].eqNullSafe(F.col("_t")), "left_semi")
+    latest = ties.groupBy(key_col, ts_col).agg(F.max(F.struct(*others)).alias("_r"))
+    return latest.select(key_col, ts_col, "_r.*").select(*df.columns)
+
+
+def valid_answer() -> Column:
+    """A 200 answer that parses and carries its source's root key; a label or
+    registry answer needs a result as well."""
+    ok = None
+    for source, schema, root, some in (("trials", TRIALS_T, "StudyFieldsResponse", False), ("label", LABEL_T, "results", True),
+                                       ("registry", REGISTRY_T, "results", True), ("pubmed", PUBMED_T, "esearchresult", False)):
+        payload = F.from_json("body", schema)[root]
+        hit = payload.isNotNull() & (F.size(payload) > 0 if some else F.lit(True))
+        ok = F.when(F.col("source") == source, hit) if ok is None else ok.when(F.col("source") == source, hit)
+    return (F.col("status") == 200) & F.coalesce(ok.otherwise(F.lit(False)), F.lit(False))
 
 
 def fetch_statistics(raw: DataFrame) -> DataFrame:
-    """EXT11: attempts (requests per key and source group), successes (valid
-    200 answers, several per attempt possible), fallbacks, success %."""
-    ok = F.col("status") == 200
-    per = raw.groupBy("key").agg(F.count_if(ok).alias("_s"))
-    return per.agg(F.count(F.lit(1)).alias("real_data_attempts"), F.sum("_s").alias("real_data_successes"),
-                   F.count_if(F.col("_s") == 0).alias("synthetic_fallbacks")).withColumn(
+    """EXT11: attempts (one per key), successes (valid answers, several per
+    attempt possible), fallbacks (keys without an answer that lifts them:
+    PubMed alone doesn't), success %."""
+    per = raw.withColumn("_ok", valid_answer()).groupBy("key").agg(
+        F.count_if("_ok").alias("_s"), F.count_if(F.col("_ok") & (F.col("source") != "pubmed")).alias("_lift"))
+    return per.agg(F.count(F.lit(1)).alias("real_data_attempts"), F.coalesce(F.sum("_s"), F.lit(0)).alias("real_data_successes"),
+                   F.count_if(F.col("_lift") == 0).alias("synthetic_fallbacks")).withColumn(
         "success_rate_percent", F.round(F.coalesce(F.try_divide(F.col("real_data_successes"),
                                                                 F.col("real_data_attempts")) * 100, F.lit(0.0)), 2))
 
@@ -300,21 +319,28 @@ def payer_landscape(payers: DataFrame, payer_col: str = "payer") -> DataFrame:
 # ---------------------------------------------------------------- PRJ24
 def cache_key(url: Column, params: Column | None = None) -> Column:
     """PRJ24: md5(url + text of the sorted (key, value) parameter list),
-    the text written as Python prints a sorted list of 2-tuples."""
+    the text written as Python prints a sorted list of 2-tuples. ``params`` is
+    an array of (key, value); a key may repeat."""
     if params is None:
         return F.md5(url)
-    entries = F.array_sort(F.map_entries(params))
+    entries = F.array_sort(params)
     items = F.transform(entries, lambda e: F.concat(F.lit("('"), e["key"], F.lit("', '"), e["value"], F.lit("')")))
     text = F.when(F.size(entries) > 0, F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))).otherwise(F.lit(""))
     return F.md5(F.concat(url, text))
 
 
+def query_pairs(query: Column) -> Column:
+    """Array of (key, value) of a URL's query part, in order, repeats kept."""
+    parts = F.filter(F.split(query, "&"), lambda p: p != "")
+    return F.transform(parts, lambda p: F.struct(F.split(p, "=", 2)[0].alias("key"),
+                                                 F.coalesce(F.get(F.split(p, "=", 2), F.lit(1)), F.lit("")).alias("value")))
+
+
 def page_cache_keys(pages: DataFrame) -> DataFrame:
     """Cache keys of landed pages: base URL plus the parsed query parameters."""
     base = F.regexp_extract("url", r"^([^?#]*)", 1)
     query = F.regexp_extract("url", r"\?([^#]*)", 1)
-    params = F.when(query != "", F.str_to_map(query, F.lit("&"), F.lit("=")))
-    return pages.select("page_id", base.alias("base_url"), cache_key(base, params).alias("cache_key"))
+    return pages.select("page_id", base.alias("base_url"), cache_key(base, query_pairs(query)).alias("cache_key"))
 
 
 # ---------------------------------------------------------------- SRC4, SRC5, SNK3

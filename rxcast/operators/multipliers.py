@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from rxcast.functions.exprs import clip, finite_or
 from rxcast.operators.features import TEMPORAL_FEATURES, drug_market_lookup
+from rxcast.session import materialize, release
 from rxcast.sources import dims
 
 
@@ -74,19 +75,8 @@ def temporal_multiplier(temporal: DataFrame, target: DataFrame, seed: int = 42,
     same HCPs (as the reference does), clip [.5, 2]. Distributed training in
     ``pyspark.ml``; results differ tree-for-tree from scikit-learn (binned
     splits), so only bounds and row counts are comparable."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
-
-    data = temporal.join(target, "hcp_id").select(
-        "hcp_id", *[finite_or(F.col(c), 0.0).alias(c) for c in TEMPORAL_FEATURES], "target_multiplier")
-    pipe = Pipeline(stages=[
-        VectorAssembler(inputCols=TEMPORAL_FEATURES, outputCol="_raw"),
-        StandardScaler(inputCol="_raw", outputCol="_features", withMean=True, withStd=True),
-        GBTRegressor(featuresCol="_features", labelCol="target_multiplier", predictionCol="_pred",
-                     maxIter=max_iter, stepSize=0.1, maxDepth=5, seed=seed),
-    ])
-    model = pipe.fit(data)
+    data = materialize(_temporal_training(temporal, target), "training")  # a row per HCP, read by every tree
+    model = _gbt_pipeline(TEMPORAL_FEATURES, "target_multiplier", seed, max_iter).fit(data)
     return model.transform(data).select("hcp_id", clip(F.col("_pred"), 0.5, 2.0).alias("temporal_multiplier"))
 
 
@@ -113,8 +103,8 @@ def cross_validation(temporal: DataFrame, target: DataFrame, folds: int = 5, see
     of hcp_id; each fold's R^2 on held-out HCPs, plus the stability verdict
     (std of fold scores above 0.1 -> unstable). One distributed fit per fold."""
     from pyspark.ml.evaluation import RegressionEvaluator
-    data = _temporal_training(temporal, target).withColumn(
-        "_fold", F.pmod(F.xxhash64("hcp_id"), F.lit(folds)).cast("int"))
+    data = materialize(_temporal_training(temporal, target).withColumn(
+        "_fold", F.pmod(F.xxhash64("hcp_id"), F.lit(folds)).cast("int")), "training")
     ev = RegressionEvaluator(labelCol="target_multiplier", predictionCol="_pred", metricName="r2")
     rows = []
     for k in range(folds):  # k model fits; the data never leaves the cluster
@@ -122,6 +112,7 @@ def cross_validation(temporal: DataFrame, target: DataFrame, folds: int = 5, see
         model = _gbt_pipeline(TEMPORAL_FEATURES, "target_multiplier", seed).fit(train)
         rows.append((k, float(ev.evaluate(model.transform(test)))))
     spark = temporal.sparkSession
+    release(data)
     scores = spark.createDataFrame(rows, "fold int, r2 double")
     summary = scores.agg(F.avg("r2").alias("mean_score"), F.stddev_pop("r2").alias("std_score"),
                          F.min("r2").alias("min_score"), F.max("r2").alias("max_score"))
@@ -155,9 +146,10 @@ def component_regressors(temporal: DataFrame, target: DataFrame, trans: DataFram
     ev = RegressionEvaluator(labelCol="target_multiplier", predictionCol="prediction", metricName="r2")
     rows = []
     for name, (feat, cols, est) in models.items():
-        data = feat.join(target, "hcp_id").select(
-            *[finite_or(F.col(c).cast("double"), 0.0).alias(c) for c in cols], "target_multiplier")
+        data = materialize(feat.join(target, "hcp_id").select(
+            *[finite_or(F.col(c).cast("double"), 0.0).alias(c) for c in cols], "target_multiplier"), "training")
         est = est.setFeaturesCol("_f").setLabelCol("target_multiplier")
         model = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="_f"), est]).fit(data)
         rows.append((name, type(est).__name__, float(ev.evaluate(model.transform(data)))))
+        release(data)
     return temporal.sparkSession.createDataFrame(rows, "component string, regressor string, r2_in_sample double")

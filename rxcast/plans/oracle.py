@@ -65,6 +65,7 @@ claims AS (
     substr(o.o_orderpriority, 3) AS payer_name,
     p.p_type AS clinical_service_line,
     CASE WHEN l.l_linenumber >= 6 THEN 'MR' END AS reject_reason_1_cd,
+    CASE WHEN l.l_linenumber >= 6 THEN CASE WHEN l.l_partkey % 3 = 0 THEN 'Prior authorization' ELSE 'Not covered' END END AS reject_reason_1_desc,
     CAST(2000000000 + l.l_partkey % 15 AS BIGINT) AS pharmacy_npi_nbr
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey

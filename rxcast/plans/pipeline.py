@@ -25,10 +25,11 @@ from rxcast.session import materialize
 from rxcast.sources import dims
 
 
-def run_pipeline(spark: SparkSession, claims: DataFrame, learned: bool = False,
+def run_pipeline(spark: SparkSession, claims: DataFrame, learned: bool = True,
                  persist: bool = True) -> dict[str, DataFrame]:
     """Steps 1-7: clean, external tables, components, predictions,
-    evaluation, feature analysis, executive-summary tables."""
+    evaluation, feature analysis, executive-summary tables. All six components
+    take part; ``learned=False`` replaces the fitted one by 1.0."""
     clean = cl.clean_claims(claims)
     if persist:
         clean = materialize(clean, "clean")
@@ -69,6 +70,7 @@ def run_pipeline(spark: SparkSession, claims: DataFrame, learned: bool = False,
         "contributions": ev.contributions(pred),
         "performance_report": ev.performance_report(pred_out),
         "paired_t": ev.paired_t_pvalue(pred_out),
+        "signed_rank": ev.signed_rank_pvalue(pred_out),
         "heteroscedasticity": ev.heteroscedasticity(pred_out),
         "normality": ev.normality(pred_out),
         # step 6
@@ -85,6 +87,9 @@ def run_pipeline(spark: SparkSession, claims: DataFrame, learned: bool = False,
         "drug_performance": pf.drug_performance(clean),
         "switching_rate": pf.switching_rate(clean),
         "payer_impact": pf.payer_impact(clean),
+        "hcp_drug_pivot": pf.hcp_drug_pivot(clean),
+        "top_rejection_reason": pf.top_rejection_reason(clean),
+        "daily_rolling": pf.daily_rolling(clean),
         "rolling_summary": pf.rolling_summary(clean),
         "importance": pf.importance(clean),
         "insights": pf.insights(clean),
@@ -95,11 +100,6 @@ def run_pipeline(spark: SparkSession, claims: DataFrame, learned: bool = False,
     return out
 
 
-def signed_rank_output(pred: DataFrame) -> DataFrame:
-    """ST2 is kept out of ``run_pipeline`` defaults: it runs a quantile pre-pass."""
-    return ev.signed_rank_pvalue(pred)
-
-
 CSV_OUTPUTS = {"cleaned_data", "pricing", "predictions", "model_metrics"}
 JSON_OUTPUTS = {"market_intelligence"}
 

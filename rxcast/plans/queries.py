@@ -10,7 +10,7 @@ from rxcast.operators import clean as cl
 from rxcast.operators import features as fe
 from rxcast.operators import multipliers as mu
 from rxcast.operators import predict as pr
-from rxcast.session import materialize
+from rxcast.session import materialize, release
 from rxcast.sources.claims import claims_from_star
 
 QUERIES: dict = {}
@@ -47,8 +47,7 @@ def shared(spark: SparkSession, key: tuple, build) -> DataFrame:
 def release_shared() -> None:
     """Drop every shared intermediate (benchmarks, tests)."""
     for df in _SHARED.values():
-        if df.storageLevel.useMemory or df.storageLevel.useDisk:
-            df.unpersist()
+        release(df)
     _SHARED.clear()
 
 
@@ -146,9 +145,16 @@ def q_mult_payer(spark, sf_dir):
     return rounded(mu.payer_multiplier(clean(spark, sf_dir)), 9)
 
 
+@query("predictions_five_factor")
+def q_predictions_five_factor(spark, sf_dir):
+    """The prediction without the fitted component: SQL can check it, and the evaluation queries read it."""
+    return predictions(spark, sf_dir)
+
+
 @query("predictions")
 def q_predictions(spark, sf_dir):
-    return predictions(spark, sf_dir)
+    """The default run: all six components, the fitted temporal multiplier (MUL1) among them."""
+    return pr.predict(clean(spark, sf_dir), learned=True)
 
 
 # ---------------------------------------------------------------- phase 4
@@ -286,6 +292,81 @@ def q_page_cache_keys(spark, sf_dir):
     return ex.page_cache_keys(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+# EXT1-EXT4, EXT6-EXT11 over payloads that are derived from the tables
+from rxcast.plans.landed import raw_responses  # noqa: E402
+
+
+@query("ext_payloads")
+def q_ext_payloads(spark, sf_dir):
+    raw = raw_responses(spark, sf_dir)
+    return raw.groupBy("source").agg(F.count(F.lit(1)).alias("landed"), F.count_if(ex.valid_answer()).alias("valid"))
+
+
+@query("ext_trials")
+def q_ext_trials(spark, sf_dir):
+    return ex.parse_trials(raw_responses(spark, sf_dir)).select(
+        "drug_name", "total_trials", "active_trials", "completed_trials", "phase_3_trials", F.size("studies").alias("shown"))
+
+
+@query("ext_label")
+def q_ext_label(spark, sf_dir):
+    return ex.parse_label(raw_responses(spark, sf_dir)).select(
+        "drug_name", "approval_date", "manufacturer", *[F.array_join(c, "|").alias(c) for c in ("indications", "warnings", "adverse_reactions")])
+
+
+@query("ext_registry")
+def q_ext_registry(spark, sf_dir):
+    return ex.parse_registry(raw_responses(spark, sf_dir)).drop("fetched_at")
+
+
+@query("ext_pubmed")
+def q_ext_pubmed(spark, sf_dir):
+    return ex.parse_pubmed(raw_responses(spark, sf_dir)).select(
+        "drug_name", "total_publications", F.array_join("recent_pmids", ",").alias("recent_pmids"))
+
+
+@query("ext_efficacy_sources")
+def q_ext_efficacy_sources(spark, sf_dir):
+    raw = raw_responses(spark, sf_dir)
+    drugs = raw.where(F.col("source") == "trials").select(F.col("key").alias("drug_name"))
+    return ex.efficacy_sources(drugs, raw).select("drug_name", "data_source", "has_trials", "has_label", "has_pubmed")
+
+
+@query("ext_market_source")
+def q_ext_market_source(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    found = ex.filings_summary(ex.html_rows(pages, row_tag="ul", cell_tag="li"))
+    first = ex.market_source(found, companies=(0, 1, 2), company_col="page_id").withColumn("asked", F.lit("first pages"))
+    none = ex.market_source(found, companies=(-1,), company_col="page_id").withColumn("asked", F.lit("no page"))
+    return first.unionByName(none)
+
+
+@query("ext_hcp_profiles")
+def q_ext_hcp_profiles(spark, sf_dir):
+    hcps = clean(spark, sf_dir).select("hcp_id").distinct()
+    return ex.hcp_profiles(hcps, raw_responses(spark, sf_dir)).select("npi", "data_source", "name", "specialization", "state")
+
+
+@query("ext_latest_snapshot")
+def q_ext_latest_snapshot(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    snapshots = events.select(F.col("user_id").alias("key"), F.date_trunc("day", "ts").alias("fetched_at"), "event_type", "event_id")
+    return ex.latest_snapshot(snapshots).select("key", "event_type", "event_id")
+
+
+@query("ext_fetch_statistics")
+def q_ext_fetch_statistics(spark, sf_dir):
+    return ex.fetch_statistics(raw_responses(spark, sf_dir))
+
+
+@query("hcp_drug_sales")
+def q_hcp_drug_sales(spark, sf_dir):
+    """FA16 in long form: one row per HCP and brand."""
+    wide = pf.hcp_drug_pivot(clean(spark, sf_dir))
+    brands = [c for c in wide.columns if c != "hcp_id"]
+    return wide.unpivot(["hcp_id"], brands, "drug_brand_name", "paid").where(F.col("paid").isNotNull())
+
+
 # ---------------------------------------------------------------- learned (rows-only)
 @query("mult_temporal")
 def q_mult_temporal(spark, sf_dir):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from rxcast.plans.landed import SQL_PRELUDE
 from rxcast.plans.oracle import D, MARKET_EXPR, RND, with_prelude
 from rxcast.sources import dims
 
@@ -267,13 +268,13 @@ SELECT grade, assessment, summary_grade, missing_pct, section, item FROM (
     (SELECT ({' + '.join(f'count(*) FILTER (WHERE "{c}" IS NULL)' for c in ['hcp_id', 'type_1_npi', 'prescriber_npi_nm', 'prescriber_npi_state_cd', 'Drug_generic_name', 'Drug_name', 'Company', 'Sales_from_db', 'Predicted_sales', 'Quantity_from_DB', 'Predicted_quantity', 'Combined_multiplier'])}) / (count(*) * 12) * 100 AS missing_pct FROM predictions)
 ) x, LATERAL (
   SELECT * FROM (VALUES
-    (1, 'strength', 'Strong predictive power', x.R2 > 0.6),
-    (2, 'strength', 'Good directional accuracy', x.Direction_Accuracy > 70),
-    (3, 'improvement', 'Reduce prediction error', x.MAPE > 20),
-    (4, 'improvement', CASE WHEN x.bias > 0 THEN 'Address systematic over-prediction bias' ELSE 'Address systematic under-prediction bias' END, abs(x.bias) > 0.2),
-    (5, 'risk', 'High: Large prediction errors', x.MAPE > 30),
-    (6, 'risk', 'Medium: missing data', x.missing_pct > 5),
-    (7, 'risk', 'Low: Model performance is within acceptable parameters', NOT (x.MAPE > 30 OR x.missing_pct > 5))
+    (1, 'strength', 'r2_above_0.6', x.R2 > 0.6),
+    (2, 'strength', 'direction_above_70', x.Direction_Accuracy > 70),
+    (3, 'improvement', 'mape_above_20', x.MAPE > 20),
+    (4, 'improvement', CASE WHEN x.bias > 0 THEN 'bias_over' ELSE 'bias_under' END, abs(x.bias) > 0.2),
+    (5, 'risk', 'high: mape_above_30', x.MAPE > 30),
+    (6, 'risk', 'medium: missing_above_5', x.missing_pct > 5),
+    (7, 'risk', 'low: none_found', NOT (x.MAPE > 30 OR x.missing_pct > 5))
   ) v(k, section, item, keep) WHERE keep
 )""", ctes=[_ERR, SQL["metrics_table"].split("WITH ", 1)[1].rsplit("ms AS (", 1)[0].rstrip(",") and
             f"""ms AS (SELECT avg(abs({P} - {A})) / 1 AS MAE, avg(abs({P} - {A}) / greatest(abs({A}), CAST({EPS} AS DOUBLE))) * 100 AS MAPE,
@@ -351,7 +352,8 @@ ORDER BY total_paid DESC, hcp_id LIMIT 10""")
 ev("hcp_drug_pivot", f"""
 PIVOT (SELECT hcp_id, drug_brand_name, CAST(round(CAST(CAST(sum(CAST(total_paid_amt AS DECIMAL(38, 6))) AS VARCHAR) AS DECIMAL(38, 6)), 2) AS DOUBLE) AS s
        FROM clean WHERE drug_brand_name IS NOT NULL GROUP BY ALL)
-ON drug_brand_name USING first(s) GROUP BY hcp_id""")
+ON drug_brand_name IN ('ECONOMY', 'Keytruda', 'LARGE', 'Libtayo', 'MEDIUM', 'Opdivo', 'PROMO', 'SMALL', 'STANDARD')
+USING first(s) GROUP BY hcp_id""")
 
 ev("hcp_hhi", f"""
 SELECT hcp_id, {RND('sum((s / t) * (s / t))', 9)} AS HHI FROM (
@@ -412,7 +414,9 @@ ev("feature_summary", " UNION ALL ".join(
     f"SELECT '{a}' AS component, '{b}' AS feature, {RND(f'CAST({v} AS DOUBLE)', 6)} AS value, CAST({t} AS VARCHAR) AS text"
     for a, b, v, t in _FS_ROWS), ctes=[_CAL])
 
-ev("top_rejection_reason", "SELECT 'Unknown' AS reason, CAST(NULL AS BIGINT) AS count")
+ev("top_rejection_reason", """
+SELECT reject_reason_1_desc AS reason, count(*) AS count FROM clean WHERE reject_reason_1_desc IS NOT NULL
+GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1""")
 
 ev("rolling_30", f"""
 SELECT service_date, CAST(round(s, 2) AS DOUBLE) AS daily_sales,
@@ -561,3 +565,67 @@ SELECT page_id, base AS base_url,
     list_sort(list_transform(string_split(q, '&'), lambda x: {'k': split_part(x, '=', 1), 'v': regexp_extract(x, '^[^=]*=(.*)$', 1)})),
     lambda e: '(''' || e.k || ''', ''' || e.v || ''')'), ', ') || ']' END) AS cache_key
 FROM (SELECT page_id, regexp_extract(url, '^([^?#]*)', 1) AS base, regexp_extract(url, '\\?([^#]*)', 1) AS q FROM pages)""")
+
+
+# Noise from a hash of the row's key and the level: both engines draw the same.
+_DIGEST = "md5(concat_ws('|', '42', l.name, coalesce(hcp_id, ''), coalesce(Drug_generic_name, ''), coalesce(Drug_name, '')))"
+_PART = f"(CAST(CAST('0x' || substr({_DIGEST}, {{i}}, 8) AS BIGINT) AS DOUBLE) + {D(0.5)}) / {D(4294967296.0)}"
+sql("sensitivity", f"""
+SELECT noise, {RND('o', 6)} AS original_mae, {RND('n', 6)} AS perturbed_mae, {RND(f"(n - o) / o * {D(100.0)}", 6)} AS mae_change_pct FROM (
+  SELECT noise, avg(abs(Sales_from_db - Predicted_sales)) AS o, avg(abs(Sales_from_db - Predicted_sales * ({D(1.0)} + noise * z))) AS n FROM (
+    SELECT l.noise, Sales_from_db, Predicted_sales,
+      sqrt(ln({_PART.format(i=1)}) * {D(-2.0)}) * cos({_PART.format(i=9)} * (2 * pi())) AS z
+    FROM predictions, (VALUES ({D(0.05)}, '5'), ({D(0.1)}, '10'), ({D(0.2)}, '20')) l(noise, name))
+  GROUP BY noise)""")
+
+
+# External intelligence: expected facts straight from part, supplier, pages and events.
+def ext(name: str, select: str) -> None:
+    SQL[name] = SQL_PRELUDE + select
+
+
+ext("ext_payloads", """
+SELECT 'trials' AS source, (SELECT count(*) FROM p) AS landed, (SELECT count(*) FROM trials) AS valid
+UNION ALL SELECT 'label', (SELECT count(*) FROM p), (SELECT count(*) FROM label)
+UNION ALL SELECT 'pubmed', (SELECT count(*) FROM p), (SELECT count(*) FROM pubmed)
+UNION ALL SELECT 'registry', (SELECT count(*) FROM supplier), (SELECT count(*) FROM registry)""")
+ext("ext_trials", """
+SELECT key AS drug_name, (p_size % 7)::INT AS total_trials, CASE WHEN p_partkey % 2 = 0 THEN p_size % 7 ELSE 0 END::INT AS active_trials,
+  CASE WHEN p_partkey % 2 = 0 THEN 0 ELSE p_size % 7 END::INT AS completed_trials,
+  CASE WHEN p_partkey % 3 = 0 THEN p_size % 7 ELSE 0 END::INT AS phase_3_trials, least(5, p_size % 7)::INT AS shown FROM trials""")
+ext("ext_label", """
+SELECT key AS drug_name, 'BLA' || p_partkey AS approval_date, CASE WHEN p_partkey % 4 <> 0 THEN p_brand ELSE 'Unknown' END AS manufacturer,
+  p_type AS indications, 'Not available' AS warnings, 'Not available' AS adverse_reactions FROM label""")
+ext("ext_registry", "SELECT npi, name, 'MD' AS credential, specialty, state, '' AS enumeration_date FROM registry")
+ext("ext_pubmed", """
+SELECT key AS drug_name, p_size AS total_publications, array_to_string(list_transform(range(1, least(10, p_size + 1) + 1), lambda i: i::VARCHAR), ',') AS recent_pmids
+FROM pubmed""")
+ext("ext_efficacy_sources", """
+SELECT drug_name, CASE WHEN f AND t THEN 'fda+clinicaltrials' WHEN f THEN 'fda' WHEN t THEN 'clinicaltrials.gov' ELSE 'synthetic' END
+    || CASE WHEN (f OR t) AND m THEN '+pubmed' ELSE '' END AS data_source, t AS has_trials, f AS has_label, m AS has_pubmed
+FROM (SELECT key AS drug_name, key IN (SELECT key FROM trials) AS t, key IN (SELECT key FROM label) AS f, key IN (SELECT key FROM pubmed) AS m
+      FROM (SELECT DISTINCT key FROM p))""")
+SQL["ext_market_source"] = f"""
+WITH found AS ({SQL['html_rows']})
+SELECT CASE WHEN count(*) > 0 THEN 'sec_filings' ELSE 'synthetic' END AS data_source, 'first pages' AS asked FROM found WHERE page_id IN (0, 1, 2)
+UNION ALL SELECT 'synthetic', 'no page'"""
+SQL["ext_hcp_profiles"] = with_prelude("""
+SELECT c.hcp_id AS npi, CASE WHEN s.s_suppkey IS NULL THEN 'synthetic' ELSE 'npi_registry' END AS data_source, 'Dr ' || s_name AS name,
+  CASE WHEN s_suppkey % 3 <> 0 THEN 'class ' || s_nationkey WHEN s_suppkey IS NOT NULL THEN 'Unknown' END AS specialization, 'S' || (s_suppkey % 9) AS state
+FROM (SELECT DISTINCT hcp_id FROM clean) c LEFT JOIN supplier s
+  ON c.hcp_id = (s_suppkey + 1000000000)::VARCHAR AND s_suppkey % 8 <> 1 AND s_suppkey % 6 <> 2""")
+SQL["ext_latest_snapshot"] = """
+SELECT key, event_type, event_id FROM (SELECT user_id AS key, event_type, event_id,
+  row_number() OVER (PARTITION BY user_id ORDER BY date_trunc('day', ts) DESC, event_type DESC, event_id DESC) AS r FROM events) WHERE r = 1"""
+ext("ext_fetch_statistics", """
+SELECT count(*) AS real_data_attempts, sum(t + f + m + r)::BIGINT AS real_data_successes, count(*) FILTER (WHERE t + f + r = 0) AS synthetic_fallbacks,
+  round(sum(t + f + m + r) / count(*) * 100, 2)::DOUBLE AS success_rate_percent
+FROM (SELECT key, (SELECT count(*) FROM trials x WHERE x.key = k.key) AS t, (SELECT count(*) FROM label x WHERE x.key = k.key) AS f,
+        (SELECT count(*) FROM pubmed x WHERE x.key = k.key) AS m, 0 AS r FROM (SELECT DISTINCT key FROM p) k
+      UNION ALL SELECT (s_suppkey + 1000000000)::VARCHAR, 0, 0, 0, CASE WHEN s_suppkey % 8 <> 1 AND s_suppkey % 6 <> 2 THEN 1 ELSE 0 END FROM supplier)""")
+sql("hcp_drug_sales", """
+SELECT hcp_id, drug_brand_name, CAST(CAST(round(sum(CAST(total_paid_amt AS DECIMAL(38, 6))), 2) AS VARCHAR) AS DOUBLE) AS paid FROM clean
+WHERE hcp_id IS NOT NULL AND drug_brand_name IS NOT NULL AND total_paid_amt IS NOT NULL GROUP BY ALL""")
+
+# The fitted component has no SQL form; the prediction without it has.
+SQL["predictions_five_factor"] = SQL.pop("predictions")

@@ -66,9 +66,25 @@ def test_latest_snapshot_and_stats(spark):
     assert got == {"k1": "b", "k2": "c"}
     fresh = ex.latest_snapshot(raw, now=F.lit(T0 + dt.timedelta(hours=2)), ttl_hours=24).collect()
     assert [r.key for r in fresh] == ["k1"]
+    tie = ex.latest_snapshot(_raw(spark, [("s", "k", T0, 200, "a"), ("s", "k", T0, 200, "b"), ("s", None, T0, 200, "c")])).collect()
+    assert {r.key: r.body for r in tie} == {"k": "b", None: "c"}
+
+
+def test_fetch_statistics_counts_valid_answers(spark):
+    raw = _raw(spark, [("label", "d1", T0, 200, '{"meta": 1}'), ("pubmed", "d1", T0, 200, '{"esearchresult": {"count": "3"}}'),
+                       ("trials", "d2", T0, 200, '{"StudyFieldsResponse": {"StudyFields": []}}'),
+                       ("registry", "n1", T0, 200, '{"results": [{"basic": {"first_name": "A"}}]}'),
+                       ("label", "d3", T0, 500, '{"results": [{}]}'), ("label", "d4", T0, 200, '{"results": []}')])
     st = ex.fetch_statistics(raw).first()
-    assert (st.real_data_attempts, st.real_data_successes, st.synthetic_fallbacks) == (2, 2, 1)
-    assert st.success_rate_percent == 100.0
+    assert (st.real_data_attempts, st.real_data_successes, st.synthetic_fallbacks) == (5, 3, 3)
+    assert st.success_rate_percent == 60.0
+
+
+def test_market_source_reads_the_filings_summary(spark):
+    rows = spark.createDataFrame([(1, 0, "10-K", "2024")], "page_id long, row_idx int, filing_type string, filing_date string")
+    found = ex.filings_summary(rows)
+    assert ex.market_source(found, companies=(1,), company_col="page_id").first().data_source == "sec_filings"
+    assert ex.market_source(found, companies=(2,), company_col="page_id").first().data_source == "synthetic"
 
 
 def test_payer_landscape_substring_priority(spark):
@@ -88,6 +104,9 @@ def test_drug_profile_and_cache_key(spark):
     assert got["Foo"].market_rank == 4 and got["Foo"].list_price is None
     pages = spark.createDataFrame([(1, "http://a.b/c?z=1&a=2")], "page_id long, url string")
     k = ex.page_cache_keys(pages).first().cache_key
+    again = spark.createDataFrame([(2, "http://a.b/c?x=1&x=2&y")], "page_id long, url string")
+    assert ex.page_cache_keys(again).first().cache_key == hashlib.md5(
+        ("http://a.b/c" + str([("x", "1"), ("x", "2"), ("y", "")])).encode()).hexdigest()
     params = {"z": "1", "a": "2"}
     assert k == hashlib.md5(("http://a.b/c" + str(sorted(params.items()))).encode()).hexdigest()
 
