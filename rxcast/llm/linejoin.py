@@ -92,8 +92,9 @@ def described(lines: DataFrame, classes: Column, percent: int, least: int) -> Da
     key = lambda h: F.shiftleft(F.coalesce(F.get(classes, h.bitwiseAND(SLOTS - 1).cast("int")), F.lit(1)), 56) \
         .bitwiseOR(F.shiftrightunsigned(h, 8))
     flip = lambda b, h: b.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(63).cast("int")))
-    sets = lines.select("at", F.sort_array(F.array_distinct(F.transform(split_words(F.col("line")), lambda w: F.xxhash64(w)))).alias("t")) \
-        .where(F.size("t") >= least).withColumn("n", F.size("t"))
+    tokens = F.sort_array(F.array_distinct(F.transform(split_words(F.col("line")), lambda w: F.xxhash64(w))))
+    # no where: it would move below and compute the tokens twice
+    sets = lines.select("at", F.explode(F.filter(F.array(tokens), lambda t: F.size(t) >= least)).alias("t")).withColumn("n", F.size("t"))
     need = F.ceil(F.lit(percent) * F.col("n") / 100)
     return sets.select("at", F.xxhash64("t").alias("h1"), F.hash("t").alias("h2"), "n", F.xxhash64(F.slice("t", 1, 3)).alias("near1"),
                        F.xxhash64(F.lit(1), F.slice("t", -3, 3)).alias("near2"), F.aggregate("t", F.lit(0).cast("bigint"), flip).alias("sketch"),
