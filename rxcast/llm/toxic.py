@@ -4,8 +4,8 @@ Tokens are words and their beginnings of ``STEM`` characters and more, so an
 insult is known in all its endings. They get log-odds of toxic against clean
 labelled text under a Dirichlet prior (both together, ``PRIOR`` tokens
 strong). Whether a token is significant is judged on the number of documents
-with it, as a text repeats its words and token counts would call the habits
-of single documents significant. Tokens well and significantly on the toxic
+with it (signed root of the likelihood ratio), as a text repeats its words and
+token counts would call the habits of single documents significant. Tokens well and significantly on the toxic
 side form the lexicon; a word scores as its longest beginning there, and
 every other word costs a little: the log-odds of a word outside the lexicon.
 
@@ -34,8 +34,8 @@ from rxcast.llm.bpe import chunks
 from rxcast.llm.labelled import clear_labels, fold, monotone
 from rxcast.llm.tables import stored
 
-#: Shortest and longest proper beginning of a word, strength of the prior in tokens, least z-score and log-odds.
-STEM, LONGEST, PRIOR, LEAST_Z, LEAST_ODDS = 4, 12, 2000.0, 4.5, 1.5
+#: Shortest and longest proper beginning of a word, strength of the prior in tokens, least root and log-odds.
+STEM, LONGEST, PRIOR, LEAST_ROOT, LEAST_ODDS = 4, 12, 2000.0, 4.5, 1.5
 EDGES = ".,!?;:\"'()[]{}<>*_-"
 CHUNK_BYTES, FLUSH = 4 << 20, 200_000
 NAMES = ("docs0", "docs1", "tokens0", "tokens1")
@@ -139,8 +139,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out
 
     Labels count only where CRC-32 of the id as text modulo ``folds`` isn't
     ``held_out``; token counts come from about ``most_labelled`` of them,
-    chosen by hash, and the lexicon keeps the ``most_tokens`` tokens of highest
-    z-score. A null or empty text has no segment and the score of documents
+    chosen by hash, and the lexicon keeps the ``most_tokens`` most
+    significant tokens. A null or empty text has no segment and the score of documents
     without evidence; a null id has no label and isn't held out; conflicting
     labels of an id don't count. Rows that repeat an id are scored each.
     Without toxic and clean learning rows every score is 0; an empty table
@@ -158,15 +158,19 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out
                                                 F.sum(F.col("label") * F.col("n"))).first())
     lexicon, rates, cost = {}, np.zeros(0), 1.0
     if n0 and n1 and t0 > 0 and t1 > 0:
-        def odds(y0, y1, n0, n1, strength):
-            prior = strength * (y0 + y1 + 1) / (n0 + n1 + 2)
-            a, b = y0 + prior, y1 + prior
-            d = F.log(b / F.greatest(F.lit(0.5), n1 + strength - b)) - F.log(a / F.greatest(F.lit(0.5), n0 + strength - a))
-            return d, d / F.sqrt(1 / a + 1 / b)
-
-        by_docs, by_tokens = odds(F.col("docs0"), F.col("docs1"), n0, n1, 20.0), odds(F.col("tokens0"), F.col("tokens1"), t0, t1, PRIOR)
-        top = counts.select("token", "tokens0", "tokens1", by_tokens[0].alias("odds"), by_docs[1].alias("z")) \
-            .where((F.col("z") >= LEAST_Z) & (F.col("odds") >= LEAST_ODDS)).orderBy(F.desc("z"), "token").limit(most_tokens).collect()
+        prior = PRIOR * (F.col("tokens0") + F.col("tokens1") + 1) / (t0 + t1 + 2)
+        a, b = F.col("tokens0") + prior, F.col("tokens1") + prior
+        odds = F.log(b / F.greatest(F.lit(0.5), t1 + PRIOR - b)) - F.log(a / F.greatest(F.lit(0.5), t0 + PRIOR - a))
+
+        def part(seen, expected):
+            return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(F.lit(0.0))
+
+        both, none = F.col("docs0") + F.col("docs1"), n0 + n1 - F.col("docs0") - F.col("docs1")
+        ratio = sum((part(seen, group * side / (n0 + n1)) for seen, group, side in (
+            (F.col("docs1"), n1, both), (F.col("docs0"), n0, both), (n1 - F.col("docs1"), n1, none), (n0 - F.col("docs0"), n0, none))), F.lit(0.0))
+        root = F.sqrt(F.greatest(F.lit(0.0), 2 * ratio)) * F.signum(F.col("docs1") * n0 - F.col("docs0") * n1)
+        top = counts.select("token", "tokens0", "tokens1", odds.alias("odds"), root.alias("root")) \
+            .where((F.col("root") >= LEAST_ROOT) & (F.col("odds") >= LEAST_ODDS)).orderBy(F.desc("root"), "token").limit(most_tokens).collect()
         lexicon = {r["token"]: float(r["odds"]) for r in top}
         whole = [r for r in top if not any(t in lexicon for t in beginnings(r["token"])[1:])]  # others are counted with their beginnings
         rates = np.array([(r["tokens0"] + 0.5) / (t0 + 1) for r in whole])
