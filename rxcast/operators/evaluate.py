@@ -11,13 +11,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rxcast.functions.pvalues import normal_pvalue, t_pvalue
 from rxcast.functions.quantiles import exact_quantiles
-from rxcast.operators.ordered import positions
+from rxcast.operators.ordered import positions, value_pieces
 
 A, P = "Sales_from_db", "Predicted_sales"
 NOISE_KEY = ("hcp_id", "Drug_generic_name", "Drug_name")
@@ -309,28 +308,18 @@ def paired_t_pvalue(pred: DataFrame) -> DataFrame:
     return t.withColumn("p_value", t_pvalue(F.col("t_stat"), (F.col("n") - 1).cast("double")))
 
 
-def _rank_buckets(vals: DataFrame, col: str, n_buckets: int = 512) -> Column:
-    """Order-preserving bucket of a numeric column from approximate
-    quantiles (a bounded list of <= n_buckets split points)."""
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    splits = sorted(set(v for v in vals.approxQuantile(col, qs, 0.001) if v is not None))
-    return [-math.inf, *splits, math.inf]
-
-
 def signed_rank(pred: DataFrame) -> DataFrame:
     """ST2: Wilcoxon signed-rank (zero differences dropped, average ranks for
     ties, W = min(W+, W-)) with the tie-corrected normal z.
 
     Ranks come from the per-distinct-|d| counts and a prefix sum over the
-    sorted distinct values (WIN8); the prefix sum is cut into quantile
-    buckets so no task sees all values."""
+    sorted distinct values (WIN8), cut into pieces whose number follows the
+    values."""
     d = (F.col(A) - F.col(P))
     nz = pred.select(d.alias("d")).filter(F.col("d").isNotNull() & (F.col("d") != 0))
     per = nz.groupBy(F.abs("d").alias("ad")).agg(
         F.count(F.lit(1)).alias("t"), F.count_if(F.col("d") > 0).alias("npos"))
-    splits = _rank_buckets(per, "ad")
-    per = Bucketizer(splits=splits, inputCol="ad", outputCol="_b").transform(per)
-    ranked = positions(per, [], [F.col("ad")], F.col("_b").cast("int"), {"t": F.col("t")}, pos_col="_p")
+    ranked = positions(value_pieces(per, "ad"), [], [F.col("ad")], F.col("_piece"), {"t": F.col("t")}, pos_col="_p")
     # average rank of a tie group = (#smaller) + (t + 1) / 2
     avg_rank = F.col("_cum_t") - F.col("t") + (F.col("t") + 1) / 2.0
     out = ranked.agg(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rxcast.functions.exprs import clip, flag, nunique_with_null
 from rxcast.operators.clean import AGE_LABELS, order_cols
-from rxcast.operators.ordered import EXACT, adaptive_day_bucket, nested_positions, rolling_from_prefix
+from rxcast.operators.ordered import EXACT, nested_positions, rolling_from_prefix, split_buckets
 from rxcast.sources import dims
 
 PAID = "total_paid_amt"
@@ -220,12 +220,11 @@ def claim_rolling(clean: DataFrame, windows=(7, 30, 90), keep_text: bool = False
     claim's descriptive columns back on the unique (hcp_id, row_idx)."""
     cols = ["hcp_id", "drug_brand_name", "service_date_dd", "claim_number", PAID,
             "patient_id", "days_supply_val"]
-    narrow = clean.select(*cols)
-    bucket = adaptive_day_bucket(narrow, ["hcp_id"], "service_date_dd")
+    narrow = split_buckets(clean.select(*cols), ["hcp_id"], "service_date_dd", "claim_number")
     v = F.col(PAID)
     meas = {"s": F.coalesce(v.cast(EXACT), F.lit(0).cast(EXACT)), "nn": F.when(v.isNotNull(), 1).otherwise(0)}
-    h = nested_positions(narrow, ["hcp_id"], ["drug_brand_name"], order_cols(), bucket, meas,
-                         outer_pos="row_idx", inner_pos="_pos_g")
+    h = nested_positions(narrow, ["hcp_id"], ["drug_brand_name"], order_cols(), F.col("_piece"), meas,
+                         outer_pos="row_idx", inner_pos="_pos_g").drop("_piece")
     if keep_text:  # two consumers below: compute the positions once
         from rxcast.session import materialize
         h = materialize(h, "claim_positions")

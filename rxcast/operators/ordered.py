@@ -5,8 +5,9 @@ A ``Window.partitionBy(hcp).orderBy(date)`` sends every row of an HCP to one
 task; AQE cannot split window partitions, and a single key (for example the
 ``Unknown`` prescriber) may hold a third of all claims. Instead:
 
-1. every row gets a *bucket*: a non-null, order-preserving coarse key (here
-   the service day), so each group is cut into many bounded pieces;
+1. every row gets a *piece*: a non-null key that follows the order (calendar
+   months, cut again at sampled split points where they are too large), so
+   each group is cut into bounded pieces;
 2. a local ``row_number`` / running sum runs per ``(group, bucket)``;
 3. per-``(group, bucket)`` totals (a small aggregated table) are turned into
    offsets with a window over buckets of the same group;
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 
 NULL_BUCKET = 2 ** 31 - 1  # null order keys sort last
 EXACT = "decimal(38,6)"
+#: Rows of a piece, and sampled rows per piece that place its ends.
+TARGET_ROWS, PER_PIECE = 1_000_000, 64
 
 
 def day_bucket(ts_col: str, days: int = 1, origin: int = 0) -> Column:
@@ -35,23 +38,50 @@ def day_bucket(ts_col: str, days: int = 1, origin: int = 0) -> Column:
     return F.coalesce(b, F.lit(NULL_BUCKET)).cast("int")
 
 
-def adaptive_day_bucket(df: DataFrame, group: list[str], ts_col: str,
-                        target_rows: int = 2_000_000, span_days: int = 3650) -> Column:
-    """Day bucket whose width follows the data volume, decided from Spark's
-    size statistics of the (materialized) input, without a job: wide enough
-    that small inputs do not get one bucket per row, narrow enough that even
-    a group holding every row gets about ``target_rows`` rows per bucket
-    over a ``span_days`` history (one day at most)."""
-    rows = None
-    try:
-        st = df._jdf.queryExecution().optimizedPlan().stats()
-        rows = int(str(st.rowCount().get())) if st.rowCount().isDefined() else int(str(st.sizeInBytes())) // 64
-    except Exception:  # noqa: BLE001  (no statistics: finest buckets)
-        rows = None
-    if not rows:
-        return day_bucket(ts_col)
-    days = max(1, min(span_days, target_rows * span_days // max(rows, 1)))
-    return day_bucket(ts_col, days)
+def _every_nth(sample: Column) -> Column:
+    """Split points: every ``PER_PIECE``-th element of a sorted sample."""
+    return F.filter(F.sort_array(sample), lambda x, i: (i > 0) & (i % PER_PIECE == 0))
+
+
+def split_buckets(df: DataFrame, group: list[str], ts_col: str, tie_col: str, days: int = 32,
+                  target: int | None = None) -> DataFrame:
+    """Add ``_piece``: non-decreasing along (``ts_col``, ``tie_col``), nulls
+    last, inside each group, with about ``target`` rows at most.
+
+    A group is cut into pieces of ``days`` calendar days. A piece above the
+    target is cut again at split points over the whole order, not the day
+    only: they come from a sample of its rows, chosen by a hash of the order
+    key, so every run and layout cuts at the same places. Rows without a date
+    are a piece like any other; only rows with one and the same order key stay
+    together."""
+    target = target or TARGET_ROWS
+    at = F.concat(F.coalesce(F.date_format(ts_col, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("~")),
+                  F.coalesce(F.col(tie_col).cast("string"), F.lit("\U0010ffff")))
+    b = df.withColumn("_bkt0", day_bucket(ts_col, days).cast("long"))
+    keys = [*group, "_bkt0"]
+    big = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > target) \
+        .select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)], "_n")
+    same = None
+    for i, k in enumerate(keys):
+        eq = F.col(k).eqNullSafe(F.col(f"_s{i}"))
+        same = eq if same is None else same & eq
+    rate = F.greatest(F.lit(1), F.floor(F.lit(target) / PER_PIECE))
+    splits = b.select(*keys, at.alias("_at")).join(big, same).where(F.pmod(F.xxhash64("_at"), rate) == 0) \
+        .groupBy(*[f"_s{i}" for i in range(len(keys))]).agg(_every_nth(F.collect_list("_at")).alias("_cuts"))
+    below = F.size(F.filter("_cuts", lambda c: c <= at))
+    joined = b.join(splits, same, "left").withColumn("_piece", F.col("_bkt0") * (1 << 24) + F.when(F.col("_cuts").isNull(), 0).otherwise(below))
+    return joined.select(*df.columns, "_piece")
+
+
+def value_pieces(df: DataFrame, col: str, target: int | None = None) -> DataFrame:
+    """Add ``_piece``: order-preserving pieces of a numeric column with about
+    ``target`` rows, cut at a hash-chosen sample's quantiles; their number
+    follows the rows."""
+    target = target or TARGET_ROWS
+    rate = max(1, target // PER_PIECE)
+    cuts = df.where(F.pmod(F.xxhash64(col), F.lit(rate)) == 0).agg(_every_nth(F.collect_list(col)).alias("_cuts"))
+    joined = df.join(F.broadcast(cuts), how="inner", on=F.lit(True))  # one row: an element per ``target`` rows
+    return joined.withColumn("_piece", F.size(F.filter("_cuts", lambda c: c <= F.col(col)))).select(*df.columns, "_piece")
 
 
 def non_null_keys(df: DataFrame, group: list[str]) -> tuple[DataFrame, list[str], Column | None]:

@@ -176,3 +176,33 @@ def test_registry_overrides_the_hashed_class(spark):
     plain = {r.hcp_id: r.specialization for r in fe.hcp_specialization(clean).collect()}
     got = {r.hcp_id: r.specialization for r in fe.hcp_specialization(clean, registry).collect()}
     assert got[ids[0]] == name and got[ids[1]] == plain[ids[1]] and got[ids[2]] == plain[ids[2]] and len(got) == len(plain)
+
+
+def test_one_hcp_and_one_day_are_cut_into_pieces(spark):
+    """Every row in one HCP and day, and every row without a date: pieces stay small and positions right."""
+    from rxcast.operators.ordered import split_buckets
+    rnd = random.Random(3)
+    keys = [f"c{i:05d}" for i in range(20000)]
+    rnd.shuffle(keys)
+    day = dt.datetime(2024, 5, 1)
+    rows = [("H", day if i % 2 else None, k, 1.0) for i, k in enumerate(keys)] + [("G", day, "a", 1.0), ("G", None, None, 1.0)]
+    df = spark.createDataFrame(rows, "hcp string, d timestamp, k string, v double").repartition(6)
+    cut = split_buckets(df, ["hcp"], "d", "k", target=1000)
+    sizes = [r["count"] for r in cut.groupBy("hcp", "_piece").count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) < 3000 and len(sizes) >= 12
+    got = positions(cut, ["hcp"], [F.col("d").asc_nulls_last(), F.col("k").asc_nulls_last()], F.col("_piece"), pos_col="p") \
+        .orderBy("hcp", "p").select("hcp", "d", "k").collect()
+    want = sorted(rows, key=lambda r: (r[0], r[1] is None, r[1] or day, r[2] is None, r[2] or ""))
+    assert [tuple(r) for r in got] == [r[:3] for r in want]
+    again = split_buckets(df.repartition(2), ["hcp"], "d", "k", target=1000).groupBy("hcp", "_piece").count().collect()
+    assert sorted(r["count"] for r in again) == sorted(sizes)
+
+
+def test_signed_rank_pieces_do_not_change_the_ranks(spark, monkeypatch):
+    from rxcast.operators import evaluate as ev
+    from rxcast.operators import ordered
+    rnd = random.Random(4)
+    df = spark.createDataFrame([(round(rnd.gauss(5, 9), 2), round(rnd.gauss(5, 9), 2)) for _ in range(3000)], "Sales_from_db double, Predicted_sales double")
+    whole = ev.signed_rank(df).first()
+    monkeypatch.setattr(ordered, "TARGET_ROWS", 128)
+    assert ev.signed_rank(df).first() == whole
