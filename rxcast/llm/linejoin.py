@@ -101,16 +101,16 @@ def described(lines: DataFrame, classes: Column, percent: int, least: int) -> Da
                        F.slice(F.sort_array(F.transform("t", key)), F.lit(1), (F.col("n") - need + 1).cast("int")).alias("rare"))
 
 
-def alike(percent: int) -> Column:
+def alike(percent: int, size: str = "n", sketch: str = "sketch") -> Column:
     """Length and sketch filters for sets of n and m tokens (either sign)."""
-    n, m = F.abs("n"), F.abs("m")
-    apart = F.bit_count(F.col("sketch").bitwiseXOR(F.col("marks")))
+    n, m = F.abs(size), F.abs("m")
+    apart = F.bit_count(F.col(sketch).bitwiseXOR(F.col("marks")))
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * (n + m - apart) >= 2 * percent * (n + m))
 
 
 def reach(percent: int) -> Column:
     """Positional filter for sets that first meet at places i and j."""
-    n, m = F.abs("n"), F.abs("m")
+    n, m = F.abs("size"), F.abs("m")
     return (100 + percent) * F.least(n - F.col("i"), m - F.col("j")) >= percent * (n + m)
 
 
@@ -121,25 +121,28 @@ def removable(docs: DataFrame, bits: int, percent: int, least: int, text_col: st
     at = F.shiftleft("__doc", bits).bitwiseOR(F.col("line_no"))
     table = stored(described(lines.select(at.alias("at"), "line"), rarity(lines), percent, least), "lines")
 
-    firsts = table.groupBy("h1", "h2", "n").agg(F.min("at").alias("at"), *[F.any_value(c).alias(c) for c in ("near1", "near2", "sketch")])
+    firsts = stored(table.groupBy("h1", "h2", "n").agg(F.min("at").alias("at"), *[F.any_value(c).alias(c) for c in ("near1", "near2", "sketch")])
+                    .drop("h1", "h2"), "line-sets")
     ends = firsts.select("at", "n", "sketch", F.explode(F.array("near1", "near2")).alias("near"))
     heads = ends.groupBy("near").agg(F.min(F.struct("at", "n", "sketch")).alias("e"), F.count("*").alias("of")).where("of > 1") \
         .select("near", F.col("e.at").alias("before"), F.col("e.n").alias("m"), F.col("e.sketch").alias("marks"))
     star = ends.join(heads, "near").where((F.col("before") < F.col("at")) & alike(percent)).select("at", "before").distinct()
     gone = similar(docs, star, bits, percent, text_col)
 
-    sets = table.groupBy("h1", "h2", "n").agg(F.min("at").alias("at"), F.any_value("sketch").alias("sketch"), F.any_value("rare").alias("rare"))
-    sets = sets.join(gone.select("at", F.lit(True).alias("done")), "at", "left") \
-        .withColumn("n", F.when(F.col("done").isNull(), F.col("n")).otherwise(-F.col("n")))  # negative: needs no partner
-    # postings are shuffled once: both sides of the join have the same columns and read the same exchange
-    posted = sets.select("at", "n", "sketch", F.posexplode("rare").alias("i", "key")) \
-        .select(F.hash("key").alias("token"), "at", "n", "i", "sketch")
-    other = posted.toDF("same", "before", "m", "j", "marks")
-    later = F.least(F.col("n").cast("long"), F.col("at") - F.col("before")) > 0
-    rest = posted.join(other, F.col("token") == F.col("same")).where(later & reach(percent) & alike(percent)).select("at", "before").distinct()
+    open_ = firsts.select("at").join(gone.select("at", F.lit(True).alias("done")), "at", "left") \
+        .select(F.col("at").alias("first"), F.when(F.col("done").isNull(), 1).otherwise(-1).alias("sign"))
+    sets = table.select("at", "n", "sketch", "rare").join(open_, F.col("at") == F.col("first"))
+    # postings are shuffled once: both sides of the join rename every column and so read the same exchange;
+    # a negative size needs no partner
+    posted = sets.select("at", (F.col("n") * F.col("sign")).alias("signed"), "sketch", F.posexplode("rare").alias("place", "key")) \
+        .select(F.hash("key").alias("code"), "at", "signed", "place", "sketch")
+    one, other = posted.toDF("token", "line", "size", "i", "bits"), posted.toDF("same", "before", "m", "j", "marks")
+    later = F.least(F.col("size").cast("long"), F.col("line") - F.col("before")) > 0
+    rest = one.join(other, F.col("token") == F.col("same")).where(later & reach(percent) & alike(percent, "size", "bits")) \
+        .select(F.col("line").alias("at"), "before").distinct()
     gone = gone.union(similar(docs, rest, bits, percent, text_col)).distinct()
 
-    stays = table.groupBy("h1", "h2", "n").agg(F.min("at").alias("at")).select("at").join(gone, "at", "left_anti")
+    stays = firsts.select("at").join(gone, "at", "left_anti")
     lost = table.select("at").join(stays, "at", "left_anti")
     return stored(lost.groupBy(F.shiftright("at", bits).alias("__doc")).agg(
         F.collect_list(F.col("at").bitwiseAND((1 << bits) - 1).cast("int")).alias("__gone")), "line-gone")
