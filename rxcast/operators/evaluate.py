@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from rxcast.functions.pvalues import normal_pvalue, t_pvalue
 from rxcast.functions.quantiles import exact_quantiles
 from rxcast.operators.ordered import positions, value_pieces
+from rxcast.operators.predict import WEIGHTS
 
 A, P = "Sales_from_db", "Predicted_sales"
 NOISE_KEY = ("hcp_id", "Drug_generic_name", "Drug_name")
@@ -227,9 +228,9 @@ def sensitivity(pred: DataFrame, levels=(0.05, 0.10, 0.20), seed: int = 42) -> D
 
 
 # ---------------------------------------------------------------- EV17, WIN5/6
-COMPONENTS = [("Temporal Patterns", "temporal_multiplier", 1.0), ("Market Dynamics", "market_multiplier", 0.5),
-              ("HCP Specialization", "affinity", 0.5), ("Transaction Patterns", "transaction_multiplier", 0.33),
-              ("Rolling Trends", "rolling_multiplier", 0.33), ("Payer Mix", "payer_multiplier", 0.33)]
+COMPONENTS = [(name, column, WEIGHTS[column]) for name, column in (
+    ("Temporal Patterns", "temporal_multiplier"), ("Market Dynamics", "market_multiplier"), ("HCP Specialization", "affinity"),
+    ("Transaction Patterns", "transaction_multiplier"), ("Rolling Trends", "rolling_multiplier"), ("Payer Mix", "payer_multiplier"))]
 
 
 def contributions(components: DataFrame) -> DataFrame:
@@ -246,6 +247,14 @@ def contributions(components: DataFrame) -> DataFrame:
                          F.sum("share").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cumulative_share"))
 
 
+def component_lines(components: DataFrame) -> DataFrame:
+    """EV19: the strongest and the weakest component of the report."""
+    ranked = contributions(components)
+    ends = ranked.agg(*[f("rank").alias(n) for f, n in ((F.min, "_first"), (F.max, "_last"))])
+    line = F.when(F.col("rank") == F.col("_first"), "strongest").when(F.col("rank") == F.col("_last"), "weakest")
+    return attach(ranked, ends).select(line.alias("section"), F.col("component").alias("item"), "share").where(F.col("section").isNotNull())
+
+
 # ---------------------------------------------------------------- EV18/19, PRJ20/21
 def grade_expr(r2: Column, mape: Column) -> tuple[Column, Column]:
     """PRJ20: A-F grade and assessment from R2 and MAPE."""

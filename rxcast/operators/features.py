@@ -48,11 +48,11 @@ TEMPORAL_FEATURES = ["avg_patient_age", "female_ratio", "age_diversity", "patien
 
 
 # ------------------------------------------------------------------- AGG16
-def target_multiplier(clean: DataFrame) -> DataFrame:
-    """Training target per HCP: 1 + clip(std/(mean+1e-6), -.5, .5); NaN/inf/0 -> 1."""
+def target_multiplier(clean: DataFrame, key: str = "hcp_id") -> DataFrame:
+    """Training target per HCP (or another key): 1 + clip(std/(mean+1e-6), -.5, .5); NaN/inf/0 -> 1."""
     cvx = F.try_divide(F.stddev_samp(PAID), F.avg(PAID) + F.lit(1e-6))
     t = F.lit(1.0) + clip(cvx, -0.5, 0.5)
-    return clean.groupBy("hcp_id").agg(F.coalesce(F.when(t != 0, t), F.lit(1.0)).alias("target_multiplier"))
+    return clean.groupBy(key).agg(F.coalesce(F.when(t != 0, t), F.lit(1.0)).alias("target_multiplier"))
 
 
 # ------------------------------------------------------------ AGG4/5, JN2
@@ -225,9 +225,6 @@ def claim_rolling(clean: DataFrame, windows=(7, 30, 90), keep_text: bool = False
     meas = {"s": F.coalesce(v.cast(EXACT), F.lit(0).cast(EXACT)), "nn": F.when(v.isNotNull(), 1).otherwise(0)}
     h = nested_positions(narrow, ["hcp_id"], ["drug_brand_name"], order_cols(), F.col("_piece"), meas,
                          outer_pos="row_idx", inner_pos="_pos_g").drop("_piece")
-    if keep_text:  # two consumers below: compute the positions once
-        from rxcast.session import materialize
-        h = materialize(h, "claim_positions")
     r = rolling_from_prefix(h, ["hcp_id", "drug_brand_name"], "_pos_g", list(windows), carry=["row_idx", PAID])
     nulls = {c: F.when(F.col("drug_brand_name").isNotNull(), F.col(c))
              for n in windows for c in (f"rolling_sum_{n}", f"rolling_avg_{n}")}

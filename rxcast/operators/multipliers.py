@@ -7,7 +7,7 @@ temporal features; the fit is the only action in the prediction plan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rxcast.functions.exprs import clip, finite_or
@@ -16,19 +16,21 @@ from rxcast.session import materialize, release
 from rxcast.sources import dims
 
 
-def market_multiplier(drug_features: DataFrame) -> DataFrame:
+def _market(fields) -> Column:
     """MUL2: (1+.3 eff)(1+.2 share)(1-.1 side)(1+.05 ln(1+age)), clip [.7,1.5]."""
-    m = ((1 + 0.3 * F.col("efficacy_score")) * (1 + 0.2 * F.col("market_share"))
-         * (1 - 0.1 * F.col("side_effect_score")) * (1 + 0.05 * F.log1p(F.col("drug_age_years"))))
-    return drug_features.select("drug_name", clip(m, 0.7, 1.5).alias("market_multiplier"))
+    m = ((1 + 0.3 * fields["efficacy_score"]) * (1 + 0.2 * fields["market_share"])
+         * (1 - 0.1 * fields["side_effect_score"]) * (1 + 0.05 * F.log1p(fields["drug_age_years"])))
+    return clip(m, 0.7, 1.5)
+
+
+def market_multiplier(drug_features: DataFrame) -> DataFrame:
+    """MUL2 from the drug features."""
+    return drug_features.select("drug_name", _market({c: F.col(c) for c in drug_features.columns}).alias("market_multiplier"))
 
 
-def market_multiplier_expr(drug):
+def market_multiplier_expr(drug: Column) -> Column:
     """MUL2 for a brand column directly (the dimension is fixed-size)."""
-    mk = drug_market_lookup(drug)
-    m = ((1 + 0.3 * mk["efficacy_score"]) * (1 + 0.2 * mk["market_share"])
-         * (1 - 0.1 * mk["side_effect_score"]) * (1 + 0.05 * F.log1p(mk["drug_age_years"])))
-    return clip(m, 0.7, 1.5)
+    return _market(drug_market_lookup(drug))
 
 
 def transaction_multiplier(trans: DataFrame) -> DataFrame:
@@ -121,13 +123,15 @@ def cross_validation(temporal: DataFrame, target: DataFrame, folds: int = 5, see
 
 
 def component_regressors(temporal: DataFrame, target: DataFrame, trans: DataFrame, spec: DataFrame,
-                         rolling: DataFrame, seed: int = 42) -> DataFrame:
+                         rolling: DataFrame, market: DataFrame | None = None, market_target: DataFrame | None = None,
+                         seed: int = 42) -> DataFrame:
     """MUL9 (optional in the reference: constructed, never fitted): each
     component's regressor fitted on its own per-HCP features to the AGG16
     target, with the in-sample R^2 of each. Random forest (100 trees, depth 8)
     for specialization, elastic net (reg .1, l1 ratio .5) for transactions,
     boosted trees for the temporal and rolling features. The market model
-    is not fitted: its features are per drug and AGG16 is per HCP."""
+    (boosted trees, 150 of depth 6) is per drug: ``market`` holds AGG4/5 and
+    ``market_target`` the AGG16 rule per drug."""
     from pyspark.ml import Pipeline
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.feature import VectorAssembler
@@ -143,10 +147,16 @@ def component_regressors(temporal: DataFrame, target: DataFrame, trans: DataFram
         "transaction_type": (trans, tcols, LinearRegression(regParam=0.1, elasticNetParam=0.5)),
         "rolling_sales": (rolling, rcols, GBTRegressor(maxIter=100, stepSize=0.1, seed=seed)),
     }
+    keyed = {n: ("hcp_id", target) for n in models}
+    if market is not None and market_target is not None:
+        models["market_dynamics"] = (market, [c for c in market.columns if c != "drug_name"],
+                                     GBTRegressor(maxIter=150, stepSize=0.1, maxDepth=6, seed=seed))
+        keyed["market_dynamics"] = ("drug_name", market_target)
     ev = RegressionEvaluator(labelCol="target_multiplier", predictionCol="prediction", metricName="r2")
     rows = []
     for name, (feat, cols, est) in models.items():
-        data = materialize(feat.join(target, "hcp_id").select(
+        key, wanted = keyed[name]
+        data = materialize(feat.join(wanted, key).select(
             *[finite_or(F.col(c).cast("double"), 0.0).alias(c) for c in cols], "target_multiplier"), "training")
         est = est.setFeaturesCol("_f").setLabelCol("target_multiplier")
         model = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="_f"), est]).fit(data)

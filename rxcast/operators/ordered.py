@@ -167,10 +167,11 @@ def nested_positions(df: DataFrame, outer: list[str], inner: list[str], order: l
              .withColumns({f"_lc_{m}": F.sum(c).over(run) for m, c in measures.items()}))
     w_ob = Window.partitionBy(*outer).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     w_ib = Window.partitionBy(*outer, *ikeys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    off_o = b.groupBy(*outer, "_bkt").agg(F.count(F.lit(1)).alias("_bn")).select(
+    totals = b.groupBy(*outer, *ikeys, "_bkt").agg(
+        F.count(F.lit(1)).alias("_bn"), *[F.sum(c).alias(f"_bs_{m}") for m, c in measures.items()])
+    off_o = totals.groupBy(*outer, "_bkt").agg(F.sum("_bn").alias("_bn")).select(  # a roll-up, not another scan
         *outer, "_bkt", F.coalesce(F.sum("_bn").over(w_ob), F.lit(0)).alias("_off_o"))
-    off_i = b.groupBy(*outer, *ikeys, "_bkt").agg(
-        F.count(F.lit(1)).alias("_bn"), *[F.sum(c).alias(f"_bs_{m}") for m, c in measures.items()]).select(
+    off_i = totals.select(
         *outer, *ikeys, "_bkt", F.coalesce(F.sum("_bn").over(w_ib), F.lit(0)).alias("_off_i"),
         *[F.sum(f"_bs_{m}").over(w_ib).alias(f"_off_{m}") for m in measures])
     j = local.join(off_o, [*outer, "_bkt"]).join(off_i, [*outer, *ikeys, "_bkt"])

@@ -56,21 +56,16 @@ def basic_stats(df: DataFrame, features=NUMERIC_FEATURES) -> DataFrame:
 
 
 def top_categories(df: DataFrame, features=CATEGORICAL_FEATURES, k: int = 5) -> DataFrame:
-    """TOP4: top-k value shares per categorical column (non-null denominator).
-    Each top-k is a distributed take-ordered (per-partition top k, merged)."""
-    parts = []
-    for f in features:
-        if f not in df.columns:
-            continue
-        counts = df.filter(F.col(f).isNotNull()).groupBy(F.col(f).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-        tot = df.agg(F.count(f).alias("_tot"))
-        top = counts.orderBy(F.col("n").desc(), F.col("value")).limit(k)
-        parts.append(attach(top, tot).select(F.lit(f).alias("feature"), "value", "n",
-                                             (F.col("n") / F.col("_tot")).alias("share")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """TOP4: top-k value shares per categorical column (non-null denominator):
+    one scan for all columns, counts combined before the shuffle, and the
+    ranking limited to k rows per task and column before it meets."""
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("value"))
+                                        for f in features if f in df.columns]))).where(F.col("value").isNotNull())
+    counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    total = counts.groupBy("feature").agg(F.sum("n").alias("_tot"))
+    rank = F.row_number().over(Window.partitionBy("feature").orderBy(F.col("n").desc(), "value"))
+    top = counts.withColumn("_r", rank).where(F.col("_r") <= k)
+    return top.join(total, "feature").select("feature", "value", "n", (F.col("n") / F.col("_tot")).alias("share"))
 
 
 # ------------------------------------------------------------- FA2, FA3
@@ -371,18 +366,20 @@ def importance(df: DataFrame) -> DataFrame:
 
 def insights(df: DataFrame) -> DataFrame:
     """FA31: key facts: top importance category, market leader and share,
-    top-10 prescriber share of sales, threshold flags."""
-    imp = importance(df)
-    top = imp.filter(F.col("rank") == 1).select(F.col("category").alias("top_category"), F.col("score").alias("top_score"))
-    flags = imp.agg(F.max(F.when(F.col("category") == "Temporal Patterns", F.col("score"))).alias("_t"),
-                    F.max(F.when(F.col("category") == "Payer Dynamics", F.col("score"))).alias("_p")).select(
-        (F.col("_t") > 0.6).alias("strong_seasonality"), (F.col("_p") > 0.7).alias("payer_mix_matters"))
+    top-10 prescriber share of sales, threshold flags. One aggregate of the
+    six scores, one of the claims per drug and one per prescriber."""
+    def score(name):
+        return F.max(F.when(F.col("category") == name, F.col("score")))
+
+    facts = importance(df).agg(
+        F.min_by("category", "rank").alias("top_category"), F.min_by("score", "rank").alias("top_score"),
+        (score("Temporal Patterns") > 0.6).alias("strong_seasonality"), (score("Payer Dynamics") > 0.7).alias("payer_mix_matters"))
     drugs = df.filter(F.col("drug_brand_name").isNotNull()).groupBy("drug_brand_name").agg(F.count(F.lit(1)).alias("_k"))
     leader = drugs.agg(top_value("drug_brand_name").alias("market_leader"),
                        (F.max("_k") / F.sum("_k") * 100).alias("leader_share_pct"))
-    per_hcp = (df.filter(F.col("prescriber_npi_nm").isNotNull()).groupBy("prescriber_npi_nm")
-               .agg(money_sum(PAID).alias("_s")))
-    top10 = per_hcp.orderBy(F.col("_s").desc(), "prescriber_npi_nm").limit(10).agg(F.sum("_s").alias("_top10"))
-    total = df.agg(money_sum(PAID).alias("_tot"))
+    per_hcp = df.groupBy("prescriber_npi_nm").agg(F.sum(F.col(PAID).cast("decimal(38,6)")).alias("_s"))
+    top10 = per_hcp.where(F.col("prescriber_npi_nm").isNotNull()).orderBy(F.col("_s").desc(), "prescriber_npi_nm").limit(10) \
+        .agg(F.sum("_s").cast("double").alias("_top10"))
+    total = per_hcp.agg(F.sum("_s").cast("double").alias("_tot"))
     share = attach(top10, total).select((F.col("_top10") / F.col("_tot") * 100).alias("top10_hcp_share_pct"))
-    return attach(attach(attach(top, leader), share), flags)
+    return attach(attach(facts, leader), share)

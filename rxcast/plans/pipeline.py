@@ -68,6 +68,7 @@ def run_pipeline(spark: SparkSession, claims: DataFrame, learned: bool = True,
         "stability": ev.stability(pred_out),
         "sensitivity": ev.sensitivity(pred_out),
         "contributions": ev.contributions(pred),
+        "component_lines": ev.component_lines(pred),
         "performance_report": ev.performance_report(pred_out),
         "paired_t": ev.paired_t_pvalue(pred_out),
         "signed_rank": ev.signed_rank_pvalue(pred_out),

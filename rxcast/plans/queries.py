@@ -203,6 +203,11 @@ def q_contributions(spark, sf_dir):
     return rounded(ev.contributions(predictions(spark, sf_dir, keep_components=True)), 6)
 
 
+@query("component_lines")
+def q_component_lines(spark, sf_dir):
+    return rounded(ev.component_lines(predictions(spark, sf_dir, keep_components=True)), 6)
+
+
 # ---------------------------------------------------------------- phase 5
 from rxcast.operators import profile as pf  # noqa: E402
 
@@ -388,7 +393,8 @@ def q_component_regressors(spark, sf_dir):
     c = clean(spark, sf_dir)
     b = base_features(c)
     return mu.component_regressors(fe.hcp_temporal(b), fe.target_multiplier(c), fe.hcp_transaction(b),
-                                   fe.hcp_specialization(c), fe.hcp_rolling(c))
+                                   fe.hcp_specialization(c), fe.hcp_rolling(c), fe.drug_market(c),
+                                   fe.target_multiplier(c.withColumnRenamed("drug_brand_name", "drug_name"), "drug_name"))
 
 
 @query("predictions_learned")

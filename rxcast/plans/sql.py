@@ -629,3 +629,9 @@ WHERE hcp_id IS NOT NULL AND drug_brand_name IS NOT NULL AND total_paid_amt IS N
 
 # The fitted component has no SQL form; the prediction without it has.
 SQL["predictions_five_factor"] = SQL.pop("predictions")
+
+ev("component_lines", f"""
+SELECT CASE WHEN r = 1 THEN 'strongest' ELSE 'weakest' END AS section, component AS item, {RND('share', 6)} AS share FROM (
+  SELECT component, impact / sum(impact) OVER () AS share, row_number() OVER (ORDER BY impact DESC, component) AS r, count(*) OVER () AS k FROM (
+  {' UNION ALL '.join(f"SELECT '{n}' AS component, avg(abs({D(w)} * ln({c}))) AS impact FROM predictions_c" for n, c, w in _CONTRIB)}))
+WHERE r IN (1, k)""")
