@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Degrees of freedom from which Wallace's transform to a normal tail is used.
+LARGE_DOF = 1e6
+
+
 def _betacf(a: float, b: float, x: float) -> float:
     """Continued fraction for the regularized incomplete beta (modified Lentz)."""
     tiny, eps = 1e-300, 3e-16
@@ -38,8 +42,8 @@ def _betacf(a: float, b: float, x: float) -> float:
         de = d * c
         h *= de
         if abs(de - 1.0) < eps:
-            break
-    return h
+            return h
+    raise ArithmeticError(f"incomplete beta did not converge at a={a}, b={b}, x={x}")
 
 
 def betainc(a: float, b: float, x: float) -> float:
@@ -61,6 +65,8 @@ def t_two_sided(t: float, dof: float) -> float:
         return float("nan")
     if math.isinf(t):
         return 0.0
+    if dof >= LARGE_DOF:  # the gamma terms would cancel; here this is off by less than 1 / dof**2
+        return math.erfc((8 * dof + 1) / (8 * dof + 3) * math.sqrt(dof * math.log1p(t * t / dof) / 2))
     return betainc(dof / 2.0, 0.5, dof / (dof + t * t))
 
 

@@ -75,6 +75,10 @@ def test_pvalue_helpers_known_values():
     assert abs(t_two_sided(2.228138851986274, 10) - 0.05) < 1e-9
     assert abs(normal_two_sided(1.959963984540054) - 0.05) < 1e-12
     assert abs(betainc(2.0, 3.0, 0.4) - 0.5248) < 1e-12
+    for dof in (1e6, 1e10, 1e12):
+        assert abs(t_two_sided(0.001, dof) - 0.9992021155) < 1e-9 and abs(t_two_sided(1.96, dof) / normal_two_sided(1.96) - 1) < 1e-5
+    for t in (0.001, 0.5, 1.96, 6.0):
+        assert abs(t_two_sided(t, 999_999) / t_two_sided(t, 1_000_001) - 1) < 1e-7
 
 
 def test_quartiles_and_error_bins(spark):
