@@ -15,10 +15,11 @@ tokens are too short to tell and stay.
   counts are kept per slot of the token's hash (``SLOTS`` of them, so the table
   has one size for any input; any fixed order is exact, rarity makes it fast).
   Of n tokens the first n - ceil(percent * n) + 1 are posted, as (token, set,
-  size, place), and similar sets meet at the first token that they share. Sizes
-  and places must leave room for the overlap (length and positional filters),
-  and so must a 64-bit parity sketch: each token in only one of two sets flips
-  one bit, so the bits that differ bound the difference from below.
+  size, place), and similar sets share some of them: the longer the postings
+  beyond what one common token needs, the more. Sizes and places must leave
+  room for the overlap (length and positional filters), and so must a 128-bit
+  parity sketch: each token in only one of two sets flips one bit, so the bits
+  that differ bound the difference from below.
 * Candidates are verified on the words of both lines.
 """
 
@@ -85,33 +86,46 @@ def rarity(lines: DataFrame) -> Column:
 
 
 def described(lines: DataFrame, classes: Column, percent: int, least: int) -> DataFrame:
-    """(at, h1, h2, n, near1, near2, sketch, rare) of the lines with enough
+    """(at, h1, h2, n, near1, near2, sketch, sketch2, rare) of the lines with enough
     tokens: hashes of the set, of its extremes, the parity sketch, and the
     posted tokens, rarest first. A token's key is its slot's class above the
     higher bits of its hash."""
     key = lambda h: F.shiftleft(F.coalesce(F.get(classes, h.bitwiseAND(SLOTS - 1).cast("int")), F.lit(1)), 56) \
         .bitwiseOR(F.shiftrightunsigned(h, 8))
-    flip = lambda b, h: b.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(63).cast("int")))
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(63).cast("int"))
+    flip = lambda half: F.aggregate(  # noqa: E731  parity of the tokens in one half of the hash space
+        "t", F.lit(0).cast("bigint"), lambda b, h: F.when(h.bitwiseAND(64) == half, b.bitwiseXOR(bit(h))).otherwise(b))
     tokens = F.sort_array(F.array_distinct(F.transform(split_words(F.col("line")), lambda w: F.xxhash64(w))))
     # no where: it would move below and compute the tokens twice
     sets = lines.select("at", F.explode(F.filter(F.array(tokens), lambda t: F.size(t) >= least)).alias("t")).withColumn("n", F.size("t"))
     need = F.ceil(F.lit(percent) * F.col("n") / 100)
     return sets.select("at", F.xxhash64("t").alias("h1"), F.hash("t").alias("h2"), "n", F.xxhash64(F.slice("t", 1, 3)).alias("near1"),
-                       F.xxhash64(F.lit(1), F.slice("t", -3, 3)).alias("near2"), F.aggregate("t", F.lit(0).cast("bigint"), flip).alias("sketch"),
-                       F.slice(F.sort_array(F.transform("t", key)), F.lit(1), (F.col("n") - need + 1).cast("int")).alias("rare"))
+                       F.xxhash64(F.lit(1), F.slice("t", -3, 3)).alias("near2"), flip(0).alias("sketch"), flip(64).alias("sketch2"),
+                       F.transform(F.slice(F.sort_array(F.transform("t", key)), F.lit(1), (F.col("n") - need + 1).cast("int")),
+                                   lambda k: F.hash(k)).alias("rare"))
 
 
 def alike(percent: int, size: str = "n", sketch: str = "sketch") -> Column:
     """Length and sketch filters for sets of n and m tokens (either sign)."""
     n, m = F.abs(size), F.abs("m")
-    apart = F.bit_count(F.col(sketch).bitwiseXOR(F.col("marks")))
+    apart = F.bit_count(F.col(sketch).bitwiseXOR(F.col("marks"))) + F.bit_count(F.col(f"{sketch}2").bitwiseXOR(F.col("marks2")))
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * (n + m - apart) >= 2 * percent * (n + m))
 
 
 def reach(percent: int) -> Column:
-    """Positional filter for sets that first meet at places i and j."""
+    """Positional filter for sets that share a token at places i and j: what
+    stands before both and after both must make up the overlap."""
     n, m = F.abs("size"), F.abs("m")
-    return (100 + percent) * F.least(n - F.col("i"), m - F.col("j")) >= percent * (n + m)
+    most = F.least("i", "j") + F.least(n - F.col("i"), m - F.col("j"))
+    return (100 + percent) * most >= percent * (n + m)
+
+
+def shared_postings(n: Column, m: Column, percent: int) -> Column:
+    """Fewest posted tokens that similar sets of n and m tokens share: of any
+    n - overlap + c tokens of one, c are common, so this c of its postings."""
+    overlap = F.ceil(percent * (n + m) / (100 + percent))
+    spare = lambda k: 1 - F.ceil(percent * k / 100) + overlap  # noqa: E731  postings - k + overlap
+    return F.greatest(F.lit(1), F.least(spare(n), spare(m)))
 
 
 def removable(docs: DataFrame, bits: int, percent: int, least: int, text_col: str) -> DataFrame:
@@ -121,25 +135,26 @@ def removable(docs: DataFrame, bits: int, percent: int, least: int, text_col: st
     at = F.shiftleft("__doc", bits).bitwiseOR(F.col("line_no"))
     table = stored(described(lines.select(at.alias("at"), "line"), rarity(lines), percent, least), "lines")
 
-    firsts = stored(table.groupBy("h1", "h2", "n").agg(F.min("at").alias("at"), *[F.any_value(c).alias(c) for c in ("near1", "near2", "sketch")])
+    firsts = stored(table.groupBy("h1", "h2", "n").agg(F.min("at").alias("at"), *[F.any_value(c).alias(c) for c in ("near1", "near2", "sketch", "sketch2")])
                     .drop("h1", "h2"), "line-sets")
-    ends = firsts.select("at", "n", "sketch", F.explode(F.array("near1", "near2")).alias("near"))
-    heads = ends.groupBy("near").agg(F.min(F.struct("at", "n", "sketch")).alias("e"), F.count("*").alias("of")).where("of > 1") \
-        .select("near", F.col("e.at").alias("before"), F.col("e.n").alias("m"), F.col("e.sketch").alias("marks"))
+    ends = firsts.select("at", "n", "sketch", "sketch2", F.explode(F.array("near1", "near2")).alias("near"))
+    heads = ends.groupBy("near").agg(F.min(F.struct("at", "n", "sketch", "sketch2")).alias("e"), F.count("*").alias("of")).where("of > 1") \
+        .select("near", F.col("e.at").alias("before"), F.col("e.n").alias("m"), F.col("e.sketch").alias("marks"), F.col("e.sketch2").alias("marks2"))
     star = ends.join(heads, "near").where((F.col("before") < F.col("at")) & alike(percent)).select("at", "before").distinct()
     gone = similar(docs, star, bits, percent, text_col)
 
     open_ = firsts.select("at").join(gone.select("at", F.lit(True).alias("done")), "at", "left") \
         .select(F.col("at").alias("first"), F.when(F.col("done").isNull(), 1).otherwise(-1).alias("sign"))
-    sets = table.select("at", "n", "sketch", "rare").join(open_, F.col("at") == F.col("first"))
+    sets = table.select("at", "n", "sketch", "sketch2", "rare").join(open_, F.col("at") == F.col("first"))
     # postings are shuffled once: both sides of the join rename every column and so read the same exchange;
     # a negative size needs no partner
-    posted = sets.select("at", (F.col("n") * F.col("sign")).alias("signed"), "sketch", F.posexplode("rare").alias("place", "key")) \
-        .select(F.hash("key").alias("code"), "at", "signed", "place", "sketch")
-    one, other = posted.toDF("token", "line", "size", "i", "bits"), posted.toDF("same", "before", "m", "j", "marks")
+    posted = sets.select("at", (F.col("n") * F.col("sign")).alias("signed"), "sketch", "sketch2", F.posexplode("rare").alias("place", "code")) \
+        .select("code", "at", "signed", "place", "sketch", "sketch2")
+    one, other = posted.toDF("token", "line", "size", "i", "bits", "bits2"), posted.toDF("same", "before", "m", "j", "marks", "marks2")
     later = F.least(F.col("size").cast("long"), F.col("line") - F.col("before")) > 0
-    rest = one.join(other, F.col("token") == F.col("same")).where(later & reach(percent) & alike(percent, "size", "bits")) \
-        .select(F.col("line").alias("at"), "before").distinct()
+    rest = one.join(other, F.col("token") == F.col("same")).where(later & alike(percent, "size", "bits") & reach(percent)) \
+        .groupBy(F.col("line").alias("at"), "before").agg(F.count("*").alias("of"), F.min(F.abs("size")).alias("n"), F.min(F.abs("m")).alias("m")) \
+        .where(F.col("of") >= shared_postings(F.col("n"), F.col("m"), percent)).select("at", "before")
     gone = gone.union(similar(docs, rest, bits, percent, text_col)).distinct()
 
     stays = firsts.select("at").join(gone, "at", "left_anti")
