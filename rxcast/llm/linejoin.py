@@ -15,11 +15,12 @@ tokens are too short to tell and stay.
   counts are kept per slot of the token's hash (``SLOTS`` of them, so the table
   has one size for any input; any fixed order is exact, rarity makes it fast).
   Of n tokens the first n - ceil(percent * n) + 1 are posted, as (token, set,
-  size, place), and similar sets share some of them: the longer the postings
-  beyond what one common token needs, the more. Sizes and places must leave
-  room for the overlap (length and positional filters), and so must a 128-bit
-  parity sketch: each token in only one of two sets flips one bit, so the bits
-  that differ bound the difference from below.
+  size, place), and similar sets meet at the first token that they share. Sizes
+  and places must leave room for the overlap (length and positional filters;
+  the tokens that an edit brings in are rare and come first, so the places of
+  the rest tell), and so must a 128-bit parity sketch: each token in only one
+  of two sets flips one bit, so the bits that differ bound the difference from
+  below.
 * Candidates are verified on the words of both lines.
 """
 
@@ -113,19 +114,10 @@ def alike(percent: int, size: str = "n", sketch: str = "sketch") -> Column:
 
 
 def reach(percent: int) -> Column:
-    """Positional filter for sets that share a token at places i and j: what
-    stands before both and after both must make up the overlap."""
+    """Positional filter: the first token that similar sets share, at places i
+    and j, has the whole overlap from there on. Later ones needn't pass."""
     n, m = F.abs("size"), F.abs("m")
-    most = F.least("i", "j") + F.least(n - F.col("i"), m - F.col("j"))
-    return (100 + percent) * most >= percent * (n + m)
-
-
-def shared_postings(n: Column, m: Column, percent: int) -> Column:
-    """Fewest posted tokens that similar sets of n and m tokens share: of any
-    n - overlap + c tokens of one, c are common, so this c of its postings."""
-    overlap = F.ceil(percent * (n + m) / (100 + percent))
-    spare = lambda k: 1 - F.ceil(percent * k / 100) + overlap  # noqa: E731  postings - k + overlap
-    return F.greatest(F.lit(1), F.least(spare(n), spare(m)))
+    return (100 + percent) * F.least(n - F.col("i"), m - F.col("j")) >= percent * (n + m)
 
 
 def removable(docs: DataFrame, bits: int, percent: int, least: int, text_col: str) -> DataFrame:
@@ -152,9 +144,8 @@ def removable(docs: DataFrame, bits: int, percent: int, least: int, text_col: st
         .select("code", "at", "signed", "place", "sketch", "sketch2")
     one, other = posted.toDF("token", "line", "size", "i", "bits", "bits2"), posted.toDF("same", "before", "m", "j", "marks", "marks2")
     later = F.least(F.col("size").cast("long"), F.col("line") - F.col("before")) > 0
-    rest = one.join(other, F.col("token") == F.col("same")).where(later & alike(percent, "size", "bits") & reach(percent)) \
-        .groupBy(F.col("line").alias("at"), "before").agg(F.count("*").alias("of"), F.min(F.abs("size")).alias("n"), F.min(F.abs("m")).alias("m")) \
-        .where(F.col("of") >= shared_postings(F.col("n"), F.col("m"), percent)).select("at", "before")
+    rest = one.join(other, F.col("token") == F.col("same")).where(later & reach(percent) & alike(percent, "size", "bits")) \
+        .select(F.col("line").alias("at"), "before").distinct()
     gone = gone.union(similar(docs, rest, bits, percent, text_col)).distinct()
 
     stays = firsts.select("at").join(gone, "at", "left_anti")
