@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rxcast.llm.bpe import bpe_encode, load_vocabulary
 from rxcast.llm.cube import balanced_mix
 from rxcast.llm.linejoin import dedup_lines
 from rxcast.llm.minmax import near_duplicates
@@ -70,8 +71,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of every row."""
-    return token_digests(docs, VOCABULARY, with_ids=True)
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of every row. The
+    ids are a table of their own before they are decoded, so that an executor
+    runs either the encoder's or the decoder's workers."""
+    v = load_vocabulary(VOCABULARY)
+    return token_digests(stored(bpe_encode(docs, v), "pipeline-ids"), v, with_ids=True)
 
 
 STAGES = [("quality_classifier", quality), ("line_dedup", lines), ("minhash_near_dedup", near), ("source_mix", mix),

@@ -83,20 +83,19 @@ def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", "held_out", "score", "predicted", F.size("segments").alias("n_segments"))
 
 
-def token_digests(docs: DataFrame, vocabulary: str, keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
-    """Encode, decode what was encoded, and digest both."""
-    v = load_vocabulary(vocabulary)
-    ids = bpe_encode(docs, v, keep=keep)
+def token_digests(ids: DataFrame, vocabulary: dict, keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
+    """Decode encoded rows and digest ids and text."""
     digests = ids.select(*keep, F.size("ids").cast("long").alias("n_tokens"),
                          F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), "ids")
     names = (*keep, "n_tokens", "ids_sha256")
-    text = bpe_decode(digests, v, keep=(*names, "ids") if with_ids else names)
+    text = bpe_decode(digests, vocabulary, keep=(*names, "ids") if with_ids else names)
     return text.select(*names, F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"), *["ids"] * with_ids)
 
 
 @query("op6_bpe_merge_rounds")
 def op6_bpe_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_digests(table(spark, sf_dir, "documents"), VOCABULARY)
+    v = load_vocabulary(VOCABULARY)
+    return token_digests(bpe_encode(table(spark, sf_dir, "documents"), v), v)
 
 
 @query("op10_rotated_one_bit")
