@@ -140,11 +140,16 @@ def removable(docs: DataFrame, bits: int, percent: int, least: int, text_col: st
     sets = table.select("at", "n", "sketch", "sketch2", "rare").join(open_, F.col("at") == F.col("first"))
     # postings are shuffled once: both sides of the join rename every column and so read the same exchange;
     # a negative size needs no partner
-    posted = sets.select("at", (F.col("n") * F.col("sign")).alias("signed"), "sketch", "sketch2", F.posexplode("rare").alias("place", "code")) \
-        .select("code", "at", "signed", "place", "sketch", "sketch2")
-    one, other = posted.toDF("token", "line", "size", "i", "bits", "bits2"), posted.toDF("same", "before", "m", "j", "marks", "marks2")
+    ahead = F.concat(F.array(F.lit(0)), F.slice("rare", F.lit(1), F.size("rare") - 1))
+    posted = sets.select("at", (F.col("n") * F.col("sign")).alias("signed"), "sketch", "sketch2",
+                         F.posexplode(F.arrays_zip(F.col("rare").alias("code"), ahead.alias("ahead"))).alias("place", "x")) \
+        .select("x.code", "at", "signed", "place", "sketch", "sketch2", "x.ahead")
+    one = posted.toDF("token", "line", "size", "i", "bits", "bits2", "last")
+    other = posted.toDF("same", "before", "m", "j", "marks", "marks2", "last2")
     later = F.least(F.col("size").cast("long"), F.col("line") - F.col("before")) > 0
-    rest = one.join(other, F.col("token") == F.col("same")).where(later & reach(percent) & alike(percent, "size", "bits")) \
+    # with the token ahead in common as well, the pair has met there, at places that pass if these do
+    first = (F.least("i", "j") == 0) | (F.col("last") != F.col("last2"))
+    rest = one.join(other, F.col("token") == F.col("same")).where(later & first & reach(percent) & alike(percent, "size", "bits")) \
         .select(F.col("line").alias("at"), "before").distinct()
     gone = gone.union(similar(docs, rest, bits, percent, text_col)).distinct()
 
