@@ -64,15 +64,26 @@ def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, in
     """(__doc, <columns of docs>) with a unique number that follows the id, and
     bits that hold any line number. Ids that are unique and leave room for
     the line number are kept, less their minimum; others are numbered anew in
-    their order (nulls first, equal ids by the text's CRC)."""
+    their order (nulls first, equal ids by the text's CRC), from 0 without a
+    gap. Both numbers together take 62 bits at most, else it is an error."""
     ident = F.col(id_col)
     total, known, low, high, most = docs.agg(F.count("*"), F.count(ident), F.min(ident), F.max(ident), F.max(F.octet_length(text_col))).first()
     bits = (int(most or 0) + 1).bit_length()  # no text has more lines than bytes and one
     unique = total == known and docs.select(id_col).distinct().count() == total
     if unique and int((high or 0) - (low or 0)).bit_length() + bits <= 62:
         return docs.withColumn("__doc", ident.cast("long") - (low or 0)), bits
+    if int(total - 1).bit_length() + bits > 62:
+        raise ValueError(f"{total} documents of up to {most} bytes leave no room for a line's number in 62 bits")
     ordered = docs.orderBy(ident.asc_nulls_first(), F.crc32(F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")))
-    return stored(ordered.withColumn("__doc", F.monotonically_increasing_id()), "line-docs"), bits
+    placed = stored(ordered.withColumn("__doc", F.monotonically_increasing_id()), "line-docs")
+    # range << 33 | row: the ranges' counts become offsets, so that the numbers are dense whatever the partitions
+    counts = {r.part: r.n for r in placed.groupBy(F.shiftright("__doc", 33).alias("part")).agg(F.count("*").alias("n")).collect()}
+    offsets, rows = [], 0
+    for part in range(max(counts, default=-1) + 1):
+        offsets.append(rows)
+        rows += counts.get(part, 0)
+    offset = F.get(F.split(F.lit(",".join(map(str, offsets))), ",").cast("array<bigint>"), F.shiftright("__doc", 33).cast("int"))
+    return placed.withColumn("__doc", offset + F.col("__doc").bitwiseAND((1 << 33) - 1)), bits
 
 
 def rarity(lines: DataFrame) -> Column:

@@ -1,6 +1,7 @@
+import pytest
 from llm_fixtures import SF_CHECK, no_documents, odd_documents  # noqa: F401
 
-from rxcast.llm.linejoin import dedup_lines
+from rxcast.llm.linejoin import dedup_lines, numbered
 
 
 def brute(docs):
@@ -51,3 +52,39 @@ def test_odd_rows(spark, odd_documents, no_documents):
     assert sorted(r.text for r in rows if r.doc_id is None) == ["", "no id here at all"]
     assert [r.text for r in rows if r.doc_id == 9] == ["two words"] * 2  # too short to tell
     assert dedup_lines(no_documents).count() == 0
+
+
+def test_numbers_of_wide_ids_leave_room_for_the_lines(spark, tmp_path):
+    """Ids of 64 bits over many ranges, and a text that needs 23 bits for a line number."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {n: spark.conf.get(n) for n in names}
+    rows = sorted((((i + 1) * 0x9E3779B97F4A7C15 + 2**63) % 2**64 - 2**63, f"unique{i} text of document {i}\nthis line stands in pair {i // 2}")
+                  for i in range(280))
+    rows[7] = (rows[7][0], "x" * (1 << 22))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents")
+    docs = spark.read.parquet(f"{tmp_path}/documents")
+    try:
+        for name, value in zip(names, ("140", "false"), strict=True):
+            spark.conf.set(name, value)
+        doc, bits = numbered(docs, "doc_id", "text")
+        found = doc.select("__doc", "doc_id").collect()
+        got = sorted((r.doc_id, r.text, r.n_removed) for r in dedup_lines(docs).select("doc_id", "text", "n_removed").collect())
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert bits == 23 and sorted((r["__doc"], r.doc_id) for r in found) == list(enumerate(i for i, _ in rows))
+    assert got == brute(rows) and sum(n for *_, n in got) > 100
+
+
+def test_numbers_without_room_are_an_error(spark):
+    class Docs:
+        """A table whose size is only claimed."""
+        columns = ["doc_id", "text"]
+
+        def agg(self, *_):
+            return self
+
+        def first(self):
+            return 1 << 40, 0, None, None, 1 << 30
+    with pytest.raises(ValueError, match="62 bits"):
+        numbered(Docs(), "doc_id", "text")
