@@ -12,7 +12,8 @@ the full shingle sets.
 
 Groups stay distributed whatever their size:
 
-* documents with equal sets are one node, named by their smallest id;
+* documents with equal sets are one node, numbered by one of their rows; its
+  component is named by the smallest id of all;
 * in each band, nodes are first compared with the band's smallest node, not
   with each other (a join on the band, which Spark can split);
 * links inside a component that is already found can't change the result, so
@@ -187,25 +188,37 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     Documents are linked where 100 * intersection >= ``percent`` * union of
     their shingle sets; ``component_id`` is the smallest id reachable.
     Texts without a word, null ones included, have an empty set and no link.
-    Rows with equal id are one document. A null id takes part with its text
+    Rows with equal id are one document: their texts' sets are linked. A null id takes part with its text
     but never names a group: alone it has a null component and is kept,
     in a group with an id it isn't. Other columns are ignored; an empty table
     gives an empty result."""
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     signed = stored(rows.select("id", "text", F.xxhash64("text").alias("hash")).mapInArrow(
-        _described(shingle), "id long, hash long, n long, key binary, bands array<long>, s0 long, s1 long, s2 long, s3 long"), "minmax")
-    nodes = stored(signed.where("n > 0 and id is not null").groupBy("key").agg(F.min("id").alias("node")), "minmax-nodes")
-    reps = signed.join(nodes, (signed["id"] == nodes["node"]) & (signed["key"] == nodes["key"]), "left_semi")
-    marks = reps.select(F.col("id").alias("node"), "n", "s0", "s1", "s2", "s3")
-    banded = reps.select(F.col("id").alias("node"), F.explode("bands").alias("band"))
+        _described(shingle), "id long, hash long, n long, key binary, bands array<long>, s0 long, s1 long, s2 long, s3 long")
+        .withColumn("row", F.monotonically_increasing_id()), "minmax")
+    full = signed.where("n > 0 and id is not null")
+    # an id may have several texts: a node is a row, so that it has one set
+    nodes = stored(full.groupBy("key").agg(F.min("row").alias("node"), F.min("id").alias("name")), "minmax-nodes")
+    reps = signed.join(nodes, signed["row"] == nodes["node"], "left_semi")
+    marks = reps.select(F.col("row").alias("node"), "n", "s0", "s1", "s2", "s3")
+    banded = reps.select(F.col("row").alias("node"), F.explode("bands").alias("band"))
+    repeated = stored(full.groupBy("id").agg(F.count("*").alias("of")).where("of > 1").select("id"), "minmax-ids")
+    unique = repeated.isEmpty()
 
     low = banded.groupBy("band").agg(F.min("node").alias("low"), F.count("*").alias("of")).where("of > 1")
     shared = stored(banded.join(low.select("band", "low"), "band").select("low", "node").distinct(), "minmax-bands")
     # both sides of this join follow the input: no switch to a broadcast where they happen to be small
-    sets = stored(rows.join(shared.select(F.col("node").alias("id")).distinct().hint("merge"), "id", "left_semi")
+    wanted = reps.select(F.col("row").alias("node"), F.col("id").alias("rep"), "hash").join(shared.select("node").distinct(), "node")
+    texts = rows.join(wanted.hint("merge"), F.col("id").eqNullSafe(F.col("rep")) & (F.xxhash64("text") == F.col("hash"))) \
+        .select(F.col("node").alias("id"), "text")
+    sets = stored((texts if unique else texts.dropDuplicates(["id"]))
                   .mapInArrow(_sets(shingle), "id long, set binary").withColumnRenamed("id", "node"), "minmax-sets")
     found = _confirm(_close(shared.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")), marks, percent),
                      sets, percent)
+    if not unique:  # the sets of an id are linked
+        held = stored(full.join(repeated, "id", "left_semi").join(nodes, "key").select("id", "node").distinct(), "minmax-held")
+        first = held.groupBy("id").agg(F.min("node").alias("a"))
+        found = found.union(held.join(first, "id").where("a <> node").select("a", F.col("node").alias("b")))
 
     roots = components(found)
     rooted = shared.join(roots, "node", "left").select("low", "node", F.coalesce("root", "node").alias("root"))
@@ -226,7 +239,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
         more = cut(left).cogroup(cut(right)).applyInArrow(_crossed(percent), "a long, b long").distinct()
         roots = components(found.union(more))
 
-    grouped = nodes.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("component"))
+    names = nodes.join(roots, "node").groupBy("root").agg(F.min("name").alias("component"))
+    grouped = nodes.join(roots.join(names, "root"), "node", "left").select("key", F.coalesce("component", "name").alias("component"))
     return signed.select("id", "hash", "n", "key").join(grouped, "key", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"),

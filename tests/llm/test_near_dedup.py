@@ -69,6 +69,37 @@ def test_links_between_members_that_are_not_linked_to_the_smallest(spark):
     assert got == groups(texts, 4)
 
 
+def test_ids_with_two_texts_inside_a_large_group(spark):
+    """Each text is held under a number of its own by the brute force; those of an id are linked by an equal text."""
+    rng = np.random.default_rng(3)
+    base, rows = [f"t{i}" for i in range(100)], []
+    for d in range(120):
+        w = list(base)
+        for j in rng.choice(100, rng.integers(0, 7), replace=False):
+            w[j] = f"e{d % 40}x{j}"
+        rows.append((d, " ".join(w)))
+    for i in (0, 7, 30, 61, 90):  # longer and shorter texts of ids that are there, in the group and beside it
+        rows.append((i, " ".join([*base, *(f"more{i}x{j}" for j in range(8))])))
+        rows.append((i, " ".join(f"far{i}x{j}" for j in range(50))))
+    rows += [(200, rows[3][1]), (200, "a text that another id has as well"), (201, "a text that another id has as well")]
+    alone = groups(dict(enumerate(t for _, t in rows)), 4)
+    root = {n: alone[n][1] for n in range(len(rows))}
+    for _ in rows:  # to the smallest over equal ids and equal components
+        low = {}
+        for n, (i, _) in enumerate(rows):
+            for k in (("id", i), ("group", alone[n][1])):
+                low[k] = min(low.get(k, root[n]), root[n])
+        after = {n: min(low["id", i], low["group", alone[n][1]]) for n, (i, _) in enumerate(rows)}
+        if after == root:
+            break
+        root = after
+    name = {r: min(i for n, (i, _) in enumerate(rows) if root[n] == r) for r in set(root.values())}
+    want = sorted((i, alone[n][0], name[root[n]]) for n, (i, _) in enumerate(rows))
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4, 80).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
+    assert len(set(name.values())) > 1
+
+
 def test_both_extremes_estimate_similarity():
     rng = np.random.default_rng(1)
     words = [f"w{i}" for i in range(400)]
