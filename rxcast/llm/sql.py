@@ -57,7 +57,28 @@ placed AS (SELECT doc_id, size, crc, curve, total, row_number() OVER (ORDER BY c
 SELECT doc_id, size::BIGINT AS size, crc AS text_crc32, 'rows' AS law, (r * 16 // total)::INT AS shard,
        (r - ((r * 16 // total) * total + 15) // 16)::BIGINT AS slot, NULL::INT AS grown_shard, curve FROM placed"""
 
+#: Name and pattern (a group's least length is checked for the first) of the secret rules, in order.
+SECRETS = (("assign", r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"""
+            r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
+           ("access", "()(AKIA[A-Z0-9]{16,})"), ("hex", "()([0-9a-f]{24,})"), ("pem", "()(-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----)"),
+           ("jwt", r"()(eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})"))
+#: Matches and the gaps between them give the places: a match begins after all earlier gaps and matches.
+SECRET_RULE = """SELECT row, {place} AS place, '{rule}' AS rule, string_split_regex(text, '{pattern}') AS gaps,
+  regexp_extract_all(text, '{pattern}') AS hits, regexp_extract_all(text, '{pattern}', 2) AS kept FROM d"""
+SECRET_SCAN = "WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents), m AS (" + " UNION ALL ".join(
+    SECRET_RULE.format(place=i, rule=rule, pattern=p.replace("'", "''")) for i, (rule, p) in enumerate(SECRETS)) + """),
+s AS (SELECT row, place, rule, kept, unnest(range(1, len(hits) + 1)) AS i, gaps, hits FROM m),
+f AS (SELECT row, place, rule, kept[i] AS v, len(hits[i]) AS n,
+             list_sum(list_transform(gaps[:i], lambda g: len(g))) + coalesce(list_sum(list_transform(hits[:i - 1], lambda h: len(h))), 0) AS start FROM s),
+g AS (SELECT row, place, rule, start::BIGINT AS start, rule || ':' || start::BIGINT || ':' || (start + n)::BIGINT AS span FROM f WHERE len(v) >= 6)
+SELECT doc_id, count(*) FILTER (WHERE rule = 'assign') AS n_assign, count(*) FILTER (WHERE rule = 'access') AS n_access,
+       count(*) FILTER (WHERE rule = 'hex') AS n_hex,
+       sha256(coalesce(string_agg(span, ',' ORDER BY start, place) FILTER (WHERE place < 3), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY start, place), '') AS spans
+FROM d LEFT JOIN g USING (row) GROUP BY row, doc_id"""
+
 SQL: dict[str, str] = {
+    "op13_blob_ledger_secrets": SECRET_SCAN,
     "op9_hilbert_sharding": HILBERT,
     "op2_line_dedup": LINE_DEDUP.format(docs="documents") + """
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(c.text) AS text_sha256
