@@ -39,7 +39,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document less the lines that repeat an earlier one; a document
     that loses all its words goes, one that never had any stays. ``n_chars``
     is counted anew."""
-    done = dedup_lines(docs, percent=80, least=3, lines_col="__lines", removed_col="__removed")
+    done = dedup_lines(docs, percent=80, lines_col="__lines", removed_col="__removed")
     left = done.where((F.col("__removed") == 0) | (word_count(F.col("text")) > 0))
     return left.select(*[F.when(F.col("__removed") > 0, F.length("text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c)
                          if c == "n_chars" else F.col(c) for c in docs.columns])
