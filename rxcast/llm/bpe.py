@@ -15,6 +15,7 @@ fixes (about 2 MB for 50,000 merges).
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterator
 
@@ -29,6 +30,8 @@ from pyspark.sql import types as T
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Text bytes that a task handles at once, and words that it remembers.
 CHUNK_BYTES, REMEMBERED = 2 << 20, 200_000
+#: Characters above which a word is merged with linked symbols.
+LONG = 200
 
 
 def byte_chars() -> list[str]:
@@ -74,6 +77,59 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - sizes), sizes)
 
 
+def merge_long(words: list[bytes], v: dict) -> tuple[np.ndarray, np.ndarray]:
+    """As ``merge_words``, for words of any length: the symbols are linked, a
+    round merges the lowest rank of all words, and only the pairs next to the
+    last merges are looked up again, so the work follows the symbols and not
+    symbols times rounds."""
+    sizes = np.array([len(w) for w in words], np.int64)
+    keys, ranks, merged, n, none = v["keys"], v["rank"], v["merged"], v["n"], 2**31 - 1
+    end = int(sizes.sum())  # stands for no symbol
+    sym = np.append(v["byte_ids"][np.frombuffer(b"".join(words), np.uint8)].astype(np.int64), 0)
+    after, before = np.arange(1, end + 2), np.arange(-1, end)
+    after[np.cumsum(sizes) - 1] = end
+    before[np.cumsum(sizes) - sizes] = end
+    now = np.full(end + 1, none, np.int64)
+    waiting: dict[int, list[np.ndarray]] = {}
+    order: list[int] = []
+
+    def look(at: np.ndarray) -> None:
+        pair = sym[at] * n + sym[after[at]]
+        slot = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
+        found = np.where((keys[slot] == pair) & (after[at] != end), ranks[slot], none)
+        now[at] = found
+        at, found = at[found != none], found[found != none]
+        by = np.argsort(found, kind="stable")
+        at, found = at[by], found[by]
+        cuts = np.flatnonzero(np.diff(found)) + 1
+        for rank, places in zip(found[np.append(0, cuts)].tolist() if len(found) else [], np.split(at, cuts), strict=False):
+            if rank not in waiting:
+                heapq.heappush(order, rank)
+            waiting.setdefault(rank, []).append(places)
+
+    look(np.arange(end))
+    of_rank = np.empty(len(keys), np.int64)
+    of_rank[ranks] = merged
+    while order:
+        rank = heapq.heappop(order)
+        at = np.unique(np.concatenate(waiting.pop(rank)))
+        at = at[now[at] == rank]
+        if not len(at):
+            continue
+        run = np.append(True, after[at[:-1]] != at[1:])
+        start = np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
+        at = at[(np.arange(len(at)) - start) % 2 == 0]  # in a run of one symbol, every other pair from the left
+        gone = after[at]
+        sym[at], now[gone], after[at] = of_rank[rank], none, after[gone]
+        before[after[at]] = at
+        sym[gone] = -1
+        touched = np.concatenate([at, before[at]])
+        look(np.unique(touched[(touched != end) & (sym[touched] >= 0)]))
+    left = sym[:-1] >= 0
+    word = np.repeat(np.arange(len(words)), sizes)
+    return sym[:-1][left].astype(np.int32), np.bincount(word[left], minlength=len(words))
+
+
 def merge_words(words: list[bytes], v: dict) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of all words in one array, and how many each has."""
     sizes = np.array([len(w) for w in words], np.int64)
@@ -148,9 +204,11 @@ class Encoder:
         split = [self.words(t) for t in texts]
         counts = np.array([len(x) for x in split], np.int64)
         flat = [w for x in split for w in x]
-        new = list(set(flat) - self.slot.keys())
-        if new:
-            self.add(new, *merge_words([w.encode("utf-8") for w in new], self.v))
+        new = set(flat) - self.slot.keys()
+        long = [w for w in new if len(w) > LONG]
+        for merge, few in ((merge_long, long), (merge_words, list(new.difference(long)))):
+            if few:
+                self.add(few, *merge([w.encode("utf-8") for w in few], self.v))
         slot = np.fromiter(map(self.slot.__getitem__, flat), np.int64, len(flat))
         sizes = self.sizes[slot]
         ids = self.ids[ragged(self.starts[slot], sizes)]

@@ -1,9 +1,12 @@
+import random
+import time
+
 import public_tokenizers
 import pytest
 from llm_fixtures import SF_CHECK, no_documents, odd_documents  # noqa: F401
 from tokenizers import Tokenizer
 
-from rxcast.llm.bpe import Encoder, bpe_decode, bpe_encode, load_vocabulary
+from rxcast.llm.bpe import Encoder, bpe_decode, bpe_encode, load_vocabulary, merge_long, merge_words
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -56,3 +59,21 @@ def test_long_runs_of_one_letter(library):
     texts = ["a" * n for n in (1, 2, 3, 7, 64, 1001)] + ["ab" * 500, " " * 333 + "x", "\n" * 50]
     ids, sizes = Encoder(load_vocabulary(PATH)).encode(texts)
     assert ids.tolist() == [i for t in texts for i in library.encode(t, add_special_tokens=False).ids] and len(sizes) == len(texts)
+
+
+def test_very_long_words(library):
+    """A megabyte without a break: random letters, one letter, digits of base 64, and a short period."""
+    rng = random.Random(7)
+    letters = lambda n, of: "".join(rng.choices(of, k=n))
+    texts = [letters(1_000_000, "abcdefghijklmnopqrstuvwxyz"), "z" * 100_000, letters(50_000, "漢字かな交じり文"), " " * 70_000 + "x", "abcab" * 20_000,
+             "é" * 301, letters(201, "ab"), letters(200, "ab")]
+    started = time.monotonic()
+    ids, sizes = Encoder(load_vocabulary(PATH)).encode(texts)
+    assert time.monotonic() - started < 60 and len(sizes) == len(texts)
+    assert ids.tolist() == [i for t in texts for i in library.encode(t, add_special_tokens=False).ids]
+
+
+def test_linked_merges_equal_rounds():
+    v, rng = load_vocabulary(PATH), random.Random(3)
+    words = [bytes(rng.choices(b"aaabbcde th1-\xc3\xa9", k=rng.randint(1, 90))) for _ in range(500)]
+    assert [x.tolist() for x in merge_long(words, v)] == [x.tolist() for x in merge_words(words, v)]
