@@ -2,8 +2,7 @@
 
 A line's tokens are its distinct words in lower case. A line goes if an
 earlier line (by document, then place) has a Jaccard similarity of at least
-``percent``, whether that one stays or not. Lines with fewer than ``least``
-tokens are too short to tell and stay.
+``percent``, whether that one stays or not. Lines without a token stay.
 
 * Lines with equal tokens are one set, known by its first occurrence: later
   occurrences go, and the first goes if a similar set begins earlier.
@@ -11,6 +10,8 @@ tokens are too short to tell and stay.
   against the earliest set that has the same three smallest, or three largest,
   token hashes: this removes most of a large group of near copies in linear
   work, and what it removes needs no other partner.
+* Small sets can only be similar if equal (n tokens and n + 1 share n / (n + 1)
+  at most), so they go no further than the first step.
 * The rest is exact. Tokens are ordered by rarity, counted over all lines;
   counts are kept per slot of the token's hash (``SLOTS`` of them, so the table
   has one size for any input; any fixed order is exact, rarity makes it fast).
@@ -35,8 +36,8 @@ from rxcast.llm.tables import stored
 
 SLOT_BITS = 16
 SLOTS = 1 << SLOT_BITS
-#: Documents up to which the ids that a join looks for are broadcast (8 bytes each, or a few with line numbers).
-BROADCAST_IDS = 2_000_000
+#: Bytes up to which the documents and line numbers that a join looks for are broadcast.
+BROADCAST_BYTES = 64 << 20
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -54,9 +55,11 @@ def words(line: Column) -> Column:
 
 
 def lookup(docs: DataFrame, wanted: DataFrame, how: str) -> DataFrame:
-    """Join on ``__doc``: the few ``wanted`` rows are broadcast after a look at
-    their number, else both sides are shuffled."""
-    few = wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    """Join on ``__doc`` with (__doc, array of line numbers): ``wanted`` is
+    broadcast after a look at its bytes (a row and its array take 64, a number
+    4), else both sides are shuffled."""
+    rows, numbers = wanted.agg(F.count("*"), F.sum(F.size(wanted.columns[1]))).first()
+    few = 64 * rows + 4 * (numbers or 0) <= BROADCAST_BYTES
     return docs.join(F.broadcast(wanted) if few else wanted.hint("merge"), "__doc", how)
 
 
@@ -97,8 +100,8 @@ def rarity(lines: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")  # folded to a literal
 
 
-def described(lines: DataFrame, classes: Column, percent: int, least: int) -> DataFrame:
-    """(at, h1, h2, n, near1, near2, sketch, sketch2, rare) of the lines with enough
+def described(lines: DataFrame, classes: Column, percent: int) -> DataFrame:
+    """(at, h1, h2, n, near1, near2, sketch, sketch2, rare) of the lines with
     tokens: hashes of the set, of its extremes, the parity sketch, and the
     posted tokens, rarest first. A token's key is its slot's class above the
     higher bits of its hash."""
@@ -109,7 +112,7 @@ def described(lines: DataFrame, classes: Column, percent: int, least: int) -> Da
         "t", F.lit(0).cast("bigint"), lambda b, h: F.when(h.bitwiseAND(64) == half, b.bitwiseXOR(bit(h))).otherwise(b))
     tokens = F.sort_array(F.array_distinct(F.transform(split_words(F.col("line")), lambda w: F.xxhash64(w))))
     # no where: it would move below and compute the tokens twice
-    sets = lines.select("at", F.explode(F.filter(F.array(tokens), lambda t: F.size(t) >= least)).alias("t")).withColumn("n", F.size("t"))
+    sets = lines.select("at", F.explode(F.filter(F.array(tokens), lambda t: F.size(t) > 0)).alias("t")).withColumn("n", F.size("t"))
     need = F.ceil(F.lit(percent) * F.col("n") / 100)
     return sets.select("at", F.xxhash64("t").alias("h1"), F.hash("t").alias("h2"), "n", F.xxhash64(F.slice("t", 1, 3)).alias("near1"),
                        F.xxhash64(F.lit(1), F.slice("t", -3, 3)).alias("near2"), flip(0).alias("sketch"), flip(64).alias("sketch2"),
@@ -131,22 +134,30 @@ def reach(percent: int) -> Column:
     return (100 + percent) * F.least(n - F.col("i"), m - F.col("j")) >= percent * (n + m)
 
 
-def removable(docs: DataFrame, bits: int, percent: int, least: int, text_col: str) -> DataFrame:
+def smallest_pair(percent: int) -> int:
+    """Tokens that a set needs so that a different set can be similar: with n
+    of n + 1 in common, n / (n + 1) must reach ``percent``. Equal sets alone
+    are similar below, and at 100 at any size."""
+    return -(-percent // (100 - percent)) if percent < 100 else 1 << 30
+
+
+def removable(docs: DataFrame, bits: int, percent: int, text_col: str) -> DataFrame:
     """(__doc, __gone): the numbers of the lines that an earlier one makes
     superfluous, an array per document that has any."""
     lines = docs.select("__doc", F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
     at = F.shiftleft("__doc", bits).bitwiseOR(F.col("line_no"))
-    table = stored(described(lines.select(at.alias("at"), "line"), rarity(lines), percent, least), "lines")
+    table = stored(described(lines.select(at.alias("at"), "line"), rarity(lines), percent), "lines")
 
     firsts = stored(table.groupBy("h1", "h2", "n").agg(F.min("at").alias("at"), *[F.any_value(c).alias(c) for c in ("near1", "near2", "sketch", "sketch2")])
                     .drop("h1", "h2"), "line-sets")
-    ends = firsts.select("at", "n", "sketch", "sketch2", F.explode(F.array("near1", "near2")).alias("near"))
+    open_sizes = F.col("n") >= smallest_pair(percent)
+    ends = firsts.where(open_sizes).select("at", "n", "sketch", "sketch2", F.explode(F.array("near1", "near2")).alias("near"))
     heads = ends.groupBy("near").agg(F.min(F.struct("at", "n", "sketch", "sketch2")).alias("e"), F.count("*").alias("of")).where("of > 1") \
         .select("near", F.col("e.at").alias("before"), F.col("e.n").alias("m"), F.col("e.sketch").alias("marks"), F.col("e.sketch2").alias("marks2"))
     star = ends.join(heads, "near").where((F.col("before") < F.col("at")) & alike(percent)).select("at", "before").distinct()
     gone = similar(docs, star, bits, percent, text_col)
 
-    open_ = firsts.select("at").join(gone.select("at", F.lit(True).alias("done")), "at", "left") \
+    open_ = firsts.where(open_sizes).select("at").join(gone.select("at", F.lit(True).alias("done")), "at", "left") \
         .select(F.col("at").alias("first"), F.when(F.col("done").isNull(), 1).otherwise(-1).alias("sign"))
     sets = table.select("at", "n", "sketch", "sketch2", "rare").join(open_, F.col("at") == F.col("first"))
     # postings are shuffled once: both sides of the join rename every column and so read the same exchange;
@@ -185,7 +196,7 @@ def similar(docs: DataFrame, pairs: DataFrame, bits: int, percent: int, text_col
     return stored(both.where(100 * common >= percent * (F.size("w") + F.size("v") - common)).select("at").distinct(), "line-similar")
 
 
-def dedup_lines(docs: DataFrame, percent: int = 80, least: int = 3, id_col: str = "doc_id", text_col: str = "text",
+def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
                 lines_col: str = "n_lines", removed_col: str = "n_removed") -> DataFrame:
     """The rows of ``docs`` with the text less its removed lines, and the
     numbers of lines and of removed ones beside (their names replace columns
@@ -197,7 +208,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80, least: int = 3, id_col: str
     the first row's go. An empty table gives an empty result."""
     keep = [c for c in docs.columns if c not in ("__doc", lines_col, removed_col)]
     rows, bits = numbered(docs.select(*keep), id_col, text_col)
-    gone = removable(rows, bits, percent, least, text_col)
+    gone = removable(rows, bits, percent, text_col)
     split = F.split(F.col(text_col), "\n")
     left = F.expr(f"transform(array(split(`{text_col}`, '\\n')), ls -> array_join(transform("
                   "array_except(sequence(0, size(ls) - 1), __gone), i -> ls[i]), '\\n'))[0]")

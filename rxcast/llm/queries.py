@@ -45,7 +45,7 @@ def op1_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_line_dedup")
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = dedup_lines(table(spark, sf_dir, "documents"), percent=80, least=3)
+    cleaned = dedup_lines(table(spark, sf_dir, "documents"), percent=80)
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"))
 
 

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 #: Distinct words per line, rarest first; every pair that shares one of the
-#: first n - ceil(0.8 n) + 1 is compared in full.
+#: first n - ceil(0.8 n) + 1 is compared in full (under four words, only equal sets are similar).
 LINE_DEDUP = r"""
 WITH lines AS (
   SELECT doc_id, i - 1 AS line_no, ls[i] AS line,
          list_distinct(list_filter(string_split_regex(lower(ls[i]), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS w
   FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i
         FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM {docs} WHERE text IS NOT NULL))),
-sets AS (SELECT list_sort(w) AS w, len(w) AS n, min((doc_id, line_no)) AS first FROM lines WHERE len(w) >= 3 GROUP BY 1, 2),
-tokens AS (SELECT first, n, unnest(w) AS t FROM sets),
+sets AS (SELECT list_sort(w) AS w, len(w) AS n, min((doc_id, line_no)) AS first FROM lines WHERE len(w) > 0 GROUP BY 1, 2),
+tokens AS (SELECT first, n, unnest(w) AS t FROM sets WHERE n >= 4),
 ranked AS (SELECT t, first, n, row_number() OVER (PARTITION BY first ORDER BY df, t) AS r
            FROM tokens JOIN (SELECT t, count(*) AS df FROM tokens GROUP BY t) USING (t)),
 rare AS (SELECT t, first, n FROM ranked WHERE r <= n - ceil(n * 8 / 10.0) + 1),
@@ -21,7 +21,7 @@ gone AS (SELECT DISTINCT a FROM (
   SELECT a, len(list_intersect(x.w, y.w)) AS common, x.n + y.n AS total
   FROM pairs JOIN sets x ON x.first = a JOIN sets y ON y.first = b) WHERE 100 * common >= 80 * (total - common)),
 stays AS (SELECT first FROM sets WHERE first NOT IN (SELECT a FROM gone)),
-marked AS (SELECT doc_id, line_no, line, len(w) >= 3 AND (doc_id, line_no) NOT IN (SELECT first FROM stays) AS lost FROM lines),
+marked AS (SELECT doc_id, line_no, line, len(w) > 0 AND (doc_id, line_no) NOT IN (SELECT first FROM stays) AS lost FROM lines),
 cleaned AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_removed,
                    coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE NOT lost), '') AS text FROM marked GROUP BY doc_id)
 """
