@@ -20,9 +20,9 @@ size. What a task holds follows the chunk's size (or one longer text's).
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
 from hashlib import sha256
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rxcast.llm.bpe import byte_chars, chunks, ragged
+from rxcast.llm.bpe import Encoder, chunks, load_vocabulary, ragged
 from rxcast.llm.tables import stored
 
 CHUNK_BYTES = 1 << 20
@@ -44,37 +44,23 @@ HOT_PAIRS = 10_000
 
 
 class Cutter:
-    """A tokenizer as the engine sees it: ids of a batch of texts, and the
-    bytes of every id."""
-
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], pieces: list[bytes]):
-        self.encode = encode
-        sizes = np.array([len(p) for p in pieces], np.int64)
-        self.n, self.sizes, self.starts = len(pieces), sizes, np.cumsum(sizes) - sizes
-        self.bytes = np.frombuffer(b"".join(pieces), np.uint8)
-
-    def cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in one array, and how many each has."""
-        lists = self.encode(texts)
-        counts = np.array([len(x) for x in lists], np.int64)
-        return np.fromiter((i for x in lists for i in x), np.int64, int(counts.sum())), counts
-
-
-def byte_level(file: bytes) -> Cutter:
-    """A byte-level BPE file of the tokenizers library, given space + text;
-    the strings of special tokens are ordinary text. The driver reads the files
-    and ships them, as executors may have none."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
-    t = Tokenizer.from_buffer(file)
-    t.no_truncation()
-    t.no_padding()
-    t.encode_special_tokens = True
-    of = {c: b for b, c in enumerate(byte_chars())}
-    pieces = [b""] * (max(t.get_vocab().values()) + 1)
-    for token, i in t.get_vocab().items():
-        pieces[i] = bytes(of[c] for c in token) if all(c in of for c in token) else token.encode()
-    return Cutter(lambda texts: [e.ids for e in t.encode_batch([" " + x for x in texts], add_special_tokens=False)], pieces)
+    """A tokenizer as the engine sees it: ids of a batch of texts in one array
+    with the number that each text has, and the bytes of every id."""
+
+    def __init__(self, cut: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], data: np.ndarray, sizes: np.ndarray):
+        self.cut, self.bytes, self.sizes = cut, data, sizes
+        self.n, self.starts = len(sizes), np.cumsum(sizes) - sizes
+
+
+def byte_level(vocabulary: dict) -> Cutter:
+    """A byte-level BPE vocabulary (see ``load_vocabulary``), given space +
+    text; the strings of special tokens are ordinary text."""
+    encoder = Encoder(vocabulary | {"special": {}})
+
+    def cut(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, counts = encoder.encode([" " + t for t in texts])
+        return ids.astype(np.int64), counts
+    return Cutter(cut, vocabulary["bytes"], vocabulary["sizes"])
 
 
 def piece_level(file: bytes) -> Cutter:
@@ -83,7 +69,12 @@ def piece_level(file: bytes) -> Cutter:
     s = sentencepiece.SentencePieceProcessor(model_proto=file)
     names = s.id_to_piece(list(range(s.get_piece_size())))
     pieces = [bytes([int(p[3:5], 16)]) if s.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
-    return Cutter(lambda texts: s.encode(texts, num_threads=1), pieces)
+
+    def cut(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = s.encode(texts, num_threads=1)
+        counts = np.array([len(x) for x in found], np.int64)
+        return np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum())), counts
+    return Cutter(cut, np.frombuffer(b"".join(pieces), np.uint8), np.array([len(p) for p in pieces], np.int64))
 
 
 def same_bytes(cutter: Cutter, ids: np.ndarray, counts: np.ndarray, want: bytes, sizes: np.ndarray) -> np.ndarray:
@@ -117,7 +108,8 @@ def path_cuts(a: np.ndarray, b: np.ndarray, piece: int) -> tuple[np.ndarray, np.
 def merged_piece(a: np.ndarray, b: np.ndarray, i: int, j: int, i_end: int, j_end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Overlaps of the piece: (A token, B token, both end here) by end. The
     A token of an end is the first that ends there or later, as is B's."""
-    ends = np.union1d(a[i:i_end], b[j:j_end])
+    ends = np.sort(np.concatenate([a[i:i_end], b[j:j_end]]), kind="stable")  # linear in two ascending runs
+    ends = ends[np.append(True, ends[1:] != ends[:-1])] if len(ends) else ends
     if i and j < j_end and len(ends) and b[j] == a[i - 1]:
         ends = ends[1:]  # emitted with the A end before the diagonal
     at_a = i + np.searchsorted(a[i:i_end], ends)
@@ -173,17 +165,17 @@ def lists(counts: np.ndarray, flat: np.ndarray, dtype: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(flat, dtype))
 
 
-def aligned(docs: DataFrame, file_a: bytes, file_b: bytes, text_col: str, keep: tuple[str, ...], piece: int = PIECE) -> DataFrame:
+def aligned(docs: DataFrame, vocabulary: dict, model: bytes, text_col: str, keep: tuple[str, ...], piece: int = PIECE) -> DataFrame:
     """A row per text: ``keep``, chunk, n_a, n_b, n_groups, groups_sha256,
     slots and times (its links as places in the chunk's dictionary); the first
     row of a chunk holds the dictionary: pairs and how often each is linked."""
     names = list(keep)
-    files = docs.sparkSession.sparkContext.broadcast((file_a, file_b))
+    shipped = docs.sparkSession.sparkContext.broadcast((vocabulary, model))  # of one size; executors may not have the files
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = byte_level(files.value[0]), piece_level(files.value[1])
+        a, b = byte_level(shipped.value[0]), piece_level(shipped.value[1])
         marks = [np.array([f"{i}{m}" for i in range(c.n) for m in ("," + e)], object) for c, e in ((a, "|"), (b, ";"))]
-        chunk = TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
             size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column("__text")), 0), np.int64) + 1
             for x, y in chunks(size, CHUNK_BYTES):
@@ -194,12 +186,12 @@ def aligned(docs: DataFrame, file_a: bytes, file_b: bytes, text_col: str, keep:
                 per_text = np.bincount(mine // (len(book) + 1), minlength=n)
                 first = np.append(len(book), np.zeros(n - 1, np.int64))
                 cols = {
-                    "chunk": pa.array(np.full(n, chunk), pa.int64()), "n_a": pa.array(got["counts"][0], pa.int64()),
+                    "chunk": pa.array(np.full(n, number), pa.int64()), "n_a": pa.array(got["counts"][0], pa.int64()),
                     "n_b": pa.array(got["counts"][1], pa.int64()), "n_groups": pa.array(got["groups"], pa.int64()), "groups_sha256": pa.array(got["digests"], pa.string()),
                     "slots": lists(per_text, mine % (len(book) + 1), pa.int32()), "times": lists(per_text, times, pa.int32()),
                     "pairs": lists(first, book, pa.int64()), "linked": lists(first, np.bincount(slot, minlength=len(book)), pa.int64())}
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in names] + list(cols.values()), names=[*names, *cols])
-                chunk += 1
+                number += 1
 
     more = "chunk long, n_a long, n_b long, n_groups long, groups_sha256 string, slots array<int>, times array<int>, pairs array<long>, linked array<long>"
     schema = T.StructType([docs.schema[c] for c in names] + T.StructType.fromDDL(more).fields)
@@ -220,9 +212,9 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, text_col: str = "tex
     result."""
     names = [f"__{i}" for i in range(len(keep))]
     src = docs.select(*[docs[c].alias(n) for c, n in zip(keep, names, strict=True)], docs[text_col].alias("__body"))
-    file_a, file_b = (Path(p).read_bytes() for p in (path_a, path_b))
-    rows = stored(aligned(src, file_a, file_b, "__body", tuple(names)), "aligned")
-    width = piece_level(file_b).n
+    model = Path(path_b).read_bytes()
+    rows = stored(aligned(src, load_vocabulary(path_a), model, "__body", tuple(names)), "aligned")
+    width = piece_level(model).n
     entries = rows.where(F.size("pairs") > 0).select("chunk", F.posexplode(F.arrays_zip("pairs", "linked")).alias("slot", "x")) \
         .select("chunk", "slot", F.col("x.pairs").alias("pair"), F.col("x.linked").alias("n"))
     counts = entries.groupBy("pair").agg(F.sum("n").alias("count"), F.count("*").alias("chunks"))

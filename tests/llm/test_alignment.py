@@ -2,14 +2,13 @@ import hashlib
 from collections import Counter, defaultdict
 
 import numpy as np
-import public_tokenizers
 import pytest
 import sentencepiece
 from llm_fixtures import SF_CHECK, no_documents, odd_documents  # noqa: F401
 from tokenizers import Tokenizer
 
 from rxcast.llm.alignment import align_tokens, byte_level, overlaps, path_cuts, piece_level
-from rxcast.llm.bpe import byte_chars
+from rxcast.llm.bpe import byte_chars, load_vocabulary
 from rxcast.llm.queries import PIECES, QUERIES, VOCABULARY
 
 ZERO = (0, 0, 0, 0, 0, 0, "")
@@ -113,8 +112,8 @@ def test_pieces_agree_with_one_merge():
 
 
 def test_bytes_of_ids():
-    with open(VOCABULARY, "rb") as a, open(PIECES, "rb") as b:
-        for c in (byte_level(a.read()), piece_level(b.read())):
+    with open(PIECES, "rb") as f:
+        for c in (byte_level(load_vocabulary(VOCABULARY)), piece_level(f.read())):
             ids, counts = c.cut(["one two", "", "漢\U0001f600"])
             data = b"".join(c.bytes[c.starts[i]:c.starts[i] + c.sizes[i]].tobytes() for i in ids.tolist())
             assert data.replace(b" ", b"") == "onetwo漢\U0001f600".encode() and len(counts) == 3
