@@ -30,6 +30,8 @@ from pyspark.sql import types as T
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Text bytes that a task handles at once, and words that it remembers.
 CHUNK_BYTES, REMEMBERED = 2 << 20, 200_000
+#: Bytes of ids that a task decodes at once.
+DECODE_BYTES = 512 << 10
 #: Characters above which a word is merged with linked symbols.
 LONG = 200
 
@@ -270,23 +272,26 @@ def bpe_encode(docs: DataFrame, vocabulary: str | dict, text_col: str = "text",
 def bpe_decode(encoded: DataFrame, vocabulary: str | dict, ids_col: str = "ids", keep: tuple[str, ...] = ("doc_id",),
                text_col: str = "text") -> DataFrame:
     """``keep`` columns and the text of each row's ids (null: empty; null
-    elements and ids outside the vocabulary are skipped)."""
+    elements and ids outside the vocabulary are skipped). Ids that are kept
+    travel once."""
     tables = _shipped(encoded.sparkSession, vocabulary)
     names = list(keep)
+    source = ids_col if ids_col in names else "__ids"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = tables.value
         for batch in batches:
-            size = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(batch.column("__ids")), 0), np.int64)
-            for a, b in chunks(4 * size + 1, CHUNK_BYTES):
+            size = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(batch.column(source)), 0), np.int64)
+            for a, b in chunks(4 * size + 1, DECODE_BYTES):
                 part = batch.slice(a, b - a)
-                flat = part.column("__ids").flatten()
+                flat = part.column(source).flatten()
                 flat = np.asarray(pa.compute.fill_null(flat, -1), np.int64)
                 text = pa.array(decode_ids(flat, size[a:b], v), pa.string())
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in names] + [text], names=[*names, text_col])
 
     schema = T.StructType([encoded.schema[c] for c in names] + [T.StructField(text_col, T.StringType())])
-    return encoded.select(*names, encoded[ids_col].alias("__ids")).mapInArrow(run, schema)
+    src = encoded.select(*names, *[encoded[ids_col].alias(source)] * (source not in names))
+    return src.mapInArrow(run, schema)
 
 
 def _shipped(spark: SparkSession, vocabulary: str | dict):
