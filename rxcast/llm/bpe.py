@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 #: Fixed value: the split that byte-level BPE vocabularies of this kind use.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Text bytes that a task handles at once, and words that it remembers.
-CHUNK_BYTES, REMEMBERED = 2 << 20, 200_000
+CHUNK_BYTES, REMEMBERED = 512 << 10, 200_000
 #: Bytes of ids that a task decodes at once.
 DECODE_BYTES = 512 << 10
 #: Characters above which a word is merged with linked symbols.

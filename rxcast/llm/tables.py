@@ -4,6 +4,8 @@ connected components."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
+    """Arrow batches of few rows for what runs inside: rows with whole texts
+    or their ids are long, and a batch of the usual size takes tens of
+    megabytes on both sides of a Python worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z only, whatever the locale."""
     return F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())
