@@ -20,7 +20,7 @@ from rxcast.llm.linejoin import dedup_lines
 from rxcast.llm.minmax import near_duplicates
 from rxcast.llm.puquality import quality_scores
 from rxcast.llm.queries import VOCABULARY, table, token_digests
-from rxcast.llm.tables import match_rows, stored, word_count
+from rxcast.llm.tables import match_rows, small_batches, stored, word_count
 
 #: The classifier, the mix and the tokenizer have no SQL form; tests/llm holds brute-force versions of the stages.
 ORACLE_SQL: str | None = None
@@ -73,9 +73,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of every row. The
     ids are a table of their own before they are decoded, so that an executor
-    runs either the encoder's or the decoder's workers."""
+    runs either the encoder's or the decoder's workers, and both run here, as
+    their rows are long and go to Python in small batches."""
     v = load_vocabulary(VOCABULARY)
-    return token_digests(stored(bpe_encode(docs, v), "pipeline-ids"), v, with_ids=True)
+    with small_batches(spark):
+        return stored(token_digests(stored(bpe_encode(docs, v), "pipeline-ids"), v, with_ids=True), "pipeline-tokens")
 
 
 STAGES = [("quality_classifier", quality), ("line_dedup", lines), ("minhash_near_dedup", near), ("source_mix", mix),
@@ -87,4 +89,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return stored(STAGES[-1][1](spark, docs, sf_dir), "pipeline-tokens")
+    return STAGES[-1][1](spark, docs, sf_dir)
