@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rxcast.functions.exprs import clip, flag, nunique_with_null
-from rxcast.operators.clean import AGE_LABELS, order_cols
-from rxcast.operators.ordered import EXACT, nested_positions, rolling_from_prefix, split_buckets
+from rxcast.operators.clean import AGE_LABELS, ORDER_COLUMNS
+from rxcast.operators.ordered import rolling_windows, split_buckets
 from rxcast.sources import dims
 
 PAID = "total_paid_amt"
@@ -210,29 +210,17 @@ def hcp_summary(clean: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------- WIN1/2/4, AGG12-AGG15
-def claim_rolling(clean: DataFrame, windows=(7, 30, 90), keep_text: bool = False) -> DataFrame:
+def claim_rolling(clean: DataFrame, windows=(7, 30, 90), keep: tuple[str, ...] = ()) -> DataFrame:
     """Per-claim rolling sums/means over the last n rows of the same HCP x
-    drug in date order (WIN1, WIN2) plus the claim's position in its HCP
-    (WIN4). Null-drug rows get null rolling values (pandas transform).
-
-    Positions inside the HCP are assigned first; after that only fixed-width
-    columns travel through the lag aggregation. ``keep_text`` joins the
-    claim's descriptive columns back on the unique (hcp_id, row_idx)."""
-    cols = ["hcp_id", "drug_brand_name", "service_date_dd", "claim_number", PAID,
-            "patient_id", "days_supply_val"]
-    narrow = split_buckets(clean.select(*cols), ["hcp_id"], "service_date_dd", "claim_number")
-    v = F.col(PAID)
-    meas = {"s": F.coalesce(v.cast(EXACT), F.lit(0).cast(EXACT)), "nn": F.when(v.isNotNull(), 1).otherwise(0)}
-    h = nested_positions(narrow, ["hcp_id"], ["drug_brand_name"], order_cols(), F.col("_piece"), meas,
-                         outer_pos="row_idx", inner_pos="_pos_g").drop("_piece")
-    r = rolling_from_prefix(h, ["hcp_id", "drug_brand_name"], "_pos_g", list(windows), carry=["row_idx", PAID])
-    nulls = {c: F.when(F.col("drug_brand_name").isNotNull(), F.col(c))
-             for n in windows for c in (f"rolling_sum_{n}", f"rolling_avg_{n}")}
-    r = r.withColumns(nulls)
-    if keep_text:
-        r = r.join(h.select("hcp_id", "row_idx", "service_date_dd", "claim_number", "patient_id",
-                            "days_supply_val"), ["hcp_id", "row_idx"])
-    return r
+    drug in date order (WIN1, WIN2), the claim's position in its HCP as
+    ``row_idx`` (WIN4) and the columns ``keep``. Null-drug rows get null
+    rolling values (pandas transform). The claims are shuffled once; an HCP
+    above ``ordered.TARGET_ROWS`` is cut into pieces of its order."""
+    cols = dict.fromkeys(["hcp_id", "drug_brand_name", *ORDER_COLUMNS, PAID, *keep])
+    pieces = split_buckets(clean.select(*cols), ["hcp_id"], "service_date_dd", "claim_number", days=None)
+    r = rolling_windows(pieces, ["hcp_id"], ["drug_brand_name"], ORDER_COLUMNS, PAID, list(windows), "row_idx")
+    return r.select(*dict.fromkeys(["hcp_id", "drug_brand_name", "row_idx", PAID, *keep]),
+                    *[f"rolling_{x}_{n}" for n in windows for x in ("sum", "avg")])
 
 
 def hcp_rolling(clean: DataFrame) -> DataFrame:

@@ -14,9 +14,8 @@ task; AQE cannot split window partitions, and a single key (for example the
 4. position = offset + local number. The join on ``(group, bucket)`` reuses
    the partitioning of step 2, so the rows are shuffled once.
 
-Row-count frames (``rolling(n)`` over rows) are then differences of prefix
-sums, ``S(j) - S(j-n)``, fetched with an equi-join on the unique key
-``(group, position)``: skew-free at any group size.
+Row-count frames (``rolling(n)`` over rows) run inside the pieces; a piece
+also gets the last rows of those before it (``rolling_windows``).
 """
 
 from __future__ import annotations
@@ -43,12 +42,13 @@ def _every_nth(sample: Column) -> Column:
     return F.filter(F.sort_array(sample), lambda x, i: (i > 0) & (i % PER_PIECE == 0))
 
 
-def split_buckets(df: DataFrame, group: list[str], ts_col: str, tie_col: str, days: int = 32,
+def split_buckets(df: DataFrame, group: list[str], ts_col: str, tie_col: str, days: int | None = 32,
                   target: int | None = None) -> DataFrame:
     """Add ``_piece``: non-decreasing along (``ts_col``, ``tie_col``), nulls
     last, inside each group, with about ``target`` rows at most.
 
-    A group is cut into pieces of ``days`` calendar days. A piece above the
+    A group is cut into pieces of ``days`` calendar days (None: it is one
+    piece, so that only groups above the target are cut). A piece above the
     target is cut again at split points over the whole order, not the day
     only: they come from a sample of its rows, chosen by a hash of the order
     key, so every run and layout cuts at the same places. Rows without a date
@@ -57,7 +57,7 @@ def split_buckets(df: DataFrame, group: list[str], ts_col: str, tie_col: str, da
     target = target or TARGET_ROWS
     at = F.concat(F.coalesce(F.date_format(ts_col, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("~")),
                   F.coalesce(F.col(tie_col).cast("string"), F.lit("\U0010ffff")))
-    b = df.withColumn("_bkt0", day_bucket(ts_col, days).cast("long"))
+    b = df.withColumn("_bkt0", (F.lit(0) if days is None else day_bucket(ts_col, days)).cast("long"))
     keys = [*group, "_bkt0"]
     big = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > target) \
         .select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)], "_n")
@@ -149,117 +149,72 @@ def positions(df: DataFrame, group: list[str], order: list[Column], bucket: Colu
     return out.drop(*drop)
 
 
-def nested_positions(df: DataFrame, outer: list[str], inner: list[str], order: list[Column], bucket: Column,
-                     measures: dict[str, Column], outer_pos: str, inner_pos: str,
-                     prefix: str = "_cum_") -> DataFrame:
-    """``positions`` for a group and a sub-group at once: ``outer_pos`` is the
-    row's position inside ``outer``; ``inner_pos`` and the running sums
-    ``prefix+m`` are inside ``outer + inner``. Both windows are clustered on
-    ``(outer, bucket)`` (the inner one on a superset of those keys), so the
-    rows are shuffled once. ``outer`` keys must be non-null; null ``inner``
-    keys get null inner results (pandas groupby-transform semantics)."""
-    df, ikeys, null_key = non_null_keys(df, inner)
-    b = df.withColumn("_bkt", bucket)
-    w_o = Window.partitionBy(*outer, "_bkt").orderBy(*order)
-    w_i = Window.partitionBy(*outer, "_bkt", *ikeys).orderBy(*order)
-    run = w_i.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = (b.withColumn("_lrn_o", F.row_number().over(w_o)).withColumn("_lrn_i", F.row_number().over(w_i))
-             .withColumns({f"_lc_{m}": F.sum(c).over(run) for m, c in measures.items()}))
-    w_ob = Window.partitionBy(*outer).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    w_ib = Window.partitionBy(*outer, *ikeys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    totals = b.groupBy(*outer, *ikeys, "_bkt").agg(
-        F.count(F.lit(1)).alias("_bn"), *[F.sum(c).alias(f"_bs_{m}") for m, c in measures.items()])
-    off_o = totals.groupBy(*outer, "_bkt").agg(F.sum("_bn").alias("_bn")).select(  # a roll-up, not another scan
-        *outer, "_bkt", F.coalesce(F.sum("_bn").over(w_ob), F.lit(0)).alias("_off_o"))
-    off_i = totals.select(
-        *outer, *ikeys, "_bkt", F.coalesce(F.sum("_bn").over(w_ib), F.lit(0)).alias("_off_i"),
-        *[F.sum(f"_bs_{m}").over(w_ib).alias(f"_off_{m}") for m in measures])
-    j = local.join(off_o, [*outer, "_bkt"]).join(off_i, [*outer, *ikeys, "_bkt"])
-    inner_ok = F.lit(True) if null_key is None else ~null_key
-    out = j.withColumns({
-        outer_pos: (F.col("_off_o") + F.col("_lrn_o") - 1).cast("long"),
-        inner_pos: F.when(inner_ok, (F.col("_off_i") + F.col("_lrn_i") - 1).cast("long")),
-        **{prefix + m: F.when(inner_ok, F.coalesce(F.col(f"_off_{m}"), F.lit(0)) + F.col(f"_lc_{m}"))
-           for m in measures}})
-    drop = ["_bkt", "_lrn_o", "_lrn_i", "_off_o", "_off_i", *[f"_lc_{m}" for m in measures],
-            *[f"_off_{m}" for m in measures], *[k for k in ikeys if k not in inner]]
-    return out.drop(*drop)
-
-
-def lagged_prefix(df: DataFrame, group: list[str], pos_col: str, cols: list[str], lags: list[int],
-                  suffix: str = "_l") -> DataFrame:
-    """For each row at position j, fetch ``cols`` of the rows at j - n
-    (n in ``lags``) of the same group (null when j < n).
-
-    One pass and one shuffle: every row is emitted once as itself and once
-    per lag as the provider for position j + n; a ``groupBy`` on the unique
-    key ``(group, position)`` puts each row together with its providers. No
-    key repeats more than ``1 + len(lags)`` times, so nothing is skewed.
-    """
-    tags = F.array(*[F.lit(0)] + [F.lit(n) for n in lags])
-    own = [c for c in df.columns if c not in group and c != pos_col]
-    # keep the aggregation buffers fixed-width (hash aggregate, no sort)
-    bad = [c for c, t in df.dtypes if c in own and (t.startswith("string") or t.startswith("array"))]
-    if bad:
-        raise ValueError(f"lagged_prefix carries fixed-width columns only; drop {bad} first")
-    e = df.select(*group, pos_col, *own, F.explode(tags).alias("_tag"))
-    e = e.withColumn(pos_col, F.col(pos_col) + F.col("_tag"))
-    aggs = [F.max(F.when(F.col("_tag") == 0, F.col(c))).alias(c) for c in own]
-    aggs += [F.max(F.when(F.col("_tag") == n, F.col(c))).alias(f"{c}{suffix}{n}") for n in lags for c in cols]
-    aggs.append(F.max(F.when(F.col("_tag") == 0, F.lit(1))).alias("_self"))
-    out = e.groupBy(*group, pos_col).agg(*aggs)
-    return out.filter(F.col("_self") == 1).drop("_self")
-
-
-def rolling_rows(df: DataFrame, group: list[str], order: list[Column], bucket: Column,
-                 value: str, windows: list[int], pos_col: str = "_pos_g",
-                 carry: list[str] | None = None) -> DataFrame:
-    """pandas ``groupby(group)[value].rolling(n, min_periods=1)`` over rows:
-    returns ``group``, ``carry`` columns and ``rolling_sum_{n}`` /
-    ``rolling_avg_{n}`` for each n (sum/mean of the non-null values among
-    the last n rows; null if there are none). ``carry`` must be fixed-width
-    columns (the lag step is a hash aggregate)."""
+def rolling_windows(df: DataFrame, outer: list[str], inner: list[str], order: list[str], value: str, windows: list[int],
+                    pos_col: str | None = None) -> DataFrame:
+    """pandas ``groupby(outer + inner)[value].rolling(n, min_periods=1)`` over
+    rows: the columns of ``df`` less ``_piece`` with ``rolling_sum_{n}`` and
+    ``rolling_avg_{n}`` for each n (sum and mean of the non-null values among
+    the last n rows; null if there are none, or if an ``inner`` key is null)
+    and, as ``pos_col``, the row's 0-based position inside ``outer``.
+
+    ``_piece`` doesn't decrease along ``order`` (column names, nulls last)
+    inside ``outer``. Ordinary row frames run inside a piece; a piece that has
+    a predecessor also gets the last rows of the pieces before it, as many as
+    the largest window looks back, which count as rows before its own and are
+    dropped again. Only groups of more than one piece have such rows. So the
+    rows are shuffled once, none is emitted twice, and all frames share one
+    sort. Sums are exact decimals."""
+    df, keys, null_key = non_null_keys(df, inner)
+    back = max(windows) - 1
+    ascending = [F.col(c).asc_nulls_last() for c in order]
+    totals = df.groupBy(*outer, "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*outer).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*outer, "_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    rows = df.withColumn("_before", F.lit(False)).unionByName(
+        _rows_before(df, outer, keys, order, ascending, value, back, totals).withColumn("_before", F.lit(True)), allowMissingColumns=True)
+
+    in_piece = Window.partitionBy(*outer, "_piece").orderBy(*ascending)
+    in_group = Window.partitionBy(*outer, "_piece", *keys).orderBy(*ascending)
+    upto = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     v = F.col(value)
-    carry = carry if carry is not None else [value]
-    # Exact running sums: decimal(38,6) does not lose digits however long the
-    # group is (a double prefix would, and S(j) - S(j-n) would amplify it).
-    meas = {"s": F.coalesce(v.cast(EXACT), F.lit(0).cast(EXACT)), "nn": F.when(v.isNotNull(), 1).otherwise(0)}
-    df, keys, null_key = non_null_keys(df, group)
-    extra = [k for k in keys if k not in group]
-    p = positions(df, keys, order, bucket, meas, pos_col=pos_col, _keys_checked=True)
-    lag_keys = keys + [g for g in group if g not in keys]  # originals ride along as (null-safe) group keys
-    p = p.select(*lag_keys, pos_col, *carry, "_cum_s", "_cum_nn")
-    p = lagged_prefix(p, lag_keys, pos_col, ["_cum_s", "_cum_nn"], list(windows), "_l")
-    if null_key is not None:  # rows of a null group: NaN in pandas
-        p = p.withColumn(pos_col, F.when(~null_key, F.col(pos_col)))
-    out = {}
+    local = rows.withColumn("_row", F.sum(F.when(F.col("_before"), 0).otherwise(1)).over(upto(in_piece)))
+    local = local.withColumns({"_s": F.sum(F.coalesce(v.cast(EXACT), F.lit(0).cast(EXACT))).over(upto(in_group)), "_k": F.count(v).over(upto(in_group))})
+    lags = {f"{c}{n}": F.lag(c, n).over(in_group) for n in windows for c in ("_s", "_k")}
+    out = local.withColumns(lags).where(~F.col("_before")).join(offsets, [*outer, "_piece"])
+    cols = {} if pos_col is None else {pos_col: (F.col("_off") + F.col("_row") - 1).cast("long")}
     for n in windows:
-        s = (F.col("_cum_s") - F.coalesce(F.col(f"_cum_s_l{n}"), F.lit(0).cast(EXACT))).cast("double")
-        nn = F.col("_cum_nn") - F.coalesce(F.col(f"_cum_nn_l{n}"), F.lit(0))
-        known = F.col(pos_col).isNotNull() & (nn > 0)
-        out[f"rolling_sum_{n}"] = F.when(known, s)
-        out[f"rolling_avg_{n}"] = F.when(known, s / nn)
-    p = p.withColumns(out)
-    drop = [pos_col, "_cum_s", "_cum_nn", *extra] + [f"_cum_{x}_l{n}" for n in windows for x in ("s", "nn")]
-    return p.drop(*drop)
-
-
-def rolling_from_prefix(p: DataFrame, group: list[str], pos_col: str, windows: list[int],
-                        carry: list[str], fallback: str = "row_idx") -> DataFrame:
-    """Row-count rolling sums/means from running sums ``_cum_s``/``_cum_nn``
-    at position ``pos_col``. Rows outside any group (null position) keep a
-    unique negative stand-in key derived from ``fallback`` (a unique
-    position in an enclosing group), so everything stays one pass; their
-    rolling values are null."""
-    key = F.coalesce(F.col(pos_col), F.lit(-1) - F.col(fallback)).alias("_lagpos")
-    base = p.select(*group, key, F.col(pos_col).isNotNull().alias("_haspos"), *carry, "_cum_s", "_cum_nn")
-    q = lagged_prefix(base, group, "_lagpos", ["_cum_s", "_cum_nn"], list(windows), "_l")
-    out = {}
-    for n in windows:
-        s = (F.col("_cum_s") - F.coalesce(F.col(f"_cum_s_l{n}"), F.lit(0).cast(EXACT))).cast("double")
-        nn = F.col("_cum_nn") - F.coalesce(F.col(f"_cum_nn_l{n}"), F.lit(0))
-        known = F.col("_haspos") & (nn > 0)
-        out[f"rolling_sum_{n}"] = F.when(known, s)
-        out[f"rolling_avg_{n}"] = F.when(known, s / nn)
-    drop = ["_lagpos", "_haspos", "_cum_s", "_cum_nn"] + [f"_cum_{x}_l{n}" for n in windows for x in ("s", "nn")]
-    return q.withColumns(out).drop(*drop)
+        s = (F.col("_s") - F.coalesce(F.col(f"_s{n}"), F.lit(0).cast(EXACT))).cast("double")
+        k = F.col("_k") - F.coalesce(F.col(f"_k{n}"), F.lit(0))
+        known = (k > 0) if null_key is None else (k > 0) & ~null_key
+        cols[f"rolling_sum_{n}"], cols[f"rolling_avg_{n}"] = F.when(known, s), F.when(known, s / k)
+    return out.withColumns(cols).drop("_piece", "_before", "_row", "_off", "_s", "_k", *lags, *[k for k in keys if k not in inner])
+
+
+def _rows_before(df: DataFrame, outer: list[str], keys: list[str], order: list[str], ascending: list[Column], value: str, back: int,
+                 totals: DataFrame) -> DataFrame:
+    """(outer, keys, _piece, order, value): for each group and piece, the last
+    ``back`` rows of the group's pieces before. Every piece of a group has a
+    row at least, so they lie in the ``back`` pieces before, whose last rows
+    are all that meets here."""
+    split = totals.groupBy(*outer).agg(F.count(F.lit(1)).alias("_pieces")).where(F.col("_pieces") > 1).drop("_pieces")
+    cut = df.join(split, outer, "left_semi")
+    in_group = Window.partitionBy(*outer, "_piece", *keys)
+    descending = [F.col(c).desc_nulls_first() for c in order]
+    last = cut.withColumn("_r", F.row_number().over(in_group.orderBy(*descending))).where(F.col("_r") <= back)
+    carried = list(dict.fromkeys([*order, value]))
+    tails = last.groupBy(*outer, *keys, "_piece").agg(F.sort_array(F.collect_list(F.struct((-F.col("_r")).alias("_r"), *carried))).alias("_tail"))
+    # all pieces of the group, also those of which no row is in the tail's range
+    earlier = Window.partitionBy(*outer, *keys).orderBy("_piece").rowsBetween(-max(back, 1), -1)
+    ahead = tails.select(*outer, *keys, "_piece", F.flatten(F.collect_list("_tail").over(earlier)).alias("_t"))
+    part = F.slice("_t", F.greatest(F.size("_t") - back + 1, F.lit(1)), back) if back else F.slice("_t", 1, 0)
+    return ahead.select(*outer, *keys, "_piece", F.inline(part)).drop("_r")
+
+
+def rolling_rows(df: DataFrame, group: list[str], order: list[str], bucket: Column, value: str, windows: list[int]) -> DataFrame:
+    """``rolling_windows`` of one group, by a ``bucket`` that doesn't decrease
+    along ``order``; rows of a null group get null results."""
+    df, keys, null_key = non_null_keys(df, group)
+    out = rolling_windows(df.withColumn("_piece", bucket), keys, [], order, value, windows)
+    if null_key is not None:
+        out = out.withColumns({c: F.when(~null_key, F.col(c)) for n in windows for c in (f"rolling_sum_{n}", f"rolling_avg_{n}")})
+    return out.drop(*[k for k in keys if k not in group])

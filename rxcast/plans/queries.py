@@ -3,6 +3,8 @@ operator of the survey, each reading the whole test tables."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +12,8 @@ from rxcast.operators import clean as cl
 from rxcast.operators import features as fe
 from rxcast.operators import multipliers as mu
 from rxcast.operators import predict as pr
-from rxcast.session import materialize, release
-from rxcast.sources.claims import claims_from_star
+from rxcast.session import checkpoint_dir, materialize, release
+from rxcast.sources.claims import claims_from_star, read_claims_csv
 
 QUERIES: dict = {}
 
@@ -65,6 +67,17 @@ def q_clean_claims(spark, sf_dir):
     return clean(spark, sf_dir)
 
 
+@query("claims_csv")
+def q_claims_csv(spark, sf_dir):
+    """SRC1: the view is landed as CSV text by three suppliers, read back and cleaned."""
+    from rxcast.plans.landed import landed_claims_csv
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/landed-claims-{uuid.uuid4().hex}"
+    landed_claims_csv(spark, sf_dir, folder)
+    c = cl.clean_claims(read_claims_csv(spark, f"{folder}/*"))
+    return c.select("claim_number", "hcp_id", "company", "service_date_dd", "transaction_dt", "transaction_status", "patient_age", "days_supply_val",
+                    "awp_unit_price_amt", F.round("total_paid_amt", 4).alias("total_paid_amt"), "pharmacy_npi_nbr", "reject_reason_1_cd", "reject_reason_1_desc")
+
+
 @query("base_features")
 def q_base_features(spark, sf_dir):
     return base(spark, sf_dir).select("claim_number", "hcp_id", "service_date_dd", "month", "quarter", "year",
@@ -100,7 +113,7 @@ def q_affinity(spark, sf_dir):
 
 @query("rolling_rows")
 def q_rolling_rows(spark, sf_dir):
-    r = fe.claim_rolling(clean(spark, sf_dir), keep_text=True)
+    r = fe.claim_rolling(clean(spark, sf_dir), keep=("claim_number", "service_date_dd"))
     return rounded(r.select("claim_number", "hcp_id", "drug_brand_name", "service_date_dd", "row_idx",
                             *[f"rolling_{k}_{n}" for n in (7, 30, 90) for k in ("sum", "avg")]), 2)
 

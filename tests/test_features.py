@@ -18,6 +18,31 @@ from rxcast.sources import dims
 from rxcast.sources.claims import claims_from_star
 
 
+def test_rolling_across_pieces_of_a_hot_group(spark, monkeypatch):
+    """A third of the claims in one HCP, cut into many pieces; windows that span several pieces, null drugs and null values."""
+    from rxcast.operators import ordered
+    rows = [{"hcp_id": r["hcp"], "drug_brand_name": r["drug"], "service_date_dd": r["d"] if i % 9 else None, "claim_number": r["k"],
+             "total_paid_amt": r["v"], "patient_id": None, "days_supply_val": 1} for i, r in enumerate(_rows(3000, 11))]
+    df = spark.createDataFrame(rows, "hcp_id string, drug_brand_name string, service_date_dd timestamp_ntz, claim_number string, total_paid_amt double, "
+                                     "patient_id string, days_supply_val int").repartition(7)
+    want = {r.claim_number: tuple(r) for r in fe.claim_rolling(df, (7, 30, 90), ("claim_number",)).collect()}
+    monkeypatch.setattr(ordered, "TARGET_ROWS", 100)
+    monkeypatch.setattr(ordered, "PER_PIECE", 10)
+    cut = ordered.split_buckets(df, ["hcp_id"], "service_date_dd", "claim_number", days=None)
+    assert cut.where("hcp_id = 'H0'").select("_piece").distinct().count() > 8
+    got = {r.claim_number: tuple(r) for r in fe.claim_rolling(df, (7, 30, 90), ("claim_number",)).collect()}
+    assert got == want and len(got) == 3000
+    pdf = pd.DataFrame(rows).sort_values(["hcp_id", "service_date_dd", "claim_number"], na_position="last")
+    pdf["pos"] = pdf.groupby("hcp_id").cumcount()
+    for n in (7, 30, 90):
+        pdf[f"s{n}"] = pdf.groupby(["hcp_id", "drug_brand_name"])["total_paid_amt"].transform(lambda x, n=n: x.rolling(n, min_periods=1).sum())
+    for r in pdf.itertuples():
+        mine = want[r.claim_number]
+        assert mine[2] == r.pos
+        for i, s in ((5, r.s7), (7, r.s30), (9, r.s90)):
+            assert (mine[i] is None and (pd.isna(s))) or math.isclose(mine[i], s, abs_tol=1e-6)
+
+
 def _rows(n=400, seed=7, hot="H0"):
     rnd = random.Random(seed)
     rows = []
@@ -45,8 +70,7 @@ def test_positions_match_pandas_rank_with_hot_group(spark):
 def test_rolling_rows_match_pandas_rolling(spark):
     rows = [r for r in _rows(300, 3) if r["drug"] is not None]
     df = spark.createDataFrame(pd.DataFrame(rows))
-    out = rolling_rows(df, ["hcp", "drug"], [F.col("d"), F.col("k")], day_bucket("d"), "v", [3, 7],
-                       carry=["v"]).toPandas()
+    out = rolling_rows(df, ["hcp", "drug"], ["d", "k"], day_bucket("d"), "v", [3, 7]).toPandas()
     key = spark.createDataFrame(pd.DataFrame(rows))
     # re-attach claim keys by position order for comparison
     pdf = pd.DataFrame(rows).sort_values(["hcp", "drug", "d", "k"]).reset_index(drop=True)
