@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rxcast.sources.claims import claims_from_star
+
 
 def _stamp(key: Column) -> Column:
     return F.timestamp_seconds(F.lit(1704067200) + F.pmod(key, F.lit(5)) * 3600)
@@ -59,3 +61,20 @@ registry AS (SELECT *, (s_suppkey + 1000000000)::VARCHAR AS npi, 'Dr ' || s_name
                CASE WHEN s_suppkey % 3 <> 0 THEN 'class ' || s_nationkey ELSE 'Unknown' END AS specialty, 'S' || (s_suppkey % 9) AS state
              FROM supplier WHERE s_suppkey % 8 <> 1 AND s_suppkey % 6 <> 2)
 """
+
+
+def landed_claims_csv(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The claims view as three sets of CSV files under ``folder``, as three
+    suppliers would land them: whole numbers as decimals; columns in another
+    order with dates of another form; fewer columns, missing values written
+    out."""
+    claims = claims_from_star(spark, sf_dir)
+    part = F.pmod(F.crc32(F.col("claim_number").cast("binary")), F.lit(3))
+    whole = [c for c, t in claims.dtypes if t in ("int", "bigint")]
+    first = claims.where(part == 0).withColumns({c: F.concat(F.col(c).cast("string"), F.lit(".0")) for c in whole})
+    second = claims.where(part == 1).withColumns({c: F.date_format(c, f) for c, f in (("service_date_dd", "MM/dd/yyyy"), ("transaction_dt", "d-MMM-yyyy"))}) \
+        .select(*reversed(claims.columns))
+    third = claims.where(part == 2).drop("reject_reason_1_desc").withColumns({
+        "service_date_dd": F.date_format("service_date_dd", "MMMM d, yyyy"), "type_1_npi": F.coalesce(F.col("type_1_npi").cast("string"), F.lit("NaN"))})
+    for name, df in (("decimals", first), ("reordered", second), ("fewer", third)):
+        df.write.option("header", True).mode("overwrite").csv(f"{folder}/{name}")

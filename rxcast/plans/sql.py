@@ -19,6 +19,13 @@ def rnd(expr: str, n: int, alias: str) -> str:
 
 sql("clean_claims", "SELECT * FROM clean")
 
+# crc32 by its polynomial over the claim number's bytes: which supplier landed the claim
+_CRC = ("xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(claim_number, ''), lambda ch: ord(ch)::BIGINT)), lambda c, b: "
+        "list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)")
+sql("claims_csv", f"""SELECT claim_number, hcp_id, company, service_date_dd, transaction_dt, transaction_status, patient_age::DOUBLE AS patient_age,
+  days_supply_val::DOUBLE AS days_supply_val, awp_unit_price_amt, {RND('total_paid_amt', 4)} AS total_paid_amt, pharmacy_npi_nbr, reject_reason_1_cd,
+  CASE WHEN {_CRC} % 3 <> 2 THEN reject_reason_1_desc END AS reject_reason_1_desc FROM clean""")
+
 sql("base_features", f"""
 SELECT claim_number, hcp_id, service_date_dd, CAST(month AS INTEGER) AS month, CAST(quarter AS INTEGER) AS quarter,
   CAST(year AS INTEGER) AS year, CAST(day_of_week AS INTEGER) AS day_of_week, age_group,

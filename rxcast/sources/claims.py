@@ -1,7 +1,8 @@
 """Claims sources.
 
-* ``CLAIMS_SCHEMA`` / ``read_claims_csv``: the claims CSV contract (SRC1) with a
-  fixed schema (no inference pass over the data) and lenient parsing.
+* ``CLAIMS_SCHEMA`` / ``read_claims_csv``: the claims CSV contract (SRC1): fixed
+  types (no inference pass over the data), columns matched by name per file,
+  every value cast leniently.
 * ``claims_from_star``: the claims view over the TPC-H-style test tables
   (SRC2). Five equi-joins; Catalyst prunes every column not used downstream
   and pushes filters into the parquet scans.
@@ -9,7 +10,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+import io
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +27,7 @@ CLAIMS_SCHEMA = T.StructType([
     T.StructField("month", T.IntegerType()),
     T.StructField("patient_id", T.StringType()),
     T.StructField("patient_gender", T.StringType()),
-    T.StructField("patient_age", T.IntegerType()),
+    T.StructField("patient_age", T.DoubleType()),
     T.StructField("drug_generic_name", T.StringType()),
     T.StructField("drug_brand_name", T.StringType()),
     T.StructField("type_1_npi", T.DoubleType()),
@@ -55,7 +62,7 @@ CLAIMS_SCHEMA = T.StructType([
     T.StructField("payer_id", T.IntegerType()),
     T.StructField("payer_company_nm", T.StringType()),
     T.StructField("payer_bin_nbr", T.StringType()),
-    T.StructField("days_supply_val", T.IntegerType()),
+    T.StructField("days_supply_val", T.DoubleType()),
     T.StructField("awp_unit_price_amt", T.DoubleType()),
     T.StructField("total_paid_amt", T.DoubleType()),
     T.StructField("patient_to_pay_amt", T.DoubleType()),
@@ -68,30 +75,134 @@ DATE_COLUMNS = ("service_date_dd", "transaction_dt", "date")
 # Columns whose absence means something else than nulls (PRJ3, AGG6, FA11).
 OPTIONAL_COLUMNS = ("type_1_npi", "prescriber_npi_nbr", "clinical_service_line", "reject_reason_1_desc")
 MONEY_COLUMNS = ("awp_unit_price_amt", "total_paid_amt", "patient_to_pay_amt")
+# The texts that pandas reads as a missing value.
+MISSING = ("", " ", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL",
+           "NaN", "None", "n/a", "nan", "null")
+# Date forms beyond ISO, by the shape of the text; the first form that reads it wins (PRJ1).
+DATE_FORMS = ((r"^\d{8}$", ("yyyyMMdd",)),
+              (r"^\d{1,2}/\d{1,2}/\d{4}", ("M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy h:mm a", "M/d/yyyy h:mm:ss a", "d/M/yyyy")),
+              (r"^\d{1,2}/\d{1,2}/\d{2}$", ("M/d/yy",)),
+              (r"^\d{4}/\d{1,2}/\d{1,2}", ("yyyy/M/d", "yyyy/M/d H:mm", "yyyy/M/d H:mm:ss")),
+              (r"^\d{1,2}-\d{1,2}-\d{4}", ("M-d-yyyy", "d-M-yyyy")),
+              (r"^\d{1,2}\.\d{1,2}\.\d{4}", ("M.d.yyyy", "d.M.yyyy")),
+              (r"^\d{1,2}[- ]?[A-Za-z]{3}[- ]?\d{4}$", ("d-MMM-yyyy", "d MMM yyyy", "dMMMyyyy")),
+              (r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", ("d MMMM yyyy",)),
+              (r"^[A-Za-z]{3} \d{1,2},? \d{4}$", ("MMM d, yyyy", "MMM d yyyy")),
+              (r"^[A-Za-z]{4,9} \d{1,2},? \d{4}$", ("MMMM d, yyyy", "MMMM d yyyy")))
+#: Bytes in which a file's header line must end.
+HEADER_BYTES = 1 << 20
 
 
-def read_claims_csv(spark: SparkSession, path: str, schema: T.StructType = CLAIMS_SCHEMA) -> DataFrame:
-    """SRC1: header CSV (a file, a folder or a glob, on any file system),
-    empty field = null, a missing path is Spark's PATH_NOT_FOUND.
+def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, header): the column names of every CSV file under ``path``, read
+    by tasks from the beginning of each file (names are trimmed, a byte order
+    mark goes, a repeated name gets .1, .2 as in pandas). An empty file has no
+    columns. A missing path is Spark's PATH_NOT_FOUND."""
+    files = sorted(spark.read.text(path).inputFiles())
+    slices = max(1, min(len(files) // 16, 4 * spark.sparkContext.defaultParallelism))
 
-    A file with the documented subset of columns reads fine: other columns are
-    null, but those of ``OPTIONAL_COLUMNS`` stay absent, since operators ask
-    for their presence. All files of a path must have the same header; a file
-    with other columns or another order is an error, never read by position.
-    """
-    header = spark.read.option("header", True).csv(path).columns
-    wanted = T.StructType([f for f in schema.fields if f.name in header])
-    extra = [c for c in header if c not in wanted.fieldNames()]
-    read_schema = T.StructType(wanted.fields + [T.StructField(c, T.StringType()) for c in extra])
-    # The CSV reader maps by position, so keep the file's column order.
-    by_name = {f.name: f for f in read_schema.fields}
-    ordered = T.StructType([by_name[c] for c in header])
-    df = (spark.read.schema(ordered).option("header", True).option("mode", "PERMISSIVE")
-          .option("enforceSchema", False).option("emptyValue", None).csv(path))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column("file").to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column("file"), pa.array([_header(f) for f in names], pa.list_(pa.string()))], ["file", "header"])
+
+    listed = spark.createDataFrame([(f,) for f in files], "file string")
+    return listed.repartition(slices).mapInArrow(run, "file string, header array<string>")
+
+
+def _header(uri: str) -> list[str]:
+    """First CSV record of a file on any file system that Arrow knows."""
+    store, name = fs.FileSystem.from_uri(uri)
+    with store.open_input_stream(name) as f:
+        head = f.read(HEADER_BYTES).decode("utf-8-sig", "replace")
+    row = next(csv.reader(io.StringIO(head)), []) if head.strip() else []
+    seen: dict[str, int] = {}
+    out = []
+    for c in (x.strip() for x in row):
+        out.append(f"{c}.{seen[c]}" if c in seen else c)
+        seen[c] = seen.get(c, 0) + 1
+    return out
+
+
+def read_claims_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The CSV files of ``path`` (a file, a folder, a glob or a list) as text
+    columns by name, whatever each file's columns and their order. Files with
+    one and the same header are read together; a column that no file has is
+    not in the result, one that some files lack is null in their rows."""
+    groups = file_headers(spark, path).where(F.size("header") > 0) \
+        .groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()  # the driver lists the files anyway
+    rows = None
+    for header, files in sorted((tuple(r.header), r.files) for r in groups):
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+        part = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
+                .option("enforceSchema", True).csv(files))
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+    return rows if rows is not None else spark.createDataFrame([], T.StructType())
+
+
+def present(c: Column) -> Column:
+    """The trimmed text, null where pandas reads a missing value."""
+    t = F.trim(c)
+    return F.when(~t.isin(*MISSING), t)
+
+
+def tolerant(c: Column, kind: T.DataType) -> Column:
+    """A text as a value of ``kind``; null if it isn't one. Whole numbers may be
+    written as decimals or with an exponent ("30.0", "1.0E9"), as software
+    writes them once a column has a missing value."""
+    t = present(c)
+    if isinstance(kind, (T.IntegerType, T.LongType)):
+        d = t.try_cast("double")
+        whole = F.when((F.floor(d) == d) & (F.abs(d) < F.lit(2.0 ** 53)), d.cast("bigint"))
+        out = F.coalesce(t.try_cast("bigint"), whole)
+        return out if isinstance(kind, T.LongType) else out.try_cast("int")
+    if isinstance(kind, T.DoubleType):
+        return nan_to_null(t.try_cast("double"))
+    return t
+
+
+def parse_date(c: Column) -> Column:
+    """PRJ1: wall-clock time of a date text, null if no form reads it. Two
+    numbers that could be month or day are taken as month first, as pandas
+    does; the day comes first where only that is a date."""
+    t = present(c)
+    # wall-clock (no time zone), independent of the session zone
+    out = t.try_cast("timestamp_ntz")
+    for shape, forms in DATE_FORMS:
+        read = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in forms]).cast("timestamp_ntz")
+        out = F.when(t.rlike(shape), read).otherwise(out)
+    return out
+
+
+def typed_claims(raw: DataFrame, schema: T.StructType = CLAIMS_SCHEMA) -> DataFrame:
+    """Text columns cast to the contract's types, value by value: what can't be
+    read is null (``claims_rejects`` counts it). Columns of the contract that
+    are absent are null, but those of ``OPTIONAL_COLUMNS`` stay absent, since
+    operators ask for their presence; others stay text."""
+    known = {f.name: f.dataType for f in schema.fields}
+    cols = [tolerant(F.col(f"`{c}`"), known.get(c, T.StringType())).alias(c) for c in raw.columns]
+    lost = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in raw.columns and f.name not in OPTIONAL_COLUMNS]
+    return normalise_claims(raw.select(*cols, *lost))
+
+
+def claims_rejects(raw: DataFrame, schema: T.StructType = CLAIMS_SCHEMA) -> DataFrame:
+    """(column, filled, rejected) for each number and date column of ``raw``:
+    texts that are there, and those of them that can't be read."""
+    counts = []
     for f in schema.fields:
-        if f.name not in header and f.name not in OPTIONAL_COLUMNS:
-            df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
-    return normalise_claims(df)
+        if f.name not in raw.columns or (f.dataType == T.StringType() and f.name not in DATE_COLUMNS):
+            continue
+        c = F.col(f"`{f.name}`")
+        value = parse_date(c) if f.name in DATE_COLUMNS else tolerant(c, f.dataType)
+        counts.append(F.struct(F.lit(f.name).alias("column"), F.count(present(c)).alias("filled"),
+                               F.count_if(present(c).isNotNull() & value.isNull()).alias("rejected")))
+    return raw.agg(F.array(*counts).alias("a")).select(F.inline("a"))
+
+
+def read_claims_csv(spark: SparkSession, path: str | list[str], schema: T.StructType = CLAIMS_SCHEMA) -> DataFrame:
+    """SRC1: header CSV on any file system, columns by name and values cast one
+    by one; see ``read_claims_text`` and ``typed_claims``."""
+    return typed_claims(read_claims_text(spark, path), schema)
 
 
 def normalise_claims(df: DataFrame) -> DataFrame:
@@ -100,11 +211,8 @@ def normalise_claims(df: DataFrame) -> DataFrame:
     for c in DATE_COLUMNS:
         if c in df.columns:
             dt = dict(df.dtypes)[c]
-            # wall-clock timestamps (no time zone), independent of the session zone
             if dt == "string":
-                out[c] = F.coalesce(F.try_to_timestamp(F.col(c)),
-                                    F.try_to_timestamp(F.col(c), F.lit("yyyy-MM-dd HH:mm:ss")),
-                                    F.try_to_timestamp(F.col(c), F.lit("MM/dd/yyyy"))).cast("timestamp_ntz")
+                out[c] = parse_date(F.col(c))
             elif dt in ("date", "timestamp"):
                 out[c] = F.col(c).cast("timestamp_ntz")
     for c in MONEY_COLUMNS + ("type_1_npi", "type_2_npi"):
