@@ -14,6 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rxcast.functions.exprs import nan_to_null, normal_quantile
 from rxcast.functions.pvalues import normal_pvalue, t_pvalue
 from rxcast.functions.quantiles import exact_quantiles
 from rxcast.operators.ordered import positions, value_pieces
@@ -317,21 +318,40 @@ def paired_t_pvalue(pred: DataFrame) -> DataFrame:
     return t.withColumn("p_value", t_pvalue(F.col("t_stat"), (F.col("n") - 1).cast("double")))
 
 
-def signed_rank(pred: DataFrame) -> DataFrame:
+#: Pairs up to which the exact law of the signed-rank sum is computed.
+EXACT_PAIRS = 50
+
+
+def exact_signed_rank(n: Column, w: Column) -> Column:
+    """Two-sided p-value of the smaller rank sum ``w`` of n untied pairs: of the
+    2^n equally likely sets of signs, twice the share with a sum of at most w.
+    Sets are counted by sum, one rank after the other: rank k moves the counts
+    of all sums by k. Null above ``EXACT_PAIRS`` pairs (counts stay exact below
+    2^53) and without pairs."""
+    zeros = lambda k: F.array_repeat(F.lit(0.0), k)
+    ways = F.aggregate(F.sequence(F.lit(1), F.least(n, F.lit(EXACT_PAIRS)).cast("int")), F.array(F.lit(1.0)),
+                       lambda c, k: F.zip_with(F.concat(c, zeros(k)), F.concat(zeros(k), c), lambda x, y: x + y))
+    below = F.aggregate(F.slice(ways, F.lit(1), F.floor(w).cast("int") + 1), F.lit(0.0), lambda x, y: x + y)
+    return F.when((n >= 1) & (n <= EXACT_PAIRS), F.least(F.lit(1.0), 2 * below / F.pow(F.lit(2.0), n)))
+
+
+def signed_rank(pred: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """ST2: Wilcoxon signed-rank (zero differences dropped, average ranks for
-    ties, W = min(W+, W-)) with the tie-corrected normal z.
+    ties, W = min(W+, W-)) with the tie-corrected normal z, over all rows or
+    one test per group of ``by``; with ``by`` also ``p_exact``, the exact law's
+    p-value (null above ``EXACT_PAIRS`` pairs or with ties).
 
     Ranks come from the per-distinct-|d| counts and a prefix sum over the
     sorted distinct values (WIN8), cut into pieces whose number follows the
     values."""
     d = (F.col(A) - F.col(P))
-    nz = pred.select(d.alias("d")).filter(F.col("d").isNotNull() & (F.col("d") != 0))
-    per = nz.groupBy(F.abs("d").alias("ad")).agg(
+    nz = pred.select(*by, d.alias("d")).filter(F.col("d").isNotNull() & (F.col("d") != 0))
+    per = nz.groupBy(*by, F.abs("d").alias("ad")).agg(
         F.count(F.lit(1)).alias("t"), F.count_if(F.col("d") > 0).alias("npos"))
-    ranked = positions(value_pieces(per, "ad"), [], [F.col("ad")], F.col("_piece"), {"t": F.col("t")}, pos_col="_p")
+    ranked = positions(value_pieces(per, "ad"), list(by), [F.col("ad")], F.col("_piece"), {"t": F.col("t")}, pos_col="_p")
     # average rank of a tie group = (#smaller) + (t + 1) / 2
     avg_rank = F.col("_cum_t") - F.col("t") + (F.col("t") + 1) / 2.0
-    out = ranked.agg(
+    out = ranked.groupBy(*by).agg(
         F.sum("t").alias("n"),
         F.sum(F.col("npos") * avg_rank).alias("w_plus"),
         F.sum((F.col("t") - F.col("npos")) * avg_rank).alias("w_minus"),
@@ -340,8 +360,14 @@ def signed_rank(pred: DataFrame) -> DataFrame:
     mean = n * (n + 1) / 4
     se = F.sqrt(n * (n + 1) * (2 * n + 1) / 24 - F.col("_tie") / 48)
     w = F.least("w_plus", "w_minus")
-    return out.select("n", "w_plus", "w_minus", w.alias("w_stat"),
-                      F.try_divide(w - mean, se).alias("z"))
+    exact = [F.when(F.col("_tie") == 0, exact_signed_rank(F.col("n"), w)).alias("p_exact")] if by else []
+    return out.select(*by, "n", "w_plus", "w_minus", w.alias("w_stat"),
+                      F.try_divide(w - mean, se).alias("z"), *exact)
+
+
+def signed_rank_by_hcp(pred: DataFrame) -> DataFrame:
+    """ST2 for every HCP over its drugs: few pairs, so the exact law counts."""
+    return signed_rank(pred, ("hcp_id",))
 
 
 def signed_rank_pvalue(pred: DataFrame) -> DataFrame:
@@ -363,3 +389,26 @@ def normality(pred: DataFrame) -> DataFrame:
     jb = F.col("n") / 6.0 * (F.col("skew") ** 2 + F.col("excess_kurtosis") ** 2 / 4.0)
     return out.withColumn("jb_stat", jb).withColumn("p_value", F.exp(-F.col("jb_stat") / 2.0))
 
+
+
+def normal_scores(pred: DataFrame) -> DataFrame:
+    """ST4 by order statistics (Shapiro-Francia): the squared correlation of the
+    sorted residuals with the normal quantiles of their positions, (i - 3/8) /
+    (n + 1/4), over all rows, and the normal z of ln(1 - W') (Royston's fit).
+    Positions come from pieces whose number follows the values; among equal
+    residuals their order doesn't matter. Null under five residuals, or if all
+    are equal."""
+    r = (F.col(P) - F.col(A)).alias("r")
+    res = pred.select(r).where(F.col("r").isNotNull() & ~F.isnan("r"))
+    per = res.groupBy("r").agg(F.count(F.lit(1)).alias("t"))
+    placed = positions(value_pieces(per, "r"), [], [F.col("r")], F.col("_piece"), {"t": F.col("t")}, pos_col="_p")
+    each = placed.select("r", F.explode(F.sequence(F.col("_cum_t") - F.col("t") + 1, F.col("_cum_t"))).alias("i"))
+    total = per.agg(F.sum("t").alias("n"))
+    scored = attach(each, total).select("n", "r", normal_quantile((F.col("i") - 0.375) / (F.col("n") + 0.25)).alias("m"))
+    out = scored.agg(F.count("r").alias("n"), F.corr("r", "m").alias("_c"))
+    n, w = F.col("n").cast("double"), nan_to_null(F.col("_c") * F.col("_c"))
+    u = F.log(n)
+    v = F.log(u)
+    z = (F.log(1 - w) - (-1.2725 + 1.0521 * (v - u))) / (1.0308 - 0.26758 * (v + 2 / u))
+    enough = F.col("n") >= 5
+    return out.select("n", F.when(enough, w).alias("w_stat"), F.when(enough, z).alias("z"))

@@ -9,7 +9,7 @@ so it scales with the number of landed payloads like any other scan.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -180,6 +180,17 @@ def market_source(filings: DataFrame, companies=("Merck", "Bristol-Myers Squibb"
         F.when(F.col("_n") > 0, "sec_filings").otherwise("synthetic").alias("data_source"))
 
 
+def market_sources(companies: DataFrame, filings: DataFrame, company_col: str = "company") -> DataFrame:
+    """EXT8 for every company: its filings and the label of its data, and in a
+    row with a null company the label of them all (any company with filings)."""
+    n = F.coalesce(F.sum("total_found"), F.lit(0))
+    label = F.when(n > 0, "sec_filings").otherwise("synthetic")
+    known = companies.select(company_col).where(F.col(company_col).isNotNull()).distinct()
+    each = known.join(filings, company_col, "left").groupBy(company_col).agg(n.alias("total_found"), label.alias("data_source"))
+    total = each.agg(F.lit(None).cast(each.schema[company_col].dataType).alias(company_col), n.alias("total_found"), label.alias("data_source"))
+    return each.unionByName(total)
+
+
 def hcp_profiles(hcps: DataFrame, raw: DataFrame) -> DataFrame:
     """EXT9: registry record over defaults; the registry's specialty is
     preferred (the reference tested a different key and always overwrote)."""
@@ -208,6 +219,37 @@ def latest_snapshot(raw: DataFrame, key_col: str = "key", ts_col: str = "fetched
     return latest.select(key_col, ts_col, "_r.*").select(*df.columns)
 
 
+def snapshot_asof(requests: DataFrame, snapshots: DataFrame, key_col: str = "key", at_col: str = "requested_at",
+                  ts_col: str = "fetched_at", ttl_hours: float = 24) -> DataFrame:
+    """EXT10 at the time of each request: the rows of ``requests`` with the
+    newest snapshot of their key that isn't later than the request and is
+    younger than the TTL then (null columns if there is none). Equal
+    timestamps are decided by the remaining columns, the largest first.
+
+    A key's time is cut into hours: inside an hour a window looks back from the
+    request, and what came before is the newest snapshot of the hours before,
+    a table of one row per key and hour. So a hot key is spread over its hours,
+    and no request meets all snapshots of its key. A null key finds nothing."""
+    own = [c for c in snapshots.columns if c not in (key_col, ts_col)]
+    hour = lambda c: F.date_trunc("hour", c)
+    snap = F.struct(F.col(ts_col).alias("t"), *[F.col(c) for c in own])
+    asked = requests.select(F.col(key_col).alias("_k"), F.col(at_col).alias("_at"), F.struct(*requests.columns).alias("_req"),
+                            F.lit(None).cast(snapshots.select(snap).schema[0].dataType).alias("_snap"))
+    seen = snapshots.where(F.col(key_col).isNotNull() & F.col(ts_col).isNotNull()).select(
+        F.col(key_col).alias("_k"), F.col(ts_col).alias("_at"), F.lit(None).cast(asked.schema["_req"].dataType).alias("_req"), snap.alias("_snap"))
+    both = asked.unionByName(seen).withColumn("_hour", hour(F.col("_at")))
+    hours = both.groupBy("_k", "_hour").agg(F.max("_snap").alias("_last"))
+    earlier = Window.partitionBy("_k").orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    before = hours.select(F.col("_k").alias("_k2"), F.col("_hour").alias("_hour2"), F.max("_last").over(earlier).alias("_before"))
+    # rows of one time are peers, so a snapshot at the very time of the request counts
+    inside = both.withColumn("_now", F.max("_snap").over(Window.partitionBy("_k", "_hour").orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)))
+    found = inside.where(F.col("_req").isNotNull()).join(before, F.col("_k").eqNullSafe(F.col("_k2")) & F.col("_hour").eqNullSafe(F.col("_hour2")), "left") \
+        .withColumn("_hit", F.coalesce("_now", "_before"))
+    fresh = F.col("_hit.t") > F.col("_at") - F.make_interval(secs=F.lit(float(ttl_hours * 3600)))
+    hit = F.when(fresh & F.col("_k").isNotNull(), F.col("_hit"))
+    return found.select("_req.*", hit.alias("_s")).select(*requests.columns, F.col("_s.t").alias(ts_col), *[F.col(f"_s.{c}").alias(c) for c in own])
+
+
 def valid_answer() -> Column:
     """A 200 answer that parses and carries its source's root key; a label or
     registry answer needs a result as well."""

@@ -7,12 +7,16 @@ key costs one row per task before the shuffle. Two-level aggregates
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rxcast.functions.exprs import clip, flag, nunique_with_null
-from rxcast.operators.clean import AGE_LABELS, ORDER_COLUMNS
+from rxcast.operators.clean import AGE_LABELS, ORDER_COLUMNS, order_struct
 from rxcast.operators.ordered import rolling_windows, split_buckets
+from rxcast.session import materialize
 from rxcast.sources import dims
 
 PAID = "total_paid_amt"
@@ -259,10 +263,30 @@ def hcp_detail_columns(columns: list[str]) -> list[str]:
 
 
 def hcp_details(clean: DataFrame) -> DataFrame:
-    """AGG11: first non-null value per HCP and column in row order (stable
-    ``min_by`` with map-side combine rather than an order-sensitive first)."""
-    from rxcast.operators.clean import order_struct
+    """AGG11: first non-null value per HCP and column in row order.
+
+    One hash aggregate over the claims finds the earliest date of each
+    combination of an HCP's descriptive values (the buffer is one date, nulls
+    last); there are few combinations, and the first value of a column is that
+    of the earliest combination that has one. Only where two values share the
+    earliest date does the rest of the row order decide: the claims of these
+    HCPs on these dates are read again, and of no others."""
     cols = hcp_detail_columns(clean.columns)
-    ordk = order_struct()
-    return clean.groupBy("hcp_id").agg(
-        *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), ordk)).alias(c) for c in cols])
+    date = ORDER_COLUMNS[0]
+    made = materialize(clean.groupBy("hcp_id", *cols).agg(F.min(date).alias("_t")), "hcp-details")
+    when = lambda t: F.struct(t.isNull().alias("late"), t.alias("t"))
+    first = made.groupBy("hcp_id").agg(*[F.min(F.when(F.col(c).isNotNull(), when(F.col("_t")))).alias(f"_f_{c}") for c in cols])
+    here = {c: F.when(when(F.col("_t")) == F.col(f"_f_{c}"), F.col(c)) for c in cols}
+    ends = made.join(first, "hcp_id").groupBy("hcp_id").agg(
+        *[f(x).alias(f"_{n}_{c}") for c, x in here.items() for n, f in (("low", F.min), ("high", F.max))],
+        *[F.first(f"_f_{c}").alias(f"_f_{c}") for c in cols])
+    tied = {c: F.col(f"_low_{c}") != F.col(f"_high_{c}") for c in cols}
+    some = reduce(or_, [F.coalesce(t, F.lit(False)) for t in tied.values()], F.lit(False))
+    if ends.where(some).isEmpty():
+        return ends.select("hcp_id", *[F.col(f"_low_{c}").alias(c) for c in cols])
+    dates = ends.where(some).select("hcp_id", *[F.col(f"_f_{c}") for c in cols])
+    order = order_struct()
+    decided = clean.join(dates, "hcp_id").where(reduce(or_, [when(F.col(date)) == F.col(f"_f_{c}") for c in cols])).groupBy("hcp_id").agg(
+        *[F.min_by(F.col(c), F.when(F.col(c).isNotNull() & (when(F.col(date)) == F.col(f"_f_{c}")), order)).alias(f"_d_{c}") for c in cols])
+    return ends.join(decided, "hcp_id", "left").select(
+        "hcp_id", *[F.when(tied[c], F.col(f"_d_{c}")).otherwise(F.col(f"_low_{c}")).alias(c) for c in cols])

@@ -8,8 +8,10 @@ totals are summed as exact decimals so that rounding is reproducible.
 
 from __future__ import annotations
 
-import itertools
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,15 +76,68 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
+def co_moments(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(i, j, n, gx, gy, cxx, cyy, cxy) for every ordered pair of columns: rows
+    where both have a value, their means, and the central sums of squares and
+    products over them.
+
+    A task holds one matrix of each (its batches are merged by their means) and
+    emits them as rows, tasks x columns^2 in all. Two aggregates over these
+    rows, whatever the number of columns, give the pair's means and then the
+    sums around them, so nothing cancels."""
+    k = len(cols)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, mx, cxx, cxy = (np.zeros((k, k)) for _ in range(4))  # mx[i, j]: mean of i where j is present
+        for batch in batches:
+            x = np.stack([np.asarray(batch.column(i).to_numpy(zero_copy_only=False), np.float64) for i in range(k)], axis=1)
+            ok = ~np.isnan(x)
+            m, x = ok.astype(np.float64), np.where(ok, x, 0.0)
+            shift = x.sum(0) / np.maximum(m.sum(0), 1)
+            x = (x - shift) * m
+            count = m.T @ m
+            safe = np.maximum(count, 1)
+            mean = (x.T @ m) / safe
+            sq, prod = (x * x).T @ m - count * mean ** 2, x.T @ x - count * mean * mean.T
+            mean = mean + shift[:, None]
+            total = n + count
+            gap = mean - mx
+            part = n * count / np.maximum(total, 1)
+            cxx, cxy = cxx + sq + part * gap ** 2, cxy + prod + part * gap * gap.T
+            mx, n = mx + gap * count / np.maximum(total, 1), total
+        i, j = np.divmod(np.arange(k * k), k)
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (i.astype(np.int32), j.astype(np.int32), n.ravel().astype(np.int64), mx.ravel(), mx.T.ravel(),
+                                                                cxx.ravel(), cxx.T.ravel(), cxy.ravel())], ["i", "j", "n", "mx", "my", "cxx", "cyy", "cxy"])
+
+    parts = df.select(*[F.col(f"`{c}`").cast("double").alias(f"_{i}") for i, c in enumerate(cols)]) \
+        .mapInArrow(run, "i int, j int, n long, mx double, my double, cxx double, cyy double, cxy double").where("n > 0")
+    means = parts.groupBy("i", "j").agg((F.sum(F.col("n") * F.col("mx")) / F.sum("n")).alias("gx"), (F.sum(F.col("n") * F.col("my")) / F.sum("n")).alias("gy"))
+    n, x, y = F.col("n"), F.col("mx") - F.col("gx"), F.col("my") - F.col("gy")
+    return parts.join(means, ["i", "j"]).groupBy("i", "j").agg(F.sum("n").alias("n"), F.first("gx").alias("gx"), F.first("gy").alias("gy"), F.sum(F.col("cxx") + n * x * x).alias("cxx"),
+                                                              F.sum(F.col("cyy") + n * y * y).alias("cyy"), F.sum(F.col("cxy") + n * x * y).alias("cxy"))
+
+
+def correlation_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """FA2, PRJ16: the full matrix of pairwise-complete Pearson correlations of
+    all numeric columns as rows (feature_1, feature_2, n, correlation); null
+    where a pair has fewer than two rows or a column is constant."""
+    cols = cols or numeric_columns(df)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "feature_1 string, feature_2 string, n long, correlation double")
+    names = df.sparkSession.createDataFrame(list(enumerate(cols)), "i int, name string")
+    every = names.select("i", F.col("name").alias("feature_1")).crossJoin(names.select(F.col("i").alias("j"), F.col("name").alias("feature_2")))  # column names only
+    # squares about a mean that rounding alone may leave are none: the column is constant there
+    spread = lambda c, mean: F.col(c) > F.col("n") * F.pow(1e-14 * F.col(mean), F.lit(2))
+    r = F.when(spread("cxx", "gx") & spread("cyy", "gy"), F.try_divide(F.col("cxy"), F.sqrt(F.col("cxx")) * F.sqrt(F.col("cyy"))))
+    return every.join(co_moments(df, cols), ["i", "j"], "left").select(
+        "feature_1", "feature_2", F.coalesce("n", F.lit(0)).alias("n"), F.when((F.col("n") > 1) & r.isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(-1.0), r))).alias("correlation"))
+
+
 def correlation_pairs(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Pairwise (pairwise-complete) Pearson correlations of all numeric
-    columns in one aggregate pass, unpivoted to (feature_1, feature_2, r)."""
+    """The pairs above the diagonal of the correlation matrix, in the columns' order."""
     cols = cols or numeric_columns(df)
-    pairs = list(itertools.combinations(cols, 2))
-    one = df.agg(*[nan_null(F.corr(F.col(a).cast("double"), F.col(b).cast("double"))).alias(f"{a}__{b}")
-                   for a, b in pairs])
-    rows = ", ".join(f"'{a}', '{b}', `{a}__{b}`" for a, b in pairs)
-    return one.selectExpr(f"stack({len(pairs)}, {rows}) AS (feature_1, feature_2, correlation)")
+    place = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(c), F.lit(i))])
+    return correlation_matrix(df, cols).where(place[F.col("feature_1")] < place[F.col("feature_2")]).drop("n")
 
 
 def strong_correlations(df: DataFrame, threshold: float = 0.5) -> DataFrame:

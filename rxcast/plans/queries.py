@@ -208,6 +208,8 @@ _eval("signed_rank", ev.signed_rank)
 _eval("signed_rank_pvalue", ev.signed_rank_pvalue)
 _eval("heteroscedasticity", ev.heteroscedasticity)
 _eval("normality", ev.normality)
+_eval("normal_scores", ev.normal_scores)
+_eval("signed_rank_by_hcp", ev.signed_rank_by_hcp, 9)
 _eval("sensitivity", ev.sensitivity)
 
 
@@ -236,6 +238,7 @@ def _prof(name, fn, digits=6):
 _prof("basic_stats", pf.basic_stats, 4)
 _prof("top_categories", pf.top_categories, 9)
 _prof("correlations", pf.strong_correlations, 6)
+_prof("correlation_matrix", pf.correlation_matrix, 6)
 _prof("target_correlations", pf.target_correlations, 6)
 _prof("monthly_quarterly", pf.monthly_quarterly, 4)
 _prof("month_trend", pf.month_trend, 4)
@@ -352,11 +355,10 @@ def q_ext_efficacy_sources(spark, sf_dir):
 
 @query("ext_market_source")
 def q_ext_market_source(spark, sf_dir):
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    found = ex.filings_summary(ex.html_rows(pages, row_tag="ul", cell_tag="li"))
-    first = ex.market_source(found, companies=(0, 1, 2), company_col="page_id").withColumn("asked", F.lit("first pages"))
-    none = ex.market_source(found, companies=(-1,), company_col="page_id").withColumn("asked", F.lit("no page"))
-    return first.unionByName(none)
+    """EXT8 for every host that has pages."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").withColumn("company", F.regexp_extract("url", "^[a-zA-Z]+://([^/?#]*)", 1))
+    found = ex.filings_summary(ex.html_rows(pages, row_tag="ul", cell_tag="li").join(pages.select("page_id", "company"), "page_id"), "company")
+    return ex.market_sources(pages, found)
 
 
 @query("ext_hcp_profiles")
@@ -372,6 +374,15 @@ def q_ext_latest_snapshot(spark, sf_dir):
     return ex.latest_snapshot(snapshots).select("key", "event_type", "event_id")
 
 
+@query("ext_snapshot_asof")
+def q_ext_snapshot_asof(spark, sf_dir):
+    """Every purchase asks for its user's newest view or click of the 24 hours before."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    requests = events.where("event_type = 'purchase'").select(F.col("event_id").alias("request_id"), F.col("user_id").alias("key"), F.col("ts").alias("requested_at"))
+    snapshots = events.where("event_type IN ('view', 'click')").select(F.col("user_id").alias("key"), F.date_trunc("minute", "ts").alias("fetched_at"), "event_type", "event_id")
+    return ex.snapshot_asof(requests, snapshots, ttl_hours=24).select("request_id", "key", "event_type", "event_id")
+
+
 @query("ext_fetch_statistics")
 def q_ext_fetch_statistics(spark, sf_dir):
     return ex.fetch_statistics(raw_responses(spark, sf_dir))

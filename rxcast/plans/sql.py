@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from rxcast.functions.exprs import QUANTILE_FAR, QUANTILE_MIDDLE, QUANTILE_TAIL
 from rxcast.plans.landed import SQL_PRELUDE
 from rxcast.plans.oracle import D, MARKET_EXPR, RND, with_prelude
 from rxcast.sources import dims
@@ -238,6 +239,44 @@ SELECT n, w_plus, w_minus, least(w_plus, w_minus) AS w_stat,
           FROM (SELECT {A} - {P} AS d FROM predictions) WHERE d IS NOT NULL AND d <> 0 GROUP BY abs(d))))""",
    cols=["~n", "w_plus", "w_minus", "w_stat", "z"])
 
+# every set of signs of n ranks, and its sum
+ev("signed_rank_by_hcp", f"""
+SELECT h.*, p_exact FROM (
+  SELECT hcp_id, n, w_plus, w_minus, least(w_plus, w_minus) AS w_stat,
+    (least(w_plus, w_minus) - n * (n + 1) / 4.0) / sqrt(n * (n + 1) * (2 * n + 1) / 24.0 - tie / 48.0) AS z, tie FROM (
+    SELECT hcp_id, CAST(count(*) AS BIGINT) AS n, coalesce(sum(r) FILTER (WHERE d > 0), 0.0) AS w_plus, coalesce(sum(r) FILTER (WHERE d < 0), 0.0) AS w_minus,
+      sum(t * t - 1) AS tie FROM (
+      SELECT hcp_id, d, count(*) OVER (PARTITION BY hcp_id, abs(d)) AS t,
+        rank() OVER (PARTITION BY hcp_id ORDER BY abs(d)) + (count(*) OVER (PARTITION BY hcp_id, abs(d)) - 1) / 2.0 AS r
+      FROM (SELECT hcp_id, {A} - {P} AS d FROM predictions) WHERE d IS NOT NULL AND d <> 0) GROUP BY hcp_id)) h
+LEFT JOIN (SELECT k, w, least(1.0, 2.0 * count(*) / (1 << k)::DOUBLE)::DOUBLE AS p_exact FROM (
+  SELECT k, list_sum(list_transform(range(k), lambda i: CASE WHEN (m >> i) & 1 = 1 THEN i + 1 ELSE 0 END)) AS s FROM (
+    SELECT k, unnest(range(1::BIGINT << k)) AS m FROM range(1, 17) x(k))) sets
+  JOIN (SELECT unnest(range(137)) AS w) v ON s <= w GROUP BY k, w) law
+  ON h.n = law.k AND h.w_stat = law.w AND h.tie = 0""", cols=["~hcp_id", "~n", "w_plus", "w_minus", "w_stat", "z", "p_exact"], digits=9)
+
+
+def _horner(x: str, coefficients) -> str:
+    out = D(coefficients[-1])
+    for c in coefficients[-2::-1]:
+        out = f"({out} * {x} + {D(c)})"
+    return out
+
+
+def _quantile(p: str) -> str:
+    """The normal quantile of a probability in SQL."""
+    ratio = lambda x, pair: f"{_horner(x, pair[0])} / {_horner(x, pair[1])}"
+    r = f"sqrt(-ln(least({p}, 1 - {p})))"
+    return (f"CASE WHEN abs({p} - 0.5) <= 0.425 THEN ({p} - 0.5) * {ratio(f'(0.180625 - ({p} - 0.5) * ({p} - 0.5))', QUANTILE_MIDDLE)} "
+            f"ELSE sign({p} - 0.5) * CASE WHEN {r} <= 5 THEN {ratio(f'({r} - 1.6)', QUANTILE_TAIL)} ELSE {ratio(f'({r} - 5)', QUANTILE_FAR)} END END")
+
+
+ev("normal_scores", f"""
+SELECT n, w AS w_stat, (ln(1 - w) - (-1.2725 + 1.0521 * (ln(ln(n)) - ln(n)))) / (1.0308 - 0.26758 * (ln(ln(n)) + 2 / ln(n))) AS z FROM (
+  SELECT count(*) AS n, corr(r, m) * corr(r, m) AS w FROM (SELECT r, {_quantile('p')} AS m FROM (
+    SELECT r, (row_number() OVER (ORDER BY r) - CAST(0.375 AS DOUBLE)) / (count(*) OVER () + CAST(0.25 AS DOUBLE)) AS p
+    FROM (SELECT {P} - {A} AS r FROM predictions) WHERE r IS NOT NULL)))""", cols=["~n", "w_stat", "z"])
+
 ev("heteroscedasticity", f"""
 SELECT corr({A}, ({P} - {A}) * ({P} - {A})) AS correlation,
   abs(corr({A}, ({P} - {A}) * ({P} - {A}))) > 0.3 AS heteroscedastic FROM predictions""",
@@ -318,6 +357,9 @@ SELECT * FROM (SELECT '{f}' AS feature, {f} AS value, count(*) AS n,
 _PAIRS = [(a, b) for i, a in enumerate(NUM) for b in NUM[i + 1:]]
 _CORR = f"""corrs AS (SELECT * FROM (VALUES {', '.join(f"('{a}', '{b}')" for a, b in _PAIRS)}) v(feature_1, feature_2)
   JOIN (SELECT {', '.join(f"CASE WHEN isnan(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))) THEN NULL ELSE corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) END AS c_{i}" for i, (a, b) in enumerate(_PAIRS))} FROM clean) x ON true)"""
+_CELL = "SELECT '{a}' AS feature_1, '{b}' AS feature_2, count(*) AS n, corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS c FROM clean WHERE {a} IS NOT NULL AND {b} IS NOT NULL"
+ev("correlation_matrix", f"""SELECT feature_1, feature_2, n, {RND('CASE WHEN NOT isnan(c) THEN c END', 6)} AS correlation
+FROM ({' UNION ALL '.join(_CELL.format(a=a, b=b) for a in NUM for b in NUM)})""")
 ev("correlations", f"""
 SELECT feature_1, feature_2, {RND('correlation', 6)} AS correlation,
   CAST(row_number() OVER (ORDER BY abs(correlation) DESC, feature_1, feature_2) AS INTEGER) AS rank FROM (
@@ -613,9 +655,16 @@ SELECT drug_name, CASE WHEN f AND t THEN 'fda+clinicaltrials' WHEN f THEN 'fda'
 FROM (SELECT key AS drug_name, key IN (SELECT key FROM trials) AS t, key IN (SELECT key FROM label) AS f, key IN (SELECT key FROM pubmed) AS m
       FROM (SELECT DISTINCT key FROM p))""")
 SQL["ext_market_source"] = f"""
-WITH found AS ({SQL['html_rows']})
-SELECT CASE WHEN count(*) > 0 THEN 'sec_filings' ELSE 'synthetic' END AS data_source, 'first pages' AS asked FROM found WHERE page_id IN (0, 1, 2)
-UNION ALL SELECT 'synthetic', 'no page'"""
+WITH found AS ({SQL['html_rows']}), hosts AS (SELECT page_id, regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1) AS company FROM pages),
+each AS (SELECT company, count(found.page_id)::BIGINT AS total_found FROM hosts LEFT JOIN found USING (page_id) WHERE company IS NOT NULL GROUP BY company),
+every AS (SELECT * FROM each UNION ALL SELECT NULL, coalesce(sum(total_found), 0)::BIGINT FROM each)
+SELECT company, total_found, CASE WHEN total_found > 0 THEN 'sec_filings' ELSE 'synthetic' END AS data_source FROM every"""
+SQL["ext_snapshot_asof"] = """
+WITH r AS (SELECT event_id AS request_id, user_id AS key, ts FROM events WHERE event_type = 'purchase'),
+s AS (SELECT user_id AS key, date_trunc('minute', ts) AS t, event_type, event_id FROM events WHERE event_type IN ('view', 'click'))
+SELECT request_id, key, event_type, event_id FROM (
+  SELECT r.request_id, r.key, s.event_type, s.event_id, row_number() OVER (PARTITION BY r.request_id ORDER BY s.t DESC NULLS LAST, s.event_type DESC, s.event_id DESC) AS i
+  FROM r LEFT JOIN s ON r.key = s.key AND s.t <= r.ts AND s.t > r.ts - INTERVAL 24 HOUR) WHERE i = 1"""
 SQL["ext_hcp_profiles"] = with_prelude("""
 SELECT c.hcp_id AS npi, CASE WHEN s.s_suppkey IS NULL THEN 'synthetic' ELSE 'npi_registry' END AS data_source, 'Dr ' || s_name AS name,
   CASE WHEN s_suppkey % 3 <> 0 THEN 'class ' || s_nationkey WHEN s_suppkey IS NOT NULL THEN 'Unknown' END AS specialization, 'S' || (s_suppkey % 9) AS state

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from rxcast.functions.pvalues import betainc, normal_two_sided, t_two_sided
@@ -139,3 +140,79 @@ def test_noise_does_not_depend_on_partitioning(spark):
     df, _ = _pred(spark)
     a, b = (sorted(map(tuple, ev.sensitivity(x).collect())) for x in (df, df.repartition(5)))
     assert np.allclose(a, b)
+
+
+def test_exact_signed_rank_equals_enumeration(spark):
+    import itertools
+    from pyspark.sql import functions as F
+    from rxcast.operators.evaluate import exact_signed_rank
+    cases = [(n, w) for n in (0, 1, 2, 5, 9, 12, 50, 51) for w in (0.0, 1.0, 3.0, 7.0, 20.0, 400.0)]
+    df = spark.createDataFrame(cases, "n long, w double")
+    got = {(r.n, r.w): r.p for r in df.select("n", "w", exact_signed_rank(F.col("n"), F.col("w")).alias("p")).collect()}
+    for n, w in cases:
+        if n in (0, 51):
+            assert got[n, w] is None
+        elif n <= 12:
+            sums = [sum(k for k, s in zip(range(1, n + 1), signs) if s) for signs in itertools.product((0, 1), repeat=n)]
+            assert got[n, w] == min(1.0, 2 * sum(x <= w for x in sums) / 2 ** n)
+    assert got[50, 400] == pytest.approx(0.0223, abs=2e-3) and got[50, 0] == 2.0 ** -49
+
+
+def test_signed_rank_by_group_with_ties_zeros_and_nulls(spark):
+    from rxcast.operators.evaluate import signed_rank
+    rows = [("a", 1.0, 0.0), ("a", 0.0, 2.0), ("a", 5.0, 0.0), ("a", 4.0, 4.0), ("b", 1.0, 0.0), ("b", 0.0, 1.0), ("b", 3.0, 0.0), (None, 1.0, 0.0), ("c", None, 1.0)]
+    got = {r.hcp_id: (r.n, r.w_plus, r.w_minus, r.p_exact) for r in signed_rank(spark.createDataFrame(
+        rows, "hcp_id string, Sales_from_db double, Predicted_sales double"), ("hcp_id",)).collect()}
+    assert got["a"] == (3, 4.0, 2.0, 0.75) and got["b"] == (3, 4.5, 1.5, None) and "c" not in got
+
+
+def test_normal_quantile_and_scores(spark):
+    from statistics import NormalDist, correlation
+    from pyspark.sql import functions as F
+    from rxcast.functions.exprs import normal_quantile
+    from rxcast.operators.evaluate import normal_scores
+    ps = [0.0, 1e-300, 1e-12, 1e-5, 0.01, 0.0749, 0.075, 0.3, 0.5, 0.7, 0.925, 0.99, 1 - 1e-9, 1.0]
+    got = [r.q for r in spark.createDataFrame([(p,) for p in ps], "p double").select(normal_quantile(F.col("p")).alias("q")).collect()]
+    assert got[0] is None and got[-1] is None
+    assert all(math.isclose(g, NormalDist().inv_cdf(p), rel_tol=1e-13, abs_tol=1e-15) for p, g in zip(ps[1:-1], got[1:-1]))
+    res = sorted([1.5, -2.0, 0.25, 0.25, 0.25, 9.0, -0.5, 3.0])
+    df = spark.createDataFrame([(0.0, r) for r in res] + [(None, 1.0)], "Sales_from_db double, Predicted_sales double")
+    n = len(res)
+    w = correlation(res, [NormalDist().inv_cdf((i + 1 - 0.375) / (n + 0.25)) for i in range(n)]) ** 2
+    out = normal_scores(df).first()
+    assert out.n == n and math.isclose(out.w_stat, w, rel_tol=1e-12) and out.z > 0
+    assert normal_scores(df.limit(3)).first().w_stat is None
+
+
+def test_correlation_matrix_with_nulls_and_constants(spark):
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"a": rng.normal(1e6, 1, 400), "b": rng.normal(0, 1, 400), "k": 0.1, "e": np.nan})
+    pdf["c"] = pdf.a * 2 + pdf.b
+    pdf.loc[rng.random(400) < 0.3, "b"] = np.nan
+    pdf.loc[3:, "one"] = np.nan
+    pdf.loc[0, "one"] = 5.0
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "a double, b double, k double, e double, c double, one double").repartition(5)
+    got = {(r.feature_1, r.feature_2): (r.n, r.correlation) for r in pf.correlation_matrix(df).collect()}
+    assert len(got) == 36
+    want = pdf.corr()
+    for (x, y), (n, r) in got.items():
+        both = pdf[x].notna() & pdf[y].notna()
+        assert n == both.sum()
+        if r is None:
+            assert n < 2 or "k" in (x, y)
+        else:
+            assert math.isclose(r, want.loc[x, y], rel_tol=1e-7, abs_tol=1e-9)
+    assert got["a", "c"][1] is not None and got["k", "k"] == (400, None) and got["e", "a"] == (0, None)
+    assert pf.correlation_pairs(df, ["c", "a", "b"]).count() == 3 and pf.correlation_matrix(df.select(F.lit("x").alias("s"))).count() == 0
+    assert {r.n for r in pf.correlation_matrix(df.limit(0)).collect()} == {0}
+
+
+def test_quantiles_leave_no_row_expansion_of_the_input(spark):
+    from rxcast.functions.quantiles import exact_quantiles
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"g": rng.integers(0, 3, 5000), "v": rng.integers(0, 40, 5000).astype(float), "w": rng.normal(size=5000)})
+    df = spark.createDataFrame(pdf)
+    qs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    got = {r.g: r for r in exact_quantiles(df, {"v": F.col("v"), "w": F.col("w")}, qs, ("g",)).collect()}
+    for g, part in pdf.groupby("g"):
+        assert np.allclose(got[g].v, part.v.quantile(qs)) and np.allclose(got[g].w, part.w.quantile(qs))

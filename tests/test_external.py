@@ -119,3 +119,28 @@ def test_market_intelligence_json_roundtrip(spark, tmp_path):
     back = spark.read.json(str(tmp_path / "mi")).first()
     assert back.market_data.total_market_size_billion == 35.2
     assert len(back.market_data.drug_shares) == 4
+
+
+def test_snapshot_asof_against_brute_force(spark):
+    import random
+    rng = random.Random(4)
+    at = lambda: T0 + dt.timedelta(minutes=rng.randint(0, 4000))
+    snaps = [(rng.choice(["hot", "hot", "b", "c", None]), at(), rng.choice("xyz"), i) for i in range(300)] + [("tie", T0, "x", 900), ("tie", T0, "y", 901), ("d", None, "x", 902)]
+    reqs = [(i, rng.choice(["hot", "b", "c", "none", None]), at()) for i in range(200)] + [(900, "tie", T0), (901, "tie", T0 + dt.timedelta(hours=24)),
+            (902, "tie", T0 + dt.timedelta(hours=23, minutes=59)), (903, "d", T0), (904, "hot", None)]
+    got = {r.id: (r.kind, r.no) for r in ex.snapshot_asof(
+        spark.createDataFrame(reqs, "id int, key string, requested_at timestamp"),
+        spark.createDataFrame(snaps, "key string, fetched_at timestamp, kind string, no int"), ttl_hours=24).collect()}
+    for i, key, t in reqs:
+        hits = [(s[1], s[2], s[3]) for s in snaps if key is not None and t is not None and s[0] == key and s[1] is not None
+                and s[1] <= t and s[1] > t - dt.timedelta(hours=24)]
+        assert got[i] == (max(hits)[1:] if hits else (None, None)), (i, key, t)
+    assert got[900] == ("y", 901) and got[901] == (None, None) and len(got) == len(reqs)
+
+
+def test_market_sources_of_every_company(spark):
+    companies = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "company string")
+    found = spark.createDataFrame([("a", 2), ("z", 4)], "company string, total_found long")
+    got = {r.company: (r.total_found, r.data_source) for r in ex.market_sources(companies, found).collect()}
+    assert got == {"a": (2, "sec_filings"), "b": (0, "synthetic"), None: (2, "sec_filings")}
+    assert [tuple(r) for r in ex.market_sources(companies.limit(0), found).collect()] == [(None, 0, "synthetic")]

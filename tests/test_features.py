@@ -230,3 +230,17 @@ def test_signed_rank_pieces_do_not_change_the_ranks(spark, monkeypatch):
     whole = ev.signed_rank(df).first()
     monkeypatch.setattr(ordered, "TARGET_ROWS", 128)
     assert ev.signed_rank(df).first() == whole
+
+
+def test_hcp_details_ties_nulls_and_dates(spark):
+    """The first value by the whole row order; two values on one date, no date at all, nulls before values."""
+    rows = [("h1", None, "NY", dt.datetime(2024, 1, 1), "c1"), ("h1", "Zed", None, dt.datetime(2024, 1, 2), "c3"), ("h1", "Amy", "CA", dt.datetime(2024, 1, 2), "c2"),
+            ("h2", "Late", "TX", None, "c0"), ("h2", "Dated", None, dt.datetime(2024, 5, 1), "c9"), ("h3", "B", "NV", None, "c2"), ("h3", "A", "WA", None, "c1"),
+            ("h4", None, None, dt.datetime(2024, 1, 1), "c1"), ("h5", "One", "OR", dt.datetime(2024, 1, 1), "c1"), ("h5", "One", "OR", dt.datetime(2024, 1, 1), "c1")]
+    df = spark.createDataFrame(rows, "hcp_id string, prescriber_npi_nm string, prescriber_npi_state_cd string, service_date_dd timestamp_ntz, claim_number string") \
+        .selectExpr("*", "'b' AS drug_brand_name", "1.0D AS total_paid_amt", "'p' AS patient_id", "1 AS days_supply_val").repartition(4)
+    got = {r.hcp_id: (r.prescriber_npi_nm, r.prescriber_npi_state_cd) for r in fe.hcp_details(df).collect()}
+    assert got == {"h1": ("Amy", "NY"), "h2": ("Dated", "TX"), "h3": ("A", "WA"), "h4": (None, None), "h5": ("One", "OR")}
+    untied = fe.hcp_details(df.where("hcp_id IN ('h2', 'h5')"))
+    plan = untied._jdf.queryExecution().toString()
+    assert untied.count() == 2 and "min_by" not in plan
