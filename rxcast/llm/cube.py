@@ -148,7 +148,8 @@ def balanced_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int
     own, the last. Documents without words balance the document count only;
     a source without words has target 0 and no copies. Rows that repeat an id
     are documents of their own; equal rows are interchangeable. The draw
-    depends on ``seed``, ids and sizes only, so reruns agree. An empty table
+    depends on ``seed``, ids and texts only, so reruns agree; rows without an id
+    are dealt to blocks by their texts. An empty table
     gives an empty result; other columns are ignored."""
     sized = stored(docs.select(docs[id_col].cast("long").alias("id"), docs[source_col].alias("source"),
                                word_count(docs[text_col]).alias("size"), F.xxhash64(docs[text_col]).alias("hash")), "mix-sizes")
@@ -157,7 +158,7 @@ def balanced_mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int
     rows = sized.join(targets, F.col("source").eqNullSafe(F.col("name"))).select(
         "id", "source", "size", "hash", F.crc32(F.encode(F.coalesce("source", F.lit("")), "UTF-8")).alias("place"), "source_size",
         "target", F.floor(share + TINY).cast("long").alias("whole"),
-        F.greatest(F.lit(0.0), share - F.floor(share + TINY)).alias("p"), F.xxhash64(F.lit(seed), "id").alias("order"))
+        F.greatest(F.lit(0.0), share - F.floor(share + TINY)).alias("p"), F.xxhash64(F.lit(seed), "id", "hash").alias("order"))
     open_ = (F.col("p") > TINY) & (F.col("p") < 1 - TINY)
     rows = stored(rows, "mix-0")
     done, level = [rows.where(~open_)], 0
