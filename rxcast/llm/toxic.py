@@ -61,38 +61,43 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return out
 
     for batch in batches:
-        for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-            own: Counter[str] = Counter()
-            for w, n in Counter(words(text)).items():
-                for t in beginnings(w):
-                    own[t] += n
-            for t, n in own.items():
-                c = seen.setdefault(t, [0, 0, 0, 0])
-                c[label] += 1
-                c[2 + label] += n
-            if len(seen) > FLUSH:
-                yield flush()
+        size = np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0), np.int64) + 1
+        for a, b in chunks(size, CHUNK_BYTES):
+            part = batch.slice(a, b - a)
+            for text, label in zip(part.column("text").to_pylist(), part.column("label").to_pylist(), strict=True):
+                own: Counter[str] = Counter()
+                for w, n in Counter(words(text)).items():
+                    for t in beginnings(w):
+                        own[t] += n
+                for t, n in own.items():
+                    c = seen.setdefault(t, [0, 0, 0, 0])
+                    c[label] += 1
+                    c[2 + label] += n
+                if len(seen) > FLUSH:
+                    yield flush()
     yield flush()
 
 
 def segments(at: np.ndarray, score: np.ndarray, cost: float) -> list[tuple[int, int, float]]:
     """All maximal-scoring segments (first token, last token, score) where
     tokens ``at`` score ``score`` and each other token ``-cost``: Ruzzo and
-    Tompa's scan, a stack of candidates with their sums left and right."""
-    stack: list[tuple[int, int, float, float]] = []  # first, last, sum before, sum including
+    Tompa's scan, a stack of candidates with their sums left and right and the
+    place of the last one below with a smaller left sum. The search follows
+    these places, so none is passed twice and the scan is linear."""
+    stack: list[tuple[int, int, float, float, int]] = []  # first, last, sum before, sum including, place
     total, after = 0.0, -1
     for i, s in zip(at.tolist(), score.tolist(), strict=True):
         total -= cost * (i - after - 1) if after >= 0 else 0.0
-        new = (i, i, total, total + s)
-        total, after = total + s, i
-        while True:
-            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][2] < new[2]), None)
-            if k is None or stack[k][3] >= new[3]:
-                break
-            new = (stack[k][0], new[1], stack[k][2], new[3])
+        first, left, right, k = i, total, total + s, len(stack) - 1
+        total, after = right, i
+        while k >= 0 and stack[k][2] >= left:
+            k = stack[k][4]
+        while k >= 0 and stack[k][3] < right:
+            first, _, left, _, below = stack[k]
             del stack[k:]
-        stack.append(new)
-    return [(a, b, r - l) for a, b, l, r in stack]
+            k = below
+        stack.append((first, i, left, right, k))
+    return [(a, b, r - l) for a, b, l, r, _ in stack]
 
 
 def _scanned(lexicon: dict[str, float], cost: float):
@@ -131,7 +136,7 @@ def decay(rates: np.ndarray, scores: np.ndarray, cost: float) -> float:
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, threshold: float = 0.3,
-                    most_labelled: int = 40_000, most_tokens: int = 50_000, id_col: str = "doc_id", text_col: str = "text",
+                    most_labelled: int = 40_000, id_col: str = "doc_id", text_col: str = "text",
                     label_col: str = "toxic") -> DataFrame:
     """(id, held_out, score, predicted, segments) per row of ``docs``;
     ``segments`` lists the passages with positive score (first and last token,
@@ -139,8 +144,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out
 
     Labels count only where CRC-32 of the id as text modulo ``folds`` isn't
     ``held_out``; token counts come from about ``most_labelled`` of them,
-    chosen by hash, and the lexicon keeps the ``most_tokens`` most
-    significant tokens. A null or empty text has no segment and the score of documents
+    chosen by hash. The lexicon holds all of their significant tokens: each is
+    in several of these documents, so that sample bounds it. A null or empty text has no segment and the score of documents
     without evidence; a null id has no label and isn't held out; conflicting
     labels of an id don't count. Rows that repeat an id are scored each.
     Without toxic and clean learning rows every score is 0; an empty table
@@ -170,7 +175,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out
             (F.col("docs1"), n1, both), (F.col("docs0"), n0, both), (n1 - F.col("docs1"), n1, none), (n0 - F.col("docs0"), n0, none))), F.lit(0.0))
         root = F.sqrt(F.greatest(F.lit(0.0), 2 * ratio)) * F.signum(F.col("docs1") * n0 - F.col("docs0") * n1)
         top = counts.select("token", "tokens0", "tokens1", odds.alias("odds"), root.alias("root")) \
-            .where((F.col("root") >= LEAST_ROOT) & (F.col("odds") >= LEAST_ODDS)).orderBy(F.desc("root"), "token").limit(most_tokens).collect()
+            .where((F.col("root") >= LEAST_ROOT) & (F.col("odds") >= LEAST_ODDS)).orderBy(F.desc("root"), "token").collect()
         lexicon = {r["token"]: float(r["odds"]) for r in top}
         whole = [r for r in top if not any(t in lexicon for t in beginnings(r["token"])[1:])]  # others are counted with their beginnings
         rates = np.array([(r["tokens0"] + 0.5) / (t0 + 1) for r in whole])
@@ -187,8 +192,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out
     evidence = F.aggregate(beyond, F.lit(0.0), lambda t, e: t + F.greatest(e, F.lit(0.0)))
     best = F.coalesce(F.array_max(beyond), F.lit(-30.0))
     judged = scanned.withColumn("evidence", F.round(F.when(F.size("segments") == 0, -30.0).when(best > 0, evidence).otherwise(best), 1)) \
-        .withColumn("evidence", F.greatest(F.lit(-30.0), F.least(F.lit(200.0), "evidence")))
-    table = judged.join(known, "id").groupBy("evidence").agg(F.count("*").alias("n"), F.sum("label").alias("hits")) \
+        .withColumn("evidence", F.greatest(F.lit(-30.0), "evidence"))
+    table = judged.join(known, "id").groupBy(F.least(F.lit(200.0), "evidence").alias("evidence")).agg(F.count("*").alias("n"), F.sum("label").alias("hits")) \
         .orderBy("evidence").toPandas()  # 2,301 values at most
     if len(table):
         x = table["evidence"].to_numpy()
@@ -199,7 +204,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             e = b.column("evidence").to_numpy()
-            score = np.clip(0.999 * np.interp(e, x, shares) + 0.001 * (e + 30) / 230, 0, 1) if len(lexicon) else np.zeros(len(e))
+            score = np.clip(0.999 * np.interp(e, x, shares) + 0.001 * (e + 30) / (e + 260), 0, 1) if len(lexicon) else np.zeros(len(e))
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("held_out"), pa.array(score), b.column("segments")],
                                              names=["id", "held_out", "score", "segments"])
 
