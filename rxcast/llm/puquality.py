@@ -1,20 +1,26 @@
 """Quality classifier by positive-unlabelled learning.
 
 Trusted positives are the documents labelled 1 in the learning folds; all
-documents together, labels unseen, are the unlabelled web text; the class
-prior is the share of label 1 among the learning rows. With the squared loss
+documents together, labels unseen, are the unlabelled web text. Rows labelled 0
+play no part. The class prior is estimated from both sets: a first g, of prior
+one half, orders all documents, and no share ``pi`` of positives can exceed
+U(g >= t) / P(g >= t), the ratio of what lies above a cut among all documents
+and among positives; the least ratio over the cuts is the prior. As a g rates
+its own positives too high, each half of them (by a hash of the id) has a g,
+and the positives of one half are counted with the other half's. With the squared loss
 l(z) = (1 - z)^2 / 4 the unbiased risk of a linear g,
 
     prior * E_p[l(g)] + max(0, E_u[l(-g)] - prior * E_p[l(-g)]),
 
 needs only first and second moments of the inputs over positives and over all
 documents: one distributed pass sums them, and the driver minimises on
-matrices whose size the features fix. The unconstrained minimum has a closed
-form; where it drives the second term below zero, corrected gradient steps
-follow (the term is raised again before the risk is lowered further). The
-minimiser estimates 2 P(good) - 1. What is left of its bias is taken out on the
-learning rows of either label: their share of label 1 per hundredth of g, made
-monotone, is the score.
+matrices whose size the features fix. The risk is the larger of two convex
+quadratics (with the second term and without it). Where the minimum of the
+first drives that term below zero, the least risk is the minimum of a mean of
+both, weighted so that the term is zero; the weight is found by bisection. The
+minimiser orders documents; the score is the posterior that follows from the
+same two sets, prior * P(g) / U(g) per hundredth of g, made monotone, as the
+mean over both g.
 
 Inputs are statistics of the whole text (lengths, kinds of characters,
 repetition, lines), each cut at quantiles of the corpus into steps, so g is an
@@ -42,6 +48,10 @@ GROUPS = (b"!", b"?", b"|", b"$%&*#", b".", b",", b":;", b"\"'()[]{}", b"<>=/\\_
 CUTS = (0.02, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.98)
 STATISTICS = 19 + len(GROUPS)
 CHUNK_BYTES, MOMENT_ROWS, RIDGE = 4 << 20, 200_000, 1e-4
+#: Least share of the positives above a cut that the prior is read from.
+KEPT = 0.3
+#: Added ridge per positive, as few positives leave the weights loose.
+SHRINK = 3.0
 _UPPER, _LOWER, _DIGIT = (np.array([chr(c) in s for c in range(256)]) for s in (
     "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"))
 
@@ -86,32 +96,64 @@ def _moments(edges: list[np.ndarray]):
         total = None
         for batch in batches:
             z = steps(batch.column("x").flatten().to_numpy().reshape(-1, STATISTICS), edges)
-            good = batch.column("good").to_numpy(zero_copy_only=False)
-            both = np.stack([z.T @ z, z[good].T @ z[good]])
+            half = batch.column("half").to_numpy()
+            both = np.stack([z.T @ z, *(z[half == h].T @ z[half == h] for h in (0, 1))])
             total = both if total is None else total + both
         if total is not None:
             i, j = np.triu_indices(total.shape[1])
-            yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(total[0, i, j]),
-                                              pa.array(total[1, i, j])], names=["i", "j", "u", "p"])
+            yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), *map(pa.array, total[:, i, j])],
+                                             names=["i", "j", "u", "p0", "p1"])
     return run
 
 
-def minimise(p: np.ndarray, u: np.ndarray, prior: float, rounds: int = 2000) -> np.ndarray:
+def minimise(p: np.ndarray, u: np.ndarray, prior: float, ridge: float = RIDGE) -> np.ndarray:
     """Weights of least non-negative risk from the second moments of positives
     and of all documents; row 0 of a moment matrix is the mean."""
-    pull, ridge = 2 * prior * p[0] - u[0], RIDGE * np.eye(len(u))
-    w = np.linalg.solve(u + ridge, pull)
-    rest = lambda w: ((1 + 2 * u[0] @ w + w @ u @ w) - prior * (1 + 2 * p[0] @ w + w @ p @ w)) / 4
-    risk = lambda w: prior * (1 - 2 * p[0] @ w + w @ p @ w) / 4 + max(0.0, rest(w)) + RIDGE * w @ w / 4
+    def at(share: float) -> np.ndarray:
+        return np.linalg.solve(prior * (1 - share) * p + share * u + ridge * np.eye(len(u)), prior * (1 + share) * p[0] - share * u[0])
+
+    rest = lambda w: (1 + 2 * u[0] @ w + w @ u @ w) - prior * (1 + 2 * p[0] @ w + w @ p @ w)
+    w = at(1.0)
     if rest(w) >= 0:
         return w
-    best, w, rate = np.zeros(len(u)), np.zeros(len(u)), 1 / np.linalg.eigvalsh(u)[-1]
-    for _ in range(rounds):
-        down = ((u[0] + u @ w) - prior * (p[0] + p @ w)) / 2
-        w = w - rate * ((u @ w - pull) / 2 + RIDGE * w / 2 if rest(w) >= 0 else -down)
-        if risk(w) < risk(best):
-            best = w
-    return best
+    low, high = 0.0, 1.0
+    for _ in range(50):
+        mid = (low + high) / 2
+        low, high = (low, mid) if rest(at(mid)) < 0 else (mid, high)
+    return at(low)
+
+
+JUDGED = "id long, key long, half int, g0 double, g1 double"
+
+
+def _judged(edges: list[np.ndarray], weights: list[np.ndarray]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            z = steps(batch.column("x").flatten().to_numpy().reshape(-1, STATISTICS), edges)
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("id", "key", "half")] + [
+                pa.array(np.clip(z @ w, -2, 2)) for w in weights], names=["id", "key", "half", "g0", "g1"])
+    return run
+
+
+def _bins(judged: DataFrame):
+    """Mean g, all documents and positives per hundredth of g (401 rows at
+    most), both g of a document counted but where it was one of its positives."""
+    each = judged.select("half", F.posexplode(F.array("g0", "g1")).alias("of", "g")).where("half is null or half <> of")
+    return each.groupBy(F.floor(F.col("g") * 100).alias("bin")).agg(
+        F.avg("g").alias("g"), F.count("*").alias("u"), F.count("half").alias("p")).orderBy("bin").toPandas()
+
+
+def class_prior(u: np.ndarray, p: np.ndarray) -> float:
+    """Least ratio of the shares of all documents and of positives above a cut;
+    the counts are per bin of g, ascending."""
+    above_u, above_p = (np.cumsum(x[::-1]) / x.sum() for x in (u, p))
+    cuts = above_p >= KEPT
+    return float(np.clip((above_u[cuts] / above_p[cuts]).min(), 0.01, 0.99))
+
+
+def posterior(u: np.ndarray, p: np.ndarray, prior: float) -> np.ndarray:
+    """prior * P / U per bin of g, made monotone, 1 at most."""
+    return np.minimum(1.0, monotone(u, p * (prior * u.sum() / p.sum())))
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, threshold: float = 0.3,
@@ -122,52 +164,46 @@ def quality_scores(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out:
     ``held_out``. ``predicted`` is 1 from ``threshold`` on. A null text is
     empty; an empty one has all statistics 0 and gets a score as well; a null
     id has no label and isn't held out; conflicting labels of an id don't
-    count. Rows that repeat an id are scored each. Without a positive label in
-    the learning folds every score is 1 (nothing is rejected); an empty table
+    count. Rows that repeat an id are scored each. Without positive labels in
+    both halves of the learning folds every score is 1 (nothing is rejected); an empty table
     gives an empty result. Other columns are never read."""
     rows = docs.select(docs[id_col].cast("long").alias("id"), F.xxhash64(docs[text_col]).alias("key"), docs[text_col].alias("text"))
     described = stored(rows.mapInArrow(_described, "id long, key long, x array<double>"), "quality")
-    known = clear_labels(labels, id_col, label_col).where(fold(F.col("id"), folds) != held_out)
-    counts = known.agg(F.count("*"), F.sum("label")).first()
+    good = stored(clear_labels(labels, id_col, label_col).where((F.col("label") == 1) & (fold(F.col("id"), folds) != held_out))
+                  .select("id", F.pmod(F.xxhash64("id"), F.lit(2)).cast("int").alias("half")), "quality-positives")
     mine = F.coalesce(fold(F.col("id"), folds) == held_out, F.lit(False))
-    n = described.count()
-    if not counts[1] or not n:
-        weights, edges = None, []
-    else:
+    n, weights = described.count(), None
+    marked = described.join(good, "id", "left").select("id", "key", "x", "half")
+    if n and not good.isEmpty():
         cuts = described.agg(*[F.percentile_approx(F.get("x", F.lit(i)), list(CUTS), 1000) for i in range(STATISTICS)]).first()
         edges = [np.unique(c) for c in cuts]
-        good = known.where("label = 1").select("id", F.lit(True).alias("good"))
-        marked = described.join(good, "id", "left").select("x", F.coalesce("good", F.lit(False)).alias("good"))
-        sums = marked.coalesce(max(8, -(-n // MOMENT_ROWS))).mapInArrow(_moments(edges), "i int, j int, u double, p double") \
-            .groupBy("i", "j").agg(F.sum("u").alias("u"), F.sum("p").alias("p")).toPandas()  # the size is the features' alone
-        u, p = (np.zeros((int(sums["i"].max()) + 1,) * 2) for _ in range(2))
-        for m, c in ((u, "u"), (p, "p")):
+        schema = "i int, j int, u double, p0 double, p1 double"
+        sums = marked.select("x", F.coalesce("half", F.lit(-1)).alias("half")).coalesce(max(8, -(-n // MOMENT_ROWS))) \
+            .mapInArrow(_moments(edges), schema).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("u", "p0", "p1")]) \
+            .toPandas()  # the size is the features' alone
+        u, *halves = (np.zeros((int(sums["i"].max()) + 1,) * 2) for _ in range(3))
+        for m, c in zip((u, *halves), ("u", "p0", "p1"), strict=True):
             m[sums["i"], sums["j"]] = m[sums["j"], sums["i"]] = sums[c]
-        weights = None if not p[0, 0] else minimise(p / p[0, 0], u / u[0, 0], counts[1] / counts[0])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = batch.column("x").flatten().to_numpy().reshape(-1, STATISTICS)
-            g = np.ones(len(x)) if weights is None else steps(x, edges) @ weights
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("id", "key", "held_out")] + [pa.array(np.clip(g, -2, 2))],
-                                             names=["id", "key", "held_out", "g"])
-
-    judged = described.select("id", "key", mine.alias("held_out"), "x").mapInArrow(run, "id long, key long, held_out boolean, g double")
+        if all(h[0, 0] for h in halves):
+            fit = lambda prior: [minimise(h / h[0, 0], u / u[0, 0], prior, RIDGE + SHRINK / h[0, 0]) for h in halves]
+            first = _bins(marked.mapInArrow(_judged(edges, fit(0.5)), JUDGED))
+            prior = class_prior(first["u"].to_numpy(float), first["p"].to_numpy(float))
+            weights = fit(prior)
     if weights is None:
-        scored = judged.withColumn("score", F.lit(1.0))
+        scored = described.select("id", "key", mine.alias("held_out"), F.lit(1.0).alias("score"))
     else:
-        judged = stored(judged, "quality-g")
-        bins = judged.join(known, "id").groupBy(F.floor(F.col("g") * 100).alias("bin")).agg(
-            F.avg("g").alias("g"), F.count("*").alias("n"), F.sum("label").alias("hits")).orderBy("bin").toPandas()  # 401 bins at most
-        at, shares = bins["g"].to_numpy(), monotone(bins["n"].to_numpy(float), bins["hits"].to_numpy(float))
+        judged = stored(marked.mapInArrow(_judged(edges, weights), JUDGED), "quality-g")
+        bins = _bins(judged)
+        at, shares = bins["g"].to_numpy(), posterior(bins["u"].to_numpy(float), bins["p"].to_numpy(float), prior)
 
-        def calibrate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                g = b.column("g").to_numpy()
-                score = 0.999 * np.interp(g, at, shares) + 0.001 * (g + 2) / 4
-                yield pa.RecordBatch.from_arrays([b.column(c) for c in ("id", "key", "held_out")] + [pa.array(np.clip(score, 0, 1))],
+                value = sum(0.999 * np.interp(g, at, shares) + 0.001 * (g + 2) / 4 for g in (
+                    b.column("g0").to_numpy(), b.column("g1").to_numpy())) / 2
+                yield pa.RecordBatch.from_arrays([b.column(c) for c in ("id", "key", "held_out")] + [pa.array(np.clip(value, 0, 1))],
                                                  names=["id", "key", "held_out", "score"])
 
-        scored = judged.mapInArrow(calibrate, "id long, key long, held_out boolean, score double")
+        scored = judged.select("id", "key", mine.alias("held_out"), "g0", "g1").mapInArrow(
+            score, "id long, key long, held_out boolean, score double")
     return scored.select(F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"),
                          F.col("key").alias("text_hash"))

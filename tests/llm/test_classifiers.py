@@ -1,3 +1,4 @@
+import time
 import zlib
 
 import numpy as np
@@ -6,7 +7,7 @@ from llm_fixtures import SF_CHECK, labels, no_documents, odd_documents  # noqa:
 from pyspark.sql import functions as F
 
 from rxcast.llm.labelled import monotone
-from rxcast.llm.puquality import STATISTICS, minimise, quality_scores, statistics
+from rxcast.llm.puquality import STATISTICS, class_prior, minimise, posterior, quality_scores, statistics
 from rxcast.llm.toxic import beginnings, decay, segments, toxicity_scores
 
 
@@ -106,3 +107,51 @@ def test_parts_of_the_score():
     x = decay(rates, scores, 0.1)
     assert abs((rates * np.exp(x * scores)).sum() + 0.97 * np.exp(-x * 0.1) - 1) < 1e-6
     assert monotone(np.array([2.0, 2, 2, 4]), np.array([0.0, 2, 1, 4])).tolist() == [0, 0.75, 0.75, 1]
+
+
+def test_minimum_of_the_corrected_risk_against_a_direct_search():
+    rng = np.random.default_rng(4)
+    corrected = 0
+    for _ in range(6):
+        x = np.concatenate([np.ones((200, 1)), rng.normal(size=(200, 1))], axis=1)
+        x[:60, 1] += rng.uniform(0, 4)
+        prior = rng.uniform(0.3, 0.95)
+        u, p = x.T @ x / 200, x[:60].T @ x[:60] / 60
+
+        def risk(w, p=p, u=u, prior=prior):
+            e = lambda m, s: (1 + 2 * s * (m[0] @ w) + w @ m @ w) / 4
+            return prior * e(p, -1) + max(0.0, e(u, 1) - prior * e(p, 1)) + 1e-4 * w @ w / 4
+
+        w = minimise(p, u, prior)
+        free = np.linalg.solve(u + 1e-4 * np.eye(2), 2 * prior * p[0] - u[0])
+        corrected += not np.allclose(w, free)
+        grid = min(risk(np.array([a, b])) for a in np.linspace(-2, 2, 161) for b in np.linspace(-2, 2, 161))
+        assert risk(w) <= grid + 1e-6
+    assert corrected >= 1  # the corrected branch was taken
+
+
+def test_prior_and_posterior_of_a_known_mixture():
+    rng = np.random.default_rng(6)
+    good = np.histogram(np.clip(rng.normal(0.6, 0.2, 60_000), -1, 1), 100, (-1, 1))[0]
+    bad = np.histogram(np.clip(rng.normal(-0.4, 0.2, 40_000), -1, 1), 100, (-1, 1))[0]
+    trusted = np.histogram(np.clip(rng.normal(0.6, 0.2, 5_000), -1, 1), 100, (-1, 1))[0]
+    prior = class_prior((good + bad).astype(float), trusted.astype(float))
+    assert abs(prior - 0.6) < 0.03
+    both = (good + bad) > 0
+    got = posterior((good + bad)[both].astype(float), trusted[both].astype(float), prior)
+    assert (np.diff(got) >= 0).all() and got.max() <= 1
+    assert abs(np.average(got, weights=(good + bad)[both]) - 0.6) < 0.05
+
+
+def test_negative_labels_play_no_part_in_quality(spark):
+    docs, known = (spark.read.parquet(f"{SF_CHECK}/{t}.parquet") for t in ("documents", "labels"))
+    a, b = ({r.doc_id: r.score for r in quality_scores(docs, k).collect()} for k in (known, known.where("quality = 1")))
+    assert a == b
+
+
+def test_scan_is_linear_where_every_hit_lies_below_the_last():
+    at = np.arange(200_000) * 1000
+    began = time.monotonic()
+    found = segments(at, np.ones(len(at)), 0.5)
+    assert [f[:2] for f in found[:2]] == [(0, 0), (1000, 1000)] and len(found) == len(at)
+    assert time.monotonic() - began < 20  # hours, if each hit passed all earlier ones
