@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rxcast.functions.markup import scan_pages
 from rxcast.sources import dims
 
 RAW_SCHEMA = T.StructType([
@@ -106,30 +107,16 @@ def parse_pubmed(raw: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- HTML (EXT5)
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
-
-
-def html_text(c: Column) -> Column:
-    """Text of an HTML fragment: tags removed, entities decoded, trimmed."""
-    t = F.regexp_replace(c, r"<[^>]*>", "")
-    for ent, ch in ENTITIES:
-        t = F.replace(t, F.lit(ent), F.lit(ch))
-    return F.trim(t)
-
-
 def html_rows(pages: DataFrame, row_tag: str = "tr", cell_tag: str = "td", max_rows: int = 5,
               body_col: str = "html", key_col: str = "page_id") -> DataFrame:
     """EXT5: the first ``max_rows`` ``row_tag`` elements of each page, cells
-    0 and 3 of rows with at least 4 cells (``filing_type``, ``filing_date``).
-    TOP7 is the per-page ``slice``; the limit is part of the operator."""
-    row_re = rf"(?is)<{row_tag}\b[^>]*>(.*?)</{row_tag}>"
-    cell_re = rf"(?is)<{cell_tag}\b[^>]*>(.*?)</{cell_tag}>"
-    rows = pages.select(F.col(key_col), F.posexplode(F.slice(F.regexp_extract_all(body_col, F.lit(row_re), 1), 1,
-                                                             max_rows)).alias("row_idx", "_row"))
-    cells = rows.withColumn("_cells", F.regexp_extract_all("_row", F.lit(cell_re), 1))
-    return (cells.filter(F.size("_cells") >= 4)
-            .select(key_col, "row_idx", html_text(F.col("_cells")[0]).alias("filing_type"),
-                    html_text(F.col("_cells")[3]).alias("filing_date")))
+    0 and 3 of rows with at least 4 cells (``filing_type``, ``filing_date``),
+    by a scan over the tags (``functions.markup``) that ends with the last
+    wanted row. TOP7 is that limit; it is part of the operator."""
+    key = pages.schema[key_col].dataType.simpleString()
+    found = pages.select(F.col(key_col), F.col(body_col)).mapInArrow(
+        scan_pages(row_tag, cell_tag, max_rows, (0, 3), key_col), f"`{key_col}` {key}, row_idx int, cell_0 string, cell_3 string")
+    return found.withColumnsRenamed({"cell_0": "filing_type", "cell_3": "filing_date"})
 
 
 def filings_summary(parsed_rows: DataFrame, key_col: str = "page_id") -> DataFrame:

@@ -211,6 +211,30 @@ def hcp_drug_pivot(df: DataFrame, drugs: list[str] | None = None, hcp_col: str =
     return p.select(hcp_col, *[F.round(F.col(c), 2).alias(c) for c in p.columns if c != hcp_col])
 
 
+def brand_dictionary(df: DataFrame) -> DataFrame:
+    """FA16 columns as a table: (drug_brand_name, position), positions from 0
+    by name. The window runs over one row per brand."""
+    brands = df.select("drug_brand_name").where(F.col("drug_brand_name").isNotNull()).distinct()
+    return brands.withColumn("position", F.row_number().over(Window.orderBy("drug_brand_name")) - 1)
+
+
+def hcp_drug_matrix(df: DataFrame, brands: DataFrame, hcp_col: str = "hcp_id") -> DataFrame:
+    """FA16 for any number of brands: (hcp, paid), one array per HCP with the
+    paid amount at each brand's position in ``brands`` (null: no claim). The
+    brands stay a table; nothing is listed by the driver."""
+    sums = (df.where(F.col(hcp_col).isNotNull() & F.col("drug_brand_name").isNotNull())
+            .groupBy(hcp_col, "drug_brand_name").agg(F.round(money_sum(PAID), 2).alias("paid")))
+    found = sums.join(brands, "drug_brand_name").groupBy(hcp_col).agg(
+        F.sort_array(F.collect_list(F.struct("position", "paid"))).alias("cells"))  # a cell per brand of the HCP at most
+    n = brands.agg((F.max("position") + 1).alias("n"))  # one row
+    none = F.lit(None).cast("double")
+    runs = F.transform("cells", lambda c, i: F.concat(
+        F.array_repeat(none, (c["position"] - F.coalesce(F.get("cells", i - 1)["position"], F.lit(-1)) - 1).cast("int")),
+        F.array(c["paid"].cast("double"))))
+    tail = F.array_repeat(none, (F.col("n") - 1 - F.element_at("cells", -1)["position"]).cast("int"))
+    return found.join(F.broadcast(n), how="inner", on=F.lit(True)).select(hcp_col, F.concat(F.flatten(runs), tail).alias("paid"))
+
+
 def hcp_hhi(df: DataFrame, hcp_col: str = "hcp_id") -> DataFrame:
     """FA17: drug concentration (HHI) of each HCP with positive sales,
     two-level aggregate (HCP x drug, then HCP)."""

@@ -396,6 +396,14 @@ def q_hcp_drug_sales(spark, sf_dir):
     return wide.unpivot(["hcp_id"], brands, "drug_brand_name", "paid").where(F.col("paid").isNotNull())
 
 
+@query("hcp_drug_matrix")
+def q_hcp_drug_matrix(spark, sf_dir):
+    """FA16 from the arrays: every cell of the crosstab, empty ones included."""
+    brands = pf.brand_dictionary(clean(spark, sf_dir))
+    cells = pf.hcp_drug_matrix(clean(spark, sf_dir), brands).select("hcp_id", F.posexplode("paid").alias("position", "paid"))
+    return cells.join(brands, "position").select("hcp_id", "position", "drug_brand_name", "paid")
+
+
 # ---------------------------------------------------------------- learned (rows-only)
 @query("mult_temporal")
 def q_mult_temporal(spark, sf_dir):

@@ -683,6 +683,14 @@ sql("hcp_drug_sales", """
 SELECT hcp_id, drug_brand_name, CAST(CAST(round(sum(CAST(total_paid_amt AS DECIMAL(38, 6))), 2) AS VARCHAR) AS DOUBLE) AS paid FROM clean
 WHERE hcp_id IS NOT NULL AND drug_brand_name IS NOT NULL AND total_paid_amt IS NOT NULL GROUP BY ALL""")
 
+sql("hcp_drug_matrix", """
+SELECT * FROM (WITH sales AS (SELECT hcp_id, drug_brand_name, CAST(CAST(round(sum(CAST(total_paid_amt AS DECIMAL(38, 6))), 2) AS VARCHAR) AS DOUBLE) AS paid FROM clean
+  WHERE hcp_id IS NOT NULL AND drug_brand_name IS NOT NULL GROUP BY ALL),
+brands AS (SELECT drug_brand_name, CAST(row_number() OVER (ORDER BY drug_brand_name) - 1 AS INTEGER) AS position
+  FROM (SELECT DISTINCT drug_brand_name FROM clean WHERE drug_brand_name IS NOT NULL))
+SELECT h.hcp_id, b.position, b.drug_brand_name, s.paid FROM (SELECT DISTINCT hcp_id FROM sales) h CROSS JOIN brands b
+LEFT JOIN sales s ON s.hcp_id = h.hcp_id AND s.drug_brand_name = b.drug_brand_name)""")
+
 # The fitted component has no SQL form; the prediction without it has.
 SQL["predictions_five_factor"] = SQL.pop("predictions")
 

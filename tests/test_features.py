@@ -13,6 +13,7 @@ from conftest import SF_SMALL, claims_rows
 from rxcast.operators import clean as cl
 from rxcast.operators import features as fe
 from rxcast.operators import multipliers as mu
+from rxcast.operators import profile as pf
 from rxcast.operators.ordered import day_bucket, positions, rolling_rows
 from rxcast.sources import dims
 from rxcast.sources.claims import claims_from_star
@@ -244,3 +245,16 @@ def test_hcp_details_ties_nulls_and_dates(spark):
     untied = fe.hcp_details(df.where("hcp_id IN ('h2', 'h5')"))
     plan = untied._jdf.queryExecution().toString()
     assert untied.count() == 2 and "min_by" not in plan
+
+
+def test_crosstab_of_many_brands_keeps_them_in_a_table(spark):
+    n = 100_000
+    claims = spark.range(n + 1).select(
+        F.when(F.col("id") < 4, F.lit("h1")).when(F.col("id") < n, F.lit("h2")).alias("hcp_id"),
+        F.when(F.col("id") == 3, F.lit("b0000000")).when(F.col("id") < n, F.format_string("b%07d", "id")).alias("drug_brand_name"),
+        F.when(F.col("id") != 1, F.col("id") / 4).alias("total_paid_amt"))
+    brands = pf.brand_dictionary(claims)
+    rows = {r.hcp_id: r.paid for r in pf.hcp_drug_matrix(claims, brands).collect()}
+    assert set(rows) == {"h1", "h2"} and brands.count() == n - 1
+    assert rows["h1"] == [0.75, None, 0.5] + [None] * (n - 4)
+    assert rows["h2"] == [None] * 3 + [i / 4 for i in range(4, n)]
