@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rxcast.functions.exprs import clip, flag, nunique_with_null
+from rxcast.operators import ordered
 from rxcast.operators.clean import AGE_LABELS, ORDER_COLUMNS, order_struct
 from rxcast.operators.ordered import rolling_windows, split_buckets
 from rxcast.session import materialize
@@ -126,19 +127,25 @@ def specialization_aggs(columns: list[str]) -> list[Column]:
             (F.count_distinct("clinical_service_line") if has_csl else F.lit(1)).alias("clinical_complexity")]
 
 
-def hcp_specialization(clean: DataFrame, registry: DataFrame | None = None,
-                       summary: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
+def hcp_specialization(clean: DataFrame, registry: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
     """AGG6 + AGG7 + JN3. ``registry`` (hcp_id, specialization) optionally
-    overrides the hashed class with a looked-up one. ``summary`` (from
-    ``hcp_summary``) and ``pairs`` (``pair_counts``) reuse aggregates that
-    are already computed."""
+    overrides the hashed class with a looked-up one. ``pairs``
+    (``pair_counts``) reuses an aggregate that is already computed."""
     pairs = pairs if pairs is not None else pair_counts(clean)
     drug_stats = _drug_key_filter(pairs).groupBy("hcp_id").agg(
         F.count(F.lit(1)).alias("drug_diversity"),
         F.try_divide(F.max("_n"), F.sum("_n")).alias("primary_drug_share"))
-    base = (summary.select("hcp_id", "state", "clinical_complexity") if summary is not None
-            else clean.groupBy("hcp_id").agg(*specialization_aggs(clean.columns)))
+    base = clean.groupBy("hcp_id").agg(*specialization_aggs(clean.columns))
     out = base.join(drug_stats, "hcp_id", "left")
+    return specialized(out, registry).select(
+        "hcp_id", "state", "specialization", "specialization_weight", "patient_volume",
+        F.coalesce("drug_diversity", F.lit(0)).cast("long").alias("drug_diversity"),
+        F.coalesce("primary_drug_share", F.lit(0.0)).alias("primary_drug_share"),
+        F.col("clinical_complexity").cast("long").alias("clinical_complexity"))
+
+
+def specialized(hcps: DataFrame, registry: DataFrame | None = None) -> DataFrame:
+    """JN3: ``hcps`` with their specialization, its weight and patient volume."""
     cls = spec_class(F.col("hcp_id"))
     if registry is not None:
         cls_of = None
@@ -147,16 +154,9 @@ def hcp_specialization(clean: DataFrame, registry: DataFrame | None = None,
             cls_of = F.when(hit, F.lit(i)) if cls_of is None else cls_of.when(hit, F.lit(i))
         # one class per HCP, whatever the registry repeats; unknown names keep the hashed class
         reg = registry.groupBy("hcp_id").agg(F.min(cls_of).alias("_reg_cls"))
-        out = out.join(reg, "hcp_id", "left")
+        hcps = hcps.join(reg, "hcp_id", "left")
         cls = F.coalesce(F.col("_reg_cls"), cls)
-    sc = spec_columns(cls)
-    return out.select(
-        "hcp_id", "state", sc["specialization"].alias("specialization"),
-        sc["specialization_weight"].alias("specialization_weight"),
-        sc["patient_volume"].alias("patient_volume"),
-        F.coalesce("drug_diversity", F.lit(0)).cast("long").alias("drug_diversity"),
-        F.coalesce("primary_drug_share", F.lit(0.0)).alias("primary_drug_share"),
-        F.col("clinical_complexity").cast("long").alias("clinical_complexity"))
+    return hcps.withColumns(spec_columns(cls)).drop("_reg_cls")
 
 
 def affinity(clean: DataFrame, spec: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
@@ -201,35 +201,29 @@ def hcp_transaction(base: DataFrame) -> DataFrame:
     return base.groupBy("hcp_id").agg(*transaction_aggs(F.col("copay_ratio")))
 
 
-def hcp_summary(clean: DataFrame) -> DataFrame:
-    """The per-HCP aggregates of the prediction in ONE scan and ONE shuffle
-    on hcp_id: AGG9 (transaction mix), MUL6 (payer score mean), AGG7 (modal
-    state) and AGG6's distinct service lines. At scale every separate
-    per-HCP aggregate would be another full scan of the cleaned claims."""
-    from rxcast.functions.exprs import finite_or
-    from rxcast.operators.multipliers import payer_score_expr
-    copay = finite_or(F.try_divide(F.col("patient_to_pay_amt"), F.col(PAID) + 1), 0.0)
-    return clean.groupBy("hcp_id").agg(*transaction_aggs(copay), F.avg(payer_score_expr()).alias("_payer_score"),
-                                       *specialization_aggs(clean.columns))
-
-
 # -------------------------------------------------- WIN1/2/4, AGG12-AGG15
-def claim_rolling(clean: DataFrame, windows=(7, 30, 90), keep: tuple[str, ...] = ()) -> DataFrame:
+def claim_rolling(clean: DataFrame, windows=(7, 30, 90), keep: tuple[str, ...] = (), sizes: DataFrame | None = None) -> DataFrame:
     """Per-claim rolling sums/means over the last n rows of the same HCP x
     drug in date order (WIN1, WIN2), the claim's position in its HCP as
     ``row_idx`` (WIN4) and the columns ``keep``. Null-drug rows get null
     rolling values (pandas transform). The claims are shuffled once; an HCP
-    above ``ordered.TARGET_ROWS`` is cut into pieces of its order."""
+    above ``ordered.TARGET_ROWS`` is cut into pieces of its order. ``sizes``
+    (hcp_id, _n: claims per HCP, if they are known) saves the pass that looks
+    for such HCPs, and, where there are none, those over their pieces."""
     cols = dict.fromkeys(["hcp_id", "drug_brand_name", *ORDER_COLUMNS, PAID, *keep])
-    pieces = split_buckets(clean.select(*cols), ["hcp_id"], "service_date_dd", "claim_number", days=None)
-    r = rolling_windows(pieces, ["hcp_id"], ["drug_brand_name"], ORDER_COLUMNS, PAID, list(windows), "row_idx")
+    whole = sizes is not None and sizes.where(F.col("_n") > ordered.TARGET_ROWS).isEmpty()
+    claims = clean.select(*cols)
+    pieces = claims.withColumn("_piece", F.lit(0).cast("long")) if whole \
+        else split_buckets(claims, ["hcp_id"], "service_date_dd", "claim_number", days=None, sizes=sizes)
+    r = rolling_windows(pieces, ["hcp_id"], ["drug_brand_name"], ORDER_COLUMNS, PAID, list(windows), "row_idx", cut=not whole)
     return r.select(*dict.fromkeys(["hcp_id", "drug_brand_name", "row_idx", PAID, *keep]),
                     *[f"rolling_{x}_{n}" for n in windows for x in ("sum", "avg")])
 
 
-def hcp_rolling(clean: DataFrame) -> DataFrame:
-    """Rolling-sales features per HCP (AGG12-AGG15)."""
-    r = claim_rolling(clean, windows=(30, 90))
+def hcp_rolling(clean: DataFrame, sizes: DataFrame | None = None, seasons: DataFrame | None = None) -> DataFrame:
+    """Rolling-sales features per HCP (AGG12-AGG15). ``sizes`` as in
+    ``claim_rolling``; ``seasons`` is ``seasonality`` if it is known."""
+    r = claim_rolling(clean, windows=(30, 90), sizes=sizes)
     y = F.coalesce(F.col("rolling_sum_30"), F.lit(0.0))
     x = F.col("row_idx").cast("double")
     n = F.count(F.lit(1))
@@ -240,7 +234,7 @@ def hcp_rolling(clean: DataFrame) -> DataFrame:
         F.stddev_samp(PAID).alias("sales_volatility"),
         F.when((n < 2) | (first == 0), F.lit(0.0)).otherwise((last - first) / first).alias("growth_rate_90d"),
     )
-    return feats.join(seasonality(clean), "hcp_id", "left")
+    return feats.join(seasons if seasons is not None else seasonality(clean), "hcp_id", "left")
 
 
 def seasonality(clean: DataFrame) -> DataFrame:
@@ -272,8 +266,14 @@ def hcp_details(clean: DataFrame) -> DataFrame:
     earliest date does the rest of the row order decide: the claims of these
     HCPs on these dates are read again, and of no others."""
     cols = hcp_detail_columns(clean.columns)
-    date = ORDER_COLUMNS[0]
-    made = materialize(clean.groupBy("hcp_id", *cols).agg(F.min(date).alias("_t")), "hcp-details")
+    made = clean.groupBy("hcp_id", *cols).agg(F.min(ORDER_COLUMNS[0]).alias("_t"))
+    return first_values(clean, materialize(made, "hcp-details"))
+
+
+def first_values(clean: DataFrame, made: DataFrame) -> DataFrame:
+    """``hcp_details`` from ``made``: the earliest date ``_t`` of each
+    combination of an HCP's descriptive values, a table that is at hand."""
+    cols, date = hcp_detail_columns(clean.columns), ORDER_COLUMNS[0]
     when = lambda t: F.struct(t.isNull().alias("late"), t.alias("t"))
     first = made.groupBy("hcp_id").agg(*[F.min(F.when(F.col(c).isNotNull(), when(F.col("_t")))).alias(f"_f_{c}") for c in cols])
     here = {c: F.when(when(F.col("_t")) == F.col(f"_f_{c}"), F.col(c)) for c in cols}

@@ -43,7 +43,7 @@ def _every_nth(sample: Column) -> Column:
 
 
 def split_buckets(df: DataFrame, group: list[str], ts_col: str, tie_col: str, days: int | None = 32,
-                  target: int | None = None) -> DataFrame:
+                  target: int | None = None, sizes: DataFrame | None = None) -> DataFrame:
     """Add ``_piece``: non-decreasing along (``ts_col``, ``tie_col``), nulls
     last, inside each group, with about ``target`` rows at most.
 
@@ -53,13 +53,16 @@ def split_buckets(df: DataFrame, group: list[str], ts_col: str, tie_col: str, da
     only: they come from a sample of its rows, chosen by a hash of the order
     key, so every run and layout cuts at the same places. Rows without a date
     are a piece like any other; only rows with one and the same order key stay
-    together."""
+    together. With ``days=None``, ``sizes`` (group, _n: rows per group, if they
+    are known) saves the count."""
     target = target or TARGET_ROWS
     at = F.concat(F.coalesce(F.date_format(ts_col, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("~")),
                   F.coalesce(F.col(tie_col).cast("string"), F.lit("\U0010ffff")))
     b = df.withColumn("_bkt0", (F.lit(0) if days is None else day_bucket(ts_col, days)).cast("long"))
     keys = [*group, "_bkt0"]
-    big = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > target) \
+    counts = b.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if sizes is None or days is not None \
+        else sizes.withColumn("_bkt0", F.lit(0).cast("long"))
+    big = counts.where(F.col("_n") > target) \
         .select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)], "_n")
     same = None
     for i, k in enumerate(keys):
@@ -150,7 +153,7 @@ def positions(df: DataFrame, group: list[str], order: list[Column], bucket: Colu
 
 
 def rolling_windows(df: DataFrame, outer: list[str], inner: list[str], order: list[str], value: str, windows: list[int],
-                    pos_col: str | None = None) -> DataFrame:
+                    pos_col: str | None = None, cut: bool = True) -> DataFrame:
     """pandas ``groupby(outer + inner)[value].rolling(n, min_periods=1)`` over
     rows: the columns of ``df`` less ``_piece`` with ``rolling_sum_{n}`` and
     ``rolling_avg_{n}`` for each n (sum and mean of the non-null values among
@@ -163,15 +166,15 @@ def rolling_windows(df: DataFrame, outer: list[str], inner: list[str], order: li
     the largest window looks back, which count as rows before its own and are
     dropped again. Only groups of more than one piece have such rows. So the
     rows are shuffled once, none is emitted twice, and all frames share one
-    sort. Sums are exact decimals."""
+    sort. Sums are exact decimals. ``cut=False`` says that every group is one
+    piece, so nothing is counted or carried over."""
     df, keys, null_key = non_null_keys(df, inner)
     back = max(windows) - 1
     ascending = [F.col(c).asc_nulls_last() for c in order]
-    totals = df.groupBy(*outer, "_piece").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*outer).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*outer, "_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    rows = df.withColumn("_before", F.lit(False)).unionByName(
-        _rows_before(df, outer, keys, order, ascending, value, back, totals).withColumn("_before", F.lit(True)), allowMissingColumns=True)
+    if not cut:
+        rows, offsets = df.withColumns({"_before": F.lit(False), "_off": F.lit(0).cast("long")}), None
+    else:
+        rows, offsets = _with_rows_before(df, outer, keys, order, ascending, value, back)
 
     in_piece = Window.partitionBy(*outer, "_piece").orderBy(*ascending)
     in_group = Window.partitionBy(*outer, "_piece", *keys).orderBy(*ascending)
@@ -180,7 +183,9 @@ def rolling_windows(df: DataFrame, outer: list[str], inner: list[str], order: li
     local = rows.withColumn("_row", F.sum(F.when(F.col("_before"), 0).otherwise(1)).over(upto(in_piece)))
     local = local.withColumns({"_s": F.sum(F.coalesce(v.cast(EXACT), F.lit(0).cast(EXACT))).over(upto(in_group)), "_k": F.count(v).over(upto(in_group))})
     lags = {f"{c}{n}": F.lag(c, n).over(in_group) for n in windows for c in ("_s", "_k")}
-    out = local.withColumns(lags).where(~F.col("_before")).join(offsets, [*outer, "_piece"])
+    out = local.withColumns(lags).where(~F.col("_before"))
+    if offsets is not None:
+        out = out.join(offsets, [*outer, "_piece"])
     cols = {} if pos_col is None else {pos_col: (F.col("_off") + F.col("_row") - 1).cast("long")}
     for n in windows:
         s = (F.col("_s") - F.coalesce(F.col(f"_s{n}"), F.lit(0).cast(EXACT))).cast("double")
@@ -190,6 +195,17 @@ def rolling_windows(df: DataFrame, outer: list[str], inner: list[str], order: li
     return out.withColumns(cols).drop("_piece", "_before", "_row", "_off", "_s", "_k", *lags, *[k for k in keys if k not in inner])
 
 
+def _with_rows_before(df: DataFrame, outer: list[str], keys: list[str], order: list[str], ascending: list[Column], value: str,
+                      back: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with those that each piece carries over, and each piece's offset."""
+    totals = df.groupBy(*outer, "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*outer).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*outer, "_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    rows = df.withColumn("_before", F.lit(False)).unionByName(
+        _rows_before(df, outer, keys, order, ascending, value, back, totals).withColumn("_before", F.lit(True)), allowMissingColumns=True)
+    return rows, offsets
+
+
 def _rows_before(df: DataFrame, outer: list[str], keys: list[str], order: list[str], ascending: list[Column], value: str, back: int,
                  totals: DataFrame) -> DataFrame:
     """(outer, keys, _piece, order, value): for each group and piece, the last

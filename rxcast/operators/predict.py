@@ -9,23 +9,15 @@ from pyspark.sql import functions as F
 
 from rxcast.operators import features as fe
 from rxcast.operators import multipliers as mu
-from rxcast.operators.clean import base_features, company_expr
+from rxcast.operators import partials as pt
+from rxcast.operators.clean import company_expr
+from rxcast.session import materialize, release
 
 # Exponents of the six components in the combined multiplier.
 WEIGHTS = {"temporal_multiplier": 1.0, "market_multiplier": 0.5, "affinity": 0.5,
            "transaction_multiplier": 0.33, "rolling_multiplier": 0.33, "payer_multiplier": 0.33}
 
 
-def drug_groups(clean: DataFrame) -> DataFrame:
-    """AGG10 with null keys kept: exact sales sum and claim count per
-    HCP x generic x brand. The prediction uses the fully keyed groups; the
-    per HCP x brand claim counts (null brand included) are rolled up from
-    the same aggregate instead of another scan."""
-    return (clean.groupBy("hcp_id", "drug_generic_name", "drug_brand_name")
-            .agg(F.sum(F.col("total_paid_amt").cast("decimal(38,6)")).alias("_sales"),
-                 F.count(F.lit(1)).alias("_qty")))
-
-
 @dataclass
 class Components:
     """The keyed tables the prediction joins against (MUL8)."""
@@ -35,26 +27,36 @@ class Components:
     transaction: DataFrame
     rolling: DataFrame
     payer: DataFrame
+    details: DataFrame
+    kept: tuple[DataFrame, ...] = ()
+
+    def release(self) -> None:
+        """Give back the intermediates, once what reads them is stored."""
+        for df in self.kept:
+            release(df)
 
 
 def train_components(clean: DataFrame, learned: bool = False, registry: DataFrame | None = None) -> Components:
     """MUL8: build every component from the cleaned claims. With
-    ``learned=False`` the temporal component is the neutral 1.0."""
-    temporal = None
-    if learned:
-        base = base_features(clean)
-        temporal = mu.temporal_multiplier(fe.hcp_temporal(base), fe.target_multiplier(clean))
-    summary = fe.hcp_summary(clean)            # one scan + one shuffle for all per-HCP aggregates
-    groups = drug_groups(clean)                # HCP x generic x brand, null keys kept
+    ``learned=False`` the temporal component is the neutral 1.0. The claims
+    are read for the partial states, the distinct keys and the row windows."""
+    states = materialize(pt.claim_states(clean), "claim-states")
+    distinct = materialize(pt.distinct_keys(clean, patients=learned), "distinct-keys")
+    temporal = mu.temporal_multiplier(pt.hcp_temporal(states, distinct.select("hcp_id", "patient_count")),
+                                      pt.target_multiplier(states)) if learned else None
+    summary = pt.transaction_mix(states).join(distinct, "hcp_id")
+    groups = pt.drug_groups(states)
     pairs = groups.groupBy("hcp_id", "drug_brand_name").agg(F.sum("_qty").alias("_n"))
-    spec = fe.hcp_specialization(clean, registry, summary=summary, pairs=pairs)
+    spec = fe.specialized(distinct.select("hcp_id"), registry)
     return Components(
+        kept=(states, distinct),
         groups=groups,
         temporal=temporal,
         affinity=fe.affinity(clean, spec, pairs).select("hcp_id", "drug_brand_name", "affinity"),
         transaction=mu.transaction_multiplier(summary),
-        rolling=mu.rolling_multiplier(fe.hcp_rolling(clean)),
+        rolling=mu.rolling_multiplier(fe.hcp_rolling(clean, pt.group_sizes(states), pt.seasonality(states))),
         payer=summary.select("hcp_id", mu.payer_from_mean_score(F.col("_payer_score")).alias("payer_multiplier")),
+        details=fe.first_values(clean, pt.value_dates(states, fe.hcp_detail_columns(clean.columns))),
     )
 
 
@@ -81,7 +83,7 @@ def predict(clean: DataFrame, comp: Components | None = None, learned: bool = Fa
     for c, w in WEIGHTS.items():
         term = F.pow(F.coalesce(F.col(c), F.lit(1.0)), F.lit(w)) if w != 1.0 else F.coalesce(F.col(c), F.lit(1.0))
         mult = term if mult is None else mult * term
-    details = fe.hcp_details(clean)
+    details = comp.details
     detail_cols = [c for c in details.columns if c != "hcp_id"]
     sales = F.coalesce(F.col("_sales"), F.lit(0)).cast("double")
     j = j.withColumn("_mult", mult).join(details, "hcp_id", "left")

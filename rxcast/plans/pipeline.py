@@ -37,6 +37,7 @@ def run_pipeline(spark: SparkSession, claims: DataFrame, learned: bool = True,
     pred = pr.predict(clean, comps, keep_components=True)
     if persist:
         pred = materialize(pred, "predictions")
+        comps.release()
     pred_out = pred.drop(*pr.WEIGHTS)
     drugs = clean.select(F.col("drug_brand_name").alias("drug_name")).filter(F.col("drug_name").isNotNull()).distinct()
     payers = clean.select(F.col("payer_channel_name").alias("payer"))

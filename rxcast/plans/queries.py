@@ -175,8 +175,15 @@ from rxcast.operators import evaluate as ev  # noqa: E402
 
 
 def predictions(spark, sf_dir, keep_components=False) -> DataFrame:
-    full = shared(spark, ("predictions", sf_dir),
-                  lambda: pr.predict(clean(spark, sf_dir), keep_components=True))
+    made = []
+
+    def build():
+        claims = clean(spark, sf_dir)
+        made.append(pr.train_components(claims))
+        return pr.predict(claims, made[0], keep_components=True)
+    full = shared(spark, ("predictions", sf_dir), build)
+    for comps in made:
+        comps.release()
     return full if keep_components else full.drop(*pr.WEIGHTS)
 
 
