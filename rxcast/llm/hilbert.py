@@ -8,7 +8,7 @@ row counts, so each shard covers a compact box of all dimensions and file
 statistics can prune on any of them.
 
 No global sort and no single-task window over rows: rows are counted per
-(cell, slice of the id's hash), the counts become offsets (a window over at
+(cell, slice of the hash of id and text), the counts become offsets (a window over at
 most 65,536 cells, and one per cell over its slices), and each row's rank is
 its offset plus its number inside its slice. Slices are halved as the table
 grows, so a cell that holds a third of all rows is spread like any other.
@@ -66,15 +66,17 @@ def hilbert_shards(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id",
     ignored."""
     ends = docs.agg(F.count("*"), F.min(id_col), F.max(id_col)).first()
     n, low, high = ends[0], ends[1] or 0, ends[2] or 0
-    shift = 16 - min(16, max(0, -(-n // SLICE_ROWS) - 1).bit_length())
+    shift = 32 - min(32, max(0, -(-n // SLICE_ROWS) - 1).bit_length())
     text = F.coalesce(F.col(text_col), F.lit(""))
     ident = F.coalesce(F.col(id_col), F.lit(low)).cast("double")
     base = stored(docs.select(
         F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(F.encode(text, "UTF-8")).alias("crc"),
         nibble(F.col(lang_col)).alias("x0"), nibble(F.col(source_col)).alias("x1"),
         F.least(F.lit(SIDE - 1), F.floor((ident - low) / (high - low + 1.0) * SIDE)).cast("int").alias("x3"),
-        F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 1, 4), 16, 10).cast("int").alias("h"))
+        F.crc32(F.encode(text, "UTF-8")).alias("crc"))
+        # the text's CRC spreads rows without an id, or with one id, over slices
+        .withColumn("h", F.conv(F.substring(F.md5(F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("crc"))), 1, 8),
+                                16, 10).cast("long"))
         .withColumn("x2", F.least(F.lit(SIDE - 1), bit_length(F.col("size")) - 1))
         .withColumn("cell", ((F.col("x0") * SIDE + F.col("x1")) * SIDE + F.col("x2")) * SIDE + F.col("x3"))
         .withColumn("slice", F.shiftright("h", shift)), "hilbert")

@@ -38,7 +38,7 @@ base AS (SELECT doc_id, crc, octet_length(encode(coalesce(text, ''))) + 1 AS siz
     ('0x' || substr(md5(coalesce(lang, '')), 1, 1))::INT AS x0, ('0x' || substr(md5(coalesce(source, '')), 1, 1))::INT AS x1,
     least(15, length(bin(octet_length(encode(coalesce(text, ''))) + 1)) - 1)::INT AS x2,
     least(15, floor((doc_id - low) / (high - low + 1.0) * 16))::INT AS x3,
-    ('0x' || substr(md5(doc_id::VARCHAR), 1, 4))::INT AS h FROM documents JOIN crcs USING (doc_id), ends),
+    ('0x' || substr(md5(doc_id::VARCHAR || ':' || crc::VARCHAR), 1, 8))::BIGINT AS h FROM documents JOIN crcs USING (doc_id), ends),
 undo AS (
   SELECT x0 AS c0, x1 AS c1, x2 AS c2, x3 AS c3, x0 AS a0, x1 AS a1, x2 AS a2, x3 AS a3, 0 AS k FROM (SELECT DISTINCT x0, x1, x2, x3 FROM base)
   UNION ALL

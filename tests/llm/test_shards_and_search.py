@@ -97,3 +97,15 @@ def test_estimates_are_within_their_bounds():
     guess, error = estimates(*encode(x, centre, turn), q, centre, turn)
     off = np.abs(guess - q @ x.T)
     assert (off <= error).mean() > 0.999 and abs((guess - q @ x.T).mean()) < 0.2 and np.allclose(turn @ turn.T, np.eye(64))
+
+
+def test_rows_of_one_id_spread_over_slices(spark, monkeypatch):
+    monkeypatch.setattr(hilbert, "SLICE_ROWS", 10)
+    kept = []
+    monkeypatch.setattr(hilbert, "stored", lambda df, name: kept.append(df) or df)
+    ids = [None] * 100 + [5] * 100 + list(range(100))
+    docs = spark.createDataFrame([(i, f"text {k}", "en", "s") for k, i in enumerate(ids)], "doc_id long, text string, lang string, source string")
+    rows = hilbert_shards(docs, 4).collect()
+    check(rows, 4)
+    largest = kept[0].groupBy("cell", "slice").count().agg(F.max("count")).first()[0]
+    assert largest < 40
