@@ -35,6 +35,8 @@ from rxcast.llm.tables import partitions_for
 #: Cells of a published fingerprint (three thirds), growth per retry, words per cut.
 CELLS, GROW, CUT = 24, 4, 4
 CHUNK_BYTES, RANGE_ROWS = 4 << 20, 20_000
+#: Ranges up to which their first keys are broadcast: four numbers each.
+BROADCAST_RANGES = 200_000
 _SEED = [np.uint64(0x9E3779B97F4A7C15 * i % 2**64 | 1) for i in (1, 3, 5, 7)]
 
 
@@ -184,24 +186,37 @@ def range_of(value, cuts: list[int]):
 
 def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, text, next): each row's successor text in ascending id, the first
-    row's after the last. One shuffle of the texts by id range; neighbours
-    across a range's end come from a table with a row per range."""
+    row's after the last. One shuffle of the texts by id range; an id that
+    more than ``RANGE_ROWS`` rows share, or that as many rows lack, is cut into
+    ranges of the texts' CRC. The successor across a range's end is the first
+    row of the next one, looked up by its id and CRC."""
     spark = docs.sparkSession
     rows = docs.select(docs[id_col].cast("long").alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text")) \
         .withColumn("crc", F.crc32(F.encode("text", "UTF-8")))
     n = partitions_for(docs.count(), RANGE_ROWS, spark)
     cuts = sorted({int(c) for c in rows.approxQuantile("id", [i / n for i in range(1, n)], 1 / (4 * n))}) if n > 1 else []
-    ranged = rows.withColumn("range", range_of(F.col("id"), cuts))
-    order = Window.partitionBy("range").orderBy(F.col("id").asc_nulls_first(), "crc")
+    # at most one id per RANGE_ROWS rows
+    parts = {r.id: -(-r.n // RANGE_ROWS) for r in rows.groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") > RANGE_ROWS).collect()}
+    shared = sorted(i for i in parts if i is not None)
+    cuts = sorted({*cuts, *(c for i in shared for c in (i - 1, i))})  # such an id is a range of its own
+    many = F.when(F.col("id").isNull(), F.lit(parts.get(None, 1)))
+    if shared:
+        at = F.array_position(F.lit(shared).cast("array<bigint>"), F.col("id")).cast("int")
+        many = many.when(at > 0, F.get(F.lit([parts[i] for i in shared]), at - 1))
+    ranged = rows.withColumn("range", F.struct(
+        F.when(F.col("id").isNull(), -1).otherwise(range_of(F.col("id"), cuts)).cast("long").alias("at"),
+        F.shiftright(F.col("crc") * many.otherwise(F.lit(1)), 32).alias("part")))
+    order = Window.partitionBy("range").orderBy(F.col("id").asc_nulls_first(), "crc", "text")
     inside = ranged.withColumn("next", F.lead("text").over(order)).drop("crc")
-    low = ranged.groupBy("range").agg(F.min(F.struct(F.col("id").isNotNull(), "id", "crc")).alias("low")) \
+    low = ranged.groupBy("range").agg(F.min(F.struct(F.col("id").isNotNull().alias("has"), "id", "crc")).alias("low"))
+    ring = Window.orderBy("range")  # four numbers per range
+    after = low.select("range", F.coalesce(F.lead("low").over(ring), F.first("low").over(ring)).alias("low")) \
         .select("range", F.col("low.id").alias("low_id"), F.col("low.crc").alias("low_crc"))
-    # three numbers per RANGE_ROWS documents: small whatever the table
-    firsts = rows.join(F.broadcast(low), F.col("id").eqNullSafe(F.col("low_id")) & (F.col("crc") == F.col("low_crc"))) \
-        .select("range", F.col("text").alias("first")).dropDuplicates(["range"])
-    ring = Window.orderBy("range")  # a row per range
-    after = firsts.select("range", F.coalesce(F.lead("first").over(ring), F.first("first").over(ring)).alias("first"))
-    return inside.join(after, "range").select("id", "text", F.coalesce("next", "first").alias("next"))
+    few = len(cuts) + 2 + sum(parts.values()) <= BROADCAST_RANGES
+    firsts = rows.join(F.broadcast(after) if few else after.hint("merge"),
+                       F.col("id").eqNullSafe(F.col("low_id")) & (F.col("crc") == F.col("low_crc"))) \
+        .groupBy("range").agg(F.min("text").alias("first"))
+    return inside.join(firsts, "range").select("id", "text", F.coalesce("next", "first").alias("next"))
 
 
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

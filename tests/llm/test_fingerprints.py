@@ -1,8 +1,10 @@
+import zlib
 
 import numpy as np
 from llm_fixtures import SF_CHECK, no_documents, odd_documents  # noqa: F401
 from pyspark.sql import functions as F
 
+from rxcast.llm import iblt
 from rxcast.llm.iblt import CELLS, edited, fingerprint_edits, likeness, paragraphs, peel, range_of, sketches
 
 
@@ -67,3 +69,17 @@ def test_ranges_count_the_cuts_below(spark):
 def test_edit_is_the_stated_one():
     t, o = "abcdefghij", "XYZ"
     assert edited(t, o) == "abcdefghXY" and edited("abcdefghijklmnopqrst", o) == "abcdefghijklmnoXYZ"
+
+
+def test_rows_without_an_id_or_with_one_id_are_cut_by_their_texts(spark, monkeypatch):
+    monkeypatch.setattr(iblt, "RANGE_ROWS", 20)
+    ids = [None] * 150 + [7] * 100 + [6, 8, 9] + list(range(100, 250))
+    texts = [f"word{i * 7919 % 1009} of text {i}" for i in range(len(ids))]
+    rows = list(zip(ids, texts, strict=True)) + [(7, texts[160])] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, zlib.crc32(r[1].encode()), r[1]))
+    want = sorted((str(i), t, ordered[(k + 1) % len(ordered)][1]) for k, (i, t) in enumerate(ordered))
+    found = iblt.with_next(docs, "doc_id", "text")
+    assert sorted((str(r.id), r.text, r.next) for r in found.collect()) == want
+    monkeypatch.setattr(iblt, "BROADCAST_RANGES", 0)
+    assert sorted((str(r.id), r.text, r.next) for r in iblt.with_next(docs, "doc_id", "text").collect()) == want
