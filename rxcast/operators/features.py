@@ -282,9 +282,11 @@ def first_values(clean: DataFrame, made: DataFrame) -> DataFrame:
         *[F.first(f"_f_{c}").alias(f"_f_{c}") for c in cols])
     tied = {c: F.col(f"_low_{c}") != F.col(f"_high_{c}") for c in cols}
     some = reduce(or_, [F.coalesce(t, F.lit(False)) for t in tied.values()], F.lit(False))
-    if ends.where(some).isEmpty():
+    # a row per HCP; stored, the dates have a known size: a few HCPs are broadcast and the claims stay where they are
+    ends = materialize(ends, "first-values")
+    dates = materialize(ends.where(some).select("hcp_id", *[F.col(f"_f_{c}") for c in cols]), "first-dates")
+    if dates.isEmpty():
         return ends.select("hcp_id", *[F.col(f"_low_{c}").alias(c) for c in cols])
-    dates = ends.where(some).select("hcp_id", *[F.col(f"_f_{c}") for c in cols])
     order = order_struct()
     decided = clean.join(dates, "hcp_id").where(reduce(or_, [when(F.col(date)) == F.col(f"_f_{c}") for c in cols])).groupBy("hcp_id").agg(
         *[F.min_by(F.col(c), F.when(F.col(c).isNotNull() & (when(F.col(date)) == F.col(f"_f_{c}")), order)).alias(f"_d_{c}") for c in cols])

@@ -1,14 +1,17 @@
-"""Partial states of the prediction's features: one pass over the claims.
-
-``claim_states`` aggregates the claims once, to HCP x generic x brand x month
-x descriptive values, with mergeable states: counts, sums, means with squared
-deviations, the earliest date. Sales groups, monthly sales, transaction mix,
-payer score, training target, first values and group sizes are roll-ups of
-this table. What doesn't merge there takes its own pass: distinct keys per HCP
-(``distinct_keys``) and the row windows (``features.hcp_rolling``), so the
-prediction reads the claims three times. Where an HCP has two values of a
-descriptive column on its first date, the claims of these dates are read again
-to decide (``features.first_values``).
+"""Partial states of the prediction's features.
+
+``claim_states`` aggregates the claims with mergeable states: counts, sums,
+means with squared deviations, the earliest date. Sales groups, monthly sales,
+transaction mix, payer score, training target, first values and group sizes
+are roll-ups of it. Over all its keys (HCP x generic x brand x month x
+descriptive values) it has nearly as many rows as the claims before the
+shuffle, so the prediction takes it by three sets of keys (``GROUPS``,
+``MONTHS`` and the descriptive values), each with the states that its roll-ups
+read: few columns of the claims, read three times, instead of wide rows
+shuffled once. What doesn't merge there takes its own pass: distinct keys per
+HCP (``distinct_keys``) and the row windows (``features.hcp_rolling``). Where
+an HCP has two values of a descriptive column on its first date, the claims of
+these dates are read again to decide (``features.first_values``).
 
 The buffers are fixed-width (hash aggregates with a partial step), so a hot
 HCP costs each task one row per combination of its keys.
@@ -28,28 +31,36 @@ DRUG = ["drug_generic_name", "drug_brand_name"]
 CHANNELS = {"medicare_share": "Medicare", "commercial_share": "Commercial", "medicaid_share": "Medicaid"}
 
 
-def _moments(name: str, value: Column) -> list[Column]:
+def _moments(name: str, value: Column) -> dict[str, Column]:
     """Count, mean and squared deviations of the non-null values."""
     n = F.count(value)
-    return [n.alias(f"{name}_n"), F.avg(value).alias(f"{name}_mean"), (F.var_pop(value) * n).alias(f"{name}_m2")]
+    return {f"{name}_n": n, f"{name}_mean": F.avg(value), f"{name}_m2": F.var_pop(value) * n}
 
 
-def claim_states(clean: DataFrame) -> DataFrame:
-    """A row per HCP x generic x brand x month x descriptive values; null keys
-    are groups of their own."""
-    base = base_features(clean)
-    details = hcp_detail_columns(clean.columns)
+#: Keys and states of the sales groups and of the months; those of the fitted component come on top.
+GROUPS, GROUP_STATES = DRUG, ("n", "sales")
+MONTHS, MONTH_STATES = ["month"], ("n", "paid", "paid_n", "channels", *CHANNELS, "rejects", "copay", "score", "scored")
+LEARNED_STATES = ("paid_mean", "paid_m2", "age_n", "age_mean", "age_m2", "age", "female", "weekend", *[f"age_group_{g}" for g in AGE_LABELS])
+
+
+def _states() -> dict[str, Column]:
     channel, score = F.col("payer_channel_name"), payer_score_expr()
-    return base.groupBy("hcp_id", *DRUG, "month", *details).agg(
-        F.count(F.lit(1)).alias("n"), F.min(ORDER_COLUMNS[0]).alias("first_date"),
-        F.sum(F.col(PAID).cast("decimal(38,6)")).alias("sales"), F.sum(PAID).alias("paid"), *_moments("paid", F.col(PAID)),
-        F.count(channel).alias("channels"), *[F.count(F.when(channel == v, 1)).alias(k) for k, v in CHANNELS.items()],
-        F.count("reject_reason_1_cd").alias("rejects"), F.sum("copay_ratio").alias("copay"),
-        F.sum(score).alias("score"), F.count(score).alias("scored"),
-        *_moments("age", F.col("patient_age")), F.sum("patient_age").alias("age"),
-        F.sum(flag(F.col("patient_gender") == "F")).alias("female"),
-        F.sum(flag(F.col("day_of_week").isin(5, 6))).alias("weekend"),
-        *[F.sum(flag(F.col("age_group") == g)).alias(f"age_group_{g}") for g in AGE_LABELS])
+    return {
+        "n": F.count(F.lit(1)), "first_date": F.min(ORDER_COLUMNS[0]),
+        "sales": F.sum(F.col(PAID).cast("decimal(38,6)")), "paid": F.sum(PAID), **_moments("paid", F.col(PAID)),
+        "channels": F.count(channel), **{k: F.count(F.when(channel == v, 1)) for k, v in CHANNELS.items()},
+        "rejects": F.count("reject_reason_1_cd"), "copay": F.sum("copay_ratio"), "score": F.sum(score), "scored": F.count(score),
+        **_moments("age", F.col("patient_age")), "age": F.sum("patient_age"),
+        "female": F.sum(flag(F.col("patient_gender") == "F")), "weekend": F.sum(flag(F.col("day_of_week").isin(5, 6))),
+        **{f"age_group_{g}": F.sum(flag(F.col("age_group") == g)) for g in AGE_LABELS}}
+
+
+def claim_states(clean: DataFrame, keys: list[str] | None = None, names: tuple[str, ...] | None = None) -> DataFrame:
+    """A row per HCP and ``keys`` (all that a roll-up asks for, if not given)
+    with the states ``names`` (all); null keys are groups of their own."""
+    keys = keys if keys is not None else [*DRUG, "month", *hcp_detail_columns(clean.columns)]
+    states = _states()
+    return base_features(clean).groupBy("hcp_id", *keys).agg(*[states[k].alias(k) for k in names or states])
 
 
 def distinct_keys(clean: DataFrame, patients: bool = True) -> DataFrame:

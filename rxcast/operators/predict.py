@@ -39,24 +39,28 @@ class Components:
 def train_components(clean: DataFrame, learned: bool = False, registry: DataFrame | None = None) -> Components:
     """MUL8: build every component from the cleaned claims. With
     ``learned=False`` the temporal component is the neutral 1.0. The claims
-    are read for the partial states, the distinct keys and the row windows."""
-    states = materialize(pt.claim_states(clean), "claim-states")
+    are read for the partial states (by drug, month and descriptive values),
+    the distinct keys and the row windows."""
+    named = fe.hcp_detail_columns(clean.columns)
+    drugs = materialize(pt.claim_states(clean, pt.GROUPS, pt.GROUP_STATES), "drug-states")
+    states = materialize(pt.claim_states(clean, pt.MONTHS, (*pt.MONTH_STATES, *(pt.LEARNED_STATES if learned else ()))), "claim-states")
+    values = materialize(pt.claim_states(clean, named, ("first_date",)), "value-dates")
     distinct = materialize(pt.distinct_keys(clean, patients=learned), "distinct-keys")
     temporal = mu.temporal_multiplier(pt.hcp_temporal(states, distinct.select("hcp_id", "patient_count")),
                                       pt.target_multiplier(states)) if learned else None
     summary = pt.transaction_mix(states).join(distinct, "hcp_id")
-    groups = pt.drug_groups(states)
+    groups = pt.drug_groups(drugs)
     pairs = groups.groupBy("hcp_id", "drug_brand_name").agg(F.sum("_qty").alias("_n"))
     spec = fe.specialized(distinct.select("hcp_id"), registry)
     return Components(
-        kept=(states, distinct),
+        kept=(drugs, states, values, distinct),
         groups=groups,
         temporal=temporal,
         affinity=fe.affinity(clean, spec, pairs).select("hcp_id", "drug_brand_name", "affinity"),
         transaction=mu.transaction_multiplier(summary),
         rolling=mu.rolling_multiplier(fe.hcp_rolling(clean, pt.group_sizes(states), pt.seasonality(states))),
         payer=summary.select("hcp_id", mu.payer_from_mean_score(F.col("_payer_score")).alias("payer_multiplier")),
-        details=fe.first_values(clean, pt.value_dates(states, fe.hcp_detail_columns(clean.columns))),
+        details=fe.first_values(clean, pt.value_dates(values, named)),
     )
 
 
