@@ -119,12 +119,19 @@ def pair_counts(clean: DataFrame) -> DataFrame:
     return clean.groupBy("hcp_id", "drug_brand_name").agg(F.count(F.lit(1)).alias("_n"))
 
 
-def specialization_aggs(columns: list[str]) -> list[Column]:
-    """AGG7 modal state (ties -> smallest, none -> 'Unknown') and the
-    distinct service lines of AGG6, as per-HCP aggregate expressions."""
-    has_csl = "clinical_service_line" in columns
-    return [F.coalesce(F.mode("prescriber_npi_state_cd", True), F.lit("Unknown")).alias("state"),
-            (F.count_distinct("clinical_service_line") if has_csl else F.lit(1)).alias("clinical_complexity")]
+def modal_state(clean: DataFrame) -> DataFrame:
+    """AGG7 per HCP (ties -> smallest, none -> 'Unknown'), from the claims per
+    HCP x state: counts are combined before the shuffle."""
+    state = "prescriber_npi_state_cd"
+    counted = clean.groupBy("hcp_id", state).agg(F.count(F.lit(1)).alias("_n"))
+    first = F.min(F.when(F.col(state).isNotNull(), F.struct((-F.col("_n")).alias("n"), F.col(state).alias("s"))))
+    return counted.groupBy("hcp_id").agg(F.coalesce(first["s"], F.lit("Unknown")).alias("state"))
+
+
+def service_lines(clean: DataFrame) -> DataFrame:
+    """Distinct service lines of AGG6 per HCP; 1 without the column."""
+    csl = "clinical_service_line"
+    return clean.groupBy("hcp_id").agg((F.count_distinct(csl) if csl in clean.columns else F.first(F.lit(1))).alias("clinical_complexity"))
 
 
 def hcp_specialization(clean: DataFrame, registry: DataFrame | None = None, pairs: DataFrame | None = None) -> DataFrame:
@@ -135,7 +142,8 @@ def hcp_specialization(clean: DataFrame, registry: DataFrame | None = None, pair
     drug_stats = _drug_key_filter(pairs).groupBy("hcp_id").agg(
         F.count(F.lit(1)).alias("drug_diversity"),
         F.try_divide(F.max("_n"), F.sum("_n")).alias("primary_drug_share"))
-    base = clean.groupBy("hcp_id").agg(*specialization_aggs(clean.columns))
+    lines = service_lines(clean).withColumnRenamed("hcp_id", "_hcp")
+    base = modal_state(clean).join(lines, F.col("hcp_id").eqNullSafe(F.col("_hcp"))).drop("_hcp")
     out = base.join(drug_stats, "hcp_id", "left")
     return specialized(out, registry).select(
         "hcp_id", "state", "specialization", "specialization_weight", "patient_volume",

@@ -60,3 +60,11 @@ def test_claims_of_tied_first_dates_are_not_shuffled(spark, claims, tmp_path):
         spark.conf.unset("rxcast.materialize")
     joins = [line for line in plan.splitlines() if "Join" in line]
     assert any("BroadcastHashJoin" in j and "Inner" in j for j in joins), plan
+
+
+def test_modal_state_is_counted_not_collected(claims):
+    """No buffer of states per HCP and service line: ties go to the smallest state, none is 'Unknown'."""
+    out = fe.hcp_specialization(claims)
+    assert "mode(" not in out._jdf.queryExecution().analyzed().toString()
+    got = {r.hcp_id: (r.state, r.clinical_complexity) for r in out.collect()}
+    assert got == {"h0": ("S0", 5), "h1": ("S0", 5), "h2": ("Unknown", 5)}
