@@ -5,7 +5,7 @@ group gives a bracket around each wanted rank that is sure to hold it (the
 summary's rank error is bounded, the bracket is twice as wide). The brackets
 come back to the rows as arrays, a fixed number of values a row: conditional
 aggregates count what lies below a bracket and keep the nearest values outside,
-and only values inside a bracket, about six millionths of the rows and the ties
+and only values inside a bracket, two of ten thousand rows a rank and the ties
 of these values, leave their row, counted per distinct value before they are
 shuffled. Ranks then follow from a running count over the values inside.
 Nothing depends on the input's size or on a setting.
@@ -19,8 +19,9 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Summary accuracy: ranks are off by at most 1 / ACCURACY of the rows.
-ACCURACY = 1_000_000
+#: Summary accuracy: ranks are off by at most 1 / ACCURACY of the rows. Every task sends
+#: its summary (about as many values as this, per column) to one that merges them.
+ACCURACY = 20_000
 
 
 def _with_group(df: DataFrame, per_group: DataFrame, by: tuple[str, ...]) -> DataFrame:

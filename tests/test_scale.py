@@ -68,3 +68,19 @@ def test_modal_state_is_counted_not_collected(claims):
     assert "mode(" not in out._jdf.queryExecution().analyzed().toString()
     got = {r.hcp_id: (r.state, r.clinical_complexity) for r in out.collect()}
     assert got == {"h0": ("S0", 5), "h1": ("S0", 5), "h2": ("Unknown", 5)}
+
+
+def test_quantile_summaries_are_small_and_ranks_exact(spark):
+    """A task's summary is bounded by ACCURACY; brackets still hold every rank."""
+    assert quantiles.ACCURACY <= 100_000
+    rng = random.Random(5)
+    values = [round(rng.expovariate(0.01), rng.choice((0, 4))) for _ in range(30_011)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(7)
+    qs = [0.0, .25, .5, .75, .9, 1.0]
+    got = quantiles.exact_quantiles(df, {"q": F.col("v")}, qs).first().q
+    values.sort()
+    for q, x in zip(qs, got):
+        pos = q * (len(values) - 1)
+        low = int(pos)
+        high = min(low + 1, len(values) - 1)
+        assert x == pytest.approx(values[low] + (values[high] - values[low]) * (pos - low), rel=1e-12)
