@@ -67,7 +67,7 @@ def landed_claims_csv(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """The claims view as three sets of CSV files under ``folder``, as three
     suppliers would land them: whole numbers as decimals; columns in another
     order with dates of another form; fewer columns, missing values written
-    out."""
+    out. The text is gzipped."""
     claims = claims_from_star(spark, sf_dir)
     part = F.pmod(F.crc32(F.col("claim_number").cast("binary")), F.lit(3))
     whole = [c for c, t in claims.dtypes if t in ("int", "bigint")]
@@ -77,4 +77,4 @@ def landed_claims_csv(spark: SparkSession, sf_dir: str, folder: str) -> None:
     third = claims.where(part == 2).drop("reject_reason_1_desc").withColumns({
         "service_date_dd": F.date_format("service_date_dd", "MMMM d, yyyy"), "type_1_npi": F.coalesce(F.col("type_1_npi").cast("string"), F.lit("NaN"))})
     for name, df in (("decimals", first), ("reordered", second), ("fewer", third)):
-        df.write.option("header", True).mode("overwrite").csv(f"{folder}/{name}")
+        df.write.option("header", True).option("compression", "gzip").mode("overwrite").csv(f"{folder}/{name}")

@@ -84,3 +84,15 @@ def test_quantile_summaries_are_small_and_ranks_exact(spark):
         low = int(pos)
         high = min(low + 1, len(values) - 1)
         assert x == pytest.approx(values[low] + (values[high] - values[low]) * (pos - low), rel=1e-12)
+
+
+def test_landed_claims_are_compressed(spark, tmp_path):
+    """The suppliers' text is gzipped and reads back by header."""
+    from rxcast.plans.landed import landed_claims_csv
+    from rxcast.sources.claims import claims_from_star, read_claims_text
+    folder = tmp_path / "landed"
+    landed_claims_csv(spark, "/root/testdata/sf0.001", str(folder))
+    files = [f.name for f in folder.glob("*/part-*")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    back = read_claims_text(spark, f"{folder}/*")
+    assert back.count() == claims_from_star(spark, "/root/testdata/sf0.001").count() and "claim_number" in back.columns
