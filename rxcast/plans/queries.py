@@ -431,9 +431,12 @@ def q_component_regressors(spark, sf_dir):
     from rxcast.operators.clean import base_features
     c = clean(spark, sf_dir)
     b = base_features(c)
-    return mu.component_regressors(fe.hcp_temporal(b), fe.target_multiplier(c), fe.hcp_transaction(b),
+    target = materialize(fe.target_multiplier(c), "target")  # read by four of the five models
+    fitted = mu.component_regressors(fe.hcp_temporal(b), target, fe.hcp_transaction(b),
                                    fe.hcp_specialization(c), fe.hcp_rolling(c), fe.drug_market(c),
                                    fe.target_multiplier(c.withColumnRenamed("drug_brand_name", "drug_name"), "drug_name"))
+    release(target)  # the result is five rows of scores
+    return fitted
 
 
 @query("predictions_learned")
