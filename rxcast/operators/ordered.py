@@ -165,8 +165,8 @@ def rolling_windows(df: DataFrame, outer: list[str], inner: list[str], order: li
     a predecessor also gets the last rows of the pieces before it, as many as
     the largest window looks back, which count as rows before its own and are
     dropped again. Only groups of more than one piece have such rows. So the
-    rows are shuffled once, none is emitted twice, and all frames share one
-    sort. Sums are exact decimals. ``cut=False`` says that every group is one
+    rows are shuffled once and none is emitted twice; the position takes one
+    sort, all frames share another. Sums are exact decimals. ``cut=False`` says that every group is one
     piece, so nothing is counted or carried over."""
     df, keys, null_key = non_null_keys(df, inner)
     back = max(windows) - 1
@@ -176,8 +176,11 @@ def rolling_windows(df: DataFrame, outer: list[str], inner: list[str], order: li
     else:
         rows, offsets = _with_rows_before(df, outer, keys, order, ascending, value, back)
 
-    in_piece = Window.partitionBy(*outer, "_piece").orderBy(*ascending)
-    in_group = Window.partitionBy(*outer, "_piece", *keys).orderBy(*ascending)
+    # a hash leads the sorts, so that rows of different groups compare as numbers; where no row is carried over, the
+    # position is the order
+    rows = rows.withColumn("_hash", F.xxhash64(*outer))
+    in_piece = Window.partitionBy("_hash", *outer, "_piece").orderBy(*ascending)
+    in_group = Window.partitionBy("_hash", *outer, "_piece", *keys).orderBy(*(ascending if cut else ["_row"]))
     upto = lambda w: w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     v = F.col(value)
     local = rows.withColumn("_row", F.sum(F.when(F.col("_before"), 0).otherwise(1)).over(upto(in_piece)))
@@ -192,7 +195,7 @@ def rolling_windows(df: DataFrame, outer: list[str], inner: list[str], order: li
         k = F.col("_k") - F.coalesce(F.col(f"_k{n}"), F.lit(0))
         known = (k > 0) if null_key is None else (k > 0) & ~null_key
         cols[f"rolling_sum_{n}"], cols[f"rolling_avg_{n}"] = F.when(known, s), F.when(known, s / k)
-    return out.withColumns(cols).drop("_piece", "_before", "_row", "_off", "_s", "_k", *lags, *[k for k in keys if k not in inner])
+    return out.withColumns(cols).drop("_piece", "_before", "_hash", "_row", "_off", "_s", "_k", *lags, *[k for k in keys if k not in inner])
 
 
 def _with_rows_before(df: DataFrame, outer: list[str], keys: list[str], order: list[str], ascending: list[Column], value: str,

@@ -6,10 +6,11 @@ transaction mix, payer score, training target, first values and group sizes
 are roll-ups of it. Over all its keys (HCP x generic x brand x month x
 descriptive values) it has nearly as many rows as the claims before the
 shuffle, so the prediction takes it by three sets of keys (``GROUPS``,
-``MONTHS`` and the descriptive values), each with the states that its roll-ups
-read: few columns of the claims, read three times, instead of wide rows
-shuffled once. What doesn't merge there takes its own pass: distinct keys per
-HCP (``distinct_keys``) and the row windows (``features.hcp_rolling``). Where
+``MONTHS`` and the descriptive values with the payer), each with the states
+that its roll-ups read: few columns of the claims, read three times, instead
+of wide rows shuffled once. Distinct payers are a roll-up of the third. What
+doesn't merge there takes its own pass: distinct patients per HCP
+(``patient_counts``) and the row windows (``features.hcp_rolling``). Where
 an HCP has two values of a descriptive column on its first date, the claims of
 these dates are read again to decide (``features.first_values``).
 
@@ -71,6 +72,17 @@ def distinct_keys(clean: DataFrame, patients: bool = True) -> DataFrame:
                                        *([nunique_with_null("patient_id").alias("patient_count")] if patients else []))
 
 
+def patient_counts(clean: DataFrame) -> DataFrame:
+    """Distinct patients per HCP, null counted once. It is the only distinct
+    key of its pass, so no claim is expanded into a row per key."""
+    return clean.groupBy("hcp_id").agg(nunique_with_null("patient_id").alias("patient_count"))
+
+
+def payer_diversity(states: DataFrame) -> DataFrame:
+    """Distinct payers per HCP (nulls apart) from states with the payer among their keys."""
+    return states.groupBy("hcp_id").agg(F.count_distinct("payer_name").alias("payer_diversity"))
+
+
 def group_sizes(states: DataFrame) -> DataFrame:
     """Claims per HCP, as ``_n``."""
     return states.groupBy("hcp_id").agg(F.sum("n").alias("_n"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rxcast.operators import features as fe
 from rxcast.operators import multipliers as mu
 from rxcast.operators import partials as pt
-from rxcast.operators.clean import company_expr
+from rxcast.operators.clean import ORDER_COLUMNS, company_expr
 from rxcast.session import materialize, release
 
 # Exponents of the six components in the combined multiplier.
@@ -36,24 +36,34 @@ class Components:
             release(df)
 
 
+def columns_read(columns: list[str]) -> list[str]:
+    """The columns of the cleaned claims that the prediction reads, in their order."""
+    read = {"hcp_id", *pt.DRUG, *ORDER_COLUMNS, fe.PAID, "payer_name", "payer_channel_name", "reject_reason_1_cd", "patient_to_pay_amt",
+            "patient_age", "patient_gender", *fe.hcp_detail_columns(columns)}
+    return [c for c in columns if c in read]
+
+
 def train_components(clean: DataFrame, learned: bool = False, registry: DataFrame | None = None) -> Components:
     """MUL8: build every component from the cleaned claims. With
     ``learned=False`` the temporal component is the neutral 1.0. The claims
-    are read for the partial states (by drug, month and descriptive values),
-    the distinct keys and the row windows."""
+    are read for the partial states (by drug, month, descriptive values and
+    payer), the distinct patients of the fitted component and the row windows."""
     named = fe.hcp_detail_columns(clean.columns)
     drugs = materialize(pt.claim_states(clean, pt.GROUPS, pt.GROUP_STATES), "drug-states")
     states = materialize(pt.claim_states(clean, pt.MONTHS, (*pt.MONTH_STATES, *(pt.LEARNED_STATES if learned else ()))), "claim-states")
-    values = materialize(pt.claim_states(clean, named, ("first_date",)), "value-dates")
-    distinct = materialize(pt.distinct_keys(clean, patients=learned), "distinct-keys")
-    temporal = mu.temporal_multiplier(pt.hcp_temporal(states, distinct.select("hcp_id", "patient_count")),
-                                      pt.target_multiplier(states)) if learned else None
-    summary = pt.transaction_mix(states).join(distinct, "hcp_id")
+    values = materialize(pt.claim_states(clean, list(dict.fromkeys([*named, "payer_name"])), ("first_date",)), "value-dates")
+    payers = pt.payer_diversity(values)
+    temporal, kept = None, (drugs, states, values)
+    if learned:
+        patients = materialize(pt.patient_counts(clean), "patient-counts")
+        temporal = mu.temporal_multiplier(pt.hcp_temporal(states, patients), pt.target_multiplier(states))
+        kept = (*kept, patients)
+    summary = pt.transaction_mix(states).join(payers, "hcp_id")
     groups = pt.drug_groups(drugs)
     pairs = groups.groupBy("hcp_id", "drug_brand_name").agg(F.sum("_qty").alias("_n"))
-    spec = fe.specialized(distinct.select("hcp_id"), registry)
+    spec = fe.specialized(payers.select("hcp_id"), registry)
     return Components(
-        kept=(drugs, states, values, distinct),
+        kept=kept,
         groups=groups,
         temporal=temporal,
         affinity=fe.affinity(clean, spec, pairs).select("hcp_id", "drug_brand_name", "affinity"),

@@ -57,6 +57,17 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shared(spark, ("clean", sf_dir), lambda: cl.clean_claims(claims_from_star(spark, sf_dir)))
 
 
+def prediction_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned claims' columns that the prediction reads; the whole table if a query has made it already."""
+    if (id(spark), "clean", sf_dir) in _SHARED:
+        return clean(spark, sf_dir)
+
+    def build():
+        claims = cl.clean_claims(claims_from_star(spark, sf_dir))
+        return claims.select(*pr.columns_read(claims.columns))
+    return shared(spark, ("prediction-claims", sf_dir), build)
+
+
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.base_features(clean(spark, sf_dir))
 
@@ -167,7 +178,7 @@ def q_predictions_five_factor(spark, sf_dir):
 @query("predictions")
 def q_predictions(spark, sf_dir):
     """The default run: all six components, the fitted temporal multiplier (MUL1) among them."""
-    return pr.predict(clean(spark, sf_dir), learned=True)
+    return pr.predict(prediction_claims(spark, sf_dir), learned=True)
 
 
 # ---------------------------------------------------------------- phase 4
@@ -178,7 +189,7 @@ def predictions(spark, sf_dir, keep_components=False) -> DataFrame:
     made = []
 
     def build():
-        claims = clean(spark, sf_dir)
+        claims = prediction_claims(spark, sf_dir)
         made.append(pr.train_components(claims))
         return pr.predict(claims, made[0], keep_components=True)
     full = shared(spark, ("predictions", sf_dir), build)
@@ -443,4 +454,4 @@ def q_component_regressors(spark, sf_dir):
 def q_predictions_learned(spark, sf_dir):
     """The reference's default run: all six components including the learned
     temporal multiplier (MUL1). Rows-only: the GBT cannot match scikit-learn."""
-    return pr.predict(clean(spark, sf_dir), learned=True)
+    return pr.predict(prediction_claims(spark, sf_dir), learned=True)

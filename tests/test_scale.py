@@ -43,6 +43,36 @@ def test_state_tables_hold_what_is_read(claims, monkeypatch, learned):
     assert sorted(comps.details.collect()) == sorted(fe.hcp_details(claims).collect())
 
 
+@pytest.mark.parametrize("learned", [False, True])
+def test_payers_take_no_pass_and_patients_one(claims, monkeypatch, learned):
+    """Payers are a roll-up of the states; patients are counted without a row per distinct key, and only where they are read."""
+    made = {}
+    monkeypatch.setattr(pr, "materialize", lambda df, name: made.setdefault(name, df))
+    monkeypatch.setattr(pr.mu, "temporal_multiplier", lambda features, target: features.join(target, "hcp_id"))
+    rows = claims.withColumn("payer_name", F.when(F.col("claim_number") < "050", F.concat(F.lit("p"), F.pmod(F.crc32(F.col("claim_number").cast("binary")), F.lit(5))))) \
+        .withColumn("patient_id", F.when(F.col("claim_number") < "055", F.pmod(F.crc32(F.col("claim_number").cast("binary")), F.lit(7)).cast("string")))
+    pr.train_components(rows, learned)
+    for df in made.values():
+        assert "Expand" not in df._jdf.queryExecution().optimizedPlan().toString()
+    wanted = {r.hcp_id: r for r in pt.distinct_keys(rows).collect()}
+    payers = {r.hcp_id: r.payer_diversity for r in pt.payer_diversity(made["value-dates"]).collect()}
+    assert payers == {k: r.payer_diversity for k, r in wanted.items()} and set(payers.values()) != {1}
+    assert ("patient-counts" in made) == learned
+    if learned:
+        assert {r.hcp_id: r.patient_count for r in made["patient-counts"].collect()} == {k: r.patient_count for k, r in wanted.items()}
+
+
+def test_the_prediction_lands_the_columns_that_it_reads(spark):
+    from rxcast.plans import queries as q
+    q.release_shared()
+    claims = q.prediction_claims(spark, "/root/testdata/sf0.001")
+    assert not {"company", "transaction_dt", "pharmacy_npi_nbr", "clinical_service_line"} & set(claims.columns)
+    whole = q.clean(spark, "/root/testdata/sf0.001")
+    assert q.prediction_claims(spark, "/root/testdata/sf0.001") is whole
+    assert sorted(map(str, pr.predict(claims).collect())) == sorted(map(str, pr.predict(whole).collect()))
+    q.release_shared()
+
+
 def test_claims_of_tied_first_dates_are_not_shuffled(spark, claims, tmp_path):
     """The dates that decide ties are stored first, so their size is known and the claims join them where they lie."""
     path = str(tmp_path / "claims")
