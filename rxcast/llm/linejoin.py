@@ -38,15 +38,21 @@ SLOT_BITS = 16
 SLOTS = 1 << SLOT_BITS
 #: Bytes up to which the documents and line numbers that a join looks for are broadcast.
 BROADCAST_BYTES = 64 << 20
+LOW = (1 << 32) - 1
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-def split_words(line: Column) -> Column:
-    """Words of a line in lower case; blanks alone split faster than a pattern."""
+def split_parts(line: Column) -> Column:
+    """Words of a line in lower case, and empty parts between blanks; blanks alone split faster than a pattern."""
     lower, other = F.lower(line), F.lit(False)
     for c in "\t\v\f\r":
         other = other | F.contains(line, F.lit(c))
-    return F.array_remove(F.when(other, F.split(lower, SPACE)).otherwise(F.split(lower, " ")), "")
+    return F.when(other, F.split(lower, SPACE)).otherwise(F.split(lower, " "))
+
+
+def split_words(line: Column) -> Column:
+    """Words of a line in lower case."""
+    return F.array_remove(split_parts(line), "")
 
 
 def words(line: Column) -> Column:
@@ -90,14 +96,15 @@ def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, in
 
 
 def rarity(lines: DataFrame) -> Column:
-    """Literal array: the class of each slot's count, eight to an octave."""
+    """Literal array: the class of each slot's count, eight to an octave, in the
+    highest bits. Empty parts count as a token that no line has."""
     slot = F.xxhash64("token").bitwiseAND(SLOTS - 1)
-    counts = lines.select(F.explode(split_words(F.col("line"))).alias("token")).groupBy(slot.alias("slot")) \
+    counts = lines.select(F.explode(split_parts(F.col("line"))).alias("token")).groupBy(slot.alias("slot")) \
         .agg(F.count("*").alias("n")).toPandas()  # SLOTS rows at most
     classes = [1] * SLOTS
     for s, n in zip(counts["slot"].tolist(), counts["n"].tolist(), strict=True):
         classes[s] = min(126, 2 + int(8 * math.log2(n)))
-    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")  # folded to a literal
+    return F.split(F.lit(",".join(str(c << 56) for c in classes)), ",").cast("array<bigint>")  # folded to a literal
 
 
 def described(lines: DataFrame, classes: Column, percent: int) -> DataFrame:
@@ -105,33 +112,40 @@ def described(lines: DataFrame, classes: Column, percent: int) -> DataFrame:
     tokens: hashes of the set, of its extremes, the parity sketch, and the
     posted tokens, rarest first. A token's key is its slot's class above the
     higher bits of its hash."""
-    key = lambda h: F.shiftleft(F.coalesce(F.get(classes, h.bitwiseAND(SLOTS - 1).cast("int")), F.lit(1)), 56) \
-        .bitwiseOR(F.shiftrightunsigned(h, 8))
+    zero = F.lit(0).cast("bigint")
+    key = lambda h: F.coalesce(F.get(classes, h.bitwiseAND(SLOTS - 1).cast("int")), zero).bitwiseOR(F.shiftrightunsigned(h, 8))
     bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(63).cast("int"))
-    flip = lambda half: F.aggregate(  # noqa: E731  parity of the tokens in one half of the hash space
-        "t", F.lit(0).cast("bigint"), lambda b, h: F.when(h.bitwiseAND(64) == half, b.bitwiseXOR(bit(h))).otherwise(b))
+    flip = lambda part: F.aggregate(part, zero, lambda b, h: b.bitwiseXOR(bit(h)))  # noqa: E731  parity of the tokens of a part
     tokens = F.sort_array(F.array_distinct(F.transform(split_words(F.col("line")), lambda w: F.xxhash64(w))))
     # no where: it would move below and compute the tokens twice
     sets = lines.select("at", F.explode(F.filter(F.array(tokens), lambda t: F.size(t) > 0)).alias("t")).withColumn("n", F.size("t"))
+    # negative hashes, which come first, flip one half of the sketch, the others the other
+    sets = sets.withColumn("half", F.array_position(F.sort_array(F.array_append("t", zero)), zero).cast("int"))
     need = F.ceil(F.lit(percent) * F.col("n") / 100)
     return sets.select("at", F.xxhash64("t").alias("h1"), F.hash("t").alias("h2"), "n", F.xxhash64(F.slice("t", 1, 3)).alias("near1"),
-                       F.xxhash64(F.lit(1), F.slice("t", -3, 3)).alias("near2"), flip(0).alias("sketch"), flip(64).alias("sketch2"),
+                       F.xxhash64(F.lit(1), F.slice("t", -3, 3)).alias("near2"), flip(F.slice("t", 1, F.col("half") - 1)).alias("sketch"),
+                       flip(F.slice("t", F.col("half"), F.col("n"))).alias("sketch2"),
                        F.transform(F.slice(F.sort_array(F.transform("t", key)), F.lit(1), (F.col("n") - need + 1).cast("int")),
                                    lambda k: F.hash(k)).alias("rare"))
 
 
-def alike(percent: int, size: str = "n", sketch: str = "sketch") -> Column:
+def alike(percent: int, n: Column, m: Column, sketch: str = "sketch") -> Column:
     """Length and sketch filters for sets of n and m tokens (either sign)."""
-    n, m = F.abs(size), F.abs("m")
+    n, m = F.abs(n), F.abs(m)
     apart = F.bit_count(F.col(sketch).bitwiseXOR(F.col("marks"))) + F.bit_count(F.col(f"{sketch}2").bitwiseXOR(F.col("marks2")))
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * (n + m - apart) >= 2 * percent * (n + m))
 
 
-def reach(percent: int) -> Column:
+def reach(percent: int, n: Column, m: Column, i: Column, j: Column) -> Column:
     """Positional filter: the first token that similar sets share, at places i
     and j, has the whole overlap from there on. Later ones needn't pass."""
-    n, m = F.abs("size"), F.abs("m")
-    return (100 + percent) * F.least(n - F.col("i"), m - F.col("j")) >= percent * (n + m)
+    n, m = F.abs(n), F.abs(m)
+    return (100 + percent) * F.least(n - i, m - j) >= percent * (n + m)
+
+
+def packed(high: Column, low: Column) -> Column:
+    """Two ints (the lower one's bits as they are) in a long."""
+    return F.shiftleft(high.cast("bigint"), 32).bitwiseOR(low.cast("bigint").bitwiseAND(LOW))
 
 
 def smallest_pair(percent: int) -> int:
@@ -154,24 +168,26 @@ def removable(docs: DataFrame, bits: int, percent: int, text_col: str) -> DataFr
     ends = firsts.where(open_sizes).select("at", "n", "sketch", "sketch2", F.explode(F.array("near1", "near2")).alias("near"))
     heads = ends.groupBy("near").agg(F.min(F.struct("at", "n", "sketch", "sketch2")).alias("e"), F.count("*").alias("of")).where("of > 1") \
         .select("near", F.col("e.at").alias("before"), F.col("e.n").alias("m"), F.col("e.sketch").alias("marks"), F.col("e.sketch2").alias("marks2"))
-    star = ends.join(heads, "near").where((F.col("before") < F.col("at")) & alike(percent)).select("at", "before").distinct()
+    star = ends.join(heads, "near").where((F.col("before") < F.col("at")) & alike(percent, F.col("n"), F.col("m"))).select("at", "before").distinct()
     gone = similar(docs, star, bits, percent, text_col)
 
     open_ = firsts.where(open_sizes).select("at").join(gone.select("at", F.lit(True).alias("done")), "at", "left") \
         .select(F.col("at").alias("first"), F.when(F.col("done").isNull(), 1).otherwise(-1).alias("sign"))
     sets = table.select("at", "n", "sketch", "sketch2", "rare").join(open_, F.col("at") == F.col("first"))
-    # postings are shuffled once: both sides of the join rename every column and so read the same exchange;
-    # a negative size needs no partner
+    # postings are shuffled once: both sides of the join rename every column and so read the same exchange; they are
+    # unpacked by the join alone, so that the exchange moves few columns; a negative size needs no partner
     ahead = F.concat(F.array(F.lit(0)), F.slice("rare", F.lit(1), F.size("rare") - 1))
     posted = sets.select("at", (F.col("n") * F.col("sign")).alias("signed"), "sketch", "sketch2",
                          F.posexplode(F.arrays_zip(F.col("rare").alias("code"), ahead.alias("ahead"))).alias("place", "x")) \
-        .select("x.code", "at", "signed", "place", "sketch", "sketch2", "x.ahead")
-    one = posted.toDF("token", "line", "size", "i", "bits", "bits2", "last")
-    other = posted.toDF("same", "before", "m", "j", "marks", "marks2", "last2")
-    later = F.least(F.col("size").cast("long"), F.col("line") - F.col("before")) > 0
+        .select(packed(F.col("x.code"), F.col("x.ahead")), "at", packed(F.col("signed"), F.col("place")), "sketch", "sketch2")
+    one = posted.toDF("token", "line", "sized", "bits", "bits2")
+    other = posted.toDF("same", "before", "sized2", "marks", "marks2")
+    n, m, i, j = F.shiftright("sized", 32), F.shiftright("sized2", 32), F.col("sized").bitwiseAND(LOW), F.col("sized2").bitwiseAND(LOW)
+    later = F.least(n, F.col("line") - F.col("before")) > 0
     # with the token ahead in common as well, the pair has met there, at places that pass if these do
-    first = (F.least("i", "j") == 0) | (F.col("last") != F.col("last2"))
-    rest = one.join(other, F.col("token") == F.col("same")).where(later & first & reach(percent) & alike(percent, "size", "bits")) \
+    first = (F.least(i, j) == 0) | (F.col("token") != F.col("same"))
+    rest = one.join(other, F.shiftright("token", 32) == F.shiftright("same", 32)) \
+        .where(later & first & reach(percent, n, m, i, j) & alike(percent, n, m, "bits")) \
         .select(F.col("line").alias("at"), "before").distinct()
     gone = gone.union(similar(docs, rest, bits, percent, text_col)).distinct()
 

@@ -59,6 +59,46 @@ def test_lookups_beyond_the_broadcast_bound(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_postings_are_narrow_and_shuffled_once(spark, monkeypatch):
+    """Both sides of the postings' join read one exchange of five columns."""
+    from rxcast.llm import linejoin
+    plans, inner = [], linejoin.similar
+
+    def seen(docs, pairs, *args):
+        plans.append(pairs._jdf.queryExecution().executedPlan().toString())
+        pairs.collect()
+        plans.append(pairs._jdf.queryExecution().executedPlan().toString())
+        return inner(docs, pairs, *args)
+    monkeypatch.setattr(linejoin, "similar", seen)
+    monkeypatch.setattr(linejoin, "BROADCAST_BYTES", 0)
+    rows = [(i, f"line {i // 2} of its own {i * i // 3} here and more words {i % 3}") for i in range(60)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = sorted((r.doc_id, r.text, r.n_removed) for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+                     .select("doc_id", "text", "n_removed").collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == brute(rows) and "ReusedExchange [token" in plans[-1].replace("same", "token")
+    posted = [line for line in plans[-1].splitlines() if "Exchange hashpartitioning(shiftright(" in line]
+    assert posted
+
+
+def test_sketch_halves_are_the_signs_of_the_hashes(spark):
+    """Each half holds the parity of its tokens, also where a half has none."""
+    from pyspark.sql import functions as F
+
+    from rxcast.llm.linejoin import described, rarity, split_words
+    rows = [(i, " ".join(f"w{i * k % 97}" for k in range(1 + i % 9))) for i in range(90)]
+    lines = spark.createDataFrame(rows, "at long, line string")
+    hashes = {r["at"]: set(r.t) for r in lines.select("at", F.transform(split_words(F.col("line")), lambda w: F.xxhash64(w)).alias("t")).collect()}
+    for r in described(lines, rarity(lines), 80).collect():
+        halves = [0, 0]
+        for h in hashes[r["at"]]:
+            halves[h >= 0] ^= 1 << (h & 63)
+        assert [x % (1 << 64) for x in (r.sketch, r.sketch2)] == halves and r.n == len(hashes[r["at"]])
+
+
 def test_odd_rows(spark, odd_documents, no_documents):
     rows = dedup_lines(odd_documents).collect()
     assert len(rows) == 15 and set(rows[0].asDict()) == {*odd_documents.columns, "n_lines", "n_removed"}
