@@ -96,15 +96,15 @@ def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, in
 
 
 def rarity(lines: DataFrame) -> Column:
-    """Literal array: the class of each slot's count, eight to an octave, in the
-    highest bits. Empty parts count as a token that no line has."""
+    """Literal array: the class of each slot's count, eight to an octave, from 1
+    to 126. Empty parts count as a token that no line has."""
     slot = F.xxhash64("token").bitwiseAND(SLOTS - 1)
     counts = lines.select(F.explode(split_parts(F.col("line"))).alias("token")).groupBy(slot.alias("slot")) \
         .agg(F.count("*").alias("n")).toPandas()  # SLOTS rows at most
     classes = [1] * SLOTS
     for s, n in zip(counts["slot"].tolist(), counts["n"].tolist(), strict=True):
         classes[s] = min(126, 2 + int(8 * math.log2(n)))
-    return F.split(F.lit(",".join(str(c << 56) for c in classes)), ",").cast("array<bigint>")  # folded to a literal
+    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<tinyint>")  # folded to a literal
 
 
 def described(lines: DataFrame, classes: Column, percent: int) -> DataFrame:
@@ -113,20 +113,24 @@ def described(lines: DataFrame, classes: Column, percent: int) -> DataFrame:
     posted tokens, rarest first. A token's key is its slot's class above the
     higher bits of its hash."""
     zero = F.lit(0).cast("bigint")
-    key = lambda h: F.coalesce(F.get(classes, h.bitwiseAND(SLOTS - 1).cast("int")), zero).bitwiseOR(F.shiftrightunsigned(h, 8))
+    rank = lambda h: F.coalesce(F.get(classes, h.bitwiseAND(SLOTS - 1).cast("int")), F.lit(0).cast("tinyint"))
+    key = lambda h: F.shiftleft(rank(h).cast("bigint"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
     bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(63).cast("int"))
     flip = lambda part: F.aggregate(part, zero, lambda b, h: b.bitwiseXOR(bit(h)))  # noqa: E731  parity of the tokens of a part
-    tokens = F.sort_array(F.array_distinct(F.transform(split_words(F.col("line")), lambda w: F.xxhash64(w))))
-    # no where: it would move below and compute the tokens twice
-    sets = lines.select("at", F.explode(F.filter(F.array(tokens), lambda t: F.size(t) > 0)).alias("t")).withColumn("n", F.size("t"))
+    # A higher-order function evaluates all that it is given without generated code, sorts included. So each stands alone
+    # here: its result is a column of a one-element explode, which the optimizer keeps apart from what follows.
+    column = lambda array: F.explode(F.array(array))
+    hashes = lines.select("at", column(F.transform(split_parts(F.col("line")), lambda w: F.xxhash64(w))).alias("h"))
+    tokens = hashes.select("at", column(F.sort_array(F.array_distinct(F.array_remove("h", F.xxhash64(F.lit("")))))).alias("t"))
+    sets = tokens.where(F.size("t") > 0).select("at", "t", column(F.transform("t", key)).alias("k")).withColumn("n", F.size("t"))
     # negative hashes, which come first, flip one half of the sketch, the others the other
     sets = sets.withColumn("half", F.array_position(F.sort_array(F.array_append("t", zero)), zero).cast("int"))
     need = F.ceil(F.lit(percent) * F.col("n") / 100)
+    sets = sets.select("at", "t", "n", "half", column(F.slice(F.sort_array("k"), F.lit(1), (F.col("n") - need + 1).cast("int"))).alias("first"))
     return sets.select("at", F.xxhash64("t").alias("h1"), F.hash("t").alias("h2"), "n", F.xxhash64(F.slice("t", 1, 3)).alias("near1"),
                        F.xxhash64(F.lit(1), F.slice("t", -3, 3)).alias("near2"), flip(F.slice("t", 1, F.col("half") - 1)).alias("sketch"),
                        flip(F.slice("t", F.col("half"), F.col("n"))).alias("sketch2"),
-                       F.transform(F.slice(F.sort_array(F.transform("t", key)), F.lit(1), (F.col("n") - need + 1).cast("int")),
-                                   lambda k: F.hash(k)).alias("rare"))
+                       F.transform("first", lambda k: F.hash(k)).alias("rare"))
 
 
 def alike(percent: int, n: Column, m: Column, sketch: str = "sketch") -> Column:
@@ -136,6 +140,12 @@ def alike(percent: int, n: Column, m: Column, sketch: str = "sketch") -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * (n + m - apart) >= 2 * percent * (n + m))
 
 
+def half_alike(percent: int, n: Column, m: Column, sketch: str) -> Column:
+    """The sketch filter by one half alone: cheap, and most pairs end here."""
+    n, m = F.abs(n), F.abs(m)
+    return (100 + percent) * (n + m - F.bit_count(F.col(sketch).bitwiseXOR(F.col("marks")))) >= 2 * percent * (n + m)
+
+
 def reach(percent: int, n: Column, m: Column, i: Column, j: Column) -> Column:
     """Positional filter: the first token that similar sets share, at places i
     and j, has the whole overlap from there on. Later ones needn't pass."""
@@ -166,8 +176,9 @@ def removable(docs: DataFrame, bits: int, percent: int, text_col: str) -> DataFr
                     .drop("h1", "h2"), "line-sets")
     open_sizes = F.col("n") >= smallest_pair(percent)
     ends = firsts.where(open_sizes).select("at", "n", "sketch", "sketch2", F.explode(F.array("near1", "near2")).alias("near"))
-    heads = ends.groupBy("near").agg(F.min(F.struct("at", "n", "sketch", "sketch2")).alias("e"), F.count("*").alias("of")).where("of > 1") \
-        .select("near", F.col("e.at").alias("before"), F.col("e.n").alias("m"), F.col("e.sketch").alias("marks"), F.col("e.sketch2").alias("marks2"))
+    # buffers of numbers are aggregated by hash, a smallest struct would be by sorting
+    heads = ends.groupBy("near").agg(F.min("at").alias("before"), *[F.min_by(c, "at").alias(to) for c, to in (("n", "m"), ("sketch", "marks"), ("sketch2", "marks2"))],
+                                     F.count("*").alias("of")).where("of > 1").drop("of")
     star = ends.join(heads, "near").where((F.col("before") < F.col("at")) & alike(percent, F.col("n"), F.col("m"))).select("at", "before").distinct()
     gone = similar(docs, star, bits, percent, text_col)
 
@@ -187,7 +198,7 @@ def removable(docs: DataFrame, bits: int, percent: int, text_col: str) -> DataFr
     # with the token ahead in common as well, the pair has met there, at places that pass if these do
     first = (F.least(i, j) == 0) | (F.col("token") != F.col("same"))
     rest = one.join(other, F.shiftright("token", 32) == F.shiftright("same", 32)) \
-        .where(later & first & reach(percent, n, m, i, j) & alike(percent, n, m, "bits")) \
+        .where(half_alike(percent, n, m, "bits") & later & first & reach(percent, n, m, i, j) & alike(percent, n, m, "bits")) \
         .select(F.col("line").alias("at"), "before").distinct()
     gone = gone.union(similar(docs, rest, bits, percent, text_col)).distinct()
 

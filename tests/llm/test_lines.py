@@ -99,6 +99,20 @@ def test_sketch_halves_are_the_signs_of_the_hashes(spark):
         assert [x % (1 << 64) for x in (r.sketch, r.sketch2)] == halves and r.n == len(hashes[r["at"]])
 
 
+def test_higher_order_functions_get_ready_columns(spark):
+    """A higher-order function evaluates its arguments without generated code: no sort or distinct may stand inside one."""
+    import re
+
+    from pyspark.sql import functions as F
+
+    from rxcast.llm.linejoin import described
+    lines = spark.range(3).select(F.col("id").alias("at"), F.lit("some words of a line").alias("line")).repartition(2)
+    classes = F.split(F.lit(",".join(["1"] * 65536)), ",").cast("array<tinyint>")
+    plan = described(lines, classes, 80)._jdf.queryExecution().optimizedPlan().toString()
+    given = re.findall(r"\b(?:transform|filter|aggregate)\((.*?)lambdafunction", plan, re.S)
+    assert len(given) == 5 and not [g[:200] for g in given if "sort_array" in g or "array_distinct" in g]
+
+
 def test_odd_rows(spark, odd_documents, no_documents):
     rows = dedup_lines(odd_documents).collect()
     assert len(rows) == 15 and set(rows[0].asDict()) == {*odd_documents.columns, "n_lines", "n_removed"}
