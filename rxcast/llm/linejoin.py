@@ -16,7 +16,9 @@ earlier line (by document, then place) has a Jaccard similarity of at least
   counts are kept per slot of the token's hash (``SLOTS`` of them, so the table
   has one size for any input; any fixed order is exact, rarity makes it fast).
   Of n tokens the first n - ceil(percent * n) + 1 are posted, as (token, set,
-  size, place), and similar sets meet at the first token that they share. Sizes
+  size, place), and similar sets meet at the first token that they share. The
+  smaller set of a pair has it among its first n * (1 - p) / (1 + p) + 1, so
+  the later postings meet these alone, and not each other. Sizes
   and places must leave room for the overlap (length and positional filters;
   the tokens that an edit brings in are rare and come first, so the places of
   the rest tell), and so must a 128-bit parity sketch: each token in only one
@@ -117,47 +119,65 @@ def described(lines: DataFrame, classes: Column, percent: int) -> DataFrame:
     key = lambda h: F.shiftleft(rank(h).cast("bigint"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
     bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(63).cast("int"))
     flip = lambda part: F.aggregate(part, zero, lambda b, h: b.bitwiseXOR(bit(h)))  # noqa: E731  parity of the tokens of a part
-    # A higher-order function evaluates all that it is given without generated code, sorts included. So each stands alone
-    # here: its result is a column of a one-element explode, which the optimizer keeps apart from what follows.
+    # A higher-order function evaluates all that it is given without generated code, sorts and slices included. So each
+    # stands alone here: its result is a column of a one-element explode, which the optimizer keeps apart from what follows.
     column = lambda array: F.explode(F.array(array))
     hashes = lines.select("at", column(F.transform(split_parts(F.col("line")), lambda w: F.xxhash64(w))).alias("h"))
-    tokens = hashes.select("at", column(F.sort_array(F.array_distinct(F.array_remove("h", F.xxhash64(F.lit("")))))).alias("t"))
+    tokens = hashes.select("at", column(F.sort_array(F.array_remove(F.array_distinct("h"), F.xxhash64(F.lit(""))))).alias("t"))
     sets = tokens.where(F.size("t") > 0).select("at", "t", column(F.transform("t", key)).alias("k")).withColumn("n", F.size("t"))
     # negative hashes, which come first, flip one half of the sketch, the others the other
     sets = sets.withColumn("half", F.array_position(F.sort_array(F.array_append("t", zero)), zero).cast("int"))
     need = F.ceil(F.lit(percent) * F.col("n") / 100)
     sets = sets.select("at", "t", "n", "half", column(F.slice(F.sort_array("k"), F.lit(1), (F.col("n") - need + 1).cast("int"))).alias("first"))
+    sets = sets.select("*", column(F.slice("t", F.lit(1), F.col("half") - 1)).alias("low"))
+    sets = sets.select("*", column(F.slice("t", F.col("half"), F.col("n"))).alias("high"))
     return sets.select("at", F.xxhash64("t").alias("h1"), F.hash("t").alias("h2"), "n", F.xxhash64(F.slice("t", 1, 3)).alias("near1"),
-                       F.xxhash64(F.lit(1), F.slice("t", -3, 3)).alias("near2"), flip(F.slice("t", 1, F.col("half") - 1)).alias("sketch"),
-                       flip(F.slice("t", F.col("half"), F.col("n"))).alias("sketch2"),
+                       F.xxhash64(F.lit(1), F.slice("t", -3, 3)).alias("near2"), flip("low").alias("sketch"),
+                       flip("high").alias("sketch2"),
                        F.transform("first", lambda k: F.hash(k)).alias("rare"))
 
 
 def alike(percent: int, n: Column, m: Column, sketch: str = "sketch") -> Column:
-    """Length and sketch filters for sets of n and m tokens (either sign)."""
-    n, m = F.abs(n), F.abs(m)
+    """Length and sketch filters for sets of n and m tokens."""
     apart = F.bit_count(F.col(sketch).bitwiseXOR(F.col("marks"))) + F.bit_count(F.col(f"{sketch}2").bitwiseXOR(F.col("marks2")))
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * (n + m - apart) >= 2 * percent * (n + m))
 
 
-def half_alike(percent: int, n: Column, m: Column, sketch: str) -> Column:
-    """The sketch filter by one half alone: cheap, and most pairs end here."""
-    n, m = F.abs(n), F.abs(m)
-    return (100 + percent) * (n + m - F.bit_count(F.col(sketch).bitwiseXOR(F.col("marks")))) >= 2 * percent * (n + m)
-
-
 def reach(percent: int, n: Column, m: Column, i: Column, j: Column) -> Column:
     """Positional filter: the first token that similar sets share, at places i
     and j, has the whole overlap from there on. Later ones needn't pass."""
-    n, m = F.abs(n), F.abs(m)
     return (100 + percent) * F.least(n - i, m - j) >= percent * (n + m)
 
 
+def short_prefix(percent: int, n: Column, size: Column) -> Column:
+    """How many of a set's first tokens can be the first one that it shares
+    with a similar set of its size or above: from there on it must have the
+    overlap with its equal in size, by ``reach``. The later of its ``size``
+    posted tokens can only be shared first with a smaller set."""
+    return F.least(F.floor((100 - percent) * n / (100 + percent)).cast("int") + 1, size)
+
+
 def packed(high: Column, low: Column) -> Column:
     """Two ints (the lower one's bits as they are) in a long."""
     return F.shiftleft(high.cast("bigint"), 32).bitwiseOR(low.cast("bigint").bitwiseAND(LOW))
 
 
+def meeting(one: DataFrame, other: DataFrame, percent: int) -> DataFrame:
+    """(at, before): pairs of postings of the same token that pass the
+    filters, where the later line needs a partner."""
+    n, m = F.shiftright("sized", 32), F.shiftright("sized2", 32)
+    i, j = (F.shiftright(F.col(c).bitwiseAND(LOW), 1) for c in ("sized", "sized2"))
+    line, before = F.col("line"), F.col("before")
+    # most pairs end at one half of the sketch, so that comes first and takes both sizes in one sum
+    half = (100 + percent) * F.bit_count(F.col("bits").bitwiseXOR(F.col("marks"))) <= (100 - percent) * F.shiftright(F.col("sized") + F.col("sized2"), 32)
+    wanted = F.when(line > before, F.col("sized").bitwiseAND(1)).when(line < before, F.col("sized2").bitwiseAND(1)).otherwise(0) > 0
+    # with the token ahead in common as well, the pair has met there, at places that pass if these do
+    first = (F.least(i, j) == 0) | (F.col("token") != F.col("same"))
+    return one.join(other.hint("merge"), F.shiftright("token", 32) == F.shiftright("same", 32)) \
+        .where(half & wanted & first & reach(percent, n, m, i, j) & alike(percent, n, m, "bits")) \
+        .select(F.greatest(line, before).alias("at"), F.least(line, before).alias("before"))
+
+
 def smallest_pair(percent: int) -> int:
     """Tokens that a set needs so that a different set can be similar: with n
     of n + 1 in common, n / (n + 1) must reach ``percent``. Equal sets alone
@@ -179,31 +199,33 @@ def removable(docs: DataFrame, bits: int, percent: int, text_col: str) -> DataFr
     # buffers of numbers are aggregated by hash, a smallest struct would be by sorting
     heads = ends.groupBy("near").agg(F.min("at").alias("before"), *[F.min_by(c, "at").alias(to) for c, to in (("n", "m"), ("sketch", "marks"), ("sketch2", "marks2"))],
                                      F.count("*").alias("of")).where("of > 1").drop("of")
-    star = ends.join(heads, "near").where((F.col("before") < F.col("at")) & alike(percent, F.col("n"), F.col("m"))).select("at", "before").distinct()
+    # the hashed side of these joins has a key once, and numbers only: no sort of the wide side
+    star = ends.join(heads.hint("shuffle_hash"), "near").where((F.col("before") < F.col("at")) & alike(percent, F.col("n"), F.col("m"))).select("at", "before").distinct()
     gone = similar(docs, star, bits, percent, text_col)
 
-    open_ = firsts.where(open_sizes).select("at").join(gone.select("at", F.lit(True).alias("done")), "at", "left") \
-        .select(F.col("at").alias("first"), F.when(F.col("done").isNull(), 1).otherwise(-1).alias("sign"))
-    sets = table.select("at", "n", "sketch", "sketch2", "rare").join(open_, F.col("at") == F.col("first"))
-    # postings are shuffled once: both sides of the join rename every column and so read the same exchange; they are
-    # unpacked by the join alone, so that the exchange moves few columns; a negative size needs no partner
-    ahead = F.concat(F.array(F.lit(0)), F.slice("rare", F.lit(1), F.size("rare") - 1))
-    posted = sets.select("at", (F.col("n") * F.col("sign")).alias("signed"), "sketch", "sketch2",
-                         F.posexplode(F.arrays_zip(F.col("rare").alias("code"), ahead.alias("ahead"))).alias("place", "x")) \
-        .select(packed(F.col("x.code"), F.col("x.ahead")), "at", packed(F.col("signed"), F.col("place")), "sketch", "sketch2")
-    one = posted.toDF("token", "line", "sized", "bits", "bits2")
-    other = posted.toDF("same", "before", "sized2", "marks", "marks2")
-    n, m, i, j = F.shiftright("sized", 32), F.shiftright("sized2", 32), F.col("sized").bitwiseAND(LOW), F.col("sized2").bitwiseAND(LOW)
-    later = F.least(n, F.col("line") - F.col("before")) > 0
-    # with the token ahead in common as well, the pair has met there, at places that pass if these do
-    first = (F.least(i, j) == 0) | (F.col("token") != F.col("same"))
-    rest = one.join(other, F.shiftright("token", 32) == F.shiftright("same", 32)) \
-        .where(half_alike(percent, n, m, "bits") & later & first & reach(percent, n, m, i, j) & alike(percent, n, m, "bits")) \
-        .select(F.col("line").alias("at"), "before").distinct()
+    open_ = firsts.where(open_sizes).select("at").join(gone.select("at", F.lit(True).alias("done")).hint("shuffle_hash"), "at", "left") \
+        .select(F.col("at").alias("first"), F.col("done").isNull().cast("int").alias("open"))
+    sets = table.select("at", "n", "sketch", "sketch2", "rare").join(open_.hint("shuffle_hash"), F.col("at") == F.col("first"))
+    # postings are unpacked by the joins alone, so that the exchanges move few columns
+    size, ahead = F.size("rare"), F.concat(F.array(F.lit(0)), F.slice("rare", F.lit(1), F.size("rare") - 1))
+    sets = sets.select("at", "n", "open", "sketch", "sketch2",
+                       F.arrays_zip(F.col("rare").alias("code"), ahead.alias("ahead")).alias("x"), short_prefix(percent, F.col("n"), size).alias("cut"))
+
+    def posted(part: Column, place: Column) -> DataFrame:
+        return sets.select("at", "n", "open", "sketch", "sketch2", place.alias("from"), F.posexplode(part).alias("place", "x")).select(
+            packed(F.col("x.code"), F.col("x.ahead")), "at", packed(F.col("n"), 2 * (F.col("from") + F.col("place")) + F.col("open")), "sketch", "sketch2")
+    # each part is shuffled once: all sides of the joins rename every column, and those of the first part read the same exchange
+    short, long = posted(F.slice("x", F.lit(1), F.col("cut")), F.lit(0)), posted(F.slice("x", F.col("cut") + 1, F.size("x")), F.col("cut"))
+    other = short.toDF("same", "before", "sized2", "marks", "marks2")
+    rest = None
+    for part in (short, long):
+        met = meeting(part.toDF("token", "line", "sized", "bits", "bits2"), other, percent)
+        rest = met if rest is None else rest.union(met)
+    rest = rest.distinct()
     gone = gone.union(similar(docs, rest, bits, percent, text_col)).distinct()
 
-    stays = firsts.select("at").join(gone, "at", "left_anti")
-    lost = table.select("at").join(stays, "at", "left_anti")
+    stays = firsts.select("at").join(gone.hint("shuffle_hash"), "at", "left_anti")
+    lost = table.select("at").join(stays.hint("shuffle_hash"), "at", "left_anti")
     return stored(lost.groupBy(F.shiftright("at", bits).alias("__doc")).agg(
         F.collect_list(F.col("at").bitwiseAND((1 << bits) - 1).cast("int")).alias("__gone")), "line-gone")
 
@@ -217,10 +239,12 @@ def similar(docs: DataFrame, pairs: DataFrame, bits: int, percent: int, text_col
     # only the wanted lines of a document leave this projection
     found = lookup(docs.select("__doc", text_col), by_doc, "inner").select("__doc", F.explode(F.expr(
         f"transform(array(split(`{text_col}`, '\\n')), ls -> transform(wanted, i -> struct(i AS i, ls[i] AS line)))[0]")).alias("x"))
-    known = stored(found.select(F.shiftleft("__doc", bits).bitwiseOR(F.col("x.i")).alias("at"), words(F.col("x.line")).alias("w")), "line-words")
-    both = pairs.join(known, "at").join(known.select(F.col("at").alias("before"), F.col("w").alias("v")), "before")
-    common = F.size(F.array_intersect("w", "v"))
-    return stored(both.where(100 * common >= percent * (F.size("w") + F.size("v") - common)).select("at").distinct(), "line-similar")
+    # lines are shorter than arrays of their words, so the pairs are made of lines
+    known = stored(found.select(F.shiftleft("__doc", bits).bitwiseOR(F.col("x.i")).alias("at"), F.col("x.line").alias("line")), "line-texts")
+    both = pairs.join(known, "at").join(known.select(F.col("at").alias("before"), F.col("line").alias("other")), "before") \
+        .select("at", F.inline(F.array(F.struct(words(F.col("line")).alias("w"), words(F.col("other")).alias("v")))))
+    enough = (100 + percent) * F.size(F.array_intersect("w", "v")) >= percent * (F.size("w") + F.size("v"))
+    return stored(both.where(enough).select("at").distinct(), "line-similar")
 
 
 def dedup_lines(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",

@@ -113,6 +113,52 @@ def test_higher_order_functions_get_ready_columns(spark):
     assert len(given) == 5 and not [g[:200] for g in given if "sort_array" in g or "array_distinct" in g]
 
 
+def test_later_postings_meet_the_first_ones_alone(spark, monkeypatch):
+    """Postings that only a smaller set can share first don't meet each other, whichever line comes first."""
+    from rxcast.llm import linejoin
+    calls, inner = [], linejoin.meeting
+
+    def seen(one, other, percent):
+        met = inner(one, other, percent)
+        calls.append((one.count(), other.count(), met.count()))
+        return met
+    monkeypatch.setattr(linejoin, "meeting", seen)
+    # 'common' words are frequent and come last; 40 of them plus up to 10 rare ones: the smaller set has no rare word, so a
+    # pair shares its first word late in the larger set's prefix. In half of the pairs the larger set comes first.
+    rows = []
+    for g in range(12):
+        common = [f"c{g}x{k}" for k in range(40)]
+        large, small = " ".join([f"rare{g}y{k}" for k in range(9)] + common), " ".join(common)
+        rows += [(2 * g, (large, small)[g % 2]), (2 * g + 1, (small, large)[g % 2])]
+    rows += [(100 + i, " ".join(f"c{i % 12}x{k}" for k in range(i % 7, 40, 7))) for i in range(84)]
+    got = sorted((r.doc_id, r.text, r.n_removed) for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+                 .select("doc_id", "text", "n_removed").collect())
+    assert got == brute(rows) and sum(n for i, _, n in got if i < 100) == 12
+    (first, reused, _), (later, alone, late) = calls
+    assert first == reused == alone and 0 < later and late > 0
+
+
+def test_prefix_that_meets_all_is_exact():
+    """No pair of sizes and places passes the positional filter with both places behind the short prefix."""
+    for percent in (50, 80, 95):
+        for n in range(1, 60):
+            for m in range(1, n + 1):
+                cut, cut2 = ((100 - percent) * x // (100 + percent) + 1 for x in (n, m))
+                assert not any((100 + percent) * min(n - i, m - j) >= percent * (n + m) for i in range(cut, n) for j in range(cut2, m))
+                assert not any((100 + percent) * min(n - i, m - j) >= percent * (n + m) for i in range(n) for j in range(cut2, m))
+
+
+def test_short_prefix_follows_the_size(spark):
+    from pyspark.sql import functions as F
+
+    from rxcast.llm.linejoin import short_prefix
+    rows = spark.range(1, 60).select(F.col("id").cast("int").alias("n"))
+    for percent in (50, 80, 95):
+        size = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100).cast("int") + 1
+        for r in rows.select("n", size.alias("size"), short_prefix(percent, F.col("n"), size).alias("cut")).collect():
+            assert r.cut == min(r["size"], (100 - percent) * r.n // (100 + percent) + 1) >= 1
+
+
 def test_odd_rows(spark, odd_documents, no_documents):
     rows = dedup_lines(odd_documents).collect()
     assert len(rows) == 15 and set(rows[0].asDict()) == {*odd_documents.columns, "n_lines", "n_removed"}
