@@ -162,15 +162,17 @@ def packed(high: Column, low: Column) -> Column:
     return F.shiftleft(high.cast("bigint"), 32).bitwiseOR(low.cast("bigint").bitwiseAND(LOW))
 
 
-def meeting(one: DataFrame, other: DataFrame, percent: int) -> DataFrame:
+def meeting(one: DataFrame, other: DataFrame, percent: int, itself: bool) -> DataFrame:
     """(at, before): pairs of postings of the same token that pass the
-    filters, where the later line needs a partner."""
+    filters, where the later line needs a partner. Postings that meet
+    themselves give each pair once, with the later line on the left."""
     n, m = F.shiftright("sized", 32), F.shiftright("sized2", 32)
     i, j = (F.shiftright(F.col(c).bitwiseAND(LOW), 1) for c in ("sized", "sized2"))
     line, before = F.col("line"), F.col("before")
     # most pairs end at one half of the sketch, so that comes first and takes both sizes in one sum
     half = (100 + percent) * F.bit_count(F.col("bits").bitwiseXOR(F.col("marks"))) <= (100 - percent) * F.shiftright(F.col("sized") + F.col("sized2"), 32)
-    wanted = F.when(line > before, F.col("sized").bitwiseAND(1)).when(line < before, F.col("sized2").bitwiseAND(1)).otherwise(0) > 0
+    mirrored = F.lit(0) if itself else F.when(line < before, F.col("sized2").bitwiseAND(1)).otherwise(0)
+    wanted = F.when(line > before, F.col("sized").bitwiseAND(1)).otherwise(mirrored) > 0
     # with the token ahead in common as well, the pair has met there, at places that pass if these do
     first = (F.least(i, j) == 0) | (F.col("token") != F.col("same"))
     return one.join(other.hint("merge"), F.shiftright("token", 32) == F.shiftright("same", 32)) \
@@ -219,7 +221,7 @@ def removable(docs: DataFrame, bits: int, percent: int, text_col: str) -> DataFr
     other = short.toDF("same", "before", "sized2", "marks", "marks2")
     rest = None
     for part in (short, long):
-        met = meeting(part.toDF("token", "line", "sized", "bits", "bits2"), other, percent)
+        met = meeting(part.toDF("token", "line", "sized", "bits", "bits2"), other, percent, part is short)
         rest = met if rest is None else rest.union(met)
     rest = rest.distinct()
     gone = gone.union(similar(docs, rest, bits, percent, text_col)).distinct()

@@ -118,8 +118,8 @@ def test_later_postings_meet_the_first_ones_alone(spark, monkeypatch):
     from rxcast.llm import linejoin
     calls, inner = [], linejoin.meeting
 
-    def seen(one, other, percent):
-        met = inner(one, other, percent)
+    def seen(one, other, percent, itself):
+        met = inner(one, other, percent, itself)
         calls.append((one.count(), other.count(), met.count()))
         return met
     monkeypatch.setattr(linejoin, "meeting", seen)
@@ -138,6 +138,23 @@ def test_later_postings_meet_the_first_ones_alone(spark, monkeypatch):
     assert first == reused == alone and 0 < later and late > 0
 
 
+def test_a_pair_meets_once_in_the_join(spark, monkeypatch):
+    """Near copies that share their first word make one row a pair, not one for either order."""
+    from rxcast.llm import linejoin
+    calls, inner = [], linejoin.meeting
+
+    def seen(*args):
+        met = inner(*args)
+        calls.append(met.groupBy("at", "before").count().where("count > 1").count())
+        return met
+    monkeypatch.setattr(linejoin, "meeting", seen)
+    # edits of the first and last words by hash leave heads that differ, so that pairs are left to the join
+    rows = [(i, " ".join([f"a{i // 2}"] + [f"w{i // 4}x{k}" for k in range(24) if k != i % 4])) for i in range(80)]
+    got = sorted((r.doc_id, r.text, r.n_removed) for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+                 .select("doc_id", "text", "n_removed").collect())
+    assert got == brute(rows) and calls == [0, 0]
+
+
 def test_prefix_that_meets_all_is_exact():
     """No pair of sizes and places passes the positional filter with both places behind the short prefix."""
     for percent in (50, 80, 95):
